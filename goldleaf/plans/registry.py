@@ -10,10 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from goldleaf.operators import marts
+from goldleaf.operators import marts, quality
 from goldleaf.operators.denorm import denormalize
 from goldleaf.operators.star import build_star
-from goldleaf.sources.retail_views import retail_source_views
+from goldleaf.sources.retail_views import read_test_table, retail_source_views
+from goldleaf.spec import TABLE_KEYS
+
+# Fixed "now" of the timestamp range checks, so that results do not depend on the wall clock.
+CHECK_AS_OF = "2024-01-20 00:00:00"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,8 +77,64 @@ def _bi_queries() -> dict[str, Query]:
     return out
 
 
+def _bronze_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = retail_source_views(spark, sf_dir)
+    events = read_test_table(spark, sf_dir, "events")
+    return quality.union_results([
+        quality.bronze_checks(v["orders"], "orders", TABLE_KEYS["orders"], "last_updated_timestamp", CHECK_AS_OF),
+        quality.bronze_checks(v["orderdetail"], "orderdetail", TABLE_KEYS["orderdetail"]),
+        quality.bronze_checks(events, "events", ["event_id"], "ts", CHECK_AS_OF),
+    ])
+
+
+def _silver_inputs(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    v = retail_source_views(spark, sf_dir)
+    return v, denormalize(v)
+
+
+def _gold_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    silver = _silver(spark, sf_dir)
+    return silver, build_star(silver)
+
+
+def _quality_queries() -> dict[str, Query]:
+    def silver_q(fn):
+        return lambda s, d: fn(*_silver_inputs(s, d))
+
+    def gold_q(fn):
+        return lambda s, d: fn(*_gold_inputs(s, d))
+
+    return {
+        "timestamp_range_check": lambda s, d: quality.timestamp_range_check(
+            read_test_table(s, d, "events"), "events", "ts", CHECK_AS_OF),
+        "check_null_keys": lambda s, d: quality.null_key_check(
+            retail_source_views(s, d)["orders"], "orders", ["member_id"]),
+        "duplicate_keys": lambda s, d: quality.find_duplicate_keys(read_test_table(s, d, "lineitem"), ["l_orderkey"]),
+        "duplicate_keys_composite": lambda s, d: quality.find_duplicate_keys(
+            read_test_table(s, d, "lineitem"), ["l_orderkey", "l_linenumber"]),
+        "bronze_quality_report": _bronze_report,
+        "silver_duplicate_pks": lambda s, d: quality.duplicate_pk_checks(retail_source_views(s, d), TABLE_KEYS),
+        "null_fk_profile": lambda s, d: (lambda v: quality.null_fk_profile(
+            v["orderdetail"], v["orders"], v["pizza"]))(retail_source_views(s, d)),
+        "cardinality_check": silver_q(lambda v, silver: quality.cardinality(v["orderdetail"], silver)),
+        "missing_references": silver_q(lambda v, silver: quality.missing_references(silver)),
+        "types_without_bridge": silver_q(lambda v, silver: quality.types_without_bridge(silver)),
+        "silver_quality_report": silver_q(lambda v, silver: quality.silver_report(v, TABLE_KEYS, silver)),
+        "check_row_parity": gold_q(lambda silver, star: quality.row_parity_check(silver, star["fact_order"])),
+        "check_uniqueness": gold_q(lambda silver, star: quality.uniqueness_checks(
+            {k: star[k] for k in quality.GOLD_KEYS})),
+        "check_fact_nulls": gold_q(lambda silver, star: quality.fact_null_checks(star["fact_order"])),
+        "check_referential_integrity": gold_q(lambda silver, star: quality.referential_integrity_checks(
+            star["fact_order"], star)),
+        "check_line_total": gold_q(lambda silver, star: quality.line_total_check(star["fact_order"])),
+        "check_positive_quantity": gold_q(lambda silver, star: quality.positive_quantity_check(star["fact_order"])),
+        "gold_quality_report": gold_q(quality.gold_report),
+    }
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_star_queries())
     out.update(_bi_queries())
+    out.update(_quality_queries())
     return out

@@ -131,8 +131,173 @@ def star_sql() -> dict[str, str]:
     }
 
 
+# --- data-quality checks: rows of (check, subject, observed, expected, severity, passed) -------------
+
+def _row(check: str, subject: str, observed: str, expected: str | None, severity: str, passed: str, frm: str) -> str:
+    exp = "CAST(NULL AS BIGINT)" if expected is None else f"CAST({expected} AS BIGINT)"
+    return (f"SELECT '{check}' AS \"check\", '{subject}' AS subject, CAST({observed} AS BIGINT) AS observed, "
+            f"{exp} AS expected, {severity} AS severity, ({passed}) AS passed FROM {frm}")
+
+
+def _union(parts: list[str]) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+def _cnt(cond: str) -> str:
+    return f"count(*) FILTER (WHERE {cond})"
+
+
+AS_OF = "TIMESTAMP '2024-01-20 00:00:00'"
+
+
+def _bronze(view: str, table: str, keys: list[str], change_col: str | None) -> list[str]:
+    parts = [_row("row_count", table, "count(*)", None, "'skip'", "count(*) > 0", view)]
+    for k in keys:
+        c = _cnt(f"{k} IS NULL")
+        parts.append(_row("null_key", f"{table}.{k}", c, "0", "'reject'", f"{c} = 0", view))
+    if change_col:
+        c = _cnt(f"{change_col} < TIMESTAMP '1900-01-01' OR {change_col} > {AS_OF}")
+        parts.append(_row("timestamp_range", f"{table}.{change_col}", c, "0", "'reject'", f"{c} = 0", view))
+    if keys:
+        g = f"(SELECT count(*) AS n FROM {view} GROUP BY {', '.join(keys)}) g"
+        parts.append(_row("duplicate_keys", f"{table}({','.join(keys)})", _cnt("n > 1"), "0", "'reject'",
+                          f"{_cnt('n > 1')} = 0", g))
+    return parts
+
+
+_SOURCE_VIEW = {"branch": "branch_s", "member": "member_s", "orders": "orders_s", "orderdetail": "od_s",
+                "pizza": "pizza_s", "pizzatypes": "ptype_s", "pizzatypetopping": "bridge_s", "topping": "topping_s"}
+_SOURCE_KEYS = {"branch": ["bran_id"], "member": ["member_id"], "orders": ["order_id"],
+                "orderdetail": ["order_detail_id"], "pizza": ["pizza_id"], "pizzatypes": ["pizza_type_id"],
+                "pizzatypetopping": ["pizza_type_id", "pizza_topping_id"], "topping": ["pizza_topping_id"]}
+
+
+def _dup_pk_parts() -> list[str]:
+    parts = []
+    for name, view in _SOURCE_VIEW.items():
+        keys = _SOURCE_KEYS[name]
+        g = f"(SELECT count(*) AS n FROM {view} GROUP BY {', '.join(keys)}) g"
+        parts.append(_row("duplicate_pk", f"{name}({','.join(keys)})", _cnt("n > 1"), "0", "'critical'",
+                          f"{_cnt('n > 1')} = 0", g))
+    return parts
+
+
+def _null_fk_parts() -> list[str]:
+    parts = []
+    for view, name, cols in (("od_s", "orderdetail", ["order_id", "pizza_id"]),
+                             ("orders_s", "orders", ["member_id", "bran_id"]),
+                             ("pizza_s", "pizza", ["pizza_type_id"])):
+        for c in cols:
+            n = _cnt(f"{c} IS NULL")
+            parts.append(_row("null_fk", f"{name}.{c}", n, "0", "'info'", f"{n} = 0", view))
+    return parts
+
+
+_CARD = ("(SELECT (SELECT count(*) FROM od_s) AS source_lines, "
+         "(SELECT count(DISTINCT order_detail_id) FROM silver) AS silver_lines) c")
+_REFS = {
+    "missing_member": "count(*) FILTER (WHERE member_id IS NOT NULL AND member_nm IS NULL)",
+    "missing_branch": "count(*) FILTER (WHERE bran_id IS NOT NULL AND bran_nm IS NULL)",
+    "missing_topping_master": "count(*) FILTER (WHERE pizza_topping_id IS NOT NULL AND pizza_topping_nm IS NULL)",
+    "types_without_topping": "count(DISTINCT pizza_type_id) FILTER (WHERE pizza_topping_id IS NULL)",
+}
+
+
+def _silver_parts() -> list[str]:
+    d = "(source_lines - silver_lines)"
+    parts = _dup_pk_parts() + _null_fk_parts()
+    parts.append(_row("cardinality", "orderdetail->silver", d, "0",
+                      f"CASE WHEN {d} < 0 THEN 'critical' WHEN {d} > 0 THEN 'warning' ELSE 'info' END", f"{d} = 0", _CARD))
+    parts += [_row("missing_reference", k, v, "0", "'warning'", f"{v} = 0", "silver") for k, v in _REFS.items()]
+    return parts
+
+
+_GOLD_TABLES = {  # name -> (view, keys)
+    "dim_pizza": ("dim_pizza", ["pizza_id"]), "dim_member": ("dim_member", ["member_id"]),
+    "dim_pizza_type": ("dim_ptype", ["pizza_type_id"]), "dim_date": ("dim_date", ["date"]),
+    "dim_branch": ("dim_branch", ["bran_id"]), "dim_pizza_topping": ("dim_topping", ["pizza_topping_id"]),
+    "bridge_pizza_type_topping": ("bridge_dim", ["pizza_type_id", "pizza_topping_id"]),
+    "fact_order": ("fact", ["order_detail_id", "pizza_topping_id"]),
+}
+_FACT_REQUIRED = ["date", "member_id", "pizza_id", "bran_id", "pizza_type_id", "pizza_topping_id"]
+_FACT_REFS = {"pizza_id": ("dim_pizza", "dim_pizza"), "pizza_type_id": ("dim_pizza_type", "dim_ptype"),
+              "date": ("dim_date", "dim_date"), "pizza_topping_id": ("dim_pizza_topping", "dim_topping"),
+              "member_id": ("dim_member", "dim_member"), "bran_id": ("dim_branch", "dim_branch")}
+_ALL_GOLD = ("fact", "dim_date", "dim_pizza", "dim_member", "dim_ptype", "dim_branch", "dim_topping", "bridge_dim")
+
+
+def _parity() -> list[str]:
+    frm = "(SELECT (SELECT count(*) FROM fact) AS f, (SELECT count(*) FROM silver) AS s) c"
+    return [_row("row_parity", "fact_order", "f", "s", "'fail'", "f = s", frm)]
+
+
+def _uniqueness() -> list[str]:
+    parts = []
+    for name, (view, keys) in _GOLD_TABLES.items():
+        frm = f"(SELECT count(*) AS groups, COALESCE(sum(n), 0) AS rows FROM (SELECT count(*) AS n FROM {view} GROUP BY {', '.join(keys)}) g) u"
+        parts.append(_row("key_uniqueness", f"{name}({','.join(keys)})", "groups", "rows", "'fail'", "groups = rows", frm))
+    return parts
+
+
+def _not_null() -> list[str]:
+    return [_row("not_null", f"fact_order.{c}", _cnt(f"{c} IS NULL"), "0", "'fail'", f"{_cnt(f'{c} IS NULL')} = 0", "fact")
+            for c in _FACT_REQUIRED]
+
+
+def _line_total() -> list[str]:
+    c = _cnt("total_price <> unit_price * quantity")
+    return [_row("line_total", "fact_order", c, "0", "'fail'", f"{c} = 0", "fact")]
+
+
+def _positive_quantity() -> list[str]:
+    c = _cnt("quantity <= 0")
+    return [_row("positive_quantity", "fact_order", c, "0", "'warning'", f"{c} = 0", "fact")]
+
+
+def _ri() -> list[str]:
+    parts = []
+    for col, (dim_name, view) in _FACT_REFS.items():
+        n = f"(SELECT count(*) FROM fact f WHERE NOT EXISTS (SELECT 1 FROM {view} d WHERE d.{col} = f.{col}))"
+        parts.append(_row("referential_integrity", f"fact_order.{col} -> {dim_name}", n, "0", "'fail'", f"{n} = 0",
+                          "(SELECT 1) one"))
+    return parts
+
+
+def quality_sql() -> dict[str, str]:
+    src = with_views()
+    gold = with_views(*_ALL_GOLD)
+    silver = with_views("silver")
+    return {
+        "timestamp_range_check": _union([_bronze("events", "events", [], "ts")[1]]),
+        "check_null_keys": src + _row("null_key", "orders.member_id", _cnt("member_id IS NULL"), "0", "'reject'",
+                                      f"{_cnt('member_id IS NULL')} = 0", "orders_s"),
+        "duplicate_keys": "SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1",
+        "duplicate_keys_composite": "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem "
+                                    "GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1",
+        "bronze_quality_report": src + _union(
+            _bronze("orders_s", "orders", ["order_id"], None) + _bronze("od_s", "orderdetail", ["order_detail_id"], None)
+            + _bronze("events", "events", ["event_id"], "ts")),
+        "silver_duplicate_pks": src + _union(_dup_pk_parts()),
+        "null_fk_profile": src + _union(_null_fk_parts()),
+        "cardinality_check": silver + f"SELECT source_lines, silver_lines, source_lines - silver_lines AS dropped FROM {_CARD}",
+        "missing_references": silver + "SELECT " + ", ".join(
+            f"{v} AS {k}" for k, v in _REFS.items() if k != "types_without_topping") + " FROM silver",
+        "types_without_bridge": silver + f"SELECT {_REFS['types_without_topping']} AS types_without_topping FROM silver",
+        "silver_quality_report": silver + _union(_silver_parts()),
+        "check_row_parity": gold + _union(_parity()),
+        "check_uniqueness": gold + _union(_uniqueness()),
+        "check_fact_nulls": gold + _union(_not_null()),
+        "check_referential_integrity": gold + _union(_ri()),
+        "check_line_total": gold + _union(_line_total()),
+        "check_positive_quantity": gold + _union(_positive_quantity()),
+        "gold_quality_report": gold + _union(_parity() + _uniqueness() + _not_null() + _line_total()
+                                             + _positive_quantity() + _ri()),
+    }
+
+
 def oracle_queries() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(star_sql())
     out.update(bi_sql())
+    out.update(quality_sql())
     return out

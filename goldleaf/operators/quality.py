@@ -216,6 +216,17 @@ def silver_report(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[s
     ])
 
 
+def orphan_keys(df: DataFrame, key: str, dim: DataFrame, dim_key: str | None = None) -> DataFrame:
+    """Values of ``key`` with no match in ``dim`` (a NULL key never matches), with their row count ``n``.
+
+    Rows are counted per key value first, so the anti join sees one row per distinct value however
+    often a value repeats.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    keys = dim.select(F.col(dim_key or key).alias(key))
+    return counts.join(keys, key, "left_anti")
+
+
 # --- gold ------------------------------------------------------------------------------------------
 
 GOLD_KEYS = {

@@ -132,9 +132,153 @@ def _quality_queries() -> dict[str, Query]:
     }
 
 
+# --- bronze side: increments, marks, upserts, copies -------------------------------------------------
+
+# Fixed parameters of the registered ingest queries.
+INGEST_MARK = "2024-01-15 00:00:00"  # stored mark for the events increment
+TARGET_BEFORE = "1999-01-01"  # orders before this date form the existing target
+CHANGED_FROM = "1998-01-01"  # orders from this date on carry a changed status in the increment
+CHANGED_STATUS = "X"
+
+
+def _ts(df: DataFrame, col: str, value: str):
+    from pyspark.sql import functions as F
+    return F.lit(value).cast(df.schema[col].dataType)
+
+
+def _store(spark: SparkSession, name: str):
+    from goldleaf.session import scratch_path
+    from goldleaf.sources.lake import VersionedStore
+    return VersionedStore(spark, scratch_path(spark, name))
+
+
+def _changed_orders(orders: DataFrame) -> DataFrame:
+    from pyspark.sql import functions as F
+    changed = F.col("o_orderdate") >= _ts(orders, "o_orderdate", CHANGED_FROM)
+    return orders.withColumn("o_orderstatus", F.when(changed, F.lit(CHANGED_STATUS)).otherwise(F.col("o_orderstatus")))
+
+
+def _bronze_queries() -> dict[str, Query]:
+    from pyspark.sql import functions as F
+
+    from goldleaf.operators.hwm import next_hwm, read_increment
+    from goldleaf.operators.upsert import upsert
+    from goldleaf.plans.bronze import ingest_table
+    from goldleaf.sources.lake import snapshot_copy
+    from goldleaf.sources.retail_views import bridge_pairs
+    from goldleaf.spec import LOAD_COLUMN, TableSpec
+
+    def incremental_read(s, d):
+        return read_increment(read_test_table(s, d, "events"), "ts", INGEST_MARK)
+
+    def hwm_advance(s, d):
+        return next_hwm(incremental_read(s, d), "ts", INGEST_MARK, "events")
+
+    def initial_load(s, d):
+        store = _store(s, "initial_load")
+        upsert(store, "orders", read_test_table(s, d, "orders"), ["o_orderkey"])
+        return store.read("orders")
+
+    def copy(s, d):
+        store = _store(s, "snapshot_copy")
+        views = retail_source_views(s, d)
+        snapshot_copy(views, store)
+        return quality.union_results([
+            store.read(t).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("table_name"), "rows")
+            for t in views])
+
+    def keyed_upsert(s, d):
+        orders = read_test_table(s, d, "orders")
+        store = _store(s, "keyed_upsert")
+        upsert(store, "orders", orders.where(F.col("o_orderdate") < _ts(orders, "o_orderdate", TARGET_BEFORE)),
+               ["o_orderkey"])
+        changed = _changed_orders(orders).where(F.col("o_orderdate") >= _ts(orders, "o_orderdate", CHANGED_FROM))
+        upsert(store, "orders", changed, ["o_orderkey"])
+        return store.read("orders")
+
+    def keyed_upsert_composite(s, d):
+        part = read_test_table(s, d, "part")
+        keys = ["pizza_type_id", "pizza_topping_id"]
+        store = _store(s, "keyed_upsert_composite")
+        target = bridge_pairs(part.where(F.col("p_partkey") < 200)).withColumn("flag", F.lit("v1"))
+        source = bridge_pairs(part.where(F.col("p_partkey").between(100, 299))).withColumn("flag", F.lit("v2"))
+        upsert(store, "pizzatypetopping", target, keys)
+        upsert(store, "pizzatypetopping", source, keys)
+        return store.read("pizzatypetopping")
+
+    def incremental_ingest(s, d):
+        orders = read_test_table(s, d, "orders")
+        spec = TableSpec("orders", ["o_orderkey"], "o_orderdate")
+        store = _store(s, "incremental_ingest")
+        first = orders.where(F.col("o_orderdate") < _ts(orders, "o_orderdate", TARGET_BEFORE))
+        for source in (first, _changed_orders(orders)):
+            res = ingest_table(s, spec, source, store, as_of=CHECK_AS_OF)
+            if res.status == "rejected":
+                raise RuntimeError(f"increment rejected: {res.problems}")
+        return store.read("orders").drop(LOAD_COLUMN)
+
+    return {
+        "incremental_read": incremental_read,
+        "hwm_advance": hwm_advance,
+        "initial_load": initial_load,
+        "snapshot_copy": copy,
+        "keyed_upsert": keyed_upsert,
+        "keyed_upsert_composite": keyed_upsert_composite,
+        "incremental_ingest": incremental_ingest,
+    }
+
+
+# --- projections, joins, scalar functions --------------------------------------------------------------
+
+def _relational_queries() -> dict[str, Query]:
+    from pyspark.sql import functions as F
+
+    from goldleaf.functions import hour_of_text, is_weekend, month_label, parse_date, weekday_name, weekday_num
+    from goldleaf.operators.denorm import bridge_fanout, inner_chain, order_lookups
+    from goldleaf.operators.star import build_date_dimension, build_dimension
+    from goldleaf.spec import GUEST_MEMBER
+
+    def join_on_date_expr(s, d):
+        v = retail_source_views(s, d)
+        dim_date = build_date_dimension(denormalize(v))
+        per_text = v["orders"].groupBy("date").agg(F.count(F.lit(1)).alias("n"))
+        joined = per_text.join(F.broadcast(dim_date.select(F.col("date").alias("d"))),
+                               parse_date(per_text["date"]) == F.col("d"), "inner")
+        return joined.groupBy(F.col("d").alias("date")).agg(F.sum("n").cast("bigint").alias("n"))
+
+    def scalar_date_functions(s, d):
+        o = retail_source_views(s, d)["orders"]
+        day = parse_date("date")
+        return o.select(
+            "order_id", day.alias("date"), F.year(day).alias("year"), F.month(day).alias("month"),
+            F.dayofmonth(day).alias("day"), weekday_num(day).alias("weekday_num"), weekday_name(day).alias("weekday"),
+            is_weekend(day).alias("is_weekend"), hour_of_text("time").alias("hour"),
+            month_label(F.year(day), F.month(day)).alias("month_label"))
+
+    return {
+        "project_columns": lambda s, d: _silver(s, d).select(
+            "order_detail_id", "order_id", "date", "time", "pizza_id", "quantity"),
+        "distinct_rows": lambda s, d: _silver(s, d).select("order_id", "date", "member_id", "bran_id").distinct(),
+        "line_total": lambda s, d: _star(s, d)["fact_order"].select(
+            "order_detail_id", "pizza_topping_id", "unit_price", "quantity", "total_price"),
+        "default_keys": lambda s, d: _star(s, d)["fact_order"].select(
+            "order_detail_id", "pizza_topping_id", "member_id", "bran_id"),
+        "join_inner_chain": lambda s, d: inner_chain(retail_source_views(s, d)).select(
+            "order_detail_id", "order_id", "pizza_id", "pizza_type_id", "date", "quantity", "price", "pizza_categ"),
+        "join_left_lookup": lambda s, d: order_lookups(retail_source_views(s, d)).select(
+            "order_id", "member_id", "member_nm", "bran_id", "bran_nm"),
+        "join_bridge_fanout": lambda s, d: bridge_fanout(retail_source_views(s, d)),
+        "orphan_keys_anti_join": lambda s, d: (lambda v: quality.orphan_keys(
+            v["orders"], "member_id", v["member"]))(retail_source_views(s, d)),
+        "join_on_date_expr": join_on_date_expr,
+        "union_distinct_default_row": lambda s, d: build_dimension(
+            _silver(s, d), ["member_id", "member_nm"], GUEST_MEMBER, drop_null_key=True),
+        "scalar_date_functions": scalar_date_functions,
+    }
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    out.update(_star_queries())
-    out.update(_bi_queries())
-    out.update(_quality_queries())
+    for group in (_star_queries, _bi_queries, _quality_queries, _bronze_queries, _relational_queries):
+        out.update(group())
     return out

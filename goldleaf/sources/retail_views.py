@@ -33,6 +33,16 @@ def _type_id() -> Column:
     return F.concat(F.col("p_brand"), F.lit("/"), F.col("p_type"))
 
 
+def bridge_pairs(parts: DataFrame, word_col: str = "pizza_topping_id") -> DataFrame:
+    """Distinct (item type, word) pairs from the first two words of each part name."""
+    word = lambda i: F.split_part("p_name", F.lit(" "), F.lit(i))
+    return (
+        parts.select(_type_id().alias("pizza_type_id"), word(1).alias(word_col))
+        .unionByName(parts.select(_type_id().alias("pizza_type_id"), word(2).alias(word_col)))
+        .distinct()
+    )
+
+
 def read_test_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -55,13 +65,7 @@ def retail_source_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame
         _text(F.col("p_size")).alias("size"),
         F.col("p_retailprice").cast(PRICE_TYPE).alias("price"),
     )
-    bridge_parts = part.where(F.col("p_partkey") < BRIDGE_PART_LIMIT)
-    words = (
-        bridge_parts.select(_type_id().alias("pizza_type_id"), F.split_part("p_name", F.lit(" "), F.lit(1)).alias("w"))
-        .unionByName(
-            bridge_parts.select(_type_id().alias("pizza_type_id"), F.split_part("p_name", F.lit(" "), F.lit(2)).alias("w")))
-        .distinct()
-    )
+    words = bridge_pairs(part.where(F.col("p_partkey") < BRIDGE_PART_LIMIT), "w")
     pizzatypetopping = words.select("pizza_type_id", F.col("w").alias("pizza_topping_id"))
     topping = (
         words.select("w").distinct().where(F.col("w") != ABSENT_TOPPING)

@@ -295,9 +295,97 @@ def quality_sql() -> dict[str, str]:
     }
 
 
+# --- bronze side ----------------------------------------------------------------------------------------
+
+_MARK = "TIMESTAMP '2024-01-15 00:00:00'"
+_NULL_TS = "TIMESTAMP '1900-01-01 00:00:01'"
+_ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
+_CHANGED = ("o_orderkey, o_custkey, CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN 'X' ELSE o_orderstatus END "
+            "AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority")
+
+
+def _words(cond: str) -> str:
+    return (f"SELECT concat(p_brand, '/', p_type) AS pizza_type_id, split_part(p_name, ' ', 1) AS pizza_topping_id "
+            f"FROM part WHERE {cond} UNION "
+            f"SELECT concat(p_brand, '/', p_type) AS pizza_type_id, split_part(p_name, ' ', 2) AS pizza_topping_id "
+            f"FROM part WHERE {cond}")
+
+
+def bronze_sql() -> dict[str, str]:
+    inc = f"SELECT * FROM events WHERE COALESCE(ts, {_NULL_TS}) > {_MARK}"
+    views = ["branch_s", "member_s", "orders_s", "od_s", "pizza_s", "ptype_s", "bridge_s", "topping_s"]
+    names = ["branch", "member", "orders", "orderdetail", "pizza", "pizzatypes", "pizzatypetopping", "topping"]
+    return {
+        "incremental_read": inc,
+        "hwm_advance": (f"SELECT 'events' AS table_name, GREATEST(COALESCE(MAX(COALESCE(ts, {_NULL_TS})), {_MARK}), "
+                        f"{_MARK}) AS watermark_value FROM ({inc}) i"),
+        "initial_load": "SELECT * FROM orders",
+        "snapshot_copy": with_views() + _union([
+            f"SELECT '{n}' AS table_name, CAST(count(*) AS BIGINT) AS rows FROM {v}" for n, v in zip(names, views)]),
+        "keyed_upsert": (
+            "WITH t AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'), "
+            f"s AS (SELECT {_CHANGED} FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01') "
+            f"SELECT {_ORDER_COLS} FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = t.o_orderkey) "
+            f"UNION ALL SELECT {_ORDER_COLS} FROM s"),
+        "keyed_upsert_composite": (
+            f"WITH tw AS ({_words('p_partkey < 200')}), sw AS ({_words('p_partkey BETWEEN 100 AND 299')}) "
+            "SELECT pizza_type_id, pizza_topping_id, 'v1' AS flag FROM tw WHERE NOT EXISTS (SELECT 1 FROM sw "
+            "WHERE sw.pizza_type_id = tw.pizza_type_id AND sw.pizza_topping_id = tw.pizza_topping_id) "
+            "UNION ALL SELECT pizza_type_id, pizza_topping_id, 'v2' AS flag FROM sw"),
+        "incremental_ingest": (
+            "WITH t AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'), "
+            f"m AS (SELECT MAX(COALESCE(o_orderdate, {_NULL_TS})) AS mark FROM t), "
+            f"s AS (SELECT {_CHANGED} FROM orders WHERE o_orderdate > (SELECT mark FROM m)) "
+            f"SELECT {_ORDER_COLS} FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = t.o_orderkey) "
+            f"UNION ALL SELECT {_ORDER_COLS} FROM s"),
+    }
+
+
+# --- projections, joins, scalar functions ----------------------------------------------------------------
+
+def relational_sql() -> dict[str, str]:
+    src = with_views()
+    silver = with_views("silver")
+    fact = with_views("fact")
+    hour = "CAST(hour(strptime(time, '%H:%M:%S')) AS INTEGER)"
+    return {
+        "project_columns": silver + "SELECT order_detail_id, order_id, date, time, pizza_id, quantity FROM silver",
+        "distinct_rows": silver + "SELECT DISTINCT order_id, date, member_id, bran_id FROM silver",
+        "line_total": fact + "SELECT order_detail_id, pizza_topping_id, unit_price, quantity, total_price FROM fact",
+        "default_keys": fact + "SELECT order_detail_id, pizza_topping_id, member_id, bran_id FROM fact",
+        "join_inner_chain": src + (
+            "SELECT od.order_detail_id, o.order_id, p.pizza_id, pt.pizza_type_id, o.date, od.quantity, p.price, "
+            "pt.pizza_categ FROM od_s od JOIN orders_s o ON od.order_id = o.order_id "
+            "JOIN pizza_s p ON od.pizza_id = p.pizza_id JOIN ptype_s pt ON p.pizza_type_id = pt.pizza_type_id"),
+        "join_left_lookup": src + (
+            "SELECT o.order_id, o.member_id, m.member_nm, o.bran_id, b.bran_nm FROM orders_s o "
+            "LEFT JOIN member_s m ON o.member_id = m.member_id LEFT JOIN branch_s b ON o.bran_id = b.bran_id"),
+        "join_bridge_fanout": src + (
+            "SELECT od.order_detail_id, p.pizza_type_id, br.pizza_topping_id, tp.pizza_topping_nm FROM od_s od "
+            "JOIN pizza_s p ON od.pizza_id = p.pizza_id LEFT JOIN bridge_s br ON p.pizza_type_id = br.pizza_type_id "
+            "LEFT JOIN topping_s tp ON br.pizza_topping_id = tp.pizza_topping_id"),
+        "orphan_keys_anti_join": src + (
+            "SELECT member_id, count(*) AS n FROM orders_s o WHERE NOT EXISTS "
+            "(SELECT 1 FROM member_s m WHERE m.member_id = o.member_id) GROUP BY member_id"),
+        "join_on_date_expr": with_views("dim_date") + (
+            "SELECT dd.date, count(*) AS n FROM orders_s o JOIN dim_date dd ON TRY_CAST(o.date AS DATE) = dd.date "
+            "GROUP BY dd.date"),
+        "union_distinct_default_row": silver + (
+            "SELECT DISTINCT member_id, member_nm FROM silver WHERE member_id IS NOT NULL UNION SELECT '0', '비회원(Guest)'"),
+        "scalar_date_functions": src + (
+            "SELECT order_id, d AS date, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, "
+            "CAST(day(d) AS INTEGER) AS day, CAST(dayofweek(d) + 1 AS INTEGER) AS weekday_num, "
+            "strftime(d, '%a') AS weekday, CASE WHEN dayofweek(d) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend, "
+            f"{hour} AS hour, CAST(year(d) AS VARCHAR) || CAST(month(d) AS VARCHAR) AS month_label "
+            "FROM (SELECT order_id, time, TRY_CAST(date AS DATE) AS d FROM orders_s) o"),
+    }
+
+
 def oracle_queries() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(star_sql())
     out.update(bi_sql())
     out.update(quality_sql())
+    out.update(bronze_sql())
+    out.update(relational_sql())
     return out

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from goldleaf.operators import marts, quality
 from goldleaf.operators.denorm import denormalize
 from goldleaf.operators.star import build_star
+from goldleaf.sources.lake import materialize
 from goldleaf.sources.retail_views import read_test_table, retail_source_views
 from goldleaf.spec import TABLE_KEYS
 
@@ -26,8 +27,13 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return denormalize(retail_source_views(spark, sf_dir))
 
 
-def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return build_star(_silver(spark, sf_dir))
+def _silver_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver written once, for queries that read it more than once (dimensions, checks, marts)."""
+    return materialize(_silver(spark, sf_dir), "silver")
+
+
+def _star(spark: SparkSession, sf_dir: str, written: bool = False) -> dict[str, DataFrame]:
+    return build_star(_silver_written(spark, sf_dir) if written else _silver(spark, sf_dir))
 
 
 def _star_query(name: str) -> Query:
@@ -38,7 +44,7 @@ def _star_query(name: str) -> Query:
 
 def _bi(kind: str, grain: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        star = _star(spark, sf_dir)
+        star = _star(spark, sf_dir, written=True)  # fact and dimensions both read silver
         fact, dim_date = star["fact_order"], star["dim_date"]
         if kind == "monthly":
             return marts.monthly_revenue(fact, dim_date, grain)
@@ -89,11 +95,11 @@ def _bronze_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _silver_inputs(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
     v = retail_source_views(spark, sf_dir)
-    return v, denormalize(v)
+    return v, materialize(denormalize(v), "silver")
 
 
 def _gold_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
-    silver = _silver(spark, sf_dir)
+    silver = _silver_written(spark, sf_dir)
     return silver, build_star(silver)
 
 

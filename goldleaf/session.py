@@ -16,9 +16,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Runtime broadcast decision: AQE converts a sort-merge join to a broadcast join only when the
-    # measured size of the finished build side is below this bound.
+    # No broadcast from compressed-file size guesses (they once chose the line table as a build side).
+    # Broadcasts come from explicit row-count checks (goldleaf.operators.joins) or from AQE, which
+    # converts a join only when the measured size of the finished build side is below the bound below.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    "spark.ui.showConsoleProgress": "false",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }

@@ -114,6 +114,20 @@ class VersionedStore:
         return version
 
 
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as Parquet to a new folder under the shared root and return a reader of it.
+
+    For a plan with several consumers: each reads the written columns it needs instead of re-running
+    the plan, and the lineage is cut (a lost executor re-reads files, it does not recompute joins).
+    """
+    from goldleaf.session import scratch_path
+
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
+
+
 def snapshot_copy(tables: Mapping[str, DataFrame], store: VersionedStore) -> int:
     """Full copy of every source table into a staging store, published as one version."""
     return store.publish(dict(tables))

@@ -309,7 +309,8 @@ def _fact_row_checks(fact: DataFrame, required: Sequence[str]) -> DataFrame:
 
 
 def orphan_counts(fact: DataFrame, dims: Mapping[str, DataFrame],
-                  references: Mapping[str, tuple[str, str]] = FACT_REFERENCES) -> DataFrame:
+                  references: Mapping[str, tuple[str, str]] = FACT_REFERENCES,
+                  optional: Sequence[str] = ()) -> DataFrame:
     """Fact rows per foreign key whose value is not in the dimension (a NULL key is an orphan).
 
     All foreign keys are handled by one grouped aggregate and one join: the fact is unpivoted to
@@ -321,6 +322,8 @@ def orphan_counts(fact: DataFrame, dims: Mapping[str, DataFrame],
     stack = "stack({n}, {pairs}) as (fk, value)".format(
         n=len(fks), pairs=", ".join(f"'{c}', cast(`{c}` as string)" for c in fks))
     keys = fact.selectExpr(stack).groupBy("fk", "value").agg(F.count(F.lit(1)).alias("n"))
+    if optional:
+        keys = keys.where(~(F.col("fk").isin(*optional) & F.col("value").isNull()))
     dim_keys = union_results([
         dims[d].select(F.lit(c).alias("fk"), F.col(k).cast("string").alias("value")).where(F.col("value").isNotNull())
         for c, (d, k) in references.items()
@@ -332,8 +335,9 @@ def orphan_counts(fact: DataFrame, dims: Mapping[str, DataFrame],
 
 
 def referential_integrity_checks(fact: DataFrame, dims: Mapping[str, DataFrame],
-                                 references: Mapping[str, tuple[str, str]] = FACT_REFERENCES) -> DataFrame:
-    o = orphan_counts(fact, dims, references)
+                                 references: Mapping[str, tuple[str, str]] = FACT_REFERENCES,
+                                 optional: Sequence[str] = ()) -> DataFrame:
+    o = orphan_counts(fact, dims, references, optional)
     subject = F.concat(F.lit("fact_order."), F.col("fk"), F.lit(" -> "),
                        F.create_map(*[x for c, (d, _) in references.items() for x in (F.lit(c), F.lit(d))])[F.col("fk")])
     return o.select(
@@ -348,7 +352,7 @@ def gold_report(silver: DataFrame, star: Mapping[str, DataFrame], required: Sequ
         row_parity_check(silver, fact),
         uniqueness_checks({k: star[k] for k in GOLD_KEYS}),
         _fact_row_checks(fact, required),
-        referential_integrity_checks(fact, star),
+        referential_integrity_checks(fact, star, optional=[c for c in FACT_REFERENCES if c not in required]),
     ])
 
 

@@ -27,6 +27,22 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], source
     return kept.unionByName(source.select(*target.columns))
 
 
+def newer_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], change_col: str,
+               source_is_small: bool = True) -> DataFrame:
+    """Source rows that are new keys or at least as recent as the target's row for the same key.
+
+    Used when increments can arrive out of order (streamed files): an older change never overwrites a
+    newer one. The target is only filtered to the increment's keys (broadcast semi join, map-side).
+    """
+    keys = list(keys)
+    src_keys = source.select(*keys)
+    current = target.select(*keys, F.col(change_col).alias("_current")).join(
+        F.broadcast(src_keys) if source_is_small else src_keys, keys, "left_semi")
+    return (source.join(current, keys, "left")
+            .where(F.col("_current").isNull() | (F.col(change_col) >= F.col("_current")))
+            .drop("_current"))
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], change_col: str) -> DataFrame:
     """Keep, per key, the row with the newest change time (ties: the greatest whole row).
 

@@ -1 +1 @@
-
+from goldleaf.streaming.ingest import stream_ingest  # noqa: F401

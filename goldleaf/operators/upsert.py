@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldleaf.operators.joins import BROADCAST_MAX_ROWS, small_tables
-from goldleaf.sources.lake import VersionedStore
+from goldleaf.sources.lake import VersionedStore, read_table
 
 
 def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], source_is_small: bool | None = None,
@@ -55,18 +55,24 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], change_col: str) -> DataF
 
 
 def upsert(store: VersionedStore, table: str, source: DataFrame, keys: Sequence[str], watermark: str | None = None,
-           source_rows: int | None = None, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> int:
+           source_rows: int | None = None, max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+           head: tuple[int, str | None] | None | bool = False) -> int:
     """Create the table from ``source`` on first use, else publish target ⊕ source as a new version.
 
     The new version is written to its own folder while the current one is read, then committed, so
     readers never see a half-merged table and a failed run can simply be repeated (the merge is
-    idempotent). Returns the committed version.
+    idempotent). Returns the committed version. ``head`` is the table's latest (version, mark) when the
+    caller has just read it (None: no version yet), so the commit log is not read again.
     """
-    if not store.exists(table):
+    if head is False:
+        head = store.latest(table)
+    if head is None:
         return store.publish({table: source}, watermark)
     small = None if source_rows is None else source_rows <= max_broadcast_rows
-    merged = merge_rows(store.read(table), source, keys, small, max_broadcast_rows)
-    return store.publish({table: merged}, watermark)
+    current = read_table(store.spark, store.path(table, head[0]), store.fmt)
+    merged = merge_rows(current, source, keys, small, max_broadcast_rows)
+    # an upsert store holds one table, so its next version follows the table's head
+    return store.publish({table: merged}, watermark, version=head[0] + 1)
 
 
 def merge_into_table(spark: SparkSession, source: DataFrame, table_name: str, keys: Sequence[str]) -> None:

@@ -82,7 +82,7 @@ def ingest_table(spark: SparkSession, spec: TableSpec, source: DataFrame, store:
         return IngestResult(spec.name, "rejected", rows, head[0] if head else None, last, problems)
 
     mark = advance(last, observed["newest"]) if has_change else last
-    version = upsert(store, spec.name, landed, spec.keys, mark, source_rows=rows)
+    version = upsert(store, spec.name, landed, spec.keys, mark, source_rows=rows, head=head)
     return IngestResult(spec.name, "loaded", rows, version, mark)
 
 

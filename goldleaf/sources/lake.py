@@ -106,9 +106,11 @@ class VersionedStore:
         row.coalesce(1).write.mode("append").json(f"{self.root}/_commits")
 
     def publish(self, frames: Mapping[str, DataFrame], watermark: str | None = None,
-                partition_by: Mapping[str, Sequence[str]] | None = None) -> int:
-        """Stage all frames as one new version, then commit them together. Returns the version."""
-        version = self.next_version()
+                partition_by: Mapping[str, Sequence[str]] | None = None, version: int | None = None) -> int:
+        """Stage all frames as one new version, then commit them together. Returns the version.
+
+        ``version`` may be passed by a caller that has just read the log (one writer per store)."""
+        version = version or self.next_version()
         self.stage(version, frames, partition_by)
         self.commit(version, list(frames), watermark)
         return version

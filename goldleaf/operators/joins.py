@@ -2,40 +2,46 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Largest dimension broadcast on the strength of an explicit row-count check. Above it the join stays a
 # shuffle join (AQE may still broadcast it at run time from the measured size).
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 200_000
+
+
+def _at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    ``take`` scans partitions incrementally (one, then a growing number) and stops once it holds
+    ``max_rows + 1`` rows: a huge table costs a task or two, a small one a short scan, and only a
+    one-int column per row travels back.
+    """
+    return len(df.select(F.lit(1).alias("_")).take(max_rows + 1)) <= max_rows
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
 
-    The check reads at most ``max_rows + 1`` rows (a limit job), so it is cheap for the small source
-    tables it is meant for. Use it on scans of stored tables; for dimensions computed by an aggregate,
-    leave the decision to AQE, which measures the finished build side before converting the join.
+    Meant for scans of stored tables; for dimensions computed by an aggregate, leave the decision to
+    AQE, which measures the finished build side before converting the join.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if _at_most(df, max_rows) else df
 
 
 def small_tables(tables: dict[str, DataFrame], max_rows: int = BROADCAST_MAX_ROWS) -> set[str]:
-    """Names of the tables with at most ``max_rows`` rows, found in one job.
+    """Names of the tables with at most ``max_rows`` rows (see :func:`_at_most`).
 
-    Each table contributes at most ``max_rows + 1`` rows to a tagged union, so the job reads little
-    more than the small tables themselves, however large the others are.
+    The probes are independent Spark jobs, submitted together so that they share the cluster instead of
+    queueing one after another.
     """
     if not tables:
         return set()
-    tagged = None
-    for name, df in tables.items():
-        part = df.limit(max_rows + 1).select(F.lit(name).alias("table_name"))
-        tagged = part if tagged is None else tagged.unionByName(part)
-    counts = tagged.groupBy("table_name").count().collect()  # at most len(tables) rows
-    seen = {r["table_name"]: r["count"] for r in counts}
-    return {name for name in tables if seen.get(name, 0) <= max_rows}
+    with ThreadPoolExecutor(max_workers=min(8, len(tables))) as pool:
+        fits = dict(zip(tables, pool.map(lambda df: _at_most(df, max_rows), tables.values())))
+    return {name for name, ok in fits.items() if ok}
 
 
 def left_lookup(df: DataFrame, dim: DataFrame, key: str, broadcast_dim: bool = False) -> DataFrame:

@@ -29,9 +29,14 @@ DEFAULT_CONF = {
 
 def build_session(app: str = "goldleaf", master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
+    settings = dict(DEFAULT_CONF)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
+        if master.startswith("local"):
+            # In one JVM every shuffle read is local already; AQE's local shuffle reader then only ties
+            # post-join parallelism to the number of map tasks (1 for a single-row-group input file).
+            settings["spark.sql.adaptive.localShuffleReader.enabled"] = "false"
+    for key, value in {**settings, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

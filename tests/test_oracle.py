@@ -30,3 +30,18 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["month_label", "year", "month", "revenue"]
     assert df.count() > 0
+
+
+ANSI_OFF = ["silver_orders", "fact_order", "dim_date", "scalar_date_functions", "bi_monthly_revenue_line_grain",
+            "bi_hourly_revenue", "gold_quality_report", "bronze_quality_report", "incremental_ingest", "keyed_upsert"]
+
+
+@pytest.mark.parametrize("name", ANSI_OFF)
+def test_matches_oracle_with_ansi_off(spark, con, name):
+    """Spark 3.5-style non-ANSI semantics must give the same results (casts, overflow, comparisons)."""
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        res = compare(spark, con, name, entry.queries()[name], entry.oracle_sql()[name], SF)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    assert res["ok"], res

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from goldleaf.operators import quality
 from goldleaf.operators.star import build_star
@@ -18,9 +19,16 @@ def gold_store(spark: SparkSession, lake_root: str) -> VersionedStore:
     return VersionedStore(spark, f"{lake_root.rstrip('/')}/gold")
 
 
+def with_month_partitions(fact: DataFrame) -> DataFrame:
+    """The fact with ``year`` and ``month`` columns, to be written partitioned by them: marts filtered to
+    a period then read only that period's folders (partition pruning)."""
+    return fact.withColumn("year", F.year("date")).withColumn("month", F.month("date"))
+
+
 def build_gold(spark: SparkSession, silver: DataFrame, store: VersionedStore,
                required_fks: Sequence[str] = quality.FACT_REQUIRED,
-               partition_by: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+               partition_by: Mapping[str, Sequence[str]] | None = None,
+               partition_fact_by_month: bool = False) -> DataFrame:
     """Stage the eight tables, check the staged tables, and commit them together or raise.
 
     Each dimension is computed once (by its write); checks read the written tables. Because all eight
@@ -29,7 +37,11 @@ def build_gold(spark: SparkSession, silver: DataFrame, store: VersionedStore,
     ``pizza_topping_id`` to accept item types without toppings).
     """
     version = store.next_version()
-    store.stage(version, build_star(silver), partition_by)
+    frames = build_star(silver)
+    if partition_fact_by_month:
+        frames["fact_order"] = with_month_partitions(frames["fact_order"])
+        partition_by = {**(partition_by or {}), "fact_order": ["year", "month"]}
+    store.stage(version, frames, partition_by)
     staged = {t: spark.read.parquet(store.path(t, version)) for t in GOLD_TABLES}
     report = quality.gold_report(silver, staged, required_fks)
     quality.gate(report, "gold")

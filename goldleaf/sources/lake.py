@@ -116,6 +116,15 @@ class VersionedStore:
         return version
 
 
+def write_mart(df: DataFrame, root: str, name: str, fmt: str = "parquet", options: Mapping[str, str] | None = None,
+               partition_by: Sequence[str] | None = None) -> str:
+    """Full overwrite of one warehouse table ``{root}/{name}`` through any ``DataFrameWriter`` format
+    (parquet by default; a warehouse connector's format name and options where one is installed)."""
+    path = f"{root.rstrip('/')}/{name}"
+    write_table(df, path, fmt, "overwrite", partition_by, options)
+    return path
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as Parquet to a new folder under the shared root and return a reader of it.
 

@@ -1,5 +1,7 @@
 """The three stages wired together on the micro fixture: bronze -> silver -> gold, with gates."""
 
+import contextlib
+import io
 from datetime import datetime
 
 import pytest
@@ -60,3 +62,21 @@ def test_second_bronze_run_is_empty(spark):
     src = _sources(spark)
     run_bronze(spark, src, lake, as_of=AS_OF)
     assert {r.status for r in run_bronze(spark, src, lake, as_of=AS_OF)} == {"empty"}
+
+
+def test_gold_fact_partitioned_by_month_prunes(spark):
+    from goldleaf.operators.denorm import denormalize
+    from goldleaf.plans.gold import build_gold
+    from goldleaf.sources.lake import VersionedStore, write_mart
+    silver = denormalize(micro_tables(spark, drop_lines=("4",)))
+    store = VersionedStore(spark, scratch_path(spark, "test-gold-month"))
+    build_gold(spark, silver, store, partition_fact_by_month=True)
+    fact = store.read("fact_order")
+    feb = fact.where("year = 2015 AND month = 2")
+    assert feb.count() == 2
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        feb.explain()
+    assert "PartitionFilters" in buf.getvalue() and "month" in buf.getvalue()
+    path = write_mart(spark.createDataFrame([(1,)], "a int"), scratch_path(spark, "mart"), "t")
+    assert spark.read.parquet(path).count() == 1

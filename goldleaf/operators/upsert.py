@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldleaf.operators.joins import BROADCAST_MAX_ROWS, small_tables
-from goldleaf.sources.lake import VersionedStore, read_table
+from goldleaf.sources.lake import VersionedStore
 
 
 def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], source_is_small: bool | None = None,
@@ -69,7 +69,7 @@ def upsert(store: VersionedStore, table: str, source: DataFrame, keys: Sequence[
     if head is None:
         return store.publish({table: source}, watermark)
     small = None if source_rows is None else source_rows <= max_broadcast_rows
-    current = read_table(store.spark, store.path(table, head[0]), store.fmt)
+    current = store.read_version(table, head[0])
     merged = merge_rows(current, source, keys, small, max_broadcast_rows)
     # an upsert store holds one table, so its next version follows the table's head
     return store.publish({table: merged}, watermark, version=head[0] + 1)

@@ -82,6 +82,9 @@ def ingest_table(spark: SparkSession, spec: TableSpec, source: DataFrame, store:
         return IngestResult(spec.name, "rejected", rows, head[0] if head else None, last, problems)
 
     mark = advance(last, observed["newest"]) if has_change else last
+    if head is None and not keep_latest:
+        # first load: the landed folder is already the complete table; commit it without a rewrite
+        return IngestResult(spec.name, "loaded", rows, store.adopt(spec.name, landing, mark), mark)
     version = upsert(store, spec.name, landed, spec.keys, mark, source_rows=rows, head=head)
     return IngestResult(spec.name, "loaded", rows, version, mark)
 

@@ -22,6 +22,8 @@ COMMIT_SCHEMA = T.StructType([
     T.StructField("tables", T.ArrayType(T.StringType()), False),
     T.StructField("watermark_value", T.StringType()),  # text, typed on use by the change column
     T.StructField("committed_at", T.StringType()),
+    # table -> folder, for versions whose data was written elsewhere first (e.g. a landed increment)
+    T.StructField("locations", T.MapType(T.StringType(), T.StringType())),
 ])
 
 
@@ -79,12 +81,22 @@ class VersionedStore:
     def path(self, table: str, version: int) -> str:
         return f"{self.root}/{table}/v={version:08d}"
 
+    def location(self, table: str, version: int) -> str:
+        """Folder holding ``table`` at a committed ``version``."""
+        log = self._log()
+        row = None if log is None else log.where(F.col("version") == version).select(
+            F.col("locations")[table].alias("loc")).first()
+        return row["loc"] if row is not None and row["loc"] else self.path(table, version)
+
     # -- data -------------------------------------------------------------------------------------
+    def read_version(self, table: str, version: int) -> DataFrame:
+        return read_table(self.spark, self.location(table, version), self.fmt)
+
     def read(self, table: str) -> DataFrame:
         head = self.latest(table)
         if head is None:
             raise FileNotFoundError(f"no committed version of {table} under {self.root}")
-        return read_table(self.spark, self.path(table, head[0]), self.fmt)
+        return self.read_version(table, head[0])
 
     def next_version(self) -> int:
         log = self._log()
@@ -99,11 +111,19 @@ class VersionedStore:
         for name, df in frames.items():
             write_table(df, self.path(name, version), self.fmt, "overwrite", (partition_by or {}).get(name))
 
-    def commit(self, version: int, tables: Sequence[str], watermark: str | None = None) -> None:
+    def commit(self, version: int, tables: Sequence[str], watermark: str | None = None,
+               locations: Mapping[str, str] | None = None) -> None:
         row = self.spark.createDataFrame(
-            [(version, list(tables), watermark)], "version bigint, tables array<string>, watermark_value string"
+            [(version, list(tables), watermark, dict(locations) if locations else None)],
+            "version bigint, tables array<string>, watermark_value string, locations map<string,string>",
         ).withColumn("committed_at", F.current_timestamp().cast("string"))
-        row.coalesce(1).write.mode("append").json(f"{self.root}/_commits")
+        row.select(*COMMIT_SCHEMA.fieldNames()).coalesce(1).write.mode("append").json(f"{self.root}/_commits")
+
+    def adopt(self, table: str, folder: str, watermark: str | None = None, version: int | None = None) -> int:
+        """Commit an already written, complete folder as the next version of ``table`` (no copy)."""
+        version = version or self.next_version()
+        self.commit(version, [table], watermark, {table: folder})
+        return version
 
     def publish(self, frames: Mapping[str, DataFrame], watermark: str | None = None,
                 partition_by: Mapping[str, Sequence[str]] | None = None, version: int | None = None) -> int:

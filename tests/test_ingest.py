@@ -38,6 +38,7 @@ def test_first_load_reads_everything_including_null_timestamps(spark):
     assert res.watermark == "2024-01-03 00:00:00"
     assert _rows(store) == [("a", "1"), ("b", "1"), ("c", "1")]
     assert LOAD_COLUMN in store.read("items").columns
+    assert "/_landing/" in store.location("items", 1)  # first load committed in place, not rewritten
 
 
 def test_all_null_timestamps_load_once(spark):

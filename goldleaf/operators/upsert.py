@@ -28,13 +28,15 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], source
 
 
 def newer_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], change_col: str,
-               source_is_small: bool = True) -> DataFrame:
+               source_is_small: bool | None = None) -> DataFrame:
     """Source rows that are new keys or at least as recent as the target's row for the same key.
 
     Used when increments can arrive out of order (streamed files): an older change never overwrites a
     newer one. The target is only filtered to the increment's keys (broadcast semi join, map-side).
     """
     keys = list(keys)
+    if source_is_small is None:
+        source_is_small = "source" in small_tables({"source": source})
     src_keys = source.select(*keys)
     current = target.select(*keys, F.col(change_col).alias("_current")).join(
         F.broadcast(src_keys) if source_is_small else src_keys, keys, "left_semi")

@@ -241,6 +241,7 @@ def _relational_queries() -> dict[str, Query]:
 
     from goldleaf.functions import hour_of_text, is_weekend, month_label, parse_date, weekday_name, weekday_num
     from goldleaf.operators.denorm import bridge_fanout, inner_chain, order_lookups
+    from goldleaf.operators.joins import sized_broadcast
     from goldleaf.operators.star import build_date_dimension, build_dimension
     from goldleaf.spec import GUEST_MEMBER
 
@@ -248,7 +249,7 @@ def _relational_queries() -> dict[str, Query]:
         v = retail_source_views(s, d)
         dim_date = build_date_dimension(denormalize(v))
         per_text = v["orders"].groupBy("date").agg(F.count(F.lit(1)).alias("n"))
-        joined = per_text.join(F.broadcast(dim_date.select(F.col("date").alias("d"))),
+        joined = per_text.join(sized_broadcast(dim_date.select(F.col("date").alias("d"))),
                                parse_date(per_text["date"]) == F.col("d"), "inner")
         return joined.groupBy(F.col("d").alias("date")).agg(F.sum("n").cast("bigint").alias("n"))
 

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from goldleaf.operators.hwm import advance
+from goldleaf.operators.joins import BROADCAST_MAX_ROWS
 from goldleaf.operators.quality import bronze_checks, gate
 from goldleaf.operators.upsert import latest_per_key, newer_rows, upsert
 from goldleaf.sources.lake import VersionedStore, materialize
@@ -37,11 +38,12 @@ def _process(spark: SparkSession, spec: TableSpec, store: VersionedStore, as_of:
         gate(bronze_checks(landed, spec.name, spec.keys, spec.change_col, as_of,
                            checks=("null_key", "timestamp_range")), f"bronze stream {spec.name}")
         fresh = latest_per_key(landed, spec.keys, spec.change_col)
+        small = stats["rows"] <= BROADCAST_MAX_ROWS  # the batch's keys may be broadcast
         head = store.latest(spec.name)
         if head is not None:
-            fresh = newer_rows(store.read(spec.name), fresh, spec.keys, spec.change_col)
+            fresh = newer_rows(store.read_version(spec.name, head[0]), fresh, spec.keys, spec.change_col, small)
         mark = advance(head[1] if head else None, stats["newest"])
-        upsert(store, spec.name, fresh, spec.keys, mark)
+        upsert(store, spec.name, fresh, spec.keys, mark, source_rows=stats["rows"], head=head)
     return run
 
 

@@ -223,7 +223,26 @@ def _bronze_queries() -> dict[str, Query]:
                 raise RuntimeError(f"increment rejected: {res.problems}")
         return store.read("orders").drop(LOAD_COLUMN)
 
+    def streaming_ingest(s, d):
+        from goldleaf.session import scratch_path
+        from goldleaf.sources.lake import VersionedStore
+        from goldleaf.streaming import stream_ingest
+
+        orders = read_test_table(s, d, "orders")
+        spec = TableSpec("orders", ["o_orderkey"], "o_orderdate")
+        root = scratch_path(s, "streaming_ingest")
+        store = VersionedStore(s, f"{root}/bronze")
+        drops = (orders.where(F.col("o_orderdate") < _ts(orders, "o_orderdate", TARGET_BEFORE)), _changed_orders(orders))
+        for drop in drops:  # each landed drop is picked up by one availableNow run of the stream
+            drop.write.mode("append").parquet(f"{root}/landing")
+            q = stream_ingest(s, spec, f"{root}/landing", orders.schema, store, f"{root}/checkpoint", as_of=CHECK_AS_OF)
+            q.awaitTermination()
+            if q.exception() is not None:
+                raise RuntimeError(f"stream failed: {q.exception()}")
+        return store.read("orders").drop(LOAD_COLUMN)
+
     return {
+        "streaming_ingest": streaming_ingest,
         "incremental_read": incremental_read,
         "hwm_advance": hwm_advance,
         "initial_load": initial_load,

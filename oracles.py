@@ -332,6 +332,8 @@ def bronze_sql() -> dict[str, str]:
             "SELECT pizza_type_id, pizza_topping_id, 'v1' AS flag FROM tw WHERE NOT EXISTS (SELECT 1 FROM sw "
             "WHERE sw.pizza_type_id = tw.pizza_type_id AND sw.pizza_topping_id = tw.pizza_topping_id) "
             "UNION ALL SELECT pizza_type_id, pizza_topping_id, 'v2' AS flag FROM sw"),
+        # newer-or-equal change wins: the second drop replaces every order it carries
+        "streaming_ingest": f"SELECT {_CHANGED} FROM orders",
         "incremental_ingest": (
             "WITH t AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'), "
             f"m AS (SELECT MAX(COALESCE(o_orderdate, {_NULL_TS})) AS mark FROM t), "

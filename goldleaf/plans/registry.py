@@ -9,13 +9,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from goldleaf.functions import hour_of_text, is_weekend, month_label, parse_date, weekday_name, weekday_num
 from goldleaf.operators import marts, quality
-from goldleaf.operators.denorm import denormalize
-from goldleaf.operators.star import build_star
-from goldleaf.sources.lake import materialize
-from goldleaf.sources.retail_views import read_test_table, retail_source_views
-from goldleaf.spec import TABLE_KEYS
+from goldleaf.operators.denorm import bridge_fanout, denormalize, inner_chain, order_lookups
+from goldleaf.operators.hwm import next_hwm, read_increment
+from goldleaf.operators.joins import sized_broadcast
+from goldleaf.operators.star import build_date_dimension, build_dimension, build_star
+from goldleaf.operators.upsert import upsert
+from goldleaf.plans.bronze import ingest_table
+from goldleaf.session import scratch_path
+from goldleaf.sources.lake import VersionedStore, materialize, snapshot_copy
+from goldleaf.sources.retail_views import bridge_pairs, read_test_table, retail_source_views
+from goldleaf.spec import GUEST_MEMBER, LOAD_COLUMN, TABLE_KEYS, TableSpec
+from goldleaf.streaming import stream_ingest
 
 # Fixed "now" of the timestamp range checks, so that results do not depend on the wall clock.
 CHECK_AS_OF = "2024-01-20 00:00:00"
@@ -148,32 +156,19 @@ CHANGED_STATUS = "X"
 
 
 def _ts(df: DataFrame, col: str, value: str):
-    from pyspark.sql import functions as F
     return F.lit(value).cast(df.schema[col].dataType)
 
 
 def _store(spark: SparkSession, name: str):
-    from goldleaf.session import scratch_path
-    from goldleaf.sources.lake import VersionedStore
     return VersionedStore(spark, scratch_path(spark, name))
 
 
 def _changed_orders(orders: DataFrame) -> DataFrame:
-    from pyspark.sql import functions as F
     changed = F.col("o_orderdate") >= _ts(orders, "o_orderdate", CHANGED_FROM)
     return orders.withColumn("o_orderstatus", F.when(changed, F.lit(CHANGED_STATUS)).otherwise(F.col("o_orderstatus")))
 
 
 def _bronze_queries() -> dict[str, Query]:
-    from pyspark.sql import functions as F
-
-    from goldleaf.operators.hwm import next_hwm, read_increment
-    from goldleaf.operators.upsert import upsert
-    from goldleaf.plans.bronze import ingest_table
-    from goldleaf.sources.lake import snapshot_copy
-    from goldleaf.sources.retail_views import bridge_pairs
-    from goldleaf.spec import LOAD_COLUMN, TableSpec
-
     def incremental_read(s, d):
         return read_increment(read_test_table(s, d, "events"), "ts", INGEST_MARK)
 
@@ -224,10 +219,6 @@ def _bronze_queries() -> dict[str, Query]:
         return store.read("orders").drop(LOAD_COLUMN)
 
     def streaming_ingest(s, d):
-        from goldleaf.session import scratch_path
-        from goldleaf.sources.lake import VersionedStore
-        from goldleaf.streaming import stream_ingest
-
         orders = read_test_table(s, d, "orders")
         spec = TableSpec("orders", ["o_orderkey"], "o_orderdate")
         root = scratch_path(s, "streaming_ingest")
@@ -256,14 +247,6 @@ def _bronze_queries() -> dict[str, Query]:
 # --- projections, joins, scalar functions --------------------------------------------------------------
 
 def _relational_queries() -> dict[str, Query]:
-    from pyspark.sql import functions as F
-
-    from goldleaf.functions import hour_of_text, is_weekend, month_label, parse_date, weekday_name, weekday_num
-    from goldleaf.operators.denorm import bridge_fanout, inner_chain, order_lookups
-    from goldleaf.operators.joins import sized_broadcast
-    from goldleaf.operators.star import build_date_dimension, build_dimension
-    from goldleaf.spec import GUEST_MEMBER
-
     def join_on_date_expr(s, d):
         v = retail_source_views(s, d)
         dim_date = build_date_dimension(denormalize(v))

@@ -48,7 +48,8 @@ def next_hwm(increment: DataFrame, change_col: str, last_hwm: str | datetime | N
     )
 
 
-def advance(last_hwm: str | datetime | None, newest: datetime | None) -> str:
-    """Driver-side form of :func:`next_hwm` for a value already observed while writing."""
+def advance(last_hwm: str | datetime | None, newest: str | datetime | None) -> str:
+    """Driver-side form of :func:`next_hwm` for a value already observed while writing (as text in
+    the session time zone, or a naive datetime)."""
     last = _as_datetime(last_hwm if last_hwm is not None else HWM_FLOOR)
-    return str(max(last, newest) if newest is not None else last)
+    return str(max(last, _as_datetime(newest)) if newest is not None else last)

@@ -64,7 +64,8 @@ def ingest_table(spark: SparkSession, spec: TableSpec, source: DataFrame, store:
     metrics = [F.count(F.lit(1)).alias("rows")]
     if has_change:
         default = F.lit(NULL_CHANGE_DEFAULT).cast(source.schema[spec.change_col].dataType)
-        metrics.append(F.max(F.coalesce(F.col(spec.change_col), default)).alias("newest"))
+        # as text, formatted in the session time zone that will read it back (not the driver's zone)
+        metrics.append(F.max(F.coalesce(F.col(spec.change_col), default)).cast("string").alias("newest"))
     landing = f"{store.root}/_landing/{uuid.uuid4().hex}"
     stamped.observe(obs, *metrics).write.mode("errorifexists").parquet(landing)
     observed = obs.get

@@ -32,7 +32,8 @@ from goldleaf.spec import LOAD_COLUMN, TableSpec
 def _process(spark: SparkSession, spec: TableSpec, store: VersionedStore, as_of: str | None):
     def run(batch: DataFrame, batch_id: int) -> None:
         landed = materialize(batch.withColumn(LOAD_COLUMN, F.current_timestamp()), f"landing-{spec.name}-{batch_id}")
-        stats = landed.agg(F.count(F.lit(1)).alias("rows"), F.max(spec.change_col).alias("newest")).first()
+        stats = landed.agg(F.count(F.lit(1)).alias("rows"),
+                           F.max(spec.change_col).cast("string").alias("newest")).first()
         if not stats["rows"]:
             return
         gate(bronze_checks(landed, spec.name, spec.keys, spec.change_col, as_of,

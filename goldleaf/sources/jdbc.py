@@ -22,3 +22,14 @@ def jdbc_source(spark: SparkSession, url: str, table: str, properties: Mapping[s
         reader = (reader.option("partitionColumn", partition_column).option("lowerBound", lower_bound)
                   .option("upperBound", upper_bound).option("numPartitions", num_partitions))
     return reader.load()
+
+
+def jdbc_tables(spark: SparkSession, url: str, properties: Mapping[str, str], tables: list[str],
+                partitioning: Mapping[str, tuple[str, int, int, int]] | None = None) -> dict[str, DataFrame]:
+    """Lazy JDBC frames for several tables of one database; ``partitioning`` maps a table to
+    (column, lower bound, upper bound, partitions) for a parallel read."""
+    out = {}
+    for t in tables:
+        part = (partitioning or {}).get(t)
+        out[t] = jdbc_source(spark, url, t, properties, *(part or ()))
+    return out

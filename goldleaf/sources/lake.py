@@ -93,10 +93,13 @@ class VersionedStore:
         return read_table(self.spark, self.location(table, version), self.fmt)
 
     def read(self, table: str) -> DataFrame:
-        head = self.latest(table)
-        if head is None:
+        log = self._log()
+        row = None if log is None else (
+            log.where(F.array_contains("tables", table)).orderBy(F.col("version").desc())
+            .select("version", F.col("locations")[table].alias("loc")).first())
+        if row is None:
             raise FileNotFoundError(f"no committed version of {table} under {self.root}")
-        return self.read_version(table, head[0])
+        return read_table(self.spark, row["loc"] or self.path(table, row["version"]), self.fmt)
 
     def next_version(self) -> int:
         log = self._log()

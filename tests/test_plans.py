@@ -80,3 +80,16 @@ def test_gold_fact_partitioned_by_month_prunes(spark):
     assert "PartitionFilters" in buf.getvalue() and "month" in buf.getvalue()
     path = write_mart(spark.createDataFrame([(1,)], "a int"), scratch_path(spark, "mart"), "t")
     assert spark.read.parquet(path).count() == 1
+
+
+def test_command_line_stages(spark, capsys):
+    from goldleaf.plans.__main__ import main
+    root = scratch_path(spark, "test-cli")
+    for name, df in _sources(spark).items():
+        df.write.parquet(f"{root}/src/{name}")
+    lake = f"{root}/lake"
+    assert main(["bronze", "--lake", lake, "--source-root", f"{root}/src"]) == 0
+    assert "orderdetail: loaded rows=8" in capsys.readouterr().out
+    assert main(["silver", "--lake", lake]) == 0
+    assert main(["gold", "--lake", lake]) == 1  # item type T3 has no topping: strict gate blocks
+    assert main(["gold", "--lake", lake, "--optional-fk", "pizza_topping_id"]) == 0

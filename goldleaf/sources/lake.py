@@ -10,6 +10,7 @@ and mark move in a single step. Everything is written through Spark into the sha
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -42,6 +43,14 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     w.save(path)
 
 
+def _read_location(spark: SparkSession, location: str, fmt: str) -> DataFrame:
+    """A location is a folder, or a JSON list of files and folders (a version that kept some files of
+    the previous one)."""
+    if location.startswith("["):
+        return spark.read.format(fmt).load(json.loads(location))
+    return read_table(spark, location, fmt)
+
+
 def _missing_path(e: AnalysisException) -> bool:
     cls = getattr(e, "getCondition", None) or getattr(e, "getErrorClass", None)
     name = cls() if cls else None
@@ -90,7 +99,7 @@ class VersionedStore:
 
     # -- data -------------------------------------------------------------------------------------
     def read_version(self, table: str, version: int) -> DataFrame:
-        return read_table(self.spark, self.location(table, version), self.fmt)
+        return _read_location(self.spark, self.location(table, version), self.fmt)
 
     def read(self, table: str) -> DataFrame:
         log = self._log()
@@ -99,7 +108,7 @@ class VersionedStore:
             .select("version", F.col("locations")[table].alias("loc")).first())
         if row is None:
             raise FileNotFoundError(f"no committed version of {table} under {self.root}")
-        return read_table(self.spark, row["loc"] or self.path(table, row["version"]), self.fmt)
+        return _read_location(self.spark, row["loc"] or self.path(table, row["version"]), self.fmt)
 
     def next_version(self) -> int:
         log = self._log()

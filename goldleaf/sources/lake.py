@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -119,10 +120,18 @@ class VersionedStore:
 
     def stage(self, version: int, frames: Mapping[str, DataFrame],
               partition_by: Mapping[str, Sequence[str]] | None = None) -> None:
-        """Write the snapshot folders of ``version`` (invisible until :meth:`commit`)."""
-        for name, df in frames.items():
+        """Write the snapshot folders of ``version`` (invisible until :meth:`commit`).
+
+        The writes are independent jobs and are submitted together, so small dimension writes share the
+        cluster with the large one instead of queueing behind it.
+        """
+        def write(item):
+            name, df = item
             write_table(df, self.path(name, version), self.fmt, "overwrite", (partition_by or {}).get(name))
 
+        with ThreadPoolExecutor(max_workers=max(1, min(8, len(frames)))) as pool:
+            list(pool.map(write, frames.items()))  # re-raises the first failure
+
     def commit(self, version: int, tables: Sequence[str], watermark: str | None = None,
                locations: Mapping[str, str] | None = None) -> None:
         row = self.spark.createDataFrame(

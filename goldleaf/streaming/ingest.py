@@ -16,6 +16,8 @@ is idempotent.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,13 +27,15 @@ from goldleaf.operators.hwm import advance
 from goldleaf.operators.joins import BROADCAST_MAX_ROWS
 from goldleaf.operators.quality import bronze_checks, gate
 from goldleaf.operators.upsert import latest_per_key, newer_rows, upsert
-from goldleaf.sources.lake import VersionedStore, materialize
+from goldleaf.sources.lake import VersionedStore
 from goldleaf.spec import LOAD_COLUMN, TableSpec
 
 
 def _process(spark: SparkSession, spec: TableSpec, store: VersionedStore, as_of: str | None):
     def run(batch: DataFrame, batch_id: int) -> None:
-        landed = materialize(batch.withColumn(LOAD_COLUMN, F.current_timestamp()), f"landing-{spec.name}-{batch_id}")
+        landing = f"{store.root}/_landing/batch-{batch_id}-{uuid.uuid4().hex[:8]}"  # next to the table, as in batch ingest
+        batch.withColumn(LOAD_COLUMN, F.current_timestamp()).write.mode("errorifexists").parquet(landing)
+        landed = spark.read.parquet(landing)
         stats = landed.agg(F.count(F.lit(1)).alias("rows"),
                            F.max(spec.change_col).cast("string").alias("newest")).first()
         if not stats["rows"]:

@@ -48,3 +48,12 @@ def test_ingest_from_jdbc_twice(spark):
     assert res.rows == 2 and res.watermark == "2024-01-03 00:00:00"
     got = sorted((r.order_id, r.member_id) for r in store.read("orders").collect())
     assert got == [(1, "M1"), (2, "M9"), (3, "M3")]
+
+
+def test_jdbc_tables_with_partitioning(spark):
+    from goldleaf.sources.jdbc import jdbc_tables
+    _seed(spark, "orders_c", [(i, f"M{i}", datetime(2024, 1, 1)) for i in range(50)])
+    _seed(spark, "orders_d", [(1, "M1", None)])
+    t = jdbc_tables(spark, URL, PROPS, ["orders_c", "orders_d"], {"orders_c": ("order_id", 0, 50, 5)})
+    assert t["orders_c"].rdd.getNumPartitions() == 5 and t["orders_c"].count() == 50
+    assert t["orders_d"].count() == 1

@@ -32,8 +32,7 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-ANSI_OFF = ["silver_orders", "fact_order", "dim_date", "scalar_date_functions", "bi_monthly_revenue_line_grain",
-            "bi_hourly_revenue", "gold_quality_report", "bronze_quality_report", "incremental_ingest", "keyed_upsert"]
+ANSI_OFF = NAMES  # every query, also under the non-ANSI semantics the reference ran with
 
 
 @pytest.mark.parametrize("name", ANSI_OFF)

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from goldleaf.llm.block_naming import exact_duplicates
+from goldleaf.llm.packing import pack_documents
 from goldleaf.llm.secret_scan import scan_secrets
 from goldleaf.llm.token_count import count_tokens
 from goldleaf.sources.retail_views import read_test_table
@@ -13,6 +15,16 @@ from goldleaf.sources.retail_views import read_test_table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+OP9_SQL = """
+WITH d AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d.t) AS text_sha256
+FROM d JOIN g USING (t)
+"""
+
+
 def _documents(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(read_test_table(spark, sf_dir, "documents"))
 
@@ -21,8 +33,10 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": _documents(scan_secrets),
         "op4_token_count": _documents(count_tokens),
+        "op7_best_fit_packing": _documents(lambda docs: pack_documents(docs).drop("uid")),
+        "op9_exact_dedup": _documents(lambda docs: exact_duplicates(docs).drop("uid")),
     }
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op9_exact_dedup": OP9_SQL}

@@ -51,7 +51,7 @@ def _first_names(rows: DataFrame, size: int) -> DataFrame:
     per_print = named.groupBy("print").agg(F.min("name").alias("name"), F.count(F.lit(1)).alias("n"))
     by_print = written(per_print, "op9-prints")
     parts = rows.select("uid", F.posexplode(_blocks(F.col("_norm"), size)).alias("pos", "block"))
-    several = by_print.where("n > 1").select(F.col("print").alias("_shared"))
+    several = written(by_print.where("n > 1").select(F.col("print").alias("_shared")), "op9-shared")
     found = parts.select("uid", "pos", print_of("block").alias("print")).join(
         by_print.select("print", F.col("name").alias("_name"), "n"), "print")
     plain = found.where("n = 1").select("uid", "pos", F.col("_name").alias("name"))

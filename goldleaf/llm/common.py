@@ -14,6 +14,7 @@ from goldleaf.session import scratch_path
 
 # Rows whose crc32(doc_id as text) leaves this remainder are never learned from.
 FOLDS, HELD_OUT_FOLD = 4, 2
+KEYS_BROADCAST = 500_000
 
 
 def importable_on_workers(spark: SparkSession) -> None:
@@ -40,6 +41,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_few(keys: DataFrame, max_rows: int = KEYS_BROADCAST) -> DataFrame:
+    """``keys`` (a written table of one or two long columns) marked for broadcast if it has at most
+    ``max_rows`` rows, a few MB; beyond that unchanged, and the join shuffles both sides."""
+    return F.broadcast(keys) if keys.count() <= max_rows else keys
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name derived from ``name`` that ``df`` does not use (case-insensitively)."""
     used = {c.lower() for c in df.columns}

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldleaf.llm.common import importable_on_workers, sliced, utf8, written
+from goldleaf.llm.common import broadcast_if_few, importable_on_workers, sliced, utf8, written
 from goldleaf.llm.components import components
 
 SHINGLE_WORDS, MIN_PERCENT = 5, 80
@@ -134,7 +134,7 @@ def _is_in(tokens: np.ndarray, ordered: np.ndarray) -> np.ndarray:
 
 
 def _heads(docs: DataFrame, words: int, percent: int, common: np.ndarray) -> DataFrame:
-    """``uid, doc_id, n_shingles, cls, first``: class and first tokens (in the global order) of every text."""
+    """``uid, doc_id, n_shingles, cls, lead, first``: class and first tokens (in the global order) of every text."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,22 +152,23 @@ def _heads(docs: DataFrame, words: int, percent: int, common: np.ndarray) -> Dat
             offsets = np.concatenate([[0], np.cumsum([len(f) for f in firsts])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int64), *firsts])))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()), lists],
-                ["uid", "doc_id", "n_shingles", "cls", "first"])
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()),
+                 pa.array([int(f[0]) if len(f) else None for f in firsts], pa.int64()), lists],
+                ["uid", "doc_id", "n_shingles", "cls", "lead", "first"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(heads, f"uid bigint, doc_id {kind}, n_shingles bigint, cls binary, first array<bigint>")
+    return docs.mapInArrow(heads, f"uid bigint, doc_id {kind}, n_shingles bigint, cls binary, lead bigint, first array<bigint>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``cid, grp, comp, tokens`` of the wanted classes, from the text of the row that stands for each."""
+    """``cid, tokens`` of the wanted classes, from the text of the row that stands for each."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in sliced(batches):
             rows = [shingler.tokens(data).tobytes() for data in utf8(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["cid", "tokens"])
 
-    text = docs.select(F.col("uid").alias("cid"), "_text").join(wanted.hint("shuffle_hash"), "cid")
+    text = docs.select(F.col("uid").alias("cid"), "_text").join(broadcast_if_few(wanted), "cid")
     return text.select("cid", "_text").mapInArrow(sets, "cid bigint, tokens binary")
 
 
@@ -254,21 +255,20 @@ def _with_components(classes: DataFrame, links: DataFrame) -> DataFrame:
 
 def link_classes(docs: DataFrame, heads: DataFrame, words: int, percent: int) -> DataFrame:
     """``cid, comp`` of every class. A class is known by the first row (uid) that has it."""
-    classes = heads.where("n_shingles > 0").groupBy("cls").agg(F.min("uid").alias("cid"))
-    first = heads.select(F.col("uid").alias("cid"), F.col("n_shingles").alias("size"), "first").join(
-        classes.select("cid"), "cid", "left_semi")
+    classes = written(heads.where("n_shingles > 0").groupBy("cls").agg(F.min("uid").alias("cid")).select("cid"), "op5-cids")
+    one_each = broadcast_if_few(classes.withColumnRenamed("cid", "uid"))
     # groups: classes with the same very first token, split when they hold many tokens
-    lead = F.col("first")[0]
-    weight = first.groupBy(lead.alias("lead")).agg(F.sum("size").alias("weight")).where(f"weight > {GROUP_TOKENS}")
-    grouped = written(first.withColumn("lead", lead).join(weight, "lead", "left").select(
-        "cid", "size", "first",
-        F.xxhash64("lead", F.pmod(F.xxhash64("cid"), F.coalesce(F.expr(f"weight div {GROUP_TOKENS} + 1"), F.lit(1))))
+    sizes = heads.select("uid", "lead", F.col("n_shingles").alias("size")).join(one_each, "uid", "left_semi")
+    weight = sizes.groupBy("lead").agg(F.sum("size").alias("weight")).where(f"weight > {GROUP_TOKENS}")
+    grouped = written(sizes.join(weight, "lead", "left").select(
+        F.col("uid").alias("cid"), "size",
+        F.xxhash64("lead", F.pmod(F.xxhash64("uid"), F.coalesce(F.expr(f"weight div {GROUP_TOKENS} + 1"), F.lit(1))))
         .alias("grp")), "op5-classes")
-    # token-group matrix: the groups of every token, with the sizes that their members with it have
-    entries = grouped.select("cid", "size", "grp", F.explode("first").alias("token"))
-    matrix = entries.groupBy("token", "grp").agg(F.min("size").alias("low"), F.max("size").alias("high"))
-    several = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("groups")).where("groups > 1").select("token")
-    shared_entries = written(entries.join(several, "token", "left_semi"), "op5-entries")
+    # token-group matrix: the groups of every token that several classes have, with their members' sizes
+    entries = heads.select("uid", "first").join(one_each, "uid", "left_semi").select(
+        F.col("uid").alias("cid"), F.explode("first").alias("token"))
+    several = entries.groupBy("token").agg(F.min("cid").alias("a"), F.max("cid").alias("b")).where("a < b").select("token")
+    shared_entries = written(entries.join(several, "token", "left_semi").join(grouped, "cid"), "op5-entries")
     matrix = shared_entries.groupBy("token", "grp").agg(F.min("size").alias("low"), F.max("size").alias("high"))
     asked = shared_entries.withColumnRenamed("grp", "own").join(matrix, "token").where(
         f"grp <> own AND 100 * high >= {percent} * size AND 100 * size >= {percent} * low")
@@ -284,7 +284,6 @@ def link_classes(docs: DataFrame, heads: DataFrame, words: int, percent: int) ->
 
     found = written(members.join(crowded, "grp", "left_semi").groupBy("grp").applyInPandas(
         lambda group: _frame(_link_members(group, percent)), _LINK), "op5-links")
-    all_classes = classes.select("cid")
     comps = written(_with_components(wanted, found), "op5-comps")
     for last in (False, True):
         where = members.select("cid", "grp").join(comps, "cid")
@@ -298,7 +297,7 @@ def link_classes(docs: DataFrame, heads: DataFrame, words: int, percent: int) ->
         more = written(_opened(asking, answering, percent), "op5-links")
         found = written(found.unionByName(more), "op5-links")
         comps = written(_with_components(wanted, found), "op5-comps")
-    return all_classes.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    return classes.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
 
 
 def similar_documents(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = MIN_PERCENT, id_col: str = "doc_id",

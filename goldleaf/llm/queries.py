@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from goldleaf.llm.block_naming import exact_duplicates
+from goldleaf.llm.lang_cnn import identify_languages
 from goldleaf.llm.ngram_join import similar_documents
 from goldleaf.llm.packing import pack_documents
+from goldleaf.llm.pu_quality import classify_quality
 from goldleaf.llm.secret_scan import scan_secrets
 from goldleaf.llm.token_count import count_tokens
 from goldleaf.sources.retail_views import read_test_table
@@ -35,8 +37,11 @@ def llm_queries() -> dict[str, Query]:
         "op1_secret_scan": _documents(scan_secrets),
         "op4_token_count": _documents(count_tokens),
         "op5_ngram_join": _documents(lambda docs: similar_documents(docs, words=4, percent=85).drop("uid")),
+        "op6_pu_quality": lambda spark, sf_dir: classify_quality(
+            read_test_table(spark, sf_dir, "documents"), read_test_table(spark, sf_dir, "labels")),
         "op7_best_fit_packing": _documents(lambda docs: pack_documents(docs).drop("uid")),
         "op9_exact_dedup": _documents(lambda docs: exact_duplicates(docs).drop("uid")),
+        "op10_lang_cnn": _documents(identify_languages),
     }
 
 

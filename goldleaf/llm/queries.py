@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from goldleaf.llm.block_naming import exact_duplicates
+from goldleaf.llm.c2lsh import neighbours_of_table
 from goldleaf.llm.lang_cnn import identify_languages
+from goldleaf.llm.license_scan import scan_licences, with_paths
+from goldleaf.llm.mixing import sampling_plan
 from goldleaf.llm.ngram_join import similar_documents
 from goldleaf.llm.packing import pack_documents
 from goldleaf.llm.pu_quality import classify_quality
@@ -35,11 +38,14 @@ def _documents(operator: Callable[[DataFrame], DataFrame]) -> Query:
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": _documents(scan_secrets),
+        "op2_mix_sources": _documents(sampling_plan),
+        "op3_collision_ann": lambda spark, sf_dir: neighbours_of_table(read_test_table(spark, sf_dir, "embeddings")),
         "op4_token_count": _documents(count_tokens),
         "op5_ngram_join": _documents(lambda docs: similar_documents(docs, words=4, percent=85).drop("uid")),
         "op6_pu_quality": lambda spark, sf_dir: classify_quality(
             read_test_table(spark, sf_dir, "documents"), read_test_table(spark, sf_dir, "labels")),
         "op7_best_fit_packing": _documents(lambda docs: pack_documents(docs).drop("uid")),
+        "op8_license_scan": _documents(lambda docs: scan_licences(with_paths(docs))),
         "op9_exact_dedup": _documents(lambda docs: exact_duplicates(docs).drop("uid")),
         "op10_lang_cnn": _documents(identify_languages),
     }

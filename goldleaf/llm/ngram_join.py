@@ -161,15 +161,16 @@ def _heads(docs: DataFrame, words: int, percent: int, common: np.ndarray) -> Dat
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``cid, tokens`` of the wanted classes, from the text of the row that stands for each."""
+    """``cid, grp, tokens`` of the wanted classes, from the text of the row that stands for each."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in sliced(batches):
             rows = [shingler.tokens(data).tobytes() for data in utf8(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["cid", "tokens"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), pa.array(rows, pa.binary())], ["cid", "grp", "tokens"])
 
     text = docs.select(F.col("uid").alias("cid"), "_text").join(broadcast_if_few(wanted), "cid")
-    return text.select("cid", "_text").mapInArrow(sets, "cid bigint, tokens binary")
+    return text.select("cid", "_text", "grp").mapInArrow(sets, "cid bigint, grp bigint, tokens binary")
 
 
 class _Members:
@@ -242,9 +243,7 @@ def _opened(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
         return _frame(_links_with_group(left, right, percent) if len(left) and len(right) else [])
 
     renewed = lambda df: df.select(*[F.col(c).alias(c) for c in ("cid", "comp", "tokens", "grp")])
-    inner = renewed(members.join(pairs.select("grp").distinct(), "grp", "left_semi"))
-    pairs = renewed(pairs)
-    return inner.groupBy("grp").cogroup(pairs.groupBy("grp")).applyInPandas(verify, _LINK)
+    return renewed(members).groupBy("grp").cogroup(renewed(pairs).groupBy("grp")).applyInPandas(verify, _LINK)
 
 
 def _with_components(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -264,39 +263,44 @@ def link_classes(docs: DataFrame, heads: DataFrame, words: int, percent: int) ->
         F.col("uid").alias("cid"), "size",
         F.xxhash64("lead", F.pmod(F.xxhash64("uid"), F.coalesce(F.expr(f"weight div {GROUP_TOKENS} + 1"), F.lit(1))))
         .alias("grp")), "op5-classes")
-    # token-group matrix: the groups of every token that several classes have, with their members' sizes
+    # token-group matrix: the groups of every token that several classes have, with their members' sizes.
+    # Two holders of a token come out of the count itself; the others of a token with more are fetched.
     entries = heads.select("uid", "first").join(one_each, "uid", "left_semi").select(
         F.col("uid").alias("cid"), F.explode("first").alias("token"))
-    several = entries.groupBy("token").agg(F.min("cid").alias("a"), F.max("cid").alias("b")).where("a < b").select("token")
-    shared_entries = written(entries.join(several, "token", "left_semi").join(grouped, "cid"), "op5-entries")
+    held = written(entries.groupBy("token").agg(
+        F.min("cid").alias("a"), F.max("cid").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1"), "op5-held")
+    two = held.where("n = 2").select("token", F.explode(F.array("a", "b")).alias("cid"))
+    more = broadcast_if_few(written(held.where("n > 2").select("token"), "op5-more"))
+    shared_entries = written(two.unionByName(entries.join(more, "token", "left_semi").select("token", "cid")).join(
+        grouped, "cid"), "op5-entries")
     matrix = shared_entries.groupBy("token", "grp").agg(F.min("size").alias("low"), F.max("size").alias("high"))
     asked = shared_entries.withColumnRenamed("grp", "own").join(matrix, "token").where(
         f"grp <> own AND 100 * high >= {percent} * size AND 100 * size >= {percent} * low")
     at_least = F.least(F.lit(SHARED), F.ceil(F.col("size") * percent / 100))
     pairs = written(asked.groupBy("cid", "size", "grp").agg(F.count(F.lit(1)).alias("shared"))
                     .where(F.col("shared") >= at_least).select("cid", "grp", "shared"), "op5-pairs")
-    crowded = grouped.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("grp")
-    opened = written(pairs.select("grp").distinct().unionByName(crowded).distinct(), "op5-opened")
-    in_opened = grouped.select("cid", "grp").join(opened, "grp", "left_semi")
-    wanted = written(in_opened.select("cid").unionByName(pairs.select("cid")).distinct(), "op5-wanted")
-    sets = written(_sets(docs, wanted, words), "op5-sets")
-    members = written(sets.join(in_opened, "cid"), "op5-members")  # cid, tokens, grp
-
-    found = written(members.join(crowded, "grp", "left_semi").groupBy("grp").applyInPandas(
+    crowded = written(grouped.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("grp"), "op5-crowded")
+    opened = pairs.select("grp").unionByName(crowded).distinct()
+    wanted = written(grouped.join(opened, "grp", "left_semi").select("cid", "grp").unionByName(
+        grouped.join(pairs, "cid", "left_semi").select("cid", "grp")).distinct(), "op5-wanted")
+    sets = written(_sets(docs, wanted, words), "op5-sets")  # cid, grp, tokens
+
+    found = written(sets.join(broadcast_if_few(crowded), "grp", "left_semi").groupBy("grp").applyInPandas(
         lambda group: _frame(_link_members(group, percent)), _LINK), "op5-links")
-    comps = written(_with_components(wanted, found), "op5-comps")
+    comps = written(_with_components(wanted.select("cid"), found), "op5-comps")
     for last in (False, True):
-        where = members.select("cid", "grp").join(comps, "cid")
-        kinds = where.groupBy("grp").agg(F.min("comp").alias("least"), F.max("comp").alias("most"))
+        kinds = wanted.join(comps, "cid").groupBy("grp").agg(F.min("comp").alias("least"), F.max("comp").alias("most"))
         open_pairs = pairs.join(comps, "cid").join(kinds, "grp").where("least <> comp OR most <> comp")
         if not last:  # of each component one class, the one that shares most, asks a group
             open_pairs = open_pairs.groupBy("comp", "grp").agg(
                 F.max(F.struct("shared", "cid")).alias("best")).select("comp", "grp", F.col("best.cid").alias("cid"))
-        asking = open_pairs.select("cid", "comp", "grp").join(sets, "cid")
-        answering = members.join(comps, "cid")
+        open_pairs = written(open_pairs.select("cid", "comp", "grp"), "op5-open")
+        groups = written(open_pairs.select("grp").distinct(), "op5-groups")
+        asking = sets.select("cid", "tokens").join(broadcast_if_few(open_pairs), "cid")
+        answering = sets.join(broadcast_if_few(groups), "grp", "left_semi").join(broadcast_if_few(comps), "cid")
         more = written(_opened(asking, answering, percent), "op5-links")
         found = written(found.unionByName(more), "op5-links")
-        comps = written(_with_components(wanted, found), "op5-comps")
+        comps = written(_with_components(wanted.select("cid"), found), "op5-comps")
     return classes.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
 
 

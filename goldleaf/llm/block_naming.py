@@ -38,24 +38,27 @@ def _blocks(text: Column, size: int) -> Column:
     return F.when(text == "", F.array(F.lit(""))).otherwise(cut)
 
 
+def fingerprint(block: Column) -> Column:
+    return F.xxhash64(block)
+
+
 def _numbered(distinct: DataFrame, *keys: str) -> DataFrame:
     """The distinct rows sorted (within the partitions that the distinct has made) and numbered."""
     return distinct.sortWithinPartitions(*keys).withColumn("name", F.monotonically_increasing_id())
 
 
 def _first_names(rows: DataFrame, size: int) -> DataFrame:
-    """(uid, names): the names of each text's blocks in order."""
-    print_of = F.xxhash64
+    """(uid, pos, name): the names of each text's blocks in order."""
     blocks = rows.select(F.explode(_blocks(F.col("_norm"), size)).alias("block")).distinct()
-    named = written(_numbered(blocks, "block").withColumn("print", print_of("block")), "op9-blocks")
+    named = written(_numbered(blocks, "block").withColumn("print", fingerprint(F.col("block"))), "op9-blocks")
     per_print = named.groupBy("print").agg(F.min("name").alias("name"), F.count(F.lit(1)).alias("n"))
     by_print = written(per_print, "op9-prints")
     parts = rows.select("uid", F.posexplode(_blocks(F.col("_norm"), size)).alias("pos", "block"))
     several = written(by_print.where("n > 1").select(F.col("print").alias("_shared")), "op9-shared")
-    found = parts.select("uid", "pos", print_of("block").alias("print")).join(
+    found = parts.select("uid", "pos", fingerprint(F.col("block")).alias("print")).join(
         by_print.select("print", F.col("name").alias("_name"), "n"), "print")
     plain = found.where("n = 1").select("uid", "pos", F.col("_name").alias("name"))
-    shared = (parts.withColumn("_shared", print_of("block")).join(several, "_shared", "left_semi")
+    shared = (parts.withColumn("_shared", fingerprint(F.col("block"))).join(several, "_shared", "left_semi")
               .join(named.join(several, F.col("print") == F.col("_shared"), "left_semi").select("block", "name"), "block")
               .select("uid", "pos", "name"))
     return plain.unionByName(shared)

@@ -11,10 +11,11 @@ min(k, o) of them. The matrix holds these first tokens only; the bound is never
 tokens of many texts last, so a passage that many documents share is rarely among the first tokens: it
 decides how much work is done, not what is found.
 
-Links that only confirm what is known already are saved: members of a group are linked first, then one
-class per (component, group), and in a last round every remaining class with every group that holds a
-member of another component. So each link between different components is looked for, and a group of
-thousands of near copies costs its size, not its square.
+Links that only confirm what is known already are saved. First, classes with the same least token in one
+of a few random orders are compared; their components are the groups of the matrix, so tokens that only
+one component has drop out of it, and a family of thousands of near copies costs its size, not its square.
+Then one class per (component, group) asks, and in a last round every remaining class asks every group that
+holds a member of another component: each link between different components is looked for.
 
 Tokens are 64-bit hashes of shingles and classes 128-bit hashes of token sets (an accidental equality of
 two tokens has probability 2^-64).
@@ -44,6 +45,7 @@ SHINGLE_WORDS, MIN_PERCENT = 5, 80
 SHARED = 3  # k: so many of the first tokens must be shared
 COUNT_TOKENS, COMMON_IN_COUNT = 2_000_000, 8  # tokens are counted over so many at a time; common from so many texts on
 COMMON_MAX = 200_000  # common tokens that are put last, at most (8 bytes each); the order changes no result
+LEADS = 4  # turns in which classes with the same leading token are compared first
 GROUP_TOKENS = 500_000  # larger groups are split into parts of about so many tokens
 
 _MIX = [np.uint64(int(xxhash.xxh3_64_intdigest(b"place %d" % i)) | 1) for i in range(64)]
@@ -134,13 +136,17 @@ def _is_in(tokens: np.ndarray, ordered: np.ndarray) -> np.ndarray:
 
 
 def _heads(docs: DataFrame, words: int, percent: int, common: np.ndarray) -> DataFrame:
-    """``uid, doc_id, n_shingles, cls, lead, first``: class and first tokens (in the global order) of every text."""
+    """``uid, doc_id, n_shingles, cls, leads, first`` of every text.
+
+    ``first`` are its first tokens in the global order, ``leads`` its least tokens in ``LEADS`` random orders
+    (common tokens left out if there are others).
+    """
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, common = Shingler(words), shared.value
         for batch in sliced(batches):
-            sizes, classes, firsts = [], [], []
+            sizes, classes, firsts, leads = [], [], [], []
             for data in utf8(batch.column(2)):
                 tokens = shingler.tokens(data)
                 n = len(tokens)
@@ -149,28 +155,29 @@ def _heads(docs: DataFrame, words: int, percent: int, common: np.ndarray) -> Dat
                 sizes.append(n)
                 classes.append(_class_of(tokens) if n else None)
                 firsts.append(ordered[:n - needed(n, percent) + SHARED].view(np.int64))
+                rare = tokens if late.all() else tokens[~late]
+                leads.append([int(_scrambled(rare ^ _MIX[turn]).view(np.int64).min()) for turn in range(LEADS)] if n else [])
             offsets = np.concatenate([[0], np.cumsum([len(f) for f in firsts])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int64), *firsts])))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()),
-                 pa.array([int(f[0]) if len(f) else None for f in firsts], pa.int64()), lists],
-                ["uid", "doc_id", "n_shingles", "cls", "lead", "first"])
+                 pa.array(leads, pa.list_(pa.int64())), lists],
+                ["uid", "doc_id", "n_shingles", "cls", "leads", "first"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(heads, f"uid bigint, doc_id {kind}, n_shingles bigint, cls binary, lead bigint, first array<bigint>")
+    return docs.mapInArrow(heads, f"uid bigint, doc_id {kind}, n_shingles bigint, cls binary, leads array<bigint>, first array<bigint>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``cid, grp, tokens`` of the wanted classes, from the text of the row that stands for each."""
+    """``cid, tokens`` of the wanted classes, from the text of the row that stands for each."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in sliced(batches):
             rows = [shingler.tokens(data).tobytes() for data in utf8(batch.column(1))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(rows, pa.binary())], ["cid", "grp", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["cid", "tokens"])
 
     text = docs.select(F.col("uid").alias("cid"), "_text").join(broadcast_if_few(wanted), "cid")
-    return text.select("cid", "_text", "grp").mapInArrow(sets, "cid bigint, grp bigint, tokens binary")
+    return text.select("cid", "_text").mapInArrow(sets, "cid bigint, tokens binary")
 
 
 class _Members:
@@ -252,56 +259,80 @@ def _with_components(classes: DataFrame, links: DataFrame) -> DataFrame:
         "comp", F.coalesce("root", "cid")).drop("root")
 
 
+def _split(rows: DataFrame, *by: str) -> DataFrame:
+    """``rows`` (with ``size``) and ``grp``: one number per value of ``by``, several when its sizes add up to much."""
+    weight = rows.groupBy(*by).agg(F.sum("size").alias("_weight"), F.count(F.lit(1)).alias("_n"))
+    parts = F.expr(f"_weight div {GROUP_TOKENS} + 1")
+    return rows.join(weight, list(by)).withColumn("grp", F.xxhash64(*by, F.pmod(F.xxhash64("cid"), parts))).drop("_weight")
+
+
+def _lead_components(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
+    """``cid, comp`` of the classes that share a leading token with another: components of the links among them.
+
+    One turn per leading token. In later turns one class stands for all of its component in a group, so a
+    family of near copies costs its size once.
+    """
+    leading = classes.select("cid", "size", F.posexplode("leads").alias("turn", "lead"))
+    crowded = leading.groupBy("turn", "lead").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("turn", "lead")
+    leading = written(leading.join(crowded, ["turn", "lead"], "left_semi"), "op5-leading")
+    wanted = written(leading.select("cid").distinct(), "op5-wanted")
+    sets = written(_sets(docs, wanted, words), "op5-sets")
+    state = wanted.withColumn("comp", F.col("cid"))
+    found = None
+    for turn in range(LEADS):
+        standing = leading.where(F.col("turn") == turn).join(state, "cid").groupBy("lead", "comp").agg(
+            F.min(F.struct("cid", "size")).alias("one")).select("lead", "one.cid", "one.size")
+        asked = written(_split(standing, "lead").where("_n > 1").select("cid", "grp"), "op5-asked")
+        links = sets.join(broadcast_if_few(asked), "cid").groupBy("grp").applyInPandas(
+            lambda group: _frame(_link_members(group, percent)), _LINK)
+        found = written(links if found is None else found.unionByName(links), "op5-links")
+        state = written(_with_components(wanted, found), "op5-comps")
+    return state
+
+
 def link_classes(docs: DataFrame, heads: DataFrame, words: int, percent: int) -> DataFrame:
     """``cid, comp`` of every class. A class is known by the first row (uid) that has it."""
-    classes = written(heads.where("n_shingles > 0").groupBy("cls").agg(F.min("uid").alias("cid")).select("cid"), "op5-cids")
-    one_each = broadcast_if_few(classes.withColumnRenamed("cid", "uid"))
-    # groups: classes with the same very first token, split when they hold many tokens
-    sizes = heads.select("uid", "lead", F.col("n_shingles").alias("size")).join(one_each, "uid", "left_semi")
-    weight = sizes.groupBy("lead").agg(F.sum("size").alias("weight")).where(f"weight > {GROUP_TOKENS}")
-    grouped = written(sizes.join(weight, "lead", "left").select(
-        F.col("uid").alias("cid"), "size",
-        F.xxhash64("lead", F.pmod(F.xxhash64("uid"), F.coalesce(F.expr(f"weight div {GROUP_TOKENS} + 1"), F.lit(1))))
-        .alias("grp")), "op5-classes")
-    # token-group matrix: the groups of every token that several classes have, with their members' sizes.
-    # Two holders of a token come out of the count itself; the others of a token with more are fetched.
-    entries = heads.select("uid", "first").join(one_each, "uid", "left_semi").select(
-        F.col("uid").alias("cid"), F.explode("first").alias("token"))
-    held = written(entries.groupBy("token").agg(
-        F.min("cid").alias("a"), F.max("cid").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1"), "op5-held")
-    two = held.where("n = 2").select("token", F.explode(F.array("a", "b")).alias("cid"))
-    more = broadcast_if_few(written(held.where("n > 2").select("token"), "op5-more"))
-    shared_entries = written(two.unionByName(entries.join(more, "token", "left_semi").select("token", "cid")).join(
+    cids = written(heads.where("n_shingles > 0").groupBy("cls").agg(F.min("uid").alias("uid")).select("uid"), "op5-cids")
+    classes = written(heads.select("uid", "leads", F.col("n_shingles").alias("size")).join(
+        broadcast_if_few(cids), "uid", "left_semi").withColumnRenamed("uid", "cid"), "op5-classes")
+    near = _lead_components(docs, classes, words, percent)
+    # from here on a group is a component, split when it is large
+    whole = classes.select("cid", "size").join(near, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    grouped = written(_split(whole, "comp").select("cid", "size", "comp", "grp"), "op5-grouped")
+    # token-group matrix: the groups of every token that several components have, with their members' sizes
+    of_class = broadcast_if_few(written(grouped.select(F.col("cid").alias("uid"), "comp"), "op5-of-class"))
+    entries = heads.select("uid", "first").join(of_class, "uid").select(
+        F.col("uid").alias("cid"), "comp", F.explode("first").alias("token"))
+    held = written(entries.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b")
+                   .select("token"), "op5-held")
+    shared_entries = written(entries.select("cid", "token").join(broadcast_if_few(held), "token", "left_semi").join(
         grouped, "cid"), "op5-entries")
-    matrix = shared_entries.groupBy("token", "grp").agg(F.min("size").alias("low"), F.max("size").alias("high"))
-    asked = shared_entries.withColumnRenamed("grp", "own").join(matrix, "token").where(
-        f"grp <> own AND 100 * high >= {percent} * size AND 100 * size >= {percent} * low")
+    matrix = shared_entries.groupBy("token", "comp", "grp").agg(F.min("size").alias("low"), F.max("size").alias("high"))
+    asked = shared_entries.select("token", "cid", "size", F.col("comp").alias("own")).join(matrix, "token").where(
+        f"comp <> own AND 100 * high >= {percent} * size AND 100 * size >= {percent} * low")
     at_least = F.least(F.lit(SHARED), F.ceil(F.col("size") * percent / 100))
     pairs = written(asked.groupBy("cid", "size", "grp").agg(F.count(F.lit(1)).alias("shared"))
                     .where(F.col("shared") >= at_least).select("cid", "grp", "shared"), "op5-pairs")
-    crowded = written(grouped.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("grp"), "op5-crowded")
-    opened = pairs.select("grp").unionByName(crowded).distinct()
-    wanted = written(grouped.join(opened, "grp", "left_semi").select("cid", "grp").unionByName(
-        grouped.join(pairs, "cid", "left_semi").select("cid", "grp")).distinct(), "op5-wanted")
-    sets = written(_sets(docs, wanted, words), "op5-sets")  # cid, grp, tokens
-
-    found = written(sets.join(broadcast_if_few(crowded), "grp", "left_semi").groupBy("grp").applyInPandas(
-        lambda group: _frame(_link_members(group, percent)), _LINK), "op5-links")
-    comps = written(_with_components(wanted.select("cid"), found), "op5-comps")
+    opened = pairs.select("grp").distinct()
+    members = written(grouped.join(opened, "grp", "left_semi").select("cid", "grp"), "op5-members")
+    wanted = written(members.select("cid").unionByName(pairs.select("cid")).distinct(), "op5-wanted")
+    sets = written(_sets(docs, wanted, words), "op5-sets")
+
+    start = grouped.select(F.col("cid").alias("a"), F.col("comp").alias("b")).where("a <> b")
+    found, comps = written(start, "op5-links"), written(grouped.select("cid", "comp"), "op5-comps")
     for last in (False, True):
-        kinds = wanted.join(comps, "cid").groupBy("grp").agg(F.min("comp").alias("least"), F.max("comp").alias("most"))
+        kinds = members.join(comps, "cid").groupBy("grp").agg(F.min("comp").alias("least"), F.max("comp").alias("most"))
         open_pairs = pairs.join(comps, "cid").join(kinds, "grp").where("least <> comp OR most <> comp")
         if not last:  # of each component one class, the one that shares most, asks a group
             open_pairs = open_pairs.groupBy("comp", "grp").agg(
                 F.max(F.struct("shared", "cid")).alias("best")).select("comp", "grp", F.col("best.cid").alias("cid"))
         open_pairs = written(open_pairs.select("cid", "comp", "grp"), "op5-open")
-        groups = written(open_pairs.select("grp").distinct(), "op5-groups")
-        asking = sets.select("cid", "tokens").join(broadcast_if_few(open_pairs), "cid")
-        answering = sets.join(broadcast_if_few(groups), "grp", "left_semi").join(broadcast_if_few(comps), "cid")
-        more = written(_opened(asking, answering, percent), "op5-links")
+        groups = open_pairs.select("grp").distinct()
+        answers = written(members.join(groups, "grp", "left_semi").join(comps, "cid").select("cid", "comp", "grp"), "op5-answers")
+        more = _opened(sets.join(broadcast_if_few(open_pairs), "cid"), sets.join(broadcast_if_few(answers), "cid"), percent)
         found = written(found.unionByName(more), "op5-links")
-        comps = written(_with_components(wanted.select("cid"), found), "op5-comps")
-    return classes.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+        comps = written(_with_components(grouped.select("cid"), found), "op5-comps")
+    return comps
 
 
 def similar_documents(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = MIN_PERCENT, id_col: str = "doc_id",

@@ -168,6 +168,13 @@ def _changed_orders(orders: DataFrame) -> DataFrame:
     return orders.withColumn("o_orderstatus", F.when(changed, F.lit(CHANGED_STATUS)).otherwise(F.col("o_orderstatus")))
 
 
+def _touched_orders(orders: DataFrame) -> DataFrame:
+    """The changed orders with a newer change time, as a source that stamps its updates."""
+    touched = F.col("o_orderdate") >= _ts(orders, "o_orderdate", CHANGED_FROM)
+    newer = (F.col("o_orderdate") + F.expr("INTERVAL 730 DAYS")).cast(orders.schema["o_orderdate"].dataType)
+    return _changed_orders(orders).withColumn("o_orderdate", F.when(touched, newer).otherwise(F.col("o_orderdate")))
+
+
 def _bronze_queries() -> dict[str, Query]:
     def incremental_read(s, d):
         return read_increment(read_test_table(s, d, "events"), "ts", INGEST_MARK)
@@ -201,8 +208,8 @@ def _bronze_queries() -> dict[str, Query]:
         part = read_test_table(s, d, "part")
         keys = ["pizza_type_id", "pizza_topping_id"]
         store = _store(s, "keyed_upsert_composite")
-        target = bridge_pairs(part.where(F.col("p_partkey") < 200)).withColumn("flag", F.lit("v1"))
-        source = bridge_pairs(part.where(F.col("p_partkey").between(100, 299))).withColumn("flag", F.lit("v2"))
+        target = bridge_pairs(part.where("p_partkey % 3 <> 0")).withColumn("flag", F.lit("v1"))
+        source = bridge_pairs(part.where("p_partkey % 3 <> 1")).withColumn("flag", F.lit("v2"))
         upsert(store, "pizzatypetopping", target, keys)
         upsert(store, "pizzatypetopping", source, keys)
         return store.read("pizzatypetopping")
@@ -212,7 +219,7 @@ def _bronze_queries() -> dict[str, Query]:
         spec = TableSpec("orders", ["o_orderkey"], "o_orderdate")
         store = _store(s, "incremental_ingest")
         first = orders.where(F.col("o_orderdate") < _ts(orders, "o_orderdate", TARGET_BEFORE))
-        for source in (first, _changed_orders(orders)):
+        for source in (first, _touched_orders(orders)):
             res = ingest_table(s, spec, source, store, as_of=CHECK_AS_OF)
             if res.status == "rejected":
                 raise RuntimeError(f"increment rejected: {res.problems}")

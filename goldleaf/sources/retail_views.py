@@ -1,8 +1,8 @@
 """The eight retail source tables, derived by fixed rules from the TPC-H-style test tables.
 
 The test data has no NULLs, orphans or missing references, so the rules below plant them: members of one
-market segment are absent, every tenth order has no member, every thirtieth has no branch, only parts
-below key 200 contribute to the type/topping bridge, and one topping word has no master row. The same
+market segment are absent, every tenth order has no member, every thirtieth has no branch, item types
+of one category have no bridge row (every other part contributes its words), and one topping word has no master row. The same
 rules are written in SQL in ``oracles.py``; both sides must stay in step.
 """
 
@@ -17,7 +17,7 @@ from goldleaf.spec import PRICE_TYPE
 ABSENT_MEMBER_SEGMENT = "FURNITURE"  # customers of this segment have no member row
 NO_MEMBER_EVERY = 10  # o_custkey % 10 == 0 -> order without member
 NO_BRANCH_EVERY = 30  # o_orderkey % 30 == 29 -> order without branch
-BRIDGE_PART_LIMIT = 200  # parts below this key define the type/topping bridge
+NO_TOPPING_TYPE = "STANDARD"  # item types of this category have no bridge row
 ABSENT_TOPPING = "rod"  # topping word with no master row
 
 
@@ -65,7 +65,7 @@ def retail_source_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame
         _text(F.col("p_size")).alias("size"),
         F.col("p_retailprice").cast(PRICE_TYPE).alias("price"),
     )
-    words = bridge_pairs(part.where(F.col("p_partkey") < BRIDGE_PART_LIMIT), "w")
+    words = bridge_pairs(part.where(F.col("p_type") != NO_TOPPING_TYPE), "w")
     pizzatypetopping = words.select("pizza_type_id", F.col("w").alias("pizza_topping_id"))
     topping = (
         words.select("w").distinct().where(F.col("w") != ABSENT_TOPPING)

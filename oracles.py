@@ -18,9 +18,9 @@ _SOURCES = {
     "pizza_s": "SELECT CAST(p_partkey AS VARCHAR) AS pizza_id, concat(p_brand, '/', p_type) AS pizza_type_id, "
                "CAST(p_size AS VARCHAR) AS size, CAST(p_retailprice AS DECIMAL(10,2)) AS price FROM part",
     "word_s": "SELECT concat(p_brand, '/', p_type) AS pizza_type_id, split_part(p_name, ' ', 1) AS w "
-              "FROM part WHERE p_partkey < 200 UNION "
+              "FROM part WHERE p_type <> 'STANDARD' UNION "
               "SELECT concat(p_brand, '/', p_type) AS pizza_type_id, split_part(p_name, ' ', 2) AS w "
-              "FROM part WHERE p_partkey < 200",
+              "FROM part WHERE p_type <> 'STANDARD'",
     "bridge_s": "SELECT pizza_type_id, w AS pizza_topping_id FROM word_s",
     "topping_s": "SELECT DISTINCT w AS pizza_topping_id, upper(w) AS pizza_topping_nm FROM word_s WHERE w <> 'rod'",
     "orders_s": "SELECT o_orderkey AS order_id, substr(CAST(o_orderdate AS VARCHAR), 1, 10) AS date, "
@@ -302,6 +302,8 @@ _NULL_TS = "TIMESTAMP '1900-01-01 00:00:01'"
 _ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
 _CHANGED = ("o_orderkey, o_custkey, CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN 'X' ELSE o_orderstatus END "
             "AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority")
+_TOUCHED = _CHANGED.replace(" o_orderdate, o_orderpriority", " CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' "
+                            "THEN o_orderdate + INTERVAL 730 DAY ELSE o_orderdate END AS o_orderdate, o_orderpriority")
 
 
 def _words(cond: str) -> str:
@@ -328,7 +330,7 @@ def bronze_sql() -> dict[str, str]:
             f"SELECT {_ORDER_COLS} FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = t.o_orderkey) "
             f"UNION ALL SELECT {_ORDER_COLS} FROM s"),
         "keyed_upsert_composite": (
-            f"WITH tw AS ({_words('p_partkey < 200')}), sw AS ({_words('p_partkey BETWEEN 100 AND 299')}) "
+            f"WITH tw AS ({_words('p_partkey % 3 <> 0')}), sw AS ({_words('p_partkey % 3 <> 1')}) "
             "SELECT pizza_type_id, pizza_topping_id, 'v1' AS flag FROM tw WHERE NOT EXISTS (SELECT 1 FROM sw "
             "WHERE sw.pizza_type_id = tw.pizza_type_id AND sw.pizza_topping_id = tw.pizza_topping_id) "
             "UNION ALL SELECT pizza_type_id, pizza_topping_id, 'v2' AS flag FROM sw"),
@@ -337,7 +339,8 @@ def bronze_sql() -> dict[str, str]:
         "incremental_ingest": (
             "WITH t AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'), "
             f"m AS (SELECT MAX(COALESCE(o_orderdate, {_NULL_TS})) AS mark FROM t), "
-            f"s AS (SELECT {_CHANGED} FROM orders WHERE o_orderdate > (SELECT mark FROM m)) "
+            f"c AS (SELECT {_TOUCHED} FROM orders), "
+            "s AS (SELECT * FROM c WHERE o_orderdate > (SELECT mark FROM m)) "
             f"SELECT {_ORDER_COLS} FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = t.o_orderkey) "
             f"UNION ALL SELECT {_ORDER_COLS} FROM s"),
     }

@@ -7,7 +7,7 @@ whose bound reaches the needed overlap are opened: there the exact overlaps with
 
 Exactness. Tokens have one global order. Two sets with 100 * inter >= t * union share at least
 o = ceil(t * n / 100) tokens (n: the larger size), so their first n - o + k tokens share at least
-min(k, o) of them. The matrix holds these first tokens only; the bound is never too small. The order puts
+min(k, o) of them, k being that of the smaller set. The matrix holds these first tokens only; the bound is never too small. The order puts
 tokens of many texts last, so a passage that many documents share is rarely among the first tokens: it
 decides how much work is done, not what is found.
 
@@ -42,9 +42,9 @@ from goldleaf.llm.common import broadcast_if_few, importable_on_workers, sliced,
 from goldleaf.llm.components import components
 
 SHINGLE_WORDS, MIN_PERCENT = 5, 80
-SHARED = 3  # k: so many of the first tokens must be shared
-COUNT_TOKENS, COMMON_IN_COUNT = 2_000_000, 8  # tokens are counted over so many at a time; common from so many texts on
-COMMON_MAX = 200_000  # common tokens that are put last, at most (8 bytes each); the order changes no result
+SHARED, SHARED_PART = 3, 16  # k: of a set's first tokens, 3 or a sixteenth of its size must be shared
+COUNT_TOKENS, COMMON_IN_COUNT = 2_000_000, 2  # tokens are counted over so many at a time; kept if in two texts of them
+COMMON_MAX = 500_000  # common tokens that are put last, at most (8 bytes each); the order changes no result
 LEADS = 4  # turns in which classes with the same leading token are compared first
 GROUP_TOKENS = 500_000  # larger groups are split into parts of about so many tokens
 
@@ -96,6 +96,11 @@ def needed(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def overlap(n: int) -> int:
+    """k: so many first tokens must be shared with a set that is not smaller."""
+    return max(SHARED, n // SHARED_PART)
+
+
 def linked(shared: np.ndarray, a, b, percent: int):
     return 100 * shared >= percent * (a + b - shared)
 
@@ -122,8 +127,15 @@ def _common_tokens(docs: DataFrame, words: int) -> np.ndarray:
             yield out()
 
     seen = docs.select("_text").mapInArrow(counted, "token bigint, n bigint")
-    top = (seen.groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(COMMON_MAX)
-           .select("token").toArrow().column("token").to_numpy())
+    counts = written(seen.groupBy("token").agg(F.sum("n").alias("n")), "op5-counts")
+    # the least count that at most COMMON_MAX tokens reach; there are few different counts
+    bar, total = 0, 0
+    for row in counts.groupBy("n").agg(F.count(F.lit(1)).alias("tokens")).orderBy(F.desc("n")).toLocalIterator():
+        total += row["tokens"]
+        if total > COMMON_MAX:
+            bar = row["n"] + 1
+            break
+    top = counts.where(F.col("n") >= bar).select("token").toArrow().column("token").to_numpy()
     return np.sort(top.view(np.uint64))
 
 
@@ -154,7 +166,7 @@ def _heads(docs: DataFrame, words: int, percent: int, common: np.ndarray) -> Dat
                 ordered = np.concatenate([tokens[~late], tokens[late]])
                 sizes.append(n)
                 classes.append(_class_of(tokens) if n else None)
-                firsts.append(ordered[:n - needed(n, percent) + SHARED].view(np.int64))
+                firsts.append(ordered[:n - needed(n, percent) + overlap(n)].view(np.int64))
                 rare = tokens if late.all() else tokens[~late]
                 leads.append([int(_scrambled(rare ^ _MIX[turn]).view(np.int64).min()) for turn in range(LEADS)] if n else [])
             offsets = np.concatenate([[0], np.cumsum([len(f) for f in firsts])]).astype(np.int32)
@@ -310,7 +322,9 @@ def link_classes(docs: DataFrame, heads: DataFrame, words: int, percent: int) ->
     matrix = shared_entries.groupBy("token", "comp", "grp").agg(F.min("size").alias("low"), F.max("size").alias("high"))
     asked = shared_entries.select("token", "cid", "size", F.col("comp").alias("own")).join(matrix, "token").where(
         f"comp <> own AND 100 * high >= {percent} * size AND 100 * size >= {percent} * low")
-    at_least = F.least(F.lit(SHARED), F.ceil(F.col("size") * percent / 100))
+    # a smaller partner has at least this size, and k grows with the size
+    partner = F.ceil(F.col("size") * percent / 100)
+    at_least = F.least(F.greatest(F.lit(SHARED), F.floor(partner / SHARED_PART)), partner)
     pairs = written(asked.groupBy("cid", "size", "grp").agg(F.count(F.lit(1)).alias("shared"))
                     .where(F.col("shared") >= at_least).select("cid", "grp", "shared"), "op5-pairs")
     opened = pairs.select("grp").distinct()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldleaf.operators.joins import BROADCAST_MAX_ROWS, left_lookup, small_tables
-from goldleaf.spec import SILVER_COLUMNS
+from goldleaf.spec import PRICE_TYPE, SILVER_COLUMNS
 
 # Tables that are dimensions or lookups of the line table; each is broadcast when its size check passes.
 _LOOKUPS = ["branch", "member", "pizza", "pizzatypes", "pizzatypetopping", "topping"]
@@ -16,6 +16,11 @@ def _bc(df: DataFrame, name: str, small: set[str]) -> DataFrame:
     return F.broadcast(df) if name in small else df
 
 
+def _items(tables: dict[str, DataFrame]) -> DataFrame:
+    """Items with the price as an exact decimal, also when the source delivers a floating-point price."""
+    return tables["pizza"].select("pizza_id", "pizza_type_id", "size", F.col("price").cast(PRICE_TYPE).alias("price"))
+
+
 def inner_chain(tables: dict[str, DataFrame], small: set[str] | None = None) -> DataFrame:
     """lines JOIN orders JOIN item JOIN item type (all inner).
 
@@ -24,7 +29,7 @@ def inner_chain(tables: dict[str, DataFrame], small: set[str] | None = None) ->
     and, when items are too large to broadcast, by item).
     """
     small = small if small is not None else small_tables({k: tables[k] for k in ("pizza", "pizzatypes")})
-    items = tables["pizza"].select("pizza_id", "pizza_type_id", "size", "price").join(
+    items = _items(tables).join(
         _bc(tables["pizzatypes"].select("pizza_type_id", "pizza_nm", "pizza_categ"), "pizzatypes", small),
         "pizza_type_id", "inner")
     orders = tables["orders"].select("order_id", "date", "time", "member_id", "bran_id")
@@ -49,7 +54,8 @@ def topping_lookup(tables: dict[str, DataFrame]) -> DataFrame:
     return bridge.join(topping, "pizza_topping_id", "left")
 
 
-def denormalize(tables: dict[str, DataFrame], max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def denormalize(tables: dict[str, DataFrame], max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+                grain: str = "topping") -> DataFrame:
     """The silver wide table: 17 columns, one row per order line and topping of its type.
 
     Plan, chosen for a line table far larger than everything else:
@@ -61,15 +67,24 @@ def denormalize(tables: dict[str, DataFrame], max_broadcast_rows: int = BROADCAS
          shuffled.
     Inner-join semantics are unchanged by the regrouping: each lookup reads only columns of the table
     it is attached to. A password column never reaches this table.
+
+    ``grain="line"`` leaves step 4 out: one row per order line, the topping columns NULL. Line-grain marts
+    are built from it, so no line depends on a topping row and nothing is multiplied and reduced again.
     """
-    small = small_tables({k: tables[k] for k in _LOOKUPS}, max_broadcast_rows)
-    items = tables["pizza"].select("pizza_id", "pizza_type_id", "size", "price").join(
+    if grain not in ("topping", "line"):
+        raise ValueError(f"grain must be 'topping' or 'line', got {grain!r}")
+    lookups = _LOOKUPS if grain == "topping" else [t for t in _LOOKUPS if t not in ("pizzatypetopping", "topping")]
+    small = small_tables({k: tables[k] for k in lookups}, max_broadcast_rows)
+    items = _items(tables).join(
         _bc(tables["pizzatypes"].select("pizza_type_id", "pizza_nm", "pizza_categ"), "pizzatypes", small),
         "pizza_type_id", "inner")
     orders = order_lookups(tables, small)
     lines = tables["orderdetail"].select("order_detail_id", "order_id", "pizza_id", "quantity")
     wide = lines.join(orders, "order_id", "inner").join(_bc(items, "pizza", small), "pizza_id", "inner")
     toppings = topping_lookup(tables)
+    if grain == "line":
+        return wide.select(*[F.lit(None).cast(toppings.schema[c].dataType).alias(c) if c.startswith("pizza_topping") else c
+                             for c in SILVER_COLUMNS])
     bridge_small = {"pizzatypetopping", "topping"} <= small
     wide = wide.join(F.broadcast(toppings) if bridge_small else toppings, "pizza_type_id", "left")
     return wide.select(*SILVER_COLUMNS)

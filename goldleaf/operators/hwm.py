@@ -1,21 +1,43 @@
-"""High-water marks: incremental reads by change timestamp and the advance of the mark."""
+"""High-water marks: incremental reads by change timestamp and the advance of the mark.
+
+A mark is text in UTC for a change column that holds instants (``timestamp``), whatever the session's time
+zone, so a run in another zone, or in a repeated hour, reads it as the same instant. For a column without a
+zone (``timestamp_ntz``, ``date``, text) it is the column's own wall-clock time.
+"""
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from goldleaf.spec import HWM_FLOOR, NULL_CHANGE_DEFAULT
 
 
-def _as_datetime(v: str | datetime) -> datetime:
-    return v if isinstance(v, datetime) else datetime.fromisoformat(str(v))
+def _as_datetime(v: str | int | datetime) -> datetime:
+    """A mark as a naive datetime; integers are microseconds since 1970 in UTC."""
+    if isinstance(v, int):
+        return datetime(1970, 1, 1) + timedelta(microseconds=v)
+    d = v if isinstance(v, datetime) else datetime.fromisoformat(str(v))
+    return d.astimezone(timezone.utc).replace(tzinfo=None) if d.tzinfo else d
+
+
+def _is_instant(df: DataFrame, change_col: str) -> bool:
+    return isinstance(df.schema[change_col].dataType, T.TimestampType)
 
 
 def _typed(df: DataFrame, change_col: str, value: str | datetime) -> Column:
-    return F.lit(str(value)).cast(df.schema[change_col].dataType)
+    text = str(_as_datetime(value)) + ("+00:00" if _is_instant(df, change_col) else "")
+    return F.lit(text).cast(df.schema[change_col].dataType)
+
+
+def newest_change(df: DataFrame, change_col: str, null_default: str = NULL_CHANGE_DEFAULT) -> Column:
+    """Aggregate: the newest change time (NULL counted as ``null_default``) in a form without a session zone,
+    as :func:`advance` takes it: microseconds of an instant, else text."""
+    newest = F.max(F.coalesce(F.col(change_col), _typed(df, change_col, null_default)))
+    return F.unix_micros(newest) if _is_instant(df, change_col) else newest.cast("string")
 
 
 def read_increment(source: DataFrame, change_col: str, last_hwm: str | datetime | None = None,
@@ -48,8 +70,8 @@ def next_hwm(increment: DataFrame, change_col: str, last_hwm: str | datetime | N
     )
 
 
-def advance(last_hwm: str | datetime | None, newest: str | datetime | None) -> str:
-    """Driver-side form of :func:`next_hwm` for a value already observed while writing (as text in
-    the session time zone, or a naive datetime)."""
+def advance(last_hwm: str | datetime | None, newest: str | int | datetime | None) -> str:
+    """Driver-side form of :func:`next_hwm` for a value already observed while writing
+    (:func:`newest_change`)."""
     last = _as_datetime(last_hwm if last_hwm is not None else HWM_FLOOR)
     return str(max(last, _as_datetime(newest)) if newest is not None else last)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from goldleaf.functions import default_key, is_weekend, parse_date, weekday_name, weekday_num
-from goldleaf.spec import GUEST_MEMBER, LINE_TOTAL_TYPE, UNKNOWN_BRANCH
+from goldleaf.spec import GUEST_MEMBER, LINE_TOTAL_TYPE, PRICE_TYPE, UNKNOWN_BRANCH
 
 
 def literal_rows(spark, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
@@ -52,14 +52,15 @@ def build_fact(silver: DataFrame, distinct: bool = False) -> DataFrame:
 
     ``distinct=True`` removes exact duplicate fact rows (the SQL variant of the build).
     """
+    price = F.col("price").cast(PRICE_TYPE)  # a floating-point price would not equal its decimal total
     fact = silver.select(
         "order_detail_id", "order_id",
         parse_date("date").alias("date"),
         default_key("member_id").alias("member_id"),
         "pizza_id", "pizza_type_id", "pizza_topping_id", "time", "size", "quantity",
-        F.col("price").alias("unit_price"),
+        price.alias("unit_price"),
         default_key("bran_id").alias("bran_id"),
-        (F.col("price") * F.col("quantity")).cast(LINE_TOTAL_TYPE).alias("total_price"),
+        (price * F.col("quantity")).cast(LINE_TOTAL_TYPE).alias("total_price"),
     )
     return fact.distinct() if distinct else fact
 

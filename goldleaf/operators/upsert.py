@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
-from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,22 +56,15 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], change_col: str) -> DataF
     return df.groupBy(*keys).agg(F.max(packed).alias("_row")).select(*keys, "_row.*").select(*df.columns)
 
 
-def _uri(path: str) -> str:
-    """One spelling per file ('file:/x' and 'file:///x' name the same file)."""
-    u = urlparse(path)
-    return f"{u.scheme}://{u.netloc}{u.path}" if u.scheme else path
-
-
 def upsert(store: VersionedStore, table: str, source: DataFrame, keys: Sequence[str], watermark: str | None = None,
            source_rows: int | None = None, max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-           head: tuple[int, str | None] | None | bool = False, granularity: str = "files") -> int:
+           head: tuple[int, str | None] | None | bool = False) -> int:
     """Create the table from ``source`` on first use, else publish target ⊕ source as a new version.
 
-    ``granularity="files"`` (copy-on-write per file): the target's key columns are matched against the
-    increment's keys (broadcast semi join, map-side) to find the files that hold any of them; only those
-    files are rewritten (their rows minus the increment's keys, plus the increment), the others are
-    carried into the new version by reference. An increment that touches few files costs little however
-    large the table is. ``granularity="table"`` rewrites the whole target.
+    The source is cast to the target's column types first, so a widened source column cannot leave files of
+    two types behind (under ANSI a value that does not fit raises before anything is committed). The target
+    is read once and filtered map-side when the increment's keys pass the size check; tables whose increments
+    are small against them belong in a format with ``MERGE`` (:func:`merge_into_table`).
 
     The new version is written to its own folder while the current one is read, then committed, so
     readers never see a half-merged table and a failed run can simply be repeated (the merge is
@@ -86,28 +77,10 @@ def upsert(store: VersionedStore, table: str, source: DataFrame, keys: Sequence[
         return store.publish({table: source}, watermark)
     small = None if source_rows is None else source_rows <= max_broadcast_rows
     current = store.read_version(table, head[0])
+    typed = source.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in current.schema.fields])
     version = head[0] + 1  # an upsert store holds one table, so its next version follows the table's head
-    if granularity == "table":
-        return store.publish({table: merge_rows(current, source, keys, small, max_broadcast_rows)}, watermark,
-                             version=version)
-    if small is None:
-        small = "source" in small_tables({"source": source}, max_broadcast_rows)
-    keys = list(keys)
-    src_keys = source.select(*keys)
-    hits = (current.select(*keys, F.col("_metadata.file_path").alias("_file"))
-            .join(F.broadcast(src_keys) if small else src_keys, keys, "left_semi")
-            .select("_file").distinct().collect())  # at most one row per file of the table
-    touched = {_uri(r["_file"]) for r in hits}
-    files = [f for f in current.inputFiles()]
-    kept = [f for f in files if _uri(f) not in touched]
-    if touched:
-        rewritten = merge_rows(current.sparkSession.read.format(store.fmt).load(sorted(touched)), source, keys,
-                               small, max_broadcast_rows)
-    else:
-        rewritten = source.select(*current.columns)
-    store.stage(version, {table: rewritten})
-    store.commit(version, [table], watermark, {table: json.dumps(kept + [store.path(table, version)])})
-    return version
+    return store.publish({table: merge_rows(current, typed, keys, small, max_broadcast_rows)}, watermark,
+                         version=version)
 
 
 def merge_into_table(spark: SparkSession, source: DataFrame, table_name: str, keys: Sequence[str]) -> None:

@@ -10,11 +10,11 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from goldleaf.operators.hwm import advance, read_increment
+from goldleaf.operators.hwm import advance, newest_change, read_increment
 from goldleaf.operators.quality import BLOCKING, bronze_checks
 from goldleaf.operators.upsert import latest_per_key, upsert
 from goldleaf.sources.lake import VersionedStore
-from goldleaf.spec import HWM_FLOOR, LOAD_COLUMN, NULL_CHANGE_DEFAULT, SOURCE_TABLES, TABLE_SPECS, TableSpec
+from goldleaf.spec import HWM_FLOOR, LOAD_COLUMN, SOURCE_TABLES, TABLE_SPECS, TableSpec
 
 
 @dataclass
@@ -40,10 +40,19 @@ def bronze_store(spark: SparkSession, lake_root: str, table: str) -> VersionedSt
     return VersionedStore(spark, f"{lake_root.rstrip('/')}/bronze/{table}")
 
 
+def declared_types(source: DataFrame, spec: TableSpec) -> DataFrame:
+    """``source`` with the columns that the spec's schema declares cast to their types."""
+    declared = {f.name: f.dataType for f in spec.schema.fields} if spec.schema else {}
+    changed = [f.name for f in source.schema.fields if f.name in declared and f.dataType != declared[f.name]]
+    return source.withColumns({c: F.col(f"`{c}`").cast(declared[c]) for c in changed}) if changed else source
+
+
 def ingest_table(spark: SparkSession, spec: TableSpec, source: DataFrame, store: VersionedStore,
                  as_of: str | None = None, overlap: timedelta | None = None, keep_latest: bool = False) -> IngestResult:
     """Read the increment after the stored mark, check it, upsert it and advance the mark.
 
+    Columns of ``spec.schema`` are read with their declared types (a floating-point price becomes a decimal).
+
     1. mark: the watermark of the table's last commit (1900-01-01 00:00:00 when there is none);
     2. increment: rows changed after the mark (NULL change time counts as 1900-01-01 00:00:01);
     3. the increment is stamped with the load time and landed once in the shared folder — the only
@@ -54,6 +63,7 @@ def ingest_table(spark: SparkSession, spec: TableSpec, source: DataFrame, store:
     6. keyed upsert on all key columns, published together with the new mark (never moving back).
     Replaying a run is safe: the upsert is idempotent and the mark only moves forward.
     """
+    source = declared_types(source, spec)
     head = store.latest(spec.name)
     last = head[1] if head and head[1] else HWM_FLOOR
     has_change = spec.change_col in source.columns
@@ -63,9 +73,7 @@ def ingest_table(spark: SparkSession, spec: TableSpec, source: DataFrame, store:
     obs = Observation(f"increment_{spec.name}")
     metrics = [F.count(F.lit(1)).alias("rows")]
     if has_change:
-        default = F.lit(NULL_CHANGE_DEFAULT).cast(source.schema[spec.change_col].dataType)
-        # as text, formatted in the session time zone that will read it back (not the driver's zone)
-        metrics.append(F.max(F.coalesce(F.col(spec.change_col), default)).cast("string").alias("newest"))
+        metrics.append(newest_change(source, spec.change_col).alias("newest"))
     landing = f"{store.root}/_landing/{uuid.uuid4().hex}"
     stamped.observe(obs, *metrics).write.mode("errorifexists").parquet(landing)
     observed = obs.get

@@ -16,7 +16,7 @@ from goldleaf.operators import marts, quality
 from goldleaf.operators.denorm import bridge_fanout, denormalize, inner_chain, order_lookups
 from goldleaf.operators.hwm import next_hwm, read_increment
 from goldleaf.operators.joins import sized_broadcast
-from goldleaf.operators.star import build_date_dimension, build_dimension, build_star
+from goldleaf.operators.star import build_date_dimension, build_dimension, build_fact, build_star
 from goldleaf.operators.upsert import upsert
 from goldleaf.plans.bronze import ingest_table
 from goldleaf.session import scratch_path
@@ -52,7 +52,10 @@ def _star_query(name: str) -> Query:
 
 def _bi(kind: str, grain: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        star = _star(spark, sf_dir, written=True)  # fact and dimensions both read silver
+        line = grain == "line_fact"
+        silver = denormalize(retail_source_views(spark, sf_dir), grain="line" if line else "topping")
+        # type revenue reads silver once; elsewhere fact and dimensions both read it
+        star = build_star(silver if kind == "type" else materialize(silver, "silver"))
         fact, dim_date = star["fact_order"], star["dim_date"]
         if kind == "monthly":
             return marts.monthly_revenue(fact, dim_date, grain)
@@ -66,6 +69,14 @@ def _bi(kind: str, grain: str) -> Query:
     return run
 
 
+def _line_total_from_float(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line totals of a source that delivers the price as a four-byte float."""
+    views = retail_source_views(spark, sf_dir)
+    views["pizza"] = views["pizza"].withColumn("price", F.col("price").cast("float"))
+    return build_fact(denormalize(views)).select(
+        "order_detail_id", "pizza_topping_id", "unit_price", "quantity", "total_price")
+
+
 def _star_queries() -> dict[str, Query]:
     return {
         "silver_orders": _silver,
@@ -87,7 +98,7 @@ def _bi_queries() -> dict[str, Query]:
                        ("orders_by_hour", "bi_orders_by_hour"), ("hourly", "bi_hourly_revenue"),
                        ("type", "bi_type_revenue")):
         out[name] = _bi(kind, "topping")
-        out[f"{name}_line_grain"] = _bi(kind, "line")
+        out[f"{name}_line_grain"] = _bi(kind, "line_fact")
     return out
 
 
@@ -275,6 +286,7 @@ def _relational_queries() -> dict[str, Query]:
         "project_columns": lambda s, d: _silver(s, d).select(
             "order_detail_id", "order_id", "date", "time", "pizza_id", "quantity"),
         "distinct_rows": lambda s, d: _silver(s, d).select("order_id", "date", "member_id", "bran_id").distinct(),
+        "line_total_from_float": _line_total_from_float,
         "line_total": lambda s, d: _star(s, d)["fact_order"].select(
             "order_detail_id", "pizza_topping_id", "unit_price", "quantity", "total_price"),
         "default_keys": lambda s, d: _star(s, d)["fact_order"].select(

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from goldleaf.operators.hwm import advance
+from goldleaf.operators.hwm import advance, newest_change
 from goldleaf.operators.joins import BROADCAST_MAX_ROWS
 from goldleaf.operators.quality import bronze_checks, gate
 from goldleaf.operators.upsert import latest_per_key, newer_rows, upsert
@@ -37,7 +37,7 @@ def _process(spark: SparkSession, spec: TableSpec, store: VersionedStore, as_of:
         batch.withColumn(LOAD_COLUMN, F.current_timestamp()).write.mode("errorifexists").parquet(landing)
         landed = spark.read.parquet(landing)
         stats = landed.agg(F.count(F.lit(1)).alias("rows"),
-                           F.max(spec.change_col).cast("string").alias("newest")).first()
+                           newest_change(landed, spec.change_col).alias("newest")).first()
         if not stats["rows"]:
             return
         gate(bronze_checks(landed, spec.name, spec.keys, spec.change_col, as_of,

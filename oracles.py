@@ -357,6 +357,8 @@ def relational_sql() -> dict[str, str]:
         "project_columns": silver + "SELECT order_detail_id, order_id, date, time, pizza_id, quantity FROM silver",
         "distinct_rows": silver + "SELECT DISTINCT order_id, date, member_id, bran_id FROM silver",
         "line_total": fact + "SELECT order_detail_id, pizza_topping_id, unit_price, quantity, total_price FROM fact",
+        "line_total_from_float": fact.replace("CAST(p_retailprice AS DECIMAL", "CAST(CAST(p_retailprice AS FLOAT) AS DECIMAL")
+        + "SELECT order_detail_id, pizza_topping_id, unit_price, quantity, total_price FROM fact",
         "default_keys": fact + "SELECT order_detail_id, pizza_topping_id, member_id, bran_id FROM fact",
         "join_inner_chain": src + (
             "SELECT od.order_detail_id, o.order_id, p.pizza_id, pt.pizza_type_id, o.date, od.quantity, p.price, "

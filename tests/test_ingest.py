@@ -1,6 +1,5 @@
 """Incremental ingest: marks, strict '>' semantics, rejections, idempotence, composite keys."""
 
-import json
 from datetime import datetime, timedelta
 
 import pytest
@@ -150,19 +149,49 @@ def test_upsert_creates_then_merges(spark):
     assert _rows(store) == [("a", "2")]
 
 
-def test_upsert_rewrites_only_touched_files(spark):
-    store = _store(spark)
+def test_upsert_commit_does_not_grow_with_files_and_paths_may_have_spaces(spark):
+    store = VersionedStore(spark, scratch_path(spark, "test ingest"))
     target = spark.range(0, 400).repartitionByRange(8, "id").select(
         F.col("id").cast("string").alias("id"), F.lit("t").alias("v"), F.lit(None).cast("timestamp").alias("ts"))
     store.publish({"items": target})
-    n_files = len(store.read("items").inputFiles())
     source = spark.createDataFrame([("5", "s", None), ("7", "s", None), ("new", "s", None)], "id string, v string, ts timestamp")
     assert upsert(store, "items", source, ["id"]) == 2
-    kept = [p for p in json.loads(store.location("items", 2)) if p.endswith(".parquet")]
-    assert len(kept) == n_files - 1  # keys 5 and 7 live in one file; every other file is carried over
+    assert store.location("items", 2) == store.path("items", 2)  # one folder, whatever the number of files
     got = {r.id: r.v for r in store.read("items").collect()}
     assert len(got) == 401 and got["5"] == got["7"] == got["new"] == "s" and got["6"] == "t"
-    whole = _store(spark)
-    whole.publish({"items": target})
-    upsert(whole, "items", source, ["id"], granularity="table")
-    assert sorted(whole.read("items").collect()) == sorted(store.read("items").collect())
+    assert upsert(store, "items", spark.createDataFrame([("none", "s", None)], source.schema), ["id"]) == 3
+    assert store.read("items").count() == 402
+
+
+def test_upsert_casts_to_the_target_types(spark):
+    store = _store(spark)
+    upsert(store, "items", spark.createDataFrame([("a", 1), ("b", 2)], "id string, n int"), ["id"])
+    upsert(store, "items", spark.createDataFrame([(3, "b"), (4, "c")], "n bigint, id string"), ["id"])
+    assert sorted(tuple(r) for r in store.read("items").collect()) == [("a", 1), ("b", 3), ("c", 4)]
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
+        upsert(store, "items", spark.createDataFrame([("d", 2**40)], "id string, n bigint"), ["id"])
+    assert store.latest("items")[0] == 2 and store.read("items").count() == 3
+
+
+@pytest.mark.parametrize("first,second,later", [
+    ("UTC", "America/New_York", ["2024-01-05 12:00:00Z", "2024-01-05 13:00:00Z"]),
+    ("America/New_York", "America/New_York", ["2023-11-05 05:30:00Z", "2023-11-05 06:15:00Z"]),  # 01:30, then 01:15 again
+    ("Asia/Seoul", "UTC", ["2024-01-05 12:00:00Z", "2024-01-05 12:00:01Z"]),
+])
+def test_mark_is_an_instant(spark, first, second, later):
+    store, zone = _store(spark), spark.conf.get("spark.sql.session.timeZone")
+
+    def source(n):
+        rows = [(f"k{i}", "1", t) for i, t in enumerate(later[:n])]
+        return spark.createDataFrame(rows, "id string, v string, t string").select(
+            "id", "v", F.col("t").cast("timestamp").alias("last_updated_timestamp"))
+
+    try:
+        spark.conf.set("spark.sql.session.timeZone", first)
+        ingest_table(spark, SPEC, source(1), store, AS_OF)
+        spark.conf.set("spark.sql.session.timeZone", second)
+        res = ingest_table(spark, SPEC, source(2), store, AS_OF)
+        assert (res.status, res.rows, res.watermark) == ("loaded", 1, later[1].rstrip("Z"))
+        assert ingest_table(spark, SPEC, source(2), store, AS_OF).status == "empty"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

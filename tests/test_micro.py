@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from goldleaf.operators import marts, quality
 from goldleaf.operators.denorm import denormalize
-from goldleaf.operators.star import build_star
+from goldleaf.operators.star import build_fact, build_star
 from goldleaf.spec import SILVER_COLUMNS, TABLE_KEYS
 from micro import micro_tables
 
@@ -76,6 +76,16 @@ def test_revenue_by_type(star):
                 "pizza_type_id", "r") == {"T1": D("35.50"), "T2": D("12.25"), "T3": D("27.00")}
 
 
+def test_line_grain_needs_no_topping_row(spark, star):
+    line = build_fact(denormalize(micro_tables(spark), grain="line"))
+    cut = star["fact_order"].where("pizza_topping_id IS NULL OR pizza_topping_id <> 'P1'")  # the smallest topping is gone
+    expected = {"T1": D("35.50"), "T2": D("12.25"), "T3": D("27.00")}
+    assert _map(marts.type_revenue(line, "line_fact"), "pizza_type_id", "revenue") == expected
+    assert _map(marts.type_revenue(cut, "line"), "pizza_type_id", "revenue") == expected
+    assert line.where("pizza_topping_id IS NOT NULL").count() == 0
+    assert line.schema.simpleString() == star["fact_order"].schema.simpleString()
+
+
 def test_monthly_revenue_sorted(star):
     for grain, expected in (("topping", [("20151", D("95.50")), ("20152", D("27.00"))]),
                             ("line", [("20151", D("47.75")), ("20152", D("27.00"))])):

@@ -3,6 +3,7 @@
 import contextlib
 import io
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -93,3 +94,17 @@ def test_command_line_stages(spark, capsys):
     assert main(["silver", "--lake", lake]) == 0
     assert main(["gold", "--lake", lake]) == 1  # item type T3 has no topping: strict gate blocks
     assert main(["gold", "--lake", lake, "--optional-fk", "pizza_topping_id"]) == 0
+
+
+def test_float_price_source_reaches_gold(spark):
+    lake = scratch_path(spark, "test-lake")
+    src = _sources(spark, drop_lines=("4",))
+    src["pizza"] = src["pizza"].withColumn("price", (F.col("price") + F.lit(0.10)).cast("float"))
+    run_bronze(spark, src, lake, as_of=AS_OF)
+    run_silver(spark, lake)
+    run_gold(spark, lake)
+    fact = read_gold(spark, lake)["fact_order"]
+    assert fact.schema["unit_price"].dataType == fact.sparkSession.read.parquet(
+        silver_store(spark, lake).path(SILVER_TABLE, 1)).schema["price"].dataType
+    assert fact.where("order_detail_id = '1'").select("unit_price", "total_price").distinct().collect() == [
+        (Decimal("10.10"), Decimal("20.20"))]

@@ -7,15 +7,17 @@ whose bound reaches the needed overlap are opened: there the exact overlaps with
 
 Exactness. Tokens have one global order. Two sets with 100 * inter >= t * union share at least
 o = ceil(t * n / 100) tokens (n: the larger size), so their first n - o + k tokens share at least
-min(k, o) of them, k being that of the smaller set. The matrix holds these first tokens only; the bound is never too small. The order puts
-tokens of many texts last, so a passage that many documents share is rarely among the first tokens: it
-decides how much work is done, not what is found.
-
-Links that only confirm what is known already are saved. First, classes with the same least token in one
-of a few random orders are compared; their components are the groups of the matrix, so tokens that only
-one component has drop out of it, and a family of thousands of near copies costs its size, not its square.
-Then one class per (component, group) asks, and in a last round every remaining class asks every group that
-holds a member of another component: each link between different components is looked for.
+min(k, o) of them, k being that of the smaller set. The matrix holds these first tokens only; the bound is never too small. The order goes
+by a count of the texts that hold a token, so a passage that many documents share is rarely among the first
+tokens: it decides how much work is done, not what is found.
+
+Links that only confirm what is known already are saved. First, classes with the same least tokens in two
+random orders are compared with a few of them. Links among them make components; tokens that only one
+component has drop out of the matrix, so a family of thousands of near copies costs its size, not its square.
+Components that are merely alike share a group of the matrix, so thousands of texts that are nearly similar
+enough meet a group, not each other. Then one class per (component, group) asks, and in a last round every
+remaining class asks every group that holds a member of another component: each link between different
+components is looked for.
 
 Tokens are 64-bit hashes of shingles and classes 128-bit hashes of token sets (an accidental equality of
 two tokens has probability 2^-64).
@@ -44,8 +46,11 @@ from goldleaf.llm.components import components
 SHINGLE_WORDS, MIN_PERCENT = 5, 80
 SHARED, SHARED_PART = 3, 16  # k: of a set's first tokens, 3 or a sixteenth of its size must be shared
 COUNT_TOKENS, COMMON_IN_COUNT = 2_000_000, 2  # tokens are counted over so many at a time; kept if in two texts of them
-COMMON_MAX = 500_000  # common tokens that are put last, at most (8 bytes each); the order changes no result
-LEADS = 4  # turns in which classes with the same leading token are compared first
+COMMON_MAX = 500_000  # common tokens that are put last, at most (16 bytes each); the order changes no result
+LEADS = 4  # turns in which classes with the same leading tokens are compared first
+LEAD_ROUNDS = ((0,), (1, 2, 3))  # later turns take one class for all of its component
+ALIKE_PERCENT = 40  # components with so similar members are put into one group; it changes no result
+LEADERS = 8  # classes of a group that the others are compared with in a turn
 GROUP_TOKENS = 500_000  # larger groups are split into parts of about so many tokens
 
 _MIX = [np.uint64(int(xxhash.xxh3_64_intdigest(b"place %d" % i)) | 1) for i in range(64)]
@@ -105,8 +110,8 @@ def linked(shared: np.ndarray, a, b, percent: int):
     return 100 * shared >= percent * (a + b - shared)
 
 
-def _common_tokens(docs: DataFrame, words: int) -> np.ndarray:
-    """Tokens that many texts hold, found by counting all texts in runs of a bounded size; bounded itself."""
+def _common_tokens(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens that many texts hold, sorted, and their counts, from all texts in runs of a bounded size; bounded itself."""
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, run, size = Shingler(words), [], 0
 
@@ -135,23 +140,32 @@ def _common_tokens(docs: DataFrame, words: int) -> np.ndarray:
         if total > COMMON_MAX:
             bar = row["n"] + 1
             break
-    top = counts.where(F.col("n") >= bar).select("token").toArrow().column("token").to_numpy()
-    return np.sort(top.view(np.uint64))
+    top = counts.where(F.col("n") >= bar).select("token", "n").toArrow()
+    tokens, n = top.column("token").to_numpy().view(np.uint64), top.column("n").to_numpy()
+    order = np.argsort(tokens)
+    return tokens[order], n[order]
 
 
-def _is_in(tokens: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+def _counts(tokens: np.ndarray, ordered: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The known counts of ``tokens``, 0 for those that are not common."""
     if not len(ordered):
-        return np.zeros(len(tokens), bool)
+        return np.zeros(len(tokens), np.int64)
     at = np.searchsorted(ordered, tokens)
     at[at == len(ordered)] = 0
-    return ordered[at] == tokens
+    return np.where(ordered[at] == tokens, counts[at], 0)
+
 
+def _leads(tokens: np.ndarray) -> np.ndarray:
+    """One value a turn, of the least tokens in two of ``LEADS`` random orders."""
+    least = np.array([_scrambled(tokens ^ _MIX[turn]).min() for turn in range(LEADS)], np.uint64)
+    return _scrambled(least + np.roll(least, -1) * _SALT).view(np.int64)
 
-def _heads(docs: DataFrame, words: int, percent: int, common: np.ndarray) -> DataFrame:
+
+def _heads(docs: DataFrame, words: int, percent: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """``uid, doc_id, n_shingles, cls, leads, first`` of every text.
 
-    ``first`` are its first tokens in the global order, ``leads`` its least tokens in ``LEADS`` random orders
-    (common tokens left out if there are others).
+    ``first`` are its first tokens in the global order (by count, then value), ``leads`` its leading tokens
+    of ``LEADS`` turns.
     """
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
@@ -162,13 +176,11 @@ def _heads(docs: DataFrame, words: int, percent: int, common: np.ndarray) -> Dat
             for data in utf8(batch.column(2)):
                 tokens = shingler.tokens(data)
                 n = len(tokens)
-                late = _is_in(tokens, common)
-                ordered = np.concatenate([tokens[~late], tokens[late]])
+                ordered = tokens[np.argsort(_counts(tokens, *common), kind="stable")]
                 sizes.append(n)
                 classes.append(_class_of(tokens) if n else None)
                 firsts.append(ordered[:n - needed(n, percent) + overlap(n)].view(np.int64))
-                rare = tokens if late.all() else tokens[~late]
-                leads.append([int(_scrambled(rare ^ _MIX[turn]).view(np.int64).min()) for turn in range(LEADS)] if n else [])
+                leads.append(_leads(tokens).tolist() if n else [])
             offsets = np.concatenate([[0], np.cumsum([len(f) for f in firsts])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int64), *firsts])))
             yield pa.RecordBatch.from_arrays(
@@ -216,27 +228,24 @@ def _sorted_sets(rows: pd.Series) -> list[np.ndarray]:
     return [np.frombuffer(r, np.uint64) for r in rows]
 
 
-def _link_members(group: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
-    """Links that connect all linked members of one group."""
+def _link_members(group: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links (and alike pairs, not ``exact``) of a group's members with a few of them; the token-group matrix
+    finds the other links."""
     group = group.sort_values("cid")
     ids, sets = group["cid"].to_numpy(), _sorted_sets(group["tokens"])
-    rest, out, clusters = list(range(len(sets))), [], []
-    for _ in range(4):  # near copies of a few leading members go with them; each costs its own size
-        if not rest:
+    rest, out = list(range(len(sets))), []
+    for _ in range(LEADERS):  # near copies of a few leading members go with them; each costs its own size
+        if len(rest) < 2:
             break
-        lead = rest[0]
-        near = {i for i in rest[1:] if linked(
-            len(np.intersect1d(sets[lead], sets[i], assume_unique=True)), len(sets[lead]), len(sets[i]), percent)}
-        out += [(ids[i], ids[lead]) for i in sorted(near)]
-        clusters.append(near | {lead})
-        rest = [i for i in rest[1:] if i not in near]
-    # the largest cluster hangs together: every other link has an end outside it
-    settled = max(clusters, key=len)
-    members = _Members(sets)
-    for i in range(len(sets)):
-        if i not in settled:
-            out += [(ids[i], ids[j]) for j in members.linked_with(sets[i], percent) if j != i]
-    return out
+        lead, others, rest = rest[0], rest[1:], []
+        for i in others:
+            shared, sizes = len(np.intersect1d(sets[lead], sets[i], assume_unique=True)), (len(sets[lead]), len(sets[i]))
+            exact = linked(shared, *sizes, percent)
+            if exact or linked(shared, *sizes, ALIKE_PERCENT):
+                out.append((ids[i], ids[lead], exact))
+            if not exact:
+                rest.append(i)
+    return pd.DataFrame(out, columns=["a", "b", "exact"]).astype({"a": "int64", "b": "int64", "exact": "bool"})
 
 
 def _links_with_group(members: pd.DataFrame, queries: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
@@ -265,24 +274,26 @@ def _opened(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     return renewed(members).groupBy("grp").cogroup(renewed(pairs).groupBy("grp")).applyInPandas(verify, _LINK)
 
 
-def _with_components(classes: DataFrame, links: DataFrame) -> DataFrame:
+def _with_components(classes: DataFrame, links: DataFrame, name: str = "comp") -> DataFrame:
     comps = components(links)
-    return classes.drop("comp").join(comps.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
-        "comp", F.coalesce("root", "cid")).drop("root")
+    return classes.drop(name).join(comps.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
+        name, F.coalesce("root", "cid")).drop("root")
 
 
-def _split(rows: DataFrame, *by: str) -> DataFrame:
-    """``rows`` (with ``size``) and ``grp``: one number per value of ``by``, several when its sizes add up to much."""
+def _split(rows: DataFrame, *by: str, key: str = "cid") -> DataFrame:
+    """``rows`` (with ``size``) and ``grp``: one number per value of ``by``, several when its sizes add up to
+    much; rows with the same ``key`` stay together."""
     weight = rows.groupBy(*by).agg(F.sum("size").alias("_weight"), F.count(F.lit(1)).alias("_n"))
     parts = F.expr(f"_weight div {GROUP_TOKENS} + 1")
-    return rows.join(weight, list(by)).withColumn("grp", F.xxhash64(*by, F.pmod(F.xxhash64("cid"), parts))).drop("_weight")
+    return rows.join(weight, list(by)).withColumn("grp", F.xxhash64(*by, F.pmod(F.xxhash64(key), parts))).drop("_weight")
 
 
 def _lead_components(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
-    """``cid, comp`` of the classes that share a leading token with another: components of the links among them.
+    """``cid, comp, alike`` of the classes that share a turn's leading tokens with another: components of the
+    links, and of the alike pairs, found among them.
 
-    One turn per leading token. In later turns one class stands for all of its component in a group, so a
-    family of near copies costs its size once.
+    In later rounds one class stands for all of its component in a group, so a family of near copies costs
+    its size once.
     """
     leading = classes.select("cid", "size", F.posexplode("leads").alias("turn", "lead"))
     crowded = leading.groupBy("turn", "lead").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("turn", "lead")
@@ -291,15 +302,15 @@ def _lead_components(docs: DataFrame, classes: DataFrame, words: int, percent: i
     sets = written(_sets(docs, wanted, words), "op5-sets")
     state = wanted.withColumn("comp", F.col("cid"))
     found = None
-    for turn in range(LEADS):
-        standing = leading.where(F.col("turn") == turn).join(state, "cid").groupBy("lead", "comp").agg(
-            F.min(F.struct("cid", "size")).alias("one")).select("lead", "one.cid", "one.size")
-        asked = written(_split(standing, "lead").where("_n > 1").select("cid", "grp"), "op5-asked")
+    for turns in LEAD_ROUNDS:
+        standing = leading.where(F.col("turn").isin(*turns)).join(state, "cid").groupBy("turn", "lead", "comp").agg(
+            F.min(F.struct("cid", "size")).alias("one")).select("turn", "lead", "one.cid", "one.size")
+        asked = written(_split(standing, "turn", "lead").where("_n > 1").select("cid", "grp"), "op5-asked")
         links = sets.join(broadcast_if_few(asked), "cid").groupBy("grp").applyInPandas(
-            lambda group: _frame(_link_members(group, percent)), _LINK)
+            lambda group: _link_members(group, percent), f"{_LINK}, exact boolean")
         found = written(links if found is None else found.unionByName(links), "op5-links")
-        state = written(_with_components(wanted, found), "op5-comps")
-    return state
+        state = written(_with_components(wanted, found.where("exact")), "op5-comps")
+    return written(_with_components(state, found, "alike"), "op5-alike")
 
 
 def link_classes(docs: DataFrame, heads: DataFrame, words: int, percent: int) -> DataFrame:
@@ -308,9 +319,13 @@ def link_classes(docs: DataFrame, heads: DataFrame, words: int, percent: int) ->
     classes = written(heads.select("uid", "leads", F.col("n_shingles").alias("size")).join(
         broadcast_if_few(cids), "uid", "left_semi").withColumnRenamed("uid", "cid"), "op5-classes")
     near = _lead_components(docs, classes, words, percent)
-    # from here on a group is a component, split when it is large
-    whole = classes.select("cid", "size").join(near, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-    grouped = written(_split(whole, "comp").select("cid", "size", "comp", "grp"), "op5-grouped")
+    # a group holds alike components; a large component has groups of its own
+    whole = classes.select("cid", "size").join(near, "cid", "left").withColumn(
+        "comp", F.coalesce("comp", "cid")).withColumn("alike", F.coalesce("alike", "cid"))
+    weight = whole.groupBy("comp").agg((F.sum("size") > GROUP_TOKENS).alias("large"))
+    whole = written(whole.join(weight, "comp"), "op5-whole")
+    grouped = written(_split(whole.where("large"), "comp").unionByName(
+        _split(whole.where("NOT large"), "alike", key="comp")).select("cid", "size", "comp", "grp"), "op5-grouped")
     # token-group matrix: the groups of every token that several components have, with their members' sizes
     of_class = broadcast_if_few(written(grouped.select(F.col("cid").alias("uid"), "comp"), "op5-of-class"))
     entries = heads.select("uid", "first").join(of_class, "uid").select(
@@ -319,9 +334,10 @@ def link_classes(docs: DataFrame, heads: DataFrame, words: int, percent: int) ->
                    .select("token"), "op5-held")
     shared_entries = written(entries.select("cid", "token").join(broadcast_if_few(held), "token", "left_semi").join(
         grouped, "cid"), "op5-entries")
-    matrix = shared_entries.groupBy("token", "comp", "grp").agg(F.min("size").alias("low"), F.max("size").alias("high"))
+    matrix = shared_entries.groupBy("token", "grp").agg(
+        F.min("size").alias("low"), F.max("size").alias("high"), F.min("comp").alias("least"), F.max("comp").alias("most"))
     asked = shared_entries.select("token", "cid", "size", F.col("comp").alias("own")).join(matrix, "token").where(
-        f"comp <> own AND 100 * high >= {percent} * size AND 100 * size >= {percent} * low")
+        f"(least <> own OR most <> own) AND 100 * high >= {percent} * size AND 100 * size >= {percent} * low")
     # a smaller partner has at least this size, and k grows with the size
     partner = F.ceil(F.col("size") * percent / 100)
     at_least = F.least(F.greatest(F.lit(SHARED), F.floor(partner / SHARED_PART)), partner)
@@ -333,6 +349,7 @@ def link_classes(docs: DataFrame, heads: DataFrame, words: int, percent: int) ->
     sets = written(_sets(docs, wanted, words), "op5-sets")
 
     start = grouped.select(F.col("cid").alias("a"), F.col("comp").alias("b")).where("a <> b")
+    first_asked = None
     found, comps = written(start, "op5-links"), written(grouped.select("cid", "comp"), "op5-comps")
     for last in (False, True):
         kinds = members.join(comps, "cid").groupBy("grp").agg(F.min("comp").alias("least"), F.max("comp").alias("most"))
@@ -340,7 +357,9 @@ def link_classes(docs: DataFrame, heads: DataFrame, words: int, percent: int) ->
         if not last:  # of each component one class, the one that shares most, asks a group
             open_pairs = open_pairs.groupBy("comp", "grp").agg(
                 F.max(F.struct("shared", "cid")).alias("best")).select("comp", "grp", F.col("best.cid").alias("cid"))
-        open_pairs = written(open_pairs.select("cid", "comp", "grp"), "op5-open")
+        else:  # the answers to the first are known
+            open_pairs = open_pairs.join(first_asked.select("cid", "grp"), ["cid", "grp"], "left_anti")
+        open_pairs = first_asked = written(open_pairs.select("cid", "comp", "grp"), "op5-open")
         groups = open_pairs.select("grp").distinct()
         answers = written(members.join(groups, "grp", "left_semi").join(comps, "cid").select("cid", "comp", "grp"), "op5-answers")
         more = _opened(sets.join(broadcast_if_few(open_pairs), "cid"), sets.join(broadcast_if_few(answers), "cid"), percent)

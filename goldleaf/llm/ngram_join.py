@@ -64,19 +64,16 @@ def _scrambled(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _distinct(tokens: np.ndarray) -> np.ndarray:
+    tokens = np.sort(tokens)
+    return tokens[np.concatenate([[True], tokens[1:] != tokens[:-1]])]
+
+
 class Shingler:
     """Sorted distinct token hashes of a text."""
 
-    def __init__(self, words: int, limit: int = 300_000):
-        self.words, self.limit, self.known = words, limit, {}
-
-    def _word_hashes(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        if len(known) > self.limit:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    def __init__(self, words: int):
+        self.words = words
 
     def tokens(self, data: bytes | None) -> np.ndarray:
         words = (data or b"").lower().split()  # bytes: A-Z only, and white space is x09-x0D and x20
@@ -84,12 +81,14 @@ class Shingler:
             return np.empty(0, np.uint64)
         if len(words) < self.words:
             return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=len(words))], np.uint64)
-        h = self._word_hashes(words)
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
         n = len(h) - self.words + 1
         out = np.full(n, _SALT)
-        for i in range(self.words):
-            out = _scrambled(out + h[i:i + n] * _MIX[i % 64])
-        return np.unique(out)
+        for i in range(self.words):  # a sum with one odd factor a place, of hashes that are random already
+            out += h[i:i + n] * _MIX[i % 64]
+            if i % 64 == 63:  # the factors start again
+                out = _scrambled(out)
+        return _distinct(_scrambled(out))
 
 
 def _class_of(tokens: np.ndarray) -> bytes:
@@ -157,7 +156,7 @@ def _counts(tokens: np.ndarray, ordered: np.ndarray, counts: np.ndarray) -> np.n
 
 def _leads(tokens: np.ndarray) -> np.ndarray:
     """One value a turn, of the least tokens in two of ``LEADS`` random orders."""
-    least = np.array([_scrambled(tokens ^ _MIX[turn]).min() for turn in range(LEADS)], np.uint64)
+    least = np.array([(tokens * _MIX[turn]).min() for turn in range(LEADS)], np.uint64)
     return _scrambled(least + np.roll(least, -1) * _SALT).view(np.int64)
 
 

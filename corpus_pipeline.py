@@ -40,10 +40,11 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by 0.8 Jaccard similarity of five-word shingles the smallest doc_id.
 
-    Documents without words are linked with nothing and stay.
+    Documents without words are linked with nothing and stay. Groups are told apart by their rows, not by
+    doc_id: ids may be null or repeat. A group without any id keeps its first row.
     """
     linked = similar_documents(docs)
-    first = linked.where("n_shingles > 0").groupBy("component_id").agg(
+    first = linked.where("n_shingles > 0").groupBy("component").agg(
         F.min(F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), F.col("uid"))).alias("uid"))
     return _rows_of(docs, first.select("uid").unionByName(linked.where("n_shingles = 0").select("uid")))
 

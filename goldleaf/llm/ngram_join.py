@@ -369,10 +369,11 @@ def link_classes(docs: DataFrame, heads: DataFrame, words: int, percent: int) ->
 
 def similar_documents(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = MIN_PERCENT, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id, uid`` of every row.
+    """``doc_id, n_shingles, component_id, uid, component`` of every row.
 
     Rows link when 100 * intersection >= percent * union of their sets of ``words``-word shingles;
-    ``component_id`` is the smallest doc_id that links reach, the row's own included.
+    ``component_id`` is the smallest doc_id that links reach, the row's own included. ``component``, the uid
+    of one of its rows, tells components apart that have no doc_id or share one.
     """
     importable_on_workers(docs.sparkSession)
     docs = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(f"`{id_col}`").alias("doc_id"),
@@ -383,8 +384,9 @@ def similar_documents(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int
         F.min("uid").alias("cid"), F.min("doc_id").alias("least"))
     named = written(classes.join(of_class, "cid").select("cls", "comp", "least"), "op5-named")
     least = named.groupBy("comp").agg(F.min("least").alias("component_id"))
-    known = written(named.join(least, "comp").select("cls", "component_id"), "op5-known")
+    known = written(named.join(least, "comp").select("cls", "component_id", F.col("comp").alias("component")), "op5-known")
     some = heads.where("n_shingles > 0").select("doc_id", "n_shingles", "cls", "uid").join(known, "cls").select(
-        "doc_id", "n_shingles", "component_id", "uid")
-    none = heads.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "uid")
+        "doc_id", "n_shingles", "component_id", "uid", "component")
+    none = heads.where("n_shingles = 0").select(
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "uid", F.col("uid").alias("component"))
     return some.unionByName(none)

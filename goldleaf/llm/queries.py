@@ -41,7 +41,7 @@ def llm_queries() -> dict[str, Query]:
         "op2_mix_sources": _documents(sampling_plan),
         "op3_collision_ann": lambda spark, sf_dir: neighbours_of_table(read_test_table(spark, sf_dir, "embeddings")),
         "op4_token_count": _documents(count_tokens),
-        "op5_ngram_join": _documents(lambda docs: similar_documents(docs, words=4, percent=85).drop("uid")),
+        "op5_ngram_join": _documents(lambda docs: similar_documents(docs, words=4, percent=85).drop("uid", "component")),
         "op6_pu_quality": lambda spark, sf_dir: classify_quality(
             read_test_table(spark, sf_dir, "documents"), read_test_table(spark, sf_dir, "labels")),
         "op7_best_fit_packing": _documents(lambda docs: pack_documents(docs).drop("uid")),

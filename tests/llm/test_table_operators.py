@@ -278,3 +278,16 @@ def test_pipeline_keeps_rows_of_odd_tables(spark, tmp_path_factory):
         odd = corpus_pipeline.written(stage(spark, odd, "/root/testdata/sf0.001"), "test-odd")
         assert odd.count() > 0
     assert "uid" in odd.columns and odd.where("text = 'a'").count() <= 1
+
+
+def test_near_copies_of_rows_without_or_with_repeated_ids(spark, tmp_path_factory):
+    """Different texts under a null or a repeated doc_id are no copies of each other."""
+    plain = lambda name, n=30: " ".join(f"{name}{i}" for i in range(n))
+    rows = [(None, plain("a")), (None, plain("b")), (None, plain("c")), (5, plain("d")), (5, plain("e")), (5, plain("f")),
+            (None, plain("g", 60)), (9, plain("g", 60) + " end"), (8, plain("g", 60) + " stop"),
+            (None, plain("h", 60)), (None, plain("h", 60) + " end"), (None, None), (None, ""), (5, plain("e"))]
+    docs = frame_of(spark, rows, tmp_path_factory)
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
+    # of the texts g the one with the smallest id; of the texts h, which have no id, any one
+    assert len([t for d, t in got if d is None and t in (rows[9][1], rows[10][1])]) == 1
+    assert sets_of(x for x in got if x not in rows[9:11]) == sets_of([*rows[:6], rows[8], rows[11], rows[12]])

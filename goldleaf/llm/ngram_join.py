@@ -51,7 +51,7 @@ LEADS = 4  # turns in which classes with the same leading tokens are compared fi
 LEAD_ROUNDS = ((0,), (1, 2, 3))  # later turns take one class for all of its component
 ALIKE_PERCENT = 40  # components with so similar members are put into one group; it changes no result
 LEADERS = 8  # classes of a group that the others are compared with in a turn
-GROUP_TOKENS = 500_000  # larger groups are split into parts of about so many tokens
+GROUP_TOKENS = 500_000  # larger groups, and all that ask one group, are split into parts of about so many tokens
 
 _MIX = [np.uint64(int(xxhash.xxh3_64_intdigest(b"place %d" % i)) | 1) for i in range(64)]
 _SALT = np.uint64(0x9E3779B97F4A7C15)
@@ -265,12 +265,15 @@ def _frame(pairs: list[tuple[int, int]]) -> pd.DataFrame:
 
 
 def _opened(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Links found by opening groups. ``pairs``: cid, comp, tokens, grp; ``members``: cid, comp, tokens, grp."""
+    """Links found by opening groups. ``pairs``: cid, comp, tokens, part; ``members``: cid, comp, tokens, part.
+
+    A part is a group with some of the classes that ask it: both sides of a task are bounded.
+    """
     def verify(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         return _frame(_links_with_group(left, right, percent) if len(left) and len(right) else [])
 
-    renewed = lambda df: df.select(*[F.col(c).alias(c) for c in ("cid", "comp", "tokens", "grp")])
-    return renewed(members).groupBy("grp").cogroup(renewed(pairs).groupBy("grp")).applyInPandas(verify, _LINK)
+    renewed = lambda df: df.select(*[F.col(c).alias(c) for c in ("cid", "comp", "tokens", "part")])
+    return renewed(members).groupBy("part").cogroup(renewed(pairs).groupBy("part")).applyInPandas(verify, _LINK)
 
 
 def _with_components(classes: DataFrame, links: DataFrame, name: str = "comp") -> DataFrame:
@@ -279,12 +282,12 @@ def _with_components(classes: DataFrame, links: DataFrame, name: str = "comp") -
         name, F.coalesce("root", "cid")).drop("root")
 
 
-def _split(rows: DataFrame, *by: str, key: str = "cid") -> DataFrame:
-    """``rows`` (with ``size``) and ``grp``: one number per value of ``by``, several when its sizes add up to
+def _split(rows: DataFrame, *by: str, key: str = "cid", name: str = "grp") -> DataFrame:
+    """``rows`` (with ``size``) and ``name``: one number per value of ``by``, several when its sizes add up to
     much; rows with the same ``key`` stay together."""
     weight = rows.groupBy(*by).agg(F.sum("size").alias("_weight"), F.count(F.lit(1)).alias("_n"))
     parts = F.expr(f"_weight div {GROUP_TOKENS} + 1")
-    return rows.join(weight, list(by)).withColumn("grp", F.xxhash64(*by, F.pmod(F.xxhash64(key), parts))).drop("_weight")
+    return rows.join(weight, list(by)).withColumn(name, F.xxhash64(*by, F.pmod(F.xxhash64(key), parts))).drop("_weight")
 
 
 def _lead_components(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
@@ -341,7 +344,7 @@ def link_classes(docs: DataFrame, heads: DataFrame, words: int, percent: int) ->
     partner = F.ceil(F.col("size") * percent / 100)
     at_least = F.least(F.greatest(F.lit(SHARED), F.floor(partner / SHARED_PART)), partner)
     pairs = written(asked.groupBy("cid", "size", "grp").agg(F.count(F.lit(1)).alias("shared"))
-                    .where(F.col("shared") >= at_least).select("cid", "grp", "shared"), "op5-pairs")
+                    .where(F.col("shared") >= at_least).select("cid", "size", "grp", "shared"), "op5-pairs")
     opened = pairs.select("grp").distinct()
     members = written(grouped.join(opened, "grp", "left_semi").select("cid", "grp"), "op5-members")
     wanted = written(members.select("cid").unionByName(pairs.select("cid")).distinct(), "op5-wanted")
@@ -355,12 +358,13 @@ def link_classes(docs: DataFrame, heads: DataFrame, words: int, percent: int) ->
         open_pairs = pairs.join(comps, "cid").join(kinds, "grp").where("least <> comp OR most <> comp")
         if not last:  # of each component one class, the one that shares most, asks a group
             open_pairs = open_pairs.groupBy("comp", "grp").agg(
-                F.max(F.struct("shared", "cid")).alias("best")).select("comp", "grp", F.col("best.cid").alias("cid"))
+                F.max(F.struct("shared", "cid", "size")).alias("best")).select("comp", "grp", "best.cid", "best.size")
         else:  # the answers to the first are known
             open_pairs = open_pairs.join(first_asked.select("cid", "grp"), ["cid", "grp"], "left_anti")
-        open_pairs = first_asked = written(open_pairs.select("cid", "comp", "grp"), "op5-open")
-        groups = open_pairs.select("grp").distinct()
-        answers = written(members.join(groups, "grp", "left_semi").join(comps, "cid").select("cid", "comp", "grp"), "op5-answers")
+        open_pairs = written(open_pairs.select("cid", "comp", "size", "grp"), "op5-open")
+        open_pairs = first_asked = written(_split(open_pairs, "grp", name="part").select("cid", "comp", "grp", "part"), "op5-asked")
+        parts = open_pairs.select("grp", "part").distinct()  # a group answers every part of those that ask it
+        answers = written(members.join(parts, "grp").join(comps, "cid").select("cid", "comp", "part"), "op5-answers")
         more = _opened(sets.join(broadcast_if_few(open_pairs), "cid"), sets.join(broadcast_if_few(answers), "cid"), percent)
         found = written(found.unionByName(more), "op5-links")
         comps = written(_with_components(grouped.select("cid"), found), "op5-comps")

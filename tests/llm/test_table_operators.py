@@ -117,6 +117,29 @@ def test_join_of_all_documents_matches_brute_force(spark):
     assert ngram_join.similar_documents(docs.where("doc_id < 0")).collect() == []
 
 
+def test_classes_that_ask_a_group_are_split(spark, tmp_path, tmp_path_factory, monkeypatch):
+    """A family that is alike but not linked: no task gets all of those that ask one of its groups."""
+    bound, real, seen = 1000, ngram_join._links_with_group, str(tmp_path)
+
+    def watched(members, queries, percent):
+        import os
+        import uuid
+        sizes = [sum(len(t) // 8 for t in rows["tokens"]) for rows in (members, queries)]
+        open(os.path.join(seen, f"{sizes[0]}-{sizes[1]}-{uuid.uuid4().hex}"), "w").close()
+        return real(members, queries, percent)
+
+    monkeypatch.setattr(ngram_join, "GROUP_TOKENS", bound)
+    monkeypatch.setattr(ngram_join, "_links_with_group", watched)
+    base = " ".join(f"b{i}" for i in range(100))
+    rows = [(i, base + "".join(f" t{i}.{j}" for j in range(15))) for i in range(90)]  # 96 of 126 tokens shared
+    rows += [(100 + i, f"{t} end") for i, t in rows[:5]]
+    got = ngram_join.similar_documents(frame_of(spark, rows, tmp_path_factory)).collect()
+    assert sets_of((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sets_of(brute_components(rows, 5, 80))
+    tasks = [tuple(map(int, p.name.split("-")[:2])) for p in tmp_path.iterdir()]
+    assert sum(q for _, q in tasks) > 90 * 111  # the family did ask
+    assert max(m for m, _ in tasks) < 4 * bound and max(q for _, q in tasks) < 4 * bound
+
+
 def test_members_linked_through_different_leaders():
     """Two members that follow different leaders may be each other's only link."""
     tokens = lambda *parts: np.array(sorted(x for a, b in parts for x in range(a, b)), np.uint64).tobytes()

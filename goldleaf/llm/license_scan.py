@@ -1,9 +1,9 @@
 """Licence scan: sparse TF-IDF cosine to templates, then inheritance from the nearest ancestor directory.
 
 A file's header is its lines that speak of licences, wherever they stand. Header and template terms become
-sparse vectors, weighted by inverse document frequency over all headers; the cosine with every template
-comes from one join on terms (the templates' terms are a fixed, small table) and one grouped sum. The best
-template from ``ACCEPT`` on is the file's own licence.
+sparse vectors, weighted by inverse document frequency over all headers; the products with every template come
+from one join on terms (the templates' terms are a fixed, small table) and one grouped sum, the vectors'
+lengths from all terms of a header. The best template from ``ACCEPT`` on is the file's own licence.
 
 Files named LICENSE, LICENCE, COPYING or NOTICE speak for their directory. A file without a licence of its
 own takes that of the nearest directory above it. This is worked out per distinct directory: its ancestors
@@ -26,7 +26,66 @@ from goldleaf.llm.common import written
 
 ACCEPT = 0.55
 
-# The words by which licences are declared, by SPDX name.
+MIT_TEXT = """MIT License
+Copyright (c)
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the
+Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
+COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+MIT_LINES = """MIT License
+Copyright (c)
+Permission is hereby granted, free of charge, to any person obtaining a copy
+The above copyright notice and this permission notice shall be included in all
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER"""
+BSD_TEXT = """BSD 3-Clause License
+Copyright (c) All rights reserved.
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+BSD_LINES = """BSD 3-Clause License
+Copyright (c) All rights reserved.
+Redistribution and use in source and binary forms, with or without
+1. Redistributions of source code must retain the above copyright notice, this
+2. Redistributions in binary form must reproduce the above copyright notice,
+3. Neither the name of the copyright holder nor the names of its
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE"""
+BSD2_TEXT, BSD2_LINES = (re.sub(r"(?s)3\. Neither.*?(?=THIS SOFTWARE)", "", x).replace("3-Clause", "2-Clause")
+                         for x in (BSD_TEXT, BSD_LINES))
+APACHE_NOTICE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
+compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an
+"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the
+specific language governing permissions and limitations under the License."""
+GNU_NOTICE = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
+{0}General Public License as published by the Free Software Foundation, either version {1} of the License, or (at your
+option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;
+without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0}General Public
+License for more details. You should have received a copy of the GNU {0}General Public License along with this program.
+If not, see https://www.gnu.org/licenses/."""
+MPL_NOTICE = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL
+was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."""
+
+# The words by which licences are declared, by SPDX name: short forms, whole texts or notices, and of
+# whole texts the lines that a header takes from them.
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Apache License Version 2.0, January 2004 http www.apache.org licenses"),
@@ -42,6 +101,17 @@ TEMPLATES = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("proprietary", "Copyright. All rights reserved."),
+    ("MIT", MIT_TEXT),
+    ("MIT", MIT_LINES),
+    ("BSD-3-Clause", BSD_TEXT),
+    ("BSD-3-Clause", BSD_LINES),
+    ("BSD-2-Clause", BSD2_TEXT),
+    ("BSD-2-Clause", BSD2_LINES),
+    ("Apache-2.0", APACHE_NOTICE),
+    ("GPL-3.0", GNU_NOTICE.format("", "3")),
+    ("GPL-2.0", GNU_NOTICE.format("", "2")),
+    ("LGPL-3.0", GNU_NOTICE.format("Lesser ", "3")),
+    ("MPL-2.0", MPL_NOTICE),
 ]
 HEADER_LINE = r"(?i)licen[cs]ed?\b|copyright|all rights reserved|redistribut|permission is hereby|spdx"
 TERM = r"[a-z]+(?:-[a-z]+)*|[0-9]+(?:\.[0-9]+)*"
@@ -61,6 +131,10 @@ def _template_terms(docs: DataFrame) -> DataFrame:
     return docs.sparkSession.createDataFrame(counts, "template int, licence string, term string, tf bigint")
 
 
+def _idf(n: int, df: Column) -> Column:
+    return F.log((F.lit(float(n)) + 1) / (df + 1)) + 1
+
+
 def own_licences(files: DataFrame) -> DataFrame:
     """``uid, own, score`` of the files (``uid, _text``) whose header is close enough to a template."""
     headed = files.where(F.col("_text").rlike(HEADER_LINE))
@@ -68,17 +142,18 @@ def own_licences(files: DataFrame) -> DataFrame:
         "uid", "term").agg(F.count(F.lit(1)).alias("tf")), "op8-terms")
     templates = _template_terms(files)
     vocabulary = F.broadcast(templates.select("term").distinct())  # the templates' words: a fixed table
-    known = terms.join(vocabulary, "term")
     n = terms.select("uid").distinct().count()
-    df = known.groupBy("term").agg(F.count(F.lit(1)).alias("df"))  # at most one row per template word
-    idf = written(templates.select("term").distinct().join(df, "term", "left").select(
-        "term", (F.log((F.lit(float(n)) + 1) / (F.coalesce(F.col("df"), F.lit(0)) + 1)) + 1).alias("idf")), "op8-idf")
-    of_file = known.join(F.broadcast(idf), "term").select("uid", "term", (F.col("tf") * F.col("idf")).alias("x"))
-    of_template = templates.join(idf, "term").select("template", "licence", "term", (F.col("tf") * F.col("idf")).alias("y"))
+    idf = written(terms.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select("term", _idf(n, F.col("df")).alias("idf")),
+                  "op8-idf")  # of all header terms: as many rows as the headers have different words
+    known = written(idf.join(vocabulary, "term"), "op8-known")  # at most one row per template word
+    of_template = templates.join(known, "term", "left").withColumn("idf", F.coalesce("idf", _idf(n, F.lit(0)))).select(
+        "template", "licence", "term", "idf", (F.col("tf") * F.col("idf")).alias("y"))
     template_norm = of_template.groupBy("template").agg(F.sqrt(F.sum(F.col("y") * F.col("y"))).alias("ny"))
-    weighted = of_template.join(template_norm, "template").select("template", "licence", "term", (F.col("y") / F.col("ny")).alias("y"))
-    norm = of_file.groupBy("uid").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("nx"))
-    dots = of_file.join(F.broadcast(weighted), "term").groupBy("uid", "template", "licence").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
+    weighted = of_template.join(template_norm, "template").select(
+        "template", "licence", "term", (F.col("idf") * F.col("y") / F.col("ny")).alias("y"))
+    # a header's length counts all of its words, those of no template too
+    norm = terms.join(idf, "term").groupBy("uid").agg(F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2))).alias("nx"))
+    dots = terms.join(F.broadcast(weighted), "term").groupBy("uid", "template", "licence").agg(F.sum(F.col("tf") * F.col("y")).alias("dot"))
     scored = dots.join(norm, "uid").select("uid", "licence", F.round(F.col("dot") / F.col("nx"), 9).alias("score"))
     best = scored.groupBy("uid").agg(F.min(F.struct((-F.col("score")).alias("minus"), "licence")).alias("best"))
     return best.select("uid", F.col("best.licence").alias("own"), (-F.col("best.minus")).alias("score")).where(

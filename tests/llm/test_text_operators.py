@@ -262,3 +262,38 @@ def test_licence_scores_match_plain_cosine(spark):
             assert got[doc_id]["score"] is None
     assert sum(r["score"] is not None for r in got.values()) >= 20
     assert any(r["inherited_from"] is not None for r in got.values())
+
+
+def test_all_words_of_a_header_count(spark, tmp_path):
+    """Prose that speaks of licences has none, whole licence texts have theirs; scores are the cosines of whole headers."""
+    mit = license_scan.MIT_TEXT.replace("Copyright (c)", "Copyright (c) 2019 Jane Doe")
+    more = {
+        -1: ("de/LICENSE", "Der Autor und seine Erben sprechen seit gestern Abend nur noch vom Copyright der alten Briefe"),
+        -2: ("en/LICENSE", "The fishing rights on the river are held by old families and a licence is sold each spring"),
+        -3: ("mit/LICENSE", mit), -4: ("flat/LICENSE", mit.replace("\n", " ")),
+        -5: ("bsd/LICENSE", license_scan.BSD_TEXT), -6: ("bsd2/LICENSE", license_scan.BSD2_TEXT),
+        -7: ("de/a.txt", "nichts"), -8: ("mit/a.txt", "nothing"),
+    }
+    files = license_scan.with_paths(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    files.unionByName(spark.createDataFrame([(k, *v) for k, v in more.items()], files.schema)).write.parquet(str(tmp_path / "t"))
+    files = spark.read.parquet(str(tmp_path / "t"))
+    got = {r["doc_id"]: r for r in license_scan.scan_licences(files).collect()}
+    terms = {}
+    for r in files.collect():
+        lines = [x for x in (r["text"] or "").split("\n") if re.search(license_scan.HEADER_LINE, x)]
+        if lines:
+            terms[r["doc_id"]] = re.findall(license_scan.TERM, "\n".join(lines).lower())
+    df = {}
+    for words in terms.values():
+        for t in set(words):
+            df[t] = df.get(t, 0) + 1
+    vector = lambda words: {t: words.count(t) * (np.log((len(terms) + 1) / (df.get(t, 0) + 1)) + 1) for t in set(words)}
+    norm = lambda v: sum(x * x for x in v.values()) ** 0.5
+    templates = [vector(re.findall(license_scan.TERM, text.lower())) for _, text in license_scan.TEMPLATES]
+    for doc_id, words in terms.items():
+        v = vector(words)
+        best = max(sum(x * w.get(t, 0) for t, x in v.items()) / norm(v) / norm(w) for w in templates)
+        assert got[doc_id]["score"] is None if best < license_scan.ACCEPT else abs(got[doc_id]["score"] - best) < 1e-6
+    assert {k: (got[k]["licence"], got[k]["inherited_from"]) for k in more} == {
+        -1: (None, None), -2: (None, None), -3: ("MIT", None), -4: ("MIT", None), -5: ("BSD-3-Clause", None),
+        -6: ("BSD-2-Clause", None), -7: (None, None), -8: ("MIT", "mit")}

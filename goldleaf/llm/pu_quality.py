@@ -198,11 +198,13 @@ def _drawn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             x = [features(data or b"").tobytes() for data in utf8(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.binary())], ["kind", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(x, pa.binary())], ["kind", "key", "x"])
 
     texts = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
-    table = texts.join(F.broadcast(chosen), "_id").select("_kind", "_text").mapInArrow(
-        described, "kind string, x binary").orderBy("kind", "x").toArrow().to_pylist()
+    # an id that repeats brings one of its texts, so the sample stays bounded
+    table = texts.join(F.broadcast(chosen), "_id").select("_kind", "_text", F.xxhash64("_id").alias("_key")).mapInArrow(
+        described, "kind string, key bigint, x binary").groupBy("kind", "key").agg(F.min("x").alias("x")).orderBy(
+        "kind", "x").select("kind", "x").toArrow().to_pylist()
     out = {k: np.frombuffer(b"".join(r["x"] for r in table if r["kind"] == k), np.float32).reshape(-1, N_FEATURES)
            for k in wanted}
     known = n.get("positive", 0) + n.get("negative", 0)
@@ -233,139 +235,6 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return model
 
 
-def score(self, x: np.ndarray) -> np.ndarray:
-        return _sigmoid(self.slope * self.margin(x) + self.offset)
-
-
-def _sigmoid(z: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-
-
-def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, non_negative: bool = True) -> PuModel:
-    """Minimise the non-negative unbiased risk with Adam; deterministic.
-
-    ``non_negative=False`` with ``prior`` 0.5 simply tells positives from unlabelled rows (used to
-    estimate the prior).
-    """
-    rng = np.random.default_rng(SEED)
-    both = np.concatenate([positive, unlabelled])
-    mean, scale = both.mean(axis=0), both.std(axis=0) + 1e-3
-    k = both.shape[1]
-    p = [rng.normal(0, (2 / k) ** 0.5, (k, HIDDEN)), np.zeros(HIDDEN), rng.normal(0, 0.1, HIDDEN), np.zeros(1)]
-    m, v, step = [np.zeros_like(x) for x in p], [np.zeros_like(x) for x in p], 0
-    pos, unl = np.clip((positive - mean) / scale, -8, 8), np.clip((unlabelled - mean) / scale, -8, 8)
-    steps = max(1, len(unl) // BATCH)
-    for _ in range(EPOCHS):
-        pi, ui = rng.permutation(len(pos)), rng.permutation(len(unl))
-        for s in range(steps):
-            xp = pos[np.take(pi, np.arange(s * BATCH, (s + 1) * BATCH), mode="wrap")]
-            xu = unl[np.take(ui, np.arange(s * BATCH, (s + 1) * BATCH), mode="wrap")]
-            x = np.concatenate([xp, xu])
-            pre = x @ p[0] + p[1]
-            h = np.maximum(pre, 0)
-            g = h @ p[2] + p[3][0]
-            gp, gu = g[:len(xp)], g[len(xp):]
-            # d/dg of l(g) = log(1 + exp(-g)) is sigmoid(g) - 1, of l(-g) it is sigmoid(g)
-            d = np.zeros_like(g)
-            if non_negative:
-                negative_risk = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
-                on_p, on_u = -prior * _sigmoid(gp) / len(gp), _sigmoid(gu) / len(gu)
-                if negative_risk >= 0:
-                    d[:len(xp)] = prior * (_sigmoid(gp) - 1) / len(gp) + on_p
-                    d[len(xp):] = on_u
-                else:  # the estimate went below what a risk can be: step back along it
-                    d[:len(xp)], d[len(xp):] = -on_p, -on_u
-            else:
-                d[:len(xp)] = prior * (_sigmoid(gp) - 1) / len(gp)
-                d[len(xp):] = (1 - prior) * _sigmoid(gu) / len(gu)
-            back = d[:, None] * p[2] * (pre > 0)
-            grads = [x.T @ back + 1e-4 * p[0], back.sum(axis=0), h.T @ d, np.array([d.sum()])]
-            step += 1
-            for i, grad in enumerate(grads):
-                m[i] = 0.9 * m[i] + 0.1 * grad
-                v[i] = 0.999 * v[i] + 0.001 * grad ** 2
-                p[i] = p[i] - RATE * (m[i] / (1 - 0.9 ** step)) / (np.sqrt(v[i] / (1 - 0.999 ** step)) + 1e-8)
-    return PuModel(mean, scale, p[0], p[1], p[2], float(p[3][0]))
-
-
-def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, bins: int = 10) -> float:
-    """Share of positives among the unlabelled: the smallest density ratio over score bins that each hold a
-    tenth of the positives (the lowest, noisy, tenth left out)."""
-    half = len(positive) // 2
-    split = train(positive[:half], unlabelled, 0.5, non_negative=False)
-    sp, su = split.margin(positive[half:]), split.margin(unlabelled)
-    edges = np.quantile(sp, np.linspace(0, 1, bins + 1))[1:-1]
-    share_p = np.bincount(np.searchsorted(edges, sp), minlength=bins)[1:] / max(len(sp), 1)
-    share_u = np.bincount(np.searchsorted(edges, su), minlength=bins)[1:] / max(len(su), 1)
-    ratios = share_u[share_p > 0] / share_p[share_p > 0]
-    # two neighbouring bins together keep a single thin bin from deciding
-    smooth = np.convolve(ratios, [0.5, 0.5], "valid") if len(ratios) > 1 else ratios
-    return float(np.clip(smooth.min() if len(smooth) else 0.5, 0.05, 0.95))
-
-
-def on_probability_scale(model: PuModel, x: np.ndarray, y: np.ndarray) -> PuModel:
-    """Slope and offset by Newton steps on the labelled rows (with a weak pull to slope 1, offset 0)."""
-    z = model.margin(x)
-    a, b = 1.0, 0.0
-    for _ in range(50):
-        q = _sigmoid(a * z + b)
-        w = q * (1 - q) + 1e-9
-        ga, gb = ((q - y) * z).sum() + (a - 1), (q - y).sum() + b
-        haa, hab, hbb = (w * z * z).sum() + 1, (w * z).sum(), w.sum() + 1
-        det = haa * hbb - hab * hab
-        da, db = (hbb * ga - hab * gb) / det, (haa * gb - hab * ga) / det
-        a, b = a - np.clip(da, -1, 1), b - np.clip(db, -1, 1)
-        if abs(da) + abs(db) < 1e-9:
-            break
-    model.slope, model.offset = float(max(a, 1e-3)), float(b)
-    return model
-
-
-def _sample(rows: DataFrame, n: int) -> np.ndarray:
-    """Features of at most about ``n`` of the rows (``_text``, ``_id``), chosen by a hash of the id."""
-    total = rows.count()
-    if not total:
-        return np.empty((0, N_FEATURES), np.float32)
-    drawn = rows.where(F.pmod(F.xxhash64("_id", F.lit(SEED)), F.lit(1 << 30)) < min(1.0, n / total) * (1 << 30))
-
-    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([features(data or b"").tobytes() for data in utf8(batch.column(0))], pa.binary())], ["x"])
-
-    got = drawn.select("_text").mapInArrow(described, "x binary").orderBy("x").toArrow().column("x").to_pylist()
-    return np.frombuffer(b"".join(got), np.float32).reshape(-1, N_FEATURES)
-
-
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-        sample: int = SAMPLE) -> PuModel | None:
-    """Learn from positives and unlabelled rows of ``docs``; None without positives."""
-    importable_on_workers(docs.sparkSession)
-    label = labels.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{label_col}`").alias("_label")).where(
-        "_id IS NOT NULL AND _label IS NOT NULL").groupBy("_id").agg(F.max("_label").alias("_label"))
-    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
-    open_rows = rows.where(~held_out(F.col("_id"))).withColumn("_row", F.monotonically_increasing_id())
-    known = open_rows.join(label, "_id")
-    positive = _sample(known.where("_label = 1"), sample)
-    negative = _sample(known.where("_label = 0"), sample)
-    unlabelled = _sample(rows.join(label.select("_id"), "_id", "left_anti").where(F.col("_id").isNotNull()), 2 * sample)
-    if not len(positive):
-        return None
-    if not len(unlabelled):
-        unlabelled = np.concatenate([positive, negative])
-    prior = estimate_prior(positive, unlabelled)
-    model = train(positive, unlabelled, prior)
-    if len(negative):
-        share = known.where("_label IN (0, 1)").agg(F.avg("_label")).first()[0]
-        n_pos = min(len(positive), max(1, round(len(negative) * share / max(1 - share, 1e-3))))
-        n_neg = min(len(negative), max(1, round(n_pos * (1 - share) / max(share, 1e-3))))
-        x = np.concatenate([positive[:: max(1, len(positive) // n_pos)], negative[:: max(1, len(negative) // n_neg)]])
-        y = np.concatenate([np.ones(len(positive[:: max(1, len(positive) // n_pos)])),
-                            np.zeros(len(negative[:: max(1, len(negative) // n_neg)]))])
-        model = on_probability_scale(model, x, y)
-    return model
-
-
 def score(docs: DataFrame, model: PuModel | None, id_col: str = "doc_id", text_col: str = "text",
           accept: float = ACCEPT) -> DataFrame:
     """Every column of ``docs`` but the text, and ``score`` and ``predicted`` (1 from ``accept`` on). Narrow."""

@@ -221,6 +221,19 @@ def test_labels_of_the_held_out_fold_change_nothing(spark):
     assert np.array_equal(a.hidden, b.hidden) and (a.slope, a.offset) == (b.slope, b.offset)
 
 
+def test_probability_scale_has_the_share_of_the_labels(spark, monkeypatch):
+    """When positives fill the sample, negatives are thinned to their share too."""
+    learnt = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    good, bad, free = learnt[:460], learnt[460:535], learnt[535:900]
+    docs = spark.createDataFrame([(i, f"text {i} " + ("!! " * 9 if i in bad else "of words ")) for i in good + bad + free],
+                                 "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i in good)) for i in good + bad], "doc_id bigint, quality int")
+    seen, real = [], pu_quality.on_probability_scale
+    monkeypatch.setattr(pu_quality, "on_probability_scale", lambda model, x, y: seen.append(y) or real(model, x, y))
+    assert pu_quality.fit(docs, labels, sample=300) is not None
+    assert abs(seen[0].mean() - 460 / 535) < 0.01
+
+
 # --- licences --------------------------------------------------------------------------------------------
 
 def test_licences_own_and_inherited(spark):

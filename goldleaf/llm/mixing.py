@@ -12,7 +12,7 @@ a source that holds a third of all rows costs one row per cell and task; all ite
 
 Cases: a null in a dimension is a value of its own; a target value that does not occur is passed over and
 the shares are scaled to what does; a value without a target gets none (probability 0); null and empty
-texts weigh one token; repeated rows share their fate; an empty table gives no rows; further columns are
+texts weigh one token, others their words or a token per four octets, whichever is more; repeated rows share their fate; an empty table gives no rows; further columns are
 kept by ``mix`` and may have any names.
 """
 
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from goldleaf.llm.common import broadcast_if_few, free_name, written
 
 FLATTEN, KEEP_SHARE = 0.7, 0.6
+OCTETS_A_TOKEN = 4  # for texts without spaces, and words that are many tokens each
 ROUNDS, TOLERANCE = 30, 1e-4  # a round changes no weight by more than this factor's logarithm at the end
 FEW_CELLS = 10_000  # so many fit one small file: a round is then one short task
 DIMENSIONS = ["source", "lang", "topic"]
@@ -49,8 +50,9 @@ def topic_of(text: Column) -> Column:
 
 
 def token_weight(text: Column) -> Column:
-    """Words of a text, at least one."""
-    return F.greatest(F.lit(1), F.coalesce(F.regexp_count(text, F.lit(r"\S+")), F.lit(0))).cast("double")
+    """Estimated tokens of a text, at least one: its words, or more if it is long for so few words."""
+    by_length = F.ceil(F.octet_length(text) / OCTETS_A_TOKEN)
+    return F.greatest(F.lit(1), F.coalesce(F.regexp_count(text, F.lit(r"\S+")), F.lit(0)), F.coalesce(by_length, F.lit(0))).cast("double")
 
 
 def _same(keys: Sequence[str], a: DataFrame, b: DataFrame) -> Column:

@@ -222,6 +222,13 @@ def test_sampling_plan_of_documents(spark, tmp_path_factory):
     assert mixing.sampling_plan(odd.where("doc_id < 0")).collect() == []
 
 
+def test_texts_without_spaces_weigh_by_length(spark):
+    texts = [None, "", " \n", "a b c d", "中文" * 500, "x" * 4000, "the of and " * 100]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = [r["w"] for r in frame.orderBy("i").select(mixing.token_weight(F.col("text")).alias("w")).collect()]
+    assert got == [1, 1, 1, 4, 750, 1000, 300]
+
+
 # --- neighbours ------------------------------------------------------------------------------------------
 
 def brute_neighbours(rows, query_id, vector, k=10):

@@ -9,6 +9,8 @@ Training takes a bounded sample of labelled texts (``TRAIN_DOCS`` per run, chose
 some windows of each, spread over the whole text, and runs on the driver. Prediction runs on the executors.
 A filter's responses to two neighbouring bytes are tabulated, so a convolution is a few table look-ups.
 
+Only the 256 most frequent languages are learned; texts of any other get one of these.
+
 Cases: ``und`` with score 0 for a null text, one without a letter, or if nothing could be learned (no
 labelled text outside the held-out fold); a null id is not held out; repeated rows give repeated results;
 an empty table gives no rows; further columns are ignored.

@@ -1,4 +1,4 @@
-"""Training-data operators: ten corpus-scale jobs over documents and embeddings.
+"""Training-data operators: thirteen corpus-scale jobs over documents, pages and embeddings.
 
 Nothing else in the library imports this subpackage. ``queries.py`` registers one query per operator;
 ``corpus_pipeline.py`` at the repository top chains five of them.

@@ -6,6 +6,7 @@ import os
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +39,68 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove the files of tables that :func:`written` made and nothing reads any more."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+_NARROW = {"Project", "Filter", "SubqueryAlias"}
+
+
+def _place_in_file(df: DataFrame) -> DataFrame | None:
+    """``_file, _row`` of each row if ``df`` is a plain scan of files that number their rows, else None.
+
+    Joins, unions and the like are none: rows that they repeat would share a place.
+    """
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.getClass().getSimpleName() in _NARROW:
+        plan = plan.children().head()
+    if plan.getClass().getSimpleName() != "LogicalRelation":
+        return None
+    try:
+        return df.select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    except AnalysisException:  # a source without files, or whose files do not number their rows
+        return None
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` itself if its rows have a place in stored files, else a written copy of it."""
+    if _place_in_file(df) is None or "_metadata" in map(str.lower, df.columns):
+        return written(df, "stored")
+    return df
+
+
+def row_numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a number ``name`` (from 0, 63 bits) per row that every scan of it repeats.
+
+    The number is made of the row's file and its place in it, not of partitions: those move when the number
+    of cores does, between two scans, or between a task and its retry. Files are told apart by a hash of
+    their path in the bits that the longest file leaves over, under the first seed that gives all files
+    different hashes. Only counts reach the driver. A frame that is no plain scan is written first: frames
+    made from the same source then get different numbers, so pass :func:`stored` ones where that matters.
+    """
+    df = stored(df)
+    place = _place_in_file(df)
+    longest = (place.agg(F.max("_row")).first()[0] or 0) + 1
+    row_bits = longest.bit_length()
+    file_of = lambda path, seed: F.shiftrightunsigned(F.xxhash64(path, F.lit(seed)), row_bits + 1)
+    files = place.groupBy("_file").agg(F.lit(1).alias("_"))
+    for seed in range(0, 64, 8):
+        n, *different = files.agg(F.count(F.lit(1)), *[
+            F.count_distinct(file_of(F.col("_file"), s)) for s in range(seed, seed + 8)]).first()
+        if n in different:
+            chosen = seed + different.index(n)
+            number = F.shiftleft(file_of(F.col("_metadata.file_path"), chosen), row_bits).bitwiseOR(F.col("_metadata.row_index"))
+            return df.select("*", number.alias(name))
+    raise ValueError(f"{n} files with up to {longest} rows cannot be told apart in 63 bits")
 
 
 def broadcast_if_few(keys: DataFrame, max_rows: int = KEYS_BROADCAST) -> DataFrame:

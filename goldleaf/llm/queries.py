@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from goldleaf.llm.block_naming import exact_duplicates
 from goldleaf.llm.c2lsh import neighbours_of_table
+from goldleaf.llm.html_main_text import extract_main_text
+from goldleaf.llm.importance_resampling import resample
 from goldleaf.llm.lang_cnn import identify_languages
 from goldleaf.llm.license_scan import scan_licences, with_paths
 from goldleaf.llm.mixing import sampling_plan
@@ -15,6 +17,7 @@ from goldleaf.llm.ngram_join import similar_documents
 from goldleaf.llm.packing import pack_documents
 from goldleaf.llm.pu_quality import classify_quality
 from goldleaf.llm.secret_scan import scan_secrets
+from goldleaf.llm.token_alignment import align_tokenizers
 from goldleaf.llm.token_count import count_tokens
 from goldleaf.sources.retail_views import read_test_table
 
@@ -31,6 +34,23 @@ FROM d JOIN g USING (t)
 """
 
 
+# The pages of the tables have one article each, so its blocks between h1 and p tags are the main text; white space
+# inside a block becomes one space, of the character references those that occur in text are decoded, &amp; last.
+OP13_SQL = r"""
+WITH a AS (
+  SELECT page_id, url, regexp_replace(
+    regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|$)', 1), '</?(h1|p)>', chr(1), 'g') AS t
+  FROM pages),
+b AS (
+  SELECT page_id, url, list_transform(string_split(t, chr(1)), lambda x: trim(regexp_replace(regexp_replace(replace(replace(
+    replace(replace(replace(regexp_replace(x, '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
+    '&#x27;', ''''), '&nbsp;', ' '), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS blocks
+  FROM a),
+c AS (SELECT page_id, url, array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10)) AS text FROM b)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM c
+"""
+
+
 def _documents(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(read_test_table(spark, sf_dir, "documents"))
 
@@ -48,8 +68,12 @@ def llm_queries() -> dict[str, Query]:
         "op8_license_scan": _documents(lambda docs: scan_licences(with_paths(docs))),
         "op9_exact_dedup": _documents(lambda docs: exact_duplicates(docs).drop("uid")),
         "op10_lang_cnn": _documents(identify_languages),
+        "op11_token_alignment": _documents(align_tokenizers),
+        "op12_importance_resampling": lambda spark, sf_dir: resample(
+            read_test_table(spark, sf_dir, "documents"), read_test_table(spark, sf_dir, "benchmark")),
+        "op13_html_main_text": lambda spark, sf_dir: extract_main_text(read_test_table(spark, sf_dir, "pages")),
     }
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op9_exact_dedup": OP9_SQL}
+    return {"op9_exact_dedup": OP9_SQL, "op13_html_main_text": OP13_SQL}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +41,8 @@ def small_tables(tables: dict[str, DataFrame], max_rows: int = BROADCAST_MAX_ROW
     if not tables:
         return set()
     with ThreadPoolExecutor(max_workers=min(8, len(tables))) as pool:
-        fits = dict(zip(tables, pool.map(lambda df: _at_most(df, max_rows), tables.values())))
+        probe = inheritable_thread_target(next(iter(tables.values())).sparkSession)(lambda df: _at_most(df, max_rows))
+        fits = dict(zip(tables, pool.map(probe, tables.values())))
     return {name for name, ok in fits.items() if ok}
 
 

@@ -14,6 +14,8 @@ from goldleaf.sources.lake import VersionedStore
 GOLD_TABLES = ["dim_pizza", "dim_member", "dim_pizza_type", "dim_date", "dim_branch", "dim_pizza_topping",
                "bridge_pizza_type_topping", "fact_order"]
 
+FILES_A_MONTH = 8  # files of a month of the fact; on a cluster: month bytes / 256 MB
+
 
 def gold_store(spark: SparkSession, lake_root: str) -> VersionedStore:
     return VersionedStore(spark, f"{lake_root.rstrip('/')}/gold")
@@ -28,9 +30,11 @@ def with_month_partitions(fact: DataFrame) -> DataFrame:
 def build_gold(spark: SparkSession, silver: DataFrame, store: VersionedStore,
                required_fks: Sequence[str] = quality.FACT_REQUIRED,
                partition_by: Mapping[str, Sequence[str]] | None = None,
-               partition_fact_by_month: bool = False) -> DataFrame:
+               partition_fact_by_month: bool = False, sink=None) -> DataFrame:
     """Stage the eight tables, check the staged tables, and commit them together or raise.
 
+    A ``sink`` (:mod:`goldleaf.sources.sinks`) is then given the committed tables: it shows all eight or none.
+
     Each dimension is computed once (by its write); checks read the written tables. Because all eight
     are committed in one step, readers never see a new fact next to old dimensions. ``required_fks``
     lists the fact keys that must not be NULL (all six by default, as the warehouse requires; leave out
@@ -39,21 +43,24 @@ def build_gold(spark: SparkSession, silver: DataFrame, store: VersionedStore,
     version = store.next_version()
     frames = build_star(silver)
     if partition_fact_by_month:
-        frames["fact_order"] = with_month_partitions(frames["fact_order"])
+        frames["fact_order"] = with_month_partitions(frames["fact_order"]).repartition("year", "month", F.pmod(
+            F.xxhash64("order_detail_id"), F.lit(FILES_A_MONTH)))  # else every task writes a file per month
         partition_by = {**(partition_by or {}), "fact_order": ["year", "month"]}
     store.stage(version, frames, partition_by)
-    staged = {t: spark.read.parquet(store.path(t, version)) for t in GOLD_TABLES}
+    staged = {t: store.read_staged(t, version) for t in GOLD_TABLES}
     report = quality.gold_report(silver, staged, required_fks)
     quality.gate(report, "gold")
     store.commit(version, GOLD_TABLES)
+    if sink is not None:
+        sink.publish({t: store.read_version(t, version) for t in GOLD_TABLES})
     return report
 
 
-def run_gold(spark: SparkSession, lake_root: str, required_fks: Sequence[str] = quality.FACT_REQUIRED) -> DataFrame:
+def run_gold(spark: SparkSession, lake_root: str, required_fks: Sequence[str] = quality.FACT_REQUIRED, sink=None) -> DataFrame:
     from goldleaf.plans.silver import SILVER_TABLE, silver_store
 
     silver = silver_store(spark, lake_root).read(SILVER_TABLE)
-    return build_gold(spark, silver, gold_store(spark, lake_root), required_fks)
+    return build_gold(spark, silver, gold_store(spark, lake_root), required_fks, sink=sink)
 
 
 def read_gold(spark: SparkSession, lake_root: str) -> dict[str, DataFrame]:

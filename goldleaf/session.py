@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     # converts a join only when the measured size of the finished build side is below the bound below.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    # Independent jobs of one application (tables of a stage) share the cluster instead of queueing.
+    "spark.scheduler.mode": "FAIR",
     "spark.ui.showConsoleProgress": "false",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

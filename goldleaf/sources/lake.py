@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,6 +103,10 @@ class VersionedStore:
             raise FileNotFoundError(f"no committed version of {table} under {self.root}")
         return read_table(self.spark, row["loc"] or self.path(table, row["version"]), self.fmt)
 
+    def read_staged(self, table: str, version: int) -> DataFrame:
+        """A table of a version that is written but not committed."""
+        return read_table(self.spark, self.path(table, version), self.fmt)
+
     def next_version(self) -> int:
         log = self._log()
         if log is None:
@@ -121,7 +126,8 @@ class VersionedStore:
             write_table(df, self.path(name, version), self.fmt, "overwrite", (partition_by or {}).get(name))
 
         with ThreadPoolExecutor(max_workers=max(1, min(8, len(frames)))) as pool:
-            list(pool.map(write, frames.items()))  # re-raises the first failure
+            # threads take the caller's job properties with them; the first failure is raised
+            list(pool.map(inheritable_thread_target(self.spark)(write), frames.items()))
 
     def commit(self, version: int, tables: Sequence[str], watermark: str | None = None,
                locations: Mapping[str, str] | None = None) -> None:

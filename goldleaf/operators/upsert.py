@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldleaf.operators.joins import BROADCAST_MAX_ROWS, small_tables
+from goldleaf.operators.schemas import conformed, evolved, with_kept_values
 from goldleaf.sources.lake import VersionedStore
 
 
@@ -58,13 +59,13 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], change_col: str) -> DataF
 
 def upsert(store: VersionedStore, table: str, source: DataFrame, keys: Sequence[str], watermark: str | None = None,
            source_rows: int | None = None, max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-           head: tuple[int, str | None] | None | bool = False) -> int:
+           head: tuple[int, str | None] | None | bool = False, policy: str = "union") -> int:
     """Create the table from ``source`` on first use, else publish target ⊕ source as a new version.
 
-    The source is cast to the target's column types first, so a widened source column cannot leave files of
-    two types behind (under ANSI a value that does not fit raises before anything is committed). The target
-    is read once and filtered map-side when the increment's keys pass the size check; tables whose increments
-    are small against them belong in a format with ``MERGE`` (:func:`merge_into_table`).
+    Columns that are added, missing or wider are handled as :mod:`goldleaf.operators.schemas` says: nothing
+    is dropped, and a version's files have one schema. The target is read once and filtered map-side when the
+    increment's keys pass the size check; a table whose increments touch few of its keys is better kept in
+    partitions by key hash (:class:`goldleaf.operators.partitioned.PartitionedTable`).
 
     The new version is written to its own folder while the current one is read, then committed, so
     readers never see a half-merged table and a failed run can simply be repeated (the merge is
@@ -75,22 +76,13 @@ def upsert(store: VersionedStore, table: str, source: DataFrame, keys: Sequence[
         head = store.latest(table)
     if head is None:
         return store.publish({table: source}, watermark)
-    small = None if source_rows is None else source_rows <= max_broadcast_rows
+    if source_rows is None:
+        small = "source" in small_tables({"source": source}, max_broadcast_rows)
+    else:
+        small = source_rows <= max_broadcast_rows
     current = store.read_version(table, head[0])
-    typed = source.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in current.schema.fields])
+    schema = evolved(current.schema, source.schema, keys, policy)
+    typed = conformed(with_kept_values(source, current, keys, small), schema)
     version = head[0] + 1  # an upsert store holds one table, so its next version follows the table's head
-    return store.publish({table: merge_rows(current, typed, keys, small, max_broadcast_rows)}, watermark,
-                         version=version)
+    return store.publish({table: merge_rows(conformed(current, schema), typed, keys, small)}, watermark, version=version)
 
-
-def merge_into_table(spark: SparkSession, source: DataFrame, table_name: str, keys: Sequence[str]) -> None:
-    """Native ``MERGE INTO`` for catalog tables whose format supports row-level changes (Delta, Iceberg).
-
-    Rewrites only the files holding matched keys. Not available for plain Parquet folders, and not
-    exercised by the tests here (no such format is installed).
-    """
-    view = f"_goldleaf_merge_source_{abs(hash(table_name)) % 10**8}"
-    source.createOrReplaceTempView(view)
-    cond = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
-    spark.sql(f"MERGE INTO {table_name} t USING {view} s ON {cond} "
-              "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")

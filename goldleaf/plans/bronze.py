@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import timedelta
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from goldleaf.operators.hwm import advance, newest_change, read_increment
 from goldleaf.operators.quality import BLOCKING, bronze_checks
+from goldleaf.operators.quarantine import judged, keep_rejected
 from goldleaf.operators.upsert import latest_per_key, upsert
 from goldleaf.sources.lake import VersionedStore
 from goldleaf.spec import HWM_FLOOR, LOAD_COLUMN, SOURCE_TABLES, TABLE_SPECS, TableSpec
@@ -20,20 +23,21 @@ from goldleaf.spec import HWM_FLOOR, LOAD_COLUMN, SOURCE_TABLES, TABLE_SPECS, Ta
 @dataclass
 class IngestResult:
     table: str
-    status: str  # loaded | empty | rejected
+    status: str  # loaded | empty | rejected | failed
     rows: int = 0
     version: int | None = None
     watermark: str | None = None
     problems: tuple[str, ...] = ()
+    quarantined: int = 0
 
 
 class BronzeError(RuntimeError):
-    """At least one table was rejected; the other tables were still processed."""
+    """At least one table was rejected or failed; the other tables were still processed."""
 
     def __init__(self, results: Sequence[IngestResult]):
         self.results = list(results)
-        bad = [f"{r.table}: {'; '.join(r.problems)}" for r in self.results if r.status == "rejected"]
-        super().__init__("bronze ingest rejected tables:\n" + "\n".join(bad))
+        bad = [f"{r.table} {r.status}: {'; '.join(r.problems)}" for r in self.results if r.status in ("rejected", "failed")]
+        super().__init__("bronze ingest did not load all tables:\n" + "\n".join(bad))
 
 
 def bronze_store(spark: SparkSession, lake_root: str, table: str) -> VersionedStore:
@@ -48,7 +52,8 @@ def declared_types(source: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def ingest_table(spark: SparkSession, spec: TableSpec, source: DataFrame, store: VersionedStore,
-                 as_of: str | None = None, overlap: timedelta | None = None, keep_latest: bool = False) -> IngestResult:
+                 as_of: str | None = None, overlap: timedelta | None = None, keep_latest: bool = False,
+                 quarantine: bool = False) -> IngestResult:
     """Read the increment after the stored mark, check it, upsert it and advance the mark.
 
     Columns of ``spec.schema`` are read with their declared types (a floating-point price becomes a decimal).
@@ -59,7 +64,9 @@ def ingest_table(spark: SparkSession, spec: TableSpec, source: DataFrame, store:
        read of the source; its row count and newest change time are observed during that write;
     4. empty increment: nothing else happens;
     5. checks on the landed rows (keys present, non-NULL and unique; change times plausible); any
-       rejection leaves target and mark unchanged;
+       rejection leaves target and mark unchanged. With ``quarantine`` rows are judged one by one instead: bad
+       ones are kept, with their reasons, in the store's quarantine table, and the good ones go on; the mark
+       then follows the good rows, so a bad row newer than them is read again until it is mended;
     6. keyed upsert on all key columns, published together with the new mark (never moving back).
     Replaying a run is safe: the upsert is idempotent and the mark only moves forward.
     """
@@ -84,27 +91,52 @@ def ingest_table(spark: SparkSession, spec: TableSpec, source: DataFrame, store:
     landed = spark.read.parquet(landing)
     if keep_latest and has_change:
         landed = latest_per_key(landed, spec.keys, spec.change_col)
+    rejected, newest = 0, observed["newest"] if has_change else None
+    if quarantine:
+        verdicts = judged(spark, landed, spec.keys, spec.change_col if has_change else None, as_of, f"{store.root}/_judged")
+        rejected = keep_rejected(store, verdicts)
+        landed = verdicts.where("size(reasons) = 0").drop("reasons")
+        if rejected == rows:
+            return IngestResult(spec.name, "empty", 0, head[0] if head else None, last, quarantined=rejected)
+        if rejected and has_change:
+            newest = landed.agg(newest_change(landed, spec.change_col)).first()[0]
     checks = bronze_checks(landed, spec.name, spec.keys, spec.change_col if has_change else None, as_of)
     failed = checks.where(F.col("severity").isin(*BLOCKING) & ~F.coalesce("passed", F.lit(False))).collect()
     if failed:
         problems = tuple(f"{r['check']} {r['subject']}: {r['observed']}" for r in failed)
         return IngestResult(spec.name, "rejected", rows, head[0] if head else None, last, problems)
 
-    mark = advance(last, observed["newest"]) if has_change else last
-    if head is None and not keep_latest:
+    mark = advance(last, newest) if has_change else last
+    if head is None and not keep_latest and not rejected:
         # first load: the landed folder is already the complete table; commit it without a rewrite
         return IngestResult(spec.name, "loaded", rows, store.adopt(spec.name, landing, mark), mark)
     version = upsert(store, spec.name, landed, spec.keys, mark, source_rows=rows, head=head)
-    return IngestResult(spec.name, "loaded", rows, version, mark)
+    return IngestResult(spec.name, "loaded", rows - rejected, version, mark, quarantined=rejected)
 
 
 def run_bronze(spark: SparkSession, sources: Mapping[str, DataFrame], lake_root: str,
                specs: Mapping[str, TableSpec] = TABLE_SPECS, tables: Sequence[str] = SOURCE_TABLES,
-               as_of: str | None = None, raise_on_reject: bool = True) -> list[IngestResult]:
-    """Ingest every table in order; a rejected table does not stop the others. Raises
-    :class:`BronzeError` at the end when any table was rejected (a non-zero exit for the scheduler)."""
-    results = [ingest_table(spark, specs[t], sources[t], bronze_store(spark, lake_root, t), as_of) for t in tables]
-    if raise_on_reject and any(r.status == "rejected" for r in results):
+               as_of: str | None = None, raise_on_reject: bool = True, concurrent: int = 4,
+               quarantine: bool = False) -> list[IngestResult]:
+    """Ingest every table, ``concurrent`` at a time; one that is rejected or fails does not stop the others.
+
+    Each table's jobs run in a scheduler pool of their own (the session's mode is FAIR), so a small table does
+    not wait behind a large one. Results come in the order of ``tables``. Raises :class:`BronzeError` at the end
+    when any table was not loaded (a non-zero exit for the scheduler).
+    """
+    def ingest(table: str) -> IngestResult:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"bronze-{table}")
+        try:
+            return ingest_table(spark, specs[table], sources[table], bronze_store(spark, lake_root, table), as_of,
+                                quarantine=quarantine)
+        except Exception as e:  # an unreadable source, a schema that does not fit, a failed job
+            return IngestResult(table, "failed", problems=(f"{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}",))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(max_workers=max(1, concurrent)) as pool:
+        results = list(pool.map(inheritable_thread_target(spark)(ingest), tables))
+    if raise_on_reject and any(r.status in ("rejected", "failed") for r in results):
         raise BronzeError(results)
     return results
 

@@ -21,6 +21,12 @@ def _items(tables: dict[str, DataFrame]) -> DataFrame:
     return tables["pizza"].select("pizza_id", "pizza_type_id", "size", F.col("price").cast(PRICE_TYPE).alias("price"))
 
 
+def item_types(tables: dict[str, DataFrame], small: set[str]) -> DataFrame:
+    """Items with their type's columns (inner); the types are broadcast when they passed the size check."""
+    types = tables["pizzatypes"].select("pizza_type_id", "pizza_nm", "pizza_categ")
+    return _items(tables).join(_bc(types, "pizzatypes", small), "pizza_type_id", "inner")
+
+
 def inner_chain(tables: dict[str, DataFrame], small: set[str] | None = None) -> DataFrame:
     """lines JOIN orders JOIN item JOIN item type (all inner).
 
@@ -29,9 +35,7 @@ def inner_chain(tables: dict[str, DataFrame], small: set[str] | None = None) ->
     and, when items are too large to broadcast, by item).
     """
     small = small if small is not None else small_tables({k: tables[k] for k in ("pizza", "pizzatypes")})
-    items = _items(tables).join(
-        _bc(tables["pizzatypes"].select("pizza_type_id", "pizza_nm", "pizza_categ"), "pizzatypes", small),
-        "pizza_type_id", "inner")
+    items = item_types(tables, small)
     orders = tables["orders"].select("order_id", "date", "time", "member_id", "bran_id")
     lines = tables["orderdetail"].select("order_detail_id", "order_id", "pizza_id", "quantity")
     return lines.join(orders, "order_id", "inner").join(_bc(items, "pizza", small), "pizza_id", "inner")
@@ -75,9 +79,7 @@ def denormalize(tables: dict[str, DataFrame], max_broadcast_rows: int = BROADCAS
         raise ValueError(f"grain must be 'topping' or 'line', got {grain!r}")
     lookups = _LOOKUPS if grain == "topping" else [t for t in _LOOKUPS if t not in ("pizzatypetopping", "topping")]
     small = small_tables({k: tables[k] for k in lookups}, max_broadcast_rows)
-    items = _items(tables).join(
-        _bc(tables["pizzatypes"].select("pizza_type_id", "pizza_nm", "pizza_categ"), "pizzatypes", small),
-        "pizza_type_id", "inner")
+    items = item_types(tables, small)
     orders = order_lookups(tables, small)
     lines = tables["orderdetail"].select("order_detail_id", "order_id", "pizza_id", "quantity")
     wide = lines.join(orders, "order_id", "inner").join(_bc(items, "pizza", small), "pizza_id", "inner")

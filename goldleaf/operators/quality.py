@@ -49,6 +49,17 @@ def _rows(one_row: DataFrame, results: Sequence[Column]) -> DataFrame:
     return one_row.select(F.inline(F.array(*results)))
 
 
+def result_rows(one_row: DataFrame, check: str, subject: str, observed: Column, expected: Column, severity: str) -> DataFrame:
+    """One result of a check that passes when observed equals expected."""
+    return _rows(one_row, [_result(check, subject, observed, expected, severity, observed == expected)])
+
+
+def side_by_side(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two frames of one row each as one row with the columns of both."""
+    both = a.unionByName(b, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+
 def union_results(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
@@ -59,13 +70,20 @@ def _zero(c: str) -> Column:
 
 # --- bronze ----------------------------------------------------------------------------------------
 
-def _null_or_nan(df: DataFrame, c: str) -> Column:
+def null_or_nan(df: DataFrame, c: str) -> Column:
     cond = F.col(c).isNull()
     if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
         cond = cond | F.isnan(c)
     return cond
 
 
+def out_of_range(df: DataFrame, change_col: str, as_of: str | None = None) -> Column:
+    """The change time is before 1900 or after ``as_of`` (now, if not given); NULL for a NULL time."""
+    t = df.schema[change_col].dataType
+    upper = (F.lit(as_of) if as_of else F.current_timestamp()).cast(t)
+    return (F.col(change_col) < F.lit(TIMESTAMP_LOWER_BOUND).cast(t)) | (F.col(change_col) > upper)
+
+
 def find_duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values held by more than one row, with their row count ``n``."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
@@ -100,16 +118,13 @@ def bronze_checks(df: DataFrame, table: str, keys: Sequence[str], change_col: st
     if "null_key" in checks:
         for k in keys:
             if k in cols:
-                aggs.append(F.count_if(_null_or_nan(df, k)).alias(f"null_{k}"))
+                aggs.append(F.count_if(null_or_nan(df, k)).alias(f"null_{k}"))
                 results.append(_result("null_key", f"{table}.{k}", F.col(f"null_{k}"), 0, "reject",
                                        _zero(f"null_{k}")))
             else:
                 results.append(_result("null_key", f"{table}.{k}", F.lit(None), 0, "reject", F.lit(False)))
     if "timestamp_range" in checks and change_col and change_col in cols:
-        t = df.schema[change_col].dataType
-        lower = F.lit(TIMESTAMP_LOWER_BOUND).cast(t)
-        upper = (F.lit(as_of) if as_of else F.current_timestamp()).cast(t)
-        aggs.append(F.count_if((F.col(change_col) < lower) | (F.col(change_col) > upper)).alias("bad_ts"))
+        aggs.append(F.count_if(out_of_range(df, change_col, as_of)).alias("bad_ts"))
         results.append(_result("timestamp_range", f"{table}.{change_col}", F.col("bad_ts"), 0, "reject",
                                _zero("bad_ts")))
     parts = []
@@ -202,6 +217,11 @@ def cardinality_check(orderdetail: DataFrame, silver: DataFrame) -> DataFrame:
     return _rows(c, [_result("cardinality", "orderdetail->silver", F.col("dropped"), 0, sev, _zero("dropped"))])
 
 
+def count_rows(cond: Column, weight: str | None = None) -> Column:
+    """Rows that ``cond`` holds for, each counted ``weight`` times."""
+    return F.count_if(cond) if weight is None else F.coalesce(F.sum(F.when(cond, F.col(weight))), F.lit(0)).cast("bigint")
+
+
 def _reference_counts(silver: DataFrame) -> DataFrame:
     return silver.agg(
         F.count_if(F.col("member_id").isNotNull() & F.col("member_nm").isNull()).alias("missing_member"),
@@ -224,17 +244,25 @@ def types_without_bridge(silver: DataFrame) -> DataFrame:
                       .alias("types_without_topping"))
 
 
-def missing_reference_checks(silver: DataFrame) -> DataFrame:
+def reference_results(counts: DataFrame) -> DataFrame:
+    """Warnings from one row of counts of lookups that missed."""
     names = ["missing_member", "missing_branch", "missing_topping_master", "types_without_topping"]
-    return _rows(_reference_counts(silver),
-                 [_result("missing_reference", n, F.col(n), 0, "warning", _zero(n)) for n in names])
+    return _rows(counts, [_result("missing_reference", n, F.col(n), 0, "warning", _zero(n)) for n in names])
+
+
+def missing_reference_checks(silver: DataFrame) -> DataFrame:
+    return reference_results(_reference_counts(silver))
 
 
 def silver_report(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]], silver: DataFrame) -> DataFrame:
     """Everything the silver stage checks: duplicate PKs of all sources (critical), NULL foreign keys
     (info), lines dropped by the joins, and lookups that missed (warnings)."""
+    return union_results([duplicate_pk_checks(tables, keys), silver_row_report(tables, silver)])
+
+
+def silver_row_report(tables: Mapping[str, DataFrame], silver: DataFrame) -> DataFrame:
+    """The part of :func:`silver_report` that comes after the check of the sources' keys."""
     return union_results([
-        duplicate_pk_checks(tables, keys),
         null_fk_profile(tables["orderdetail"], tables["orders"], tables["pizza"]),
         cardinality_check(tables["orderdetail"], silver),
         missing_reference_checks(silver),
@@ -276,6 +304,39 @@ FACT_REFERENCES = {
 }
 
 
+# --- contents ----------------------------------------------------------------------------------------
+
+HASH_DIGITS = 15  # hex digits of a row's md5 that are summed: 60 bits
+
+
+def row_digest(df: DataFrame, cols: Sequence[str] | None = None) -> Column:
+    """A number per row from its values as text; a value's length is part of it, NULL differs from every text."""
+    text = lambda c: F.col(f"`{c}`").cast("string")
+    parts = [F.coalesce(F.concat(F.length(text(c)).cast("string"), F.lit(":"), text(c)), F.lit("-")) for c in cols or df.columns]
+    return F.conv(F.substring(F.md5(F.concat(*parts).cast("binary")), 1, HASH_DIGITS), 16, 10).cast("decimal(28,0)")
+
+
+def content_hash(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """One row, ``rows`` and ``content``: the sum of the rows' digests, exact and free of order.
+
+    Rows that are changed, missing or doubled change it; one sum per task is all that is moved.
+    """
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_digest(df, cols)), F.lit(0)).cast("decimal(38,0)").alias("content"))
+
+
+def content_checks(pairs: Mapping[str, tuple[DataFrame, DataFrame]], cols: Mapping[str, Sequence[str]] | None = None,
+                   severity: str = "fail") -> DataFrame:
+    """Per name: the two frames hold the same rows, in any order and as often. Observed and expected are rows."""
+    parts = []
+    for name, (expected, observed) in pairs.items():
+        own = (cols or {}).get(name) or expected.columns
+        both = side_by_side(content_hash(expected, own).select(F.col("rows").alias("a"), F.col("content").alias("x")),
+                            content_hash(observed, own).select(F.col("rows").alias("b"), F.col("content").alias("y")))
+        parts.append(_rows(both, [_result("content", name, F.col("b"), F.col("a"), severity,
+                                          (F.col("a") == F.col("b")) & (F.col("x") == F.col("y")))]))
+    return union_results(parts)
+
+
 def row_parity_check(silver: DataFrame, fact: DataFrame) -> DataFrame:
     """Fact rows = silver rows."""
     a = silver.agg(F.count(F.lit(1)).alias("silver_rows")).select(
@@ -294,56 +355,59 @@ def uniqueness_checks(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequen
         F.col("rows").alias("expected"), F.lit("fail").alias("severity"), (F.col("groups") == F.col("rows")).alias("passed"))
 
 
-def _fact_counts(fact: DataFrame, required: Sequence[str]) -> DataFrame:
+def _fact_counts(fact: DataFrame, required: Sequence[str], weight: str | None = None) -> DataFrame:
     return fact.agg(
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in required],
-        F.count_if(F.col("total_price") != F.col("unit_price") * F.col("quantity")).alias("bad_total"),
-        F.count_if(F.col("quantity") <= 0).alias("nonpositive_quantity"),
+        *[count_rows(F.col(c).isNull(), weight).alias(f"null_{c}") for c in required],
+        count_rows(F.col("total_price") != F.col("unit_price") * F.col("quantity"), weight).alias("bad_total"),
+        count_rows(F.col("quantity") <= 0, weight).alias("nonpositive_quantity"),
     )
 
 
-def fact_null_checks(fact: DataFrame, required: Sequence[str] = FACT_REQUIRED) -> DataFrame:
-    return _rows(_fact_counts(fact, required), [
+def fact_null_checks(fact: DataFrame, required: Sequence[str] = FACT_REQUIRED, weight: str | None = None) -> DataFrame:
+    return _rows(_fact_counts(fact, required, weight), [
         _result("not_null", f"fact_order.{c}", F.col(f"null_{c}"), 0, "fail", _zero(f"null_{c}")) for c in required])
 
 
-def line_total_check(fact: DataFrame) -> DataFrame:
+def line_total_check(fact: DataFrame, weight: str | None = None) -> DataFrame:
     """total_price = unit_price x quantity (a NULL side never counts as a mismatch)."""
-    return _rows(_fact_counts(fact, []), [
+    return _rows(_fact_counts(fact, [], weight), [
         _result("line_total", "fact_order", F.col("bad_total"), 0, "fail", _zero("bad_total"))])
 
 
-def positive_quantity_check(fact: DataFrame) -> DataFrame:
+def positive_quantity_check(fact: DataFrame, weight: str | None = None) -> DataFrame:
     """quantity <= 0 rows (warning)."""
-    return _rows(_fact_counts(fact, []), [
+    return _rows(_fact_counts(fact, [], weight), [
         _result("positive_quantity", "fact_order", F.col("nonpositive_quantity"), 0, "warning",
                 _zero("nonpositive_quantity"))])
 
 
-def _fact_row_checks(fact: DataFrame, required: Sequence[str]) -> DataFrame:
+def fact_row_checks(fact: DataFrame, required: Sequence[str] = FACT_REQUIRED, weight: str | None = None) -> DataFrame:
     """not-NULL, line total and quantity checks from one scan of the fact."""
     results = [_result("not_null", f"fact_order.{c}", F.col(f"null_{c}"), 0, "fail", _zero(f"null_{c}"))
                for c in required]
     results += [_result("line_total", "fact_order", F.col("bad_total"), 0, "fail", _zero("bad_total")),
                 _result("positive_quantity", "fact_order", F.col("nonpositive_quantity"), 0, "warning",
                         _zero("nonpositive_quantity"))]
-    return _rows(_fact_counts(fact, required), results)
+    return _rows(_fact_counts(fact, required, weight), results)
 
 
 def orphan_counts(fact: DataFrame, dims: Mapping[str, DataFrame],
                   references: Mapping[str, tuple[str, str]] = FACT_REFERENCES,
-                  optional: Sequence[str] = ()) -> DataFrame:
+                  optional: Sequence[str] = (), weight: str | None = None) -> DataFrame:
     """Fact rows per foreign key whose value is not in the dimension (a NULL key is an orphan).
 
     All foreign keys are handled by one grouped aggregate and one join: the fact is unpivoted to
     (fk, value) pairs, counted per distinct pair (map-side combine, so a hot key such as the guest
     member costs one row per partition), and the distinct pairs are left-joined to the union of the
-    dimension keys. Output: one row per foreign key with ``orphans``.
+    dimension keys. Output: one row per foreign key with ``orphans``. A row of ``fact`` that stands for several
+    counts ``weight`` times.
     """
     fks = list(references)
     stack = "stack({n}, {pairs}) as (fk, value)".format(
         n=len(fks), pairs=", ".join(f"'{c}', cast(`{c}` as string)" for c in fks))
-    keys = fact.selectExpr(stack).groupBy("fk", "value").agg(F.count(F.lit(1)).alias("n"))
+    one = F.lit(1) if weight is None else F.col(weight)
+    keys = fact.select(one.cast("bigint").alias("_weight"), *fks).selectExpr("_weight", stack).groupBy("fk", "value").agg(
+        F.sum("_weight").alias("n"))
     if optional:
         keys = keys.where(~(F.col("fk").isin(*optional) & F.col("value").isNull()))
     dim_keys = union_results([
@@ -358,8 +422,8 @@ def orphan_counts(fact: DataFrame, dims: Mapping[str, DataFrame],
 
 def referential_integrity_checks(fact: DataFrame, dims: Mapping[str, DataFrame],
                                  references: Mapping[str, tuple[str, str]] = FACT_REFERENCES,
-                                 optional: Sequence[str] = ()) -> DataFrame:
-    o = orphan_counts(fact, dims, references, optional)
+                                 optional: Sequence[str] = (), weight: str | None = None) -> DataFrame:
+    o = orphan_counts(fact, dims, references, optional, weight)
     subject = F.concat(F.lit("fact_order."), F.col("fk"), F.lit(" -> "),
                        F.create_map(*[x for c, (d, _) in references.items() for x in (F.lit(c), F.lit(d))])[F.col("fk")])
     return o.select(
@@ -373,7 +437,7 @@ def gold_report(silver: DataFrame, star: Mapping[str, DataFrame], required: Sequ
     return union_results([
         row_parity_check(silver, fact),
         uniqueness_checks({k: star[k] for k in GOLD_KEYS}),
-        _fact_row_checks(fact, required),
+        fact_row_checks(fact, required),
         referential_integrity_checks(fact, star, optional=[c for c in FACT_REFERENCES if c not in required]),
     ])
 

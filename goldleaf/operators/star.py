@@ -47,10 +47,11 @@ def build_date_dimension(df: DataFrame, date_col: str = "date") -> DataFrame:
     )
 
 
-def build_fact(silver: DataFrame, distinct: bool = False) -> DataFrame:
+def build_fact(silver: DataFrame, distinct: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """fact_order at line x topping grain: typed date, defaulted member/branch keys, line total.
 
-    ``distinct=True`` removes exact duplicate fact rows (the SQL variant of the build).
+    ``distinct=True`` removes exact duplicate fact rows (the SQL variant of the build); ``keep`` names further
+    columns of silver to carry along.
     """
     price = F.col("price").cast(PRICE_TYPE)  # a floating-point price would not equal its decimal total
     fact = silver.select(
@@ -61,6 +62,7 @@ def build_fact(silver: DataFrame, distinct: bool = False) -> DataFrame:
         price.alias("unit_price"),
         default_key("bran_id").alias("bran_id"),
         (price * F.col("quantity")).cast(LINE_TOTAL_TYPE).alias("total_price"),
+        *keep,
     )
     return fact.distinct() if distinct else fact
 

@@ -12,22 +12,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldleaf.functions import hour_of_text, is_weekend, month_label, parse_date, weekday_name, weekday_num
-from goldleaf.operators import marts, quality
+from goldleaf.operators import derived_checks, marts, quality
 from goldleaf.operators.denorm import bridge_fanout, denormalize, inner_chain, order_lookups
+from goldleaf.operators.derived_checks import LineStar
+from goldleaf.operators.history import CheckHistory
 from goldleaf.operators.hwm import next_hwm, read_increment
-from goldleaf.operators.joins import sized_broadcast
+from goldleaf.operators.line_marts import (all_marts, counted_bitmaps, mart_lines, mart_of_lines, merged_bitmaps,
+                                           order_bitmaps)
+from goldleaf.operators.partitioned import PartitionedTable
+from goldleaf.operators.quarantine import quarantined
 from goldleaf.operators.star import build_date_dimension, build_dimension, build_fact, build_star
 from goldleaf.operators.upsert import upsert
 from goldleaf.plans.bronze import ingest_table
 from goldleaf.session import scratch_path
+from goldleaf.sources import catalog as catalogs
 from goldleaf.sources.lake import VersionedStore, materialize, snapshot_copy
 from goldleaf.sources.retail_views import bridge_pairs, read_test_table, retail_source_views
-from goldleaf.spec import GUEST_MEMBER, LOAD_COLUMN, TABLE_KEYS, TableSpec
+from goldleaf.sources.sinks import FolderSink
+from goldleaf.spec import GUEST_MEMBER, LOAD_COLUMN, SOURCE_TABLES, SUM_TYPE, TABLE_KEYS, TableSpec
 from goldleaf.streaming import stream_ingest
 
 # Fixed "now" of the timestamp range checks, so that results do not depend on the wall clock.
 CHECK_AS_OF = "2024-01-20 00:00:00"
 
+SPLIT_TOTAL = 100_000  # lines below and from this total are the two parts of the merged order counts
+FIRST_RUN_BEFORE = "1997-01-01"  # orders that the first run of the check trend has
+PARITY_COLUMNS = ["order_detail_id", "order_id", "pizza_id", "pizza_type_id", "pizza_topping_id", "time", "size", "quantity"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -51,22 +62,7 @@ def _star_query(name: str) -> Query:
 
 
 def _bi(kind: str, grain: str) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        line = grain == "line_fact"
-        silver = denormalize(retail_source_views(spark, sf_dir), grain="line" if line else "topping")
-        # type revenue reads silver once; elsewhere fact and dimensions both read it
-        star = build_star(silver if kind == "type" else materialize(silver, "silver"))
-        fact, dim_date = star["fact_order"], star["dim_date"]
-        if kind == "monthly":
-            return marts.monthly_revenue(fact, dim_date, grain)
-        if kind == "category":
-            return marts.category_revenue(fact, star["dim_pizza_type"], grain)
-        if kind == "orders_by_hour":
-            return marts.orders_by_hour(fact, dim_date, grain)
-        if kind == "hourly":
-            return marts.hourly_revenue(fact, dim_date, grain)
-        return marts.type_revenue(fact, grain)
-    return run
+    return lambda s, d: mart_of_lines(mart_lines(retail_source_views(s, d)), kind, grain)
 
 
 def _line_total_from_float(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,18 +73,23 @@ def _line_total_from_float(spark: SparkSession, sf_dir: str) -> DataFrame:
         "order_detail_id", "pizza_topping_id", "unit_price", "quantity", "total_price")
 
 
+def _dimension(name: str) -> Query:
+    """A dimension from lines and toppings: no topping rows of lines are made for it."""
+    return lambda s, d: LineStar(retail_source_views(s, d)).dimensions()[name]
+
+
 def _star_queries() -> dict[str, Query]:
     return {
         "silver_orders": _silver,
         "fact_order": _star_query("fact_order"),
         "fact_order_distinct": lambda s, d: _star(s, d)["fact_order"].distinct(),
-        "dim_date": _star_query("dim_date"),
-        "dim_item": _star_query("dim_pizza"),
-        "dim_member": _star_query("dim_member"),
-        "dim_item_type": _star_query("dim_pizza_type"),
-        "dim_branch": _star_query("dim_branch"),
-        "dim_topping": _star_query("dim_pizza_topping"),
-        "bridge_type_topping": _star_query("bridge_pizza_type_topping"),
+        "dim_date": _dimension("dim_date"),
+        "dim_item": _dimension("dim_pizza"),
+        "dim_member": _dimension("dim_member"),
+        "dim_item_type": _dimension("dim_pizza_type"),
+        "dim_branch": _dimension("dim_branch"),
+        "dim_topping": _dimension("dim_pizza_topping"),
+        "bridge_type_topping": _dimension("bridge_pizza_type_topping"),
     }
 
 
@@ -98,10 +99,21 @@ def _bi_queries() -> dict[str, Query]:
                        ("orders_by_hour", "bi_orders_by_hour"), ("hourly", "bi_hourly_revenue"),
                        ("type", "bi_type_revenue")):
         out[name] = _bi(kind, "topping")
-        out[f"{name}_line_grain"] = _bi(kind, "line_fact")
+        out[f"{name}_line_grain"] = _bi(kind, "line")
+    out["bi_all_marts"] = lambda s, d: all_marts(mart_lines(retail_source_views(s, d)))
+    out["bi_all_marts_line_grain"] = lambda s, d: all_marts(mart_lines(retail_source_views(s, d)), "line")
+    out["bi_orders_by_hour_merged"] = _merged_order_counts
     return out
 
 
+def _merged_order_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct orders by hour from the bitmaps of two parts of the lines, kept apart and merged."""
+    lines = mart_lines(retail_source_views(spark, sf_dir)).where("date IS NOT NULL")
+    parts = [materialize(order_bitmaps(lines.where(cond)), "order-bitmaps") for cond in
+             (F.col("total") < SPLIT_TOTAL, F.col("total") >= SPLIT_TOTAL)]
+    return counted_bitmaps(merged_bitmaps(parts[0].unionByName(parts[1])))
+
+
 def _bronze_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = retail_source_views(spark, sf_dir)
     events = read_test_table(spark, sf_dir, "events")
@@ -112,22 +124,36 @@ def _bronze_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
 
 
-def _silver_inputs(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
-    v = retail_source_views(spark, sf_dir)
-    return v, materialize(denormalize(v), "silver")
+def _line_star(spark: SparkSession, sf_dir: str) -> LineStar:
+    """The star's parts with the lines written once, for reports that read them several times."""
+    return LineStar(retail_source_views(spark, sf_dir), lambda lines: materialize(lines, "line-star"))
 
 
-def _gold_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+def _row_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact as written against silver as written: rows, and the contents of their common columns."""
     silver = _silver_written(spark, sf_dir)
-    return silver, build_star(silver)
+    fact = materialize(build_fact(silver), "fact")
+    return quality.row_parity_check(silver, fact).unionByName(quality.content_checks(
+        {"silver -> fact_order": (silver, fact)}, {"silver -> fact_order": PARITY_COLUMNS}))
+
+
+def _trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver checks of two runs, the first before part of the orders had come, and what changed."""
+    tables = retail_source_views(spark, sf_dir)
+    history = CheckHistory(spark, scratch_path(spark, "check-history"))
+    early = {**tables, "orders": tables["orders"].where(F.col("date") < FIRST_RUN_BEFORE)}
+    for run, own in (("run-1", early), ("run-2", tables)):
+        star = LineStar(own, lambda lines: materialize(lines, "line-star"))
+        history.record(derived_checks.silver_report(own, TABLE_KEYS, star), "silver", run)
+    return history.trend("silver")
 
 
 def _quality_queries() -> dict[str, Query]:
-    def silver_q(fn):
-        return lambda s, d: fn(*_silver_inputs(s, d))
+    def lazily(fn):
+        return lambda s, d: fn(LineStar(retail_source_views(s, d)))
 
-    def gold_q(fn):
-        return lambda s, d: fn(*_gold_inputs(s, d))
+    def written(fn):
+        return lambda s, d: fn(_line_star(s, d))
 
     return {
         "timestamp_range_check": lambda s, d: quality.timestamp_range_check(
@@ -141,19 +167,20 @@ def _quality_queries() -> dict[str, Query]:
         "silver_duplicate_pks": lambda s, d: quality.duplicate_pk_checks(retail_source_views(s, d), TABLE_KEYS),
         "null_fk_profile": lambda s, d: (lambda v: quality.null_fk_profile(
             v["orderdetail"], v["orders"], v["pizza"]))(retail_source_views(s, d)),
-        "cardinality_check": silver_q(lambda v, silver: quality.cardinality(v["orderdetail"], silver)),
-        "missing_references": silver_q(lambda v, silver: quality.missing_references(silver)),
-        "types_without_bridge": silver_q(lambda v, silver: quality.types_without_bridge(silver)),
-        "silver_quality_report": silver_q(lambda v, silver: quality.silver_report(v, TABLE_KEYS, silver)),
-        "check_row_parity": gold_q(lambda silver, star: quality.row_parity_check(silver, star["fact_order"])),
-        "check_uniqueness": gold_q(lambda silver, star: quality.uniqueness_checks(
-            {k: star[k] for k in quality.GOLD_KEYS})),
-        "check_fact_nulls": gold_q(lambda silver, star: quality.fact_null_checks(star["fact_order"])),
-        "check_referential_integrity": gold_q(lambda silver, star: quality.referential_integrity_checks(
-            star["fact_order"], star)),
-        "check_line_total": gold_q(lambda silver, star: quality.line_total_check(star["fact_order"])),
-        "check_positive_quantity": gold_q(lambda silver, star: quality.positive_quantity_check(star["fact_order"])),
-        "gold_quality_report": gold_q(quality.gold_report),
+        "cardinality_check": lambda s, d: (lambda v: derived_checks.cardinality(
+            v["orderdetail"], LineStar(v)))(retail_source_views(s, d)),
+        "missing_references": lazily(lambda star: derived_checks.reference_counts(star).drop("types_without_topping")),
+        "types_without_bridge": lazily(lambda star: derived_checks.reference_counts(star).select("types_without_topping")),
+        "silver_quality_report": lambda s, d: derived_checks.silver_report(
+            retail_source_views(s, d), TABLE_KEYS, _line_star(s, d)),
+        "check_row_parity": _row_parity,
+        "check_uniqueness": written(derived_checks.uniqueness_checks),
+        "check_fact_nulls": written(lambda star: derived_checks.fact_row_checks(star).where("check = 'not_null'")),
+        "check_referential_integrity": written(derived_checks.referential_integrity_checks),
+        "check_line_total": lazily(lambda star: quality.line_total_check(star.fact_lines(), "n")),
+        "check_positive_quantity": lazily(lambda star: quality.positive_quantity_check(star.fact_lines(), "n")),
+        "gold_quality_report": written(derived_checks.gold_report),
+        "check_trend": _trend,
     }
 
 
@@ -164,6 +191,9 @@ INGEST_MARK = "2024-01-15 00:00:00"  # stored mark for the events increment
 TARGET_BEFORE = "1999-01-01"  # orders before this date form the existing target
 CHANGED_FROM = "1998-01-01"  # orders from this date on carry a changed status in the increment
 CHANGED_STATUS = "X"
+CATALOG_BUCKETS = 16
+NULL_KEY, BAD_TIME, REPEATED = (89, 1), (83, 2), (97, 0)  # divisor and remainder of the order keys with planted faults
+BAD_TIME_AT = "2999-01-01"
 
 
 def _ts(df: DataFrame, col: str, value: str):
@@ -202,9 +232,9 @@ def _bronze_queries() -> dict[str, Query]:
         store = _store(s, "snapshot_copy")
         views = retail_source_views(s, d)
         snapshot_copy(views, store)
+        quality.gate(quality.content_checks({t: (views[t], store.read(t)) for t in views}), "snapshot copy")
         return quality.union_results([
-            store.read(t).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("table_name"), "rows")
-            for t in views])
+            quality.content_hash(store.read(t)).select(F.lit(t).alias("table_name"), "rows", "content") for t in views])
 
     def keyed_upsert(s, d):
         orders = read_test_table(s, d, "orders")
@@ -215,6 +245,65 @@ def _bronze_queries() -> dict[str, Query]:
         upsert(store, "orders", changed, ["o_orderkey"])
         return store.read("orders")
 
+    def keyed_upsert_partitioned(s, d):
+        orders = read_test_table(s, d, "orders")
+        table = PartitionedTable(s, scratch_path(s, "keyed_upsert_partitioned"), ["o_orderkey"], 16)
+        table.create(orders.where(F.col("o_orderdate") < _ts(orders, "o_orderdate", TARGET_BEFORE)))
+        table.upsert(_changed_orders(orders).where(F.col("o_orderdate") >= _ts(orders, "o_orderdate", CHANGED_FROM)))
+        return table.read()
+
+    def schema_evolution_upsert(s, d):
+        """The target has no priority yet and narrow customer keys; the increment brings priorities, but no prices."""
+        orders = read_test_table(s, d, "orders")
+        store = _store(s, "schema_evolution_upsert")
+        target = orders.where(F.col("o_orderdate") < _ts(orders, "o_orderdate", TARGET_BEFORE))
+        upsert(store, "orders", target.drop("o_orderpriority").withColumn("o_custkey", F.col("o_custkey").cast("int")), ["o_orderkey"])
+        source = _changed_orders(orders).where(F.col("o_orderdate") >= _ts(orders, "o_orderdate", CHANGED_FROM))
+        upsert(store, "orders", source.drop("o_totalprice").withColumn("o_custkey", F.col("o_custkey").cast("bigint")), ["o_orderkey"])
+        return store.read("orders")
+
+    def quarantine(s, d):
+        orders = read_test_table(s, d, "orders")
+        store = _store(s, "quarantine")
+        key = lambda fault: F.col("_key") % fault[0] == fault[1]
+        kept = orders.withColumn("_key", F.col("o_orderkey"))
+        faulty = kept.unionByName(kept.where(key(REPEATED)).withColumn("o_orderstatus", F.lit("D"))).withColumn(
+            "o_orderdate", F.when(key(BAD_TIME), _ts(orders, "o_orderdate", BAD_TIME_AT)).otherwise(F.col("o_orderdate"))).withColumn(
+            "o_orderkey", F.when(~key(NULL_KEY), F.col("o_orderkey"))).drop("_key")
+        for _ in range(2):  # the second run reads the rows with a time in the future again
+            ingest_table(s, TableSpec("orders", ["o_orderkey"], "o_orderdate"), faulty, store, as_of=CHECK_AS_OF, quarantine=True)
+        return store
+
+    def quarantined_rows(s, d):
+        return quarantined(quarantine(s, d)).drop(LOAD_COLUMN).withColumn("reasons", F.array_join("reasons", ","))
+
+    def warehouse_publish(s, d):
+        """Two publications and a third that fails half-way; what readers of the warehouse then see."""
+        tables = retail_source_views(s, d)
+        sink = FolderSink(s, scratch_path(s, "warehouse"))
+        early = {**tables, "orders": tables["orders"].where(F.col("date") < FIRST_RUN_BEFORE)}
+        for own in (early, tables):
+            sink.publish(LineStar(own).dimensions() | {"fact_order": build_fact(denormalize(own))})
+        broken = tables["branch"].select(F.raise_error(F.lit("planted failure")).cast("string").alias("bran_id"))
+        try:
+            sink.publish({"dim_branch": tables["branch"], "fact_order": broken})
+        except Exception as e:
+            if "planted failure" not in str(e):
+                raise
+        return sink.read("fact_order").groupBy("bran_id").agg(F.sum("total_price").cast(SUM_TYPE).alias("revenue")).join(
+            sink.read("dim_branch"), "bran_id").select("bran_id", "bran_nm", "revenue")
+
+    def catalog(s, d):
+        """Namespaces of bronze (lines and orders bucketed), silver and gold tables; returns silver's and gold's."""
+        bronze, silver, gold = (catalogs.scratch_namespace(s, f"goldleaf_{x}") for x in ("bronze", "silver", "gold"))
+        catalogs.build_bronze_tables(retail_source_views(s, d), bronze, CATALOG_BUCKETS)
+        catalogs.build_silver_table(s, bronze, silver, SOURCE_TABLES)
+        return silver, gold
+
+    def catalog_monthly_revenue(s, d):
+        star = catalogs.build_gold_tables(s, *catalog(s, d))
+        return marts.monthly_revenue(star["fact_order"], star["dim_date"])
+
     def keyed_upsert_composite(s, d):
         part = read_test_table(s, d, "part")
         keys = ["pizza_type_id", "pizza_topping_id"]
@@ -258,6 +347,13 @@ def _bronze_queries() -> dict[str, Query]:
         "snapshot_copy": copy,
         "keyed_upsert": keyed_upsert,
         "keyed_upsert_composite": keyed_upsert_composite,
+        "keyed_upsert_partitioned": keyed_upsert_partitioned,
+        "schema_evolution_upsert": schema_evolution_upsert,
+        "quarantine_ingest": lambda s, d: quarantine(s, d).read("orders").drop(LOAD_COLUMN),
+        "quarantined_rows": quarantined_rows,
+        "warehouse_publish": warehouse_publish,
+        "catalog_silver_orders": lambda s, d: s.table(f"{catalog(s, d)[0]}.{catalogs.SILVER_TABLE}"),
+        "catalog_monthly_revenue": catalog_monthly_revenue,
         "incremental_ingest": incremental_ingest,
     }
 
@@ -267,10 +363,9 @@ def _bronze_queries() -> dict[str, Query]:
 def _relational_queries() -> dict[str, Query]:
     def join_on_date_expr(s, d):
         v = retail_source_views(s, d)
-        dim_date = build_date_dimension(denormalize(v))
+        dim_date = build_date_dimension(denormalize(v, grain="line"))
         per_text = v["orders"].groupBy("date").agg(F.count(F.lit(1)).alias("n"))
-        joined = per_text.join(sized_broadcast(dim_date.select(F.col("date").alias("d"))),
-                               parse_date(per_text["date"]) == F.col("d"), "inner")
+        joined = per_text.join(dim_date.select(F.col("date").alias("d")), parse_date(per_text["date"]) == F.col("d"), "inner")
         return joined.groupBy(F.col("d").alias("date")).agg(F.sum("n").cast("bigint").alias("n"))
 
     def scalar_date_functions(s, d):

@@ -36,16 +36,14 @@ _SOURCES = {
 
 # --- silver and gold, as the SQL version of the warehouse would build them --------------------------
 _SILVER_SELECT = (
-    "SELECT o.order_id, od.order_detail_id, p.pizza_id, pt.pizza_type_id, o.member_id, m.member_nm, o.date, o.time, "
-    "od.quantity, p.size, p.price, pt.pizza_nm, pt.pizza_categ, o.bran_id, b.bran_nm, br.pizza_topping_id, "
-    "tp.pizza_topping_nm "
-    "FROM od_s od JOIN orders_s o ON od.order_id = o.order_id "
-    "JOIN pizza_s p ON od.pizza_id = p.pizza_id "
-    "JOIN ptype_s pt ON p.pizza_type_id = pt.pizza_type_id "
-    "LEFT JOIN branch_s b ON o.bran_id = b.bran_id "
-    "LEFT JOIN member_s m ON o.member_id = m.member_id "
-    "LEFT JOIN bridge_s br ON pt.pizza_type_id = br.pizza_type_id "
-    "LEFT JOIN topping_s tp ON br.pizza_topping_id = tp.pizza_topping_id"
+    "SELECT l.order_id, l.order_detail_id, l.pizza_id, i.pizza_type_id, c.member_id, c.member_nm, c.date, c.time, "
+    "l.quantity, i.size, i.price, i.pizza_nm, i.pizza_categ, c.bran_id, c.bran_nm, t.pizza_topping_id, t.pizza_topping_nm "
+    "FROM (SELECT x.*, m.member_nm, b.bran_nm FROM orders_s x LEFT JOIN member_s m USING (member_id) "
+    "LEFT JOIN branch_s b USING (bran_id)) c JOIN od_s l ON l.order_id = c.order_id "
+    "JOIN (SELECT x.*, k.pizza_nm, k.pizza_categ FROM pizza_s x JOIN ptype_s k USING (pizza_type_id)) i "
+    "ON i.pizza_id = l.pizza_id "
+    "LEFT JOIN (SELECT x.*, n.pizza_topping_nm FROM bridge_s x LEFT JOIN topping_s n USING (pizza_topping_id)) t "
+    "ON t.pizza_type_id = i.pizza_type_id"
 )
 _FACT_COLS = (
     "order_detail_id, order_id, TRY_CAST(date AS DATE) AS date, COALESCE(member_id, '0') AS member_id, pizza_id, "
@@ -106,6 +104,25 @@ def bi_sql() -> dict[str, str]:
             f"{_rev('f.total_price')} AS revenue FROM {fact} f JOIN dim_date dd ON f.date = dd.date GROUP BY 1, 2, 3")
         out[f"bi_type_revenue{suffix}"] = pre + (
             f"SELECT f.pizza_type_id, {_rev('f.total_price')} AS revenue FROM {fact} f GROUP BY f.pizza_type_id")
+    # all five marts as one table; only the hourly counts fill ``orders``
+    columns = {"monthly": "year, month", "category": "category", "orders_by_hour": "hour", "hourly": "hour, date, weekday",
+               "type": "pizza_type_id"}
+    kinds = {"year": "INTEGER", "month": "INTEGER", "category": "VARCHAR", "hour": "INTEGER", "date": "DATE",
+             "weekday": "VARCHAR", "pizza_type_id": "VARCHAR"}
+    hour = "CAST(hour(strptime(f.time, '%H:%M:%S')) AS INTEGER)"
+    value = {"year": "CAST(year(f.date) AS INTEGER)", "month": "CAST(month(f.date) AS INTEGER)", "category": "pt.pizza_categ",
+             "hour": hour, "date": "f.date", "weekday": "strftime(f.date, '%a')", "pizza_type_id": "f.pizza_type_id"}
+    for suffix, fact in (("", "fact"), ("_line_grain", "fact_line")):
+        parts = []
+        for mart, cols in columns.items():
+            own = cols.split(", ")
+            shown = ", ".join(f"{value[c]} AS {c}" if c in own else f"CAST(NULL AS {k}) AS {c}" for c, k in kinds.items())
+            figures = (f"CAST(NULL AS DECIMAL(38,2)) AS revenue, CAST(COUNT(f.order_id) AS BIGINT) AS orders" if mart == "orders_by_hour"
+                       else f"{_rev('f.total_price')} AS revenue, CAST(NULL AS BIGINT) AS orders")
+            where = "" if mart in ("category", "type") else " WHERE f.date IS NOT NULL"
+            parts.append(f"SELECT '{mart}' AS mart, {shown}, {figures} FROM {fact} f JOIN dim_ptype pt "
+                         f"ON f.pizza_type_id = pt.pizza_type_id{where} GROUP BY {', '.join(value[c] for c in own)}")
+        out[f"bi_all_marts{suffix}"] = with_views(fact, "dim_ptype") + _union(parts)
     pre = with_views("fact", "dim_date")
     out["bi_orders_by_hour"] = pre + (
         "SELECT CAST(hour(strptime(f.time, '%H:%M:%S')) AS INTEGER) AS hour, CAST(COUNT(f.order_id) AS BIGINT) AS orders "
@@ -113,6 +130,7 @@ def bi_sql() -> dict[str, str]:
     out["bi_orders_by_hour_line_grain"] = pre + (
         "SELECT CAST(hour(strptime(f.time, '%H:%M:%S')) AS INTEGER) AS hour, "
         "CAST(COUNT(DISTINCT f.order_id) AS BIGINT) AS orders FROM fact f JOIN dim_date dd ON f.date = dd.date GROUP BY 1")
+    out["bi_orders_by_hour_merged"] = out["bi_orders_by_hour_line_grain"]
     return out
 
 
@@ -263,6 +281,34 @@ def _ri() -> list[str]:
     return parts
 
 
+def _digest_sum(cols: list[str]) -> str:
+    """The sum of the rows' digests: 15 hex digits of the md5 of the values with their lengths, NULL as a dash."""
+    text = " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in cols)
+    return f"CAST(COALESCE(SUM(CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)), 0) AS DECIMAL(38,0))"
+
+
+_PARITY_COLUMNS = ["order_detail_id", "order_id", "pizza_id", "pizza_type_id", "pizza_topping_id", "time", "size", "quantity"]
+
+
+def _content_parity() -> str:
+    one = lambda v, a, b: f"(SELECT count(*) AS {a}, {_digest_sum(_PARITY_COLUMNS)} AS {b} FROM {v})"
+    return _row("content", "silver -> fact_order", "f", "s", "'fail'", "f = s AND fc = sc",
+                f"{one('fact', 'f', 'fc')} x, {one('silver', 's', 'sc')} y")
+
+
+def _trend_sql() -> str:
+    """The silver report of the orders before 1997 against that of all orders."""
+    now = with_views("silver") + _union(_silver_parts())
+    before = now.replace("AS bran_id FROM orders)", "AS bran_id FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01')")
+    off = lambda t: f"abs({t}.observed - coalesce({t}.expected, 0))"
+    return (f"SELECT coalesce(n.\"check\", b.\"check\") AS \"check\", coalesce(n.subject, b.subject) AS subject, "
+            f"coalesce(n.severity, b.severity) AS severity, b.observed AS observed_before, n.observed AS observed_now, "
+            f"n.observed - b.observed AS change, CASE WHEN b.\"check\" IS NULL THEN 'new' WHEN n.\"check\" IS NULL THEN 'gone' "
+            f"WHEN NOT b.passed AND n.passed THEN 'mended' WHEN b.passed AND NOT n.passed THEN 'broken' "
+            f"WHEN {off('n')} < {off('b')} THEN 'better' WHEN {off('n')} > {off('b')} THEN 'worse' ELSE 'same' END AS trend "
+            f"FROM ({before}) b FULL JOIN ({now}) n ON b.\"check\" = n.\"check\" AND b.subject = n.subject")
+
+
 def quality_sql() -> dict[str, str]:
     src = with_views()
     gold = with_views(*_ALL_GOLD)
@@ -284,7 +330,8 @@ def quality_sql() -> dict[str, str]:
             f"{v} AS {k}" for k, v in _REFS.items() if k != "types_without_topping") + " FROM silver",
         "types_without_bridge": silver + f"SELECT {_REFS['types_without_topping']} AS types_without_topping FROM silver",
         "silver_quality_report": silver + _union(_silver_parts()),
-        "check_row_parity": gold + _union(_parity()),
+        "check_row_parity": gold + _union([*_parity(), _content_parity()]),
+        "check_trend": _trend_sql(),
         "check_uniqueness": gold + _union(_uniqueness()),
         "check_fact_nulls": gold + _union(_not_null()),
         "check_referential_integrity": gold + _union(_ri()),
@@ -313,6 +360,15 @@ def _words(cond: str) -> str:
             f"FROM part WHERE {cond}")
 
 
+_SOURCE_COLUMNS = {
+    "branch": ["bran_id", "bran_nm"], "member": ["member_id", "member_nm"],
+    "orders": ["order_id", "date", "time", "member_id", "bran_id"],
+    "orderdetail": ["order_detail_id", "order_id", "pizza_id", "quantity"],
+    "pizza": ["pizza_id", "pizza_type_id", "size", "price"], "pizzatypes": ["pizza_type_id", "pizza_nm", "pizza_categ"],
+    "pizzatypetopping": ["pizza_type_id", "pizza_topping_id"], "topping": ["pizza_topping_id", "pizza_topping_nm"],
+}
+
+
 def bronze_sql() -> dict[str, str]:
     inc = f"SELECT * FROM events WHERE COALESCE(ts, {_NULL_TS}) > {_MARK}"
     views = ["branch_s", "member_s", "orders_s", "od_s", "pizza_s", "ptype_s", "bridge_s", "topping_s"]
@@ -323,7 +379,30 @@ def bronze_sql() -> dict[str, str]:
                         f"{_MARK}) AS watermark_value FROM ({inc}) i"),
         "initial_load": "SELECT * FROM orders",
         "snapshot_copy": with_views() + _union([
-            f"SELECT '{n}' AS table_name, CAST(count(*) AS BIGINT) AS rows FROM {v}" for n, v in zip(names, views)]),
+            f"SELECT '{n}' AS table_name, CAST(count(*) AS BIGINT) AS rows, {_digest_sum(_SOURCE_COLUMNS[n])} AS content FROM {v}"
+            for n, v in zip(names, views)]),
+        "schema_evolution_upsert": (
+            "WITH t AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'), "
+            f"s AS (SELECT {_CHANGED} FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01') "
+            "SELECT o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, o_orderstatus, o_totalprice, o_orderdate, "
+            "NULL AS o_orderpriority FROM t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s) UNION ALL "
+            "SELECT s.o_orderkey, CAST(s.o_custkey AS BIGINT), s.o_orderstatus, t.o_totalprice, s.o_orderdate, "
+            "s.o_orderpriority FROM s LEFT JOIN t ON s.o_orderkey = t.o_orderkey"),
+        "quarantine_ingest": (f"SELECT {_ORDER_COLS} FROM orders WHERE o_orderkey % 89 <> 1 AND o_orderkey % 83 <> 2 "
+                              "AND o_orderkey % 97 <> 0"),
+        "quarantined_rows": (
+            "WITH f AS (SELECT *, o_orderstatus AS status FROM orders UNION ALL "
+            "SELECT *, 'D' AS status FROM orders WHERE o_orderkey % 97 = 0) SELECT DISTINCT "
+            "CASE WHEN o_orderkey % 89 <> 1 THEN o_orderkey END AS o_orderkey, o_custkey, status AS o_orderstatus, o_totalprice, "
+            "CASE WHEN o_orderkey % 83 = 2 THEN TIMESTAMP '2999-01-01' ELSE o_orderdate END AS o_orderdate, o_orderpriority, "
+            "concat_ws(',', CASE WHEN o_orderkey % 89 = 1 THEN 'null_key' END, CASE WHEN o_orderkey % 83 = 2 THEN "
+            "'timestamp_range' END, CASE WHEN o_orderkey % 97 = 0 AND o_orderkey % 89 <> 1 THEN 'duplicate_key' END) AS reasons "
+            "FROM f WHERE o_orderkey % 89 = 1 OR o_orderkey % 83 = 2 OR o_orderkey % 97 = 0"),
+        "warehouse_publish": with_views("fact", "dim_branch") + (
+            f"SELECT b.bran_id, b.bran_nm, {_rev('f.total_price')} AS revenue FROM fact f JOIN dim_branch b "
+            "ON f.bran_id = b.bran_id GROUP BY b.bran_id, b.bran_nm"),
+        "catalog_silver_orders": with_views("silver") + "SELECT * FROM silver",
+        "catalog_monthly_revenue": bi_sql()["bi_monthly_revenue"],
         "keyed_upsert": (
             "WITH t AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'), "
             f"s AS (SELECT {_CHANGED} FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01') "
@@ -394,5 +473,6 @@ def oracle_queries() -> dict[str, str]:
     out.update(bi_sql())
     out.update(quality_sql())
     out.update(bronze_sql())
+    out["keyed_upsert_partitioned"] = out["keyed_upsert"]
     out.update(relational_sql())
     return out

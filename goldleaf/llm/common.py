@@ -66,16 +66,15 @@ def _place_in_file(df: DataFrame) -> DataFrame | None:
     if plan.getClass().getSimpleName() != "LogicalRelation":
         return None
     try:
-        return df.select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+        place = df.metadataColumn("_metadata")  # whatever columns the table has
+        return df.select(place["file_path"].alias("_file"), place["row_index"].alias("_row"))
     except AnalysisException:  # a source without files, or whose files do not number their rows
         return None
 
 
 def stored(df: DataFrame) -> DataFrame:
     """``df`` itself if its rows have a place in stored files, else a written copy of it."""
-    if _place_in_file(df) is None or "_metadata" in map(str.lower, df.columns):
-        return written(df, "stored")
-    return df
+    return written(df, "stored") if _place_in_file(df) is None else df
 
 
 def row_numbered(df: DataFrame, name: str) -> DataFrame:
@@ -98,7 +97,8 @@ def row_numbered(df: DataFrame, name: str) -> DataFrame:
             F.count_distinct(file_of(F.col("_file"), s)) for s in range(seed, seed + 8)]).first()
         if n in different:
             chosen = seed + different.index(n)
-            number = F.shiftleft(file_of(F.col("_metadata.file_path"), chosen), row_bits).bitwiseOR(F.col("_metadata.row_index"))
+            own = df.metadataColumn("_metadata")
+            number = F.shiftleft(file_of(own["file_path"], chosen), row_bits).bitwiseOR(own["row_index"])
             return df.select("*", number.alias(name))
     raise ValueError(f"{n} files with up to {longest} rows cannot be told apart in 63 bits")
 
@@ -124,6 +124,11 @@ def utf8(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def text_of(data: bytes | None) -> str:
+    """The text of UTF-8 bytes, empty for null; bytes that are not valid become U+FFFD."""
+    return (data or b"").decode(errors="replace")
+
+
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``rows``, so that Python objects exist for a few texts at a time."""
     for batch in batches:

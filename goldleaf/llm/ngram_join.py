@@ -11,6 +11,12 @@ min(k, o) of them, k being that of the smaller set. The matrix holds these first
 by a count of the texts that hold a token, so a passage that many documents share is rarely among the first
 tokens: it decides how much work is done, not what is found.
 
+Where the matrix is worked out. A token that few texts hold travels once, packed with its class into arrays, to
+the bucket of its hash, where the groups that hold it and the classes that ask them are found; only sums per
+(class, group) leave. Of more than ``COMMON_MAX`` tokens none of these is held by more than that part of all
+tokens, so a bucket is bounded. The (at most so many) tokens known as common, which one group of copies may
+hold a million times, go through joins and sums that are reduced map-side and split by adaptive execution.
+
 Links that only confirm what is known already are saved. First, classes with the same least tokens in two
 random orders are compared with a few of them. Links among them make components; tokens that only one
 component has drop out of the matrix, so a family of thousands of near copies costs its size, not its square.
@@ -25,8 +31,8 @@ two tokens has probability 2^-64).
 Cases: null text counts as empty; a text without words has no tokens, is linked with nothing and is its
 own component; with fewer words than a shingle the whole sequence is one token; repeated rows share their
 class; a null doc_id takes part, and is a component's id only if it has no other; an empty table gives no
-rows; further columns are ignored. The input must be a stored table (its rows are numbered as they are
-read, and read more than once).
+rows; further columns are ignored. Rows are known by their place in the stored files (``row_numbered``), so
+further scans and retried tasks see the same numbers; a frame that is no plain scan is written first.
 """
 
 from __future__ import annotations
@@ -40,7 +46,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldleaf.llm.common import broadcast_if_few, importable_on_workers, sliced, utf8, written
+from goldleaf.llm.common import broadcast_if_few, discard, importable_on_workers, row_numbered, sliced, utf8, written
 from goldleaf.llm.components import components
 
 SHINGLE_WORDS, MIN_PERCENT = 5, 80
@@ -51,7 +57,10 @@ LEADS = 4  # turns in which classes with the same leading tokens are compared fi
 LEAD_ROUNDS = ((0,), (1, 2, 3))  # later turns take one class for all of its component
 ALIKE_PERCENT = 40  # components with so similar members are put into one group; it changes no result
 LEADERS = 8  # classes of a group that the others are compared with in a turn
-GROUP_TOKENS = 500_000  # larger groups, and all that ask one group, are split into parts of about so many tokens
+BUCKET_TOKENS = 250_000  # first tokens that meet in one bucket of the matrix
+PACKED_TOKENS = 1_000_000  # first tokens that a task packs at a time
+ASKED_AT_ONCE = 2_000_000  # (class, group) pairs of a bucket that are looked at together
+GROUP_TOKENS = 250_000  # larger groups, and all that ask one group, are split into parts of about so many tokens
 
 _MIX = [np.uint64(int(xxhash.xxh3_64_intdigest(b"place %d" % i)) | 1) for i in range(64)]
 _SALT = np.uint64(0x9E3779B97F4A7C15)
@@ -142,6 +151,7 @@ def _common_tokens(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]
     top = counts.where(F.col("n") >= bar).select("token", "n").toArrow()
     tokens, n = top.column("token").to_numpy().view(np.uint64), top.column("n").to_numpy()
     order = np.argsort(tokens)
+    discard(counts)
     return tokens[order], n[order]
 
 
@@ -160,35 +170,40 @@ def _leads(tokens: np.ndarray) -> np.ndarray:
     return _scrambled(least + np.roll(least, -1) * _SALT).view(np.int64)
 
 
-def _heads(docs: DataFrame, words: int, percent: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """``uid, doc_id, n_shingles, cls, leads, first`` of every text.
+def _heads(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``uid, doc_id, n_shingles, cls, leads, rare, often`` of every text, written.
 
-    ``first`` are its first tokens in the global order (by count, then value), ``leads`` its leading tokens
-    of ``LEADS`` turns.
+    ``rare`` and ``often`` are its first tokens in the global order (by count, then value): those that are not
+    known as common (as bytes) and those that are. ``leads`` are its leading tokens of ``LEADS`` turns.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(common)
+    shared = docs.sparkSession.sparkContext.broadcast(_common_tokens(docs, words))
 
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, common = Shingler(words), shared.value
         for batch in sliced(batches):
-            sizes, classes, firsts, leads = [], [], [], []
+            sizes, classes, rare, often, leads = [], [], [], [], []
             for data in utf8(batch.column(2)):
                 tokens = shingler.tokens(data)
                 n = len(tokens)
-                ordered = tokens[np.argsort(_counts(tokens, *common), kind="stable")]
+                counts = _counts(tokens, *common)
+                order = np.argsort(counts, kind="stable")[:n - needed(n, percent) + overlap(n)]
                 sizes.append(n)
                 classes.append(_class_of(tokens) if n else None)
-                firsts.append(ordered[:n - needed(n, percent) + overlap(n)].view(np.int64))
+                rare.append(tokens[order[counts[order] == 0]].tobytes())
+                often.append(tokens[order[counts[order] > 0]].view(np.int64))
                 leads.append(_leads(tokens).tolist() if n else [])
-            offsets = np.concatenate([[0], np.cumsum([len(f) for f in firsts])]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int64), *firsts])))
+            offsets = np.concatenate([[0], np.cumsum([len(f) for f in often])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int64), *often])))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()),
-                 pa.array(leads, pa.list_(pa.int64())), lists],
-                ["uid", "doc_id", "n_shingles", "cls", "leads", "first"])
+                 pa.array(leads, pa.list_(pa.int64())), pa.array(rare, pa.binary()), lists],
+                ["uid", "doc_id", "n_shingles", "cls", "leads", "rare", "often"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(heads, f"uid bigint, doc_id {kind}, n_shingles bigint, cls binary, leads array<bigint>, first array<bigint>")
+    out = written(docs.select("uid", "doc_id", "_text").mapInArrow(heads, f"uid bigint, doc_id {kind}, n_shingles bigint, cls binary, leads array<bigint>, "
+                                         "rare binary, often array<bigint>"), "op5-heads")
+    shared.destroy()
+    return out
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -283,11 +298,13 @@ def _with_components(classes: DataFrame, links: DataFrame, name: str = "comp") -
 
 
 def _split(rows: DataFrame, *by: str, key: str = "cid", name: str = "grp") -> DataFrame:
-    """``rows`` (with ``size``) and ``name``: one number per value of ``by``, several when its sizes add up to
-    much; rows with the same ``key`` stay together."""
+    """``rows`` (with ``size``) and ``name``: one number per value of ``by`` (a single long itself), several when
+    its sizes add up to much; rows with the same ``key`` stay together."""
     weight = rows.groupBy(*by).agg(F.sum("size").alias("_weight"), F.count(F.lit(1)).alias("_n"))
     parts = F.expr(f"_weight div {GROUP_TOKENS} + 1")
-    return rows.join(weight, list(by)).withColumn(name, F.xxhash64(*by, F.pmod(F.xxhash64(key), parts))).drop("_weight")
+    whole = F.col(by[0]) if len(by) == 1 else F.xxhash64(*by)
+    return rows.join(weight, list(by)).withColumn(name, F.when(parts == 1, whole).otherwise(
+        F.xxhash64(*by, F.pmod(F.xxhash64(key), parts)))).drop("_weight")
 
 
 def _lead_components(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
@@ -312,7 +329,117 @@ def _lead_components(docs: DataFrame, classes: DataFrame, words: int, percent: i
             lambda group: _link_members(group, percent), f"{_LINK}, exact boolean")
         found = written(links if found is None else found.unionByName(links), "op5-links")
         state = written(_with_components(wanted, found.where("exact")), "op5-comps")
-    return written(_with_components(state, found, "alike"), "op5-alike")
+    out = written(_with_components(state, found, "alike"), "op5-alike")
+    discard(leading, sets, found)
+    return out
+
+
+def _at_least(size, percent: int):
+    """Shared first tokens that a class of ``size`` has with any partner, a smaller one included."""
+    partner = F.ceil(size * percent / 100)
+    return F.least(F.greatest(F.lit(SHARED), F.floor(partner / SHARED_PART)), partner)
+
+
+_PACKED = ("token", "cid", "comp", "grp", "size")
+_ASKED = "cid bigint, size bigint, grp bigint, shared bigint"
+
+
+def _packed(buckets: int):
+    """Packs (cid, comp, grp, size, rare) rows: for a bucket of token hashes one row of arrays per run."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run, n = [], 0
+
+        def out() -> pa.RecordBatch:
+            token, cid, comp, grp, size = (np.concatenate(x) for x in zip(*run))
+            bucket = (token.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+            order = np.lexsort((cid, bucket))
+            ends = np.flatnonzero(np.diff(bucket[order], append=-1)) + 1
+            columns = [[bucket[order[e - 1]] for e in ends]]
+            # ids of a component and a group mostly equal the class, so their differences take no room
+            for values in (token, cid, comp - cid, grp - cid, size.astype(np.int32)):
+                columns.append([part.tobytes() for part in np.split(values[order], ends[:-1])])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(columns[0], pa.int64()), *[pa.array(c, pa.binary()) for c in columns[1:]]], ["bucket", *_PACKED])
+
+        for batch in batches:
+            ids = [batch.column(i).to_numpy() for i in range(4)]
+            for row, data in enumerate(utf8(batch.column(4))):
+                token = np.frombuffer(data, np.int64)
+                run.append([token, *[np.full(len(token), x[row]) for x in ids]])
+                n += len(token)
+                if n >= PACKED_TOKENS:
+                    yield out()
+                    run, n = [], 0
+        if n:
+            yield out()
+
+    return pack
+
+
+def _asking(group: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Of a bucket: how many tokens each class shares with each group that another component is in."""
+    token, cid, comp, grp = (np.frombuffer(b"".join(group[c]), np.int64) for c in _PACKED[:4])
+    size = np.frombuffer(b"".join(group["size"]), np.int32).astype(np.int64)
+    comp, grp = comp + cid, grp + cid
+    order = np.argsort(token, kind="stable")
+    # only tokens that several components hold
+    starts = np.flatnonzero(np.diff(token[order], prepend=token[order[0]] - 1)) if len(order) else np.empty(0, np.int64)
+    several = np.minimum.reduceat(comp[order], starts) < np.maximum.reduceat(comp[order], starts)
+    order = order[np.repeat(several, np.diff(starts, append=len(order)))]
+    order = order[np.lexsort((grp[order], token[order]))]
+    token, cid, comp, grp, size = (x[order] for x in (token, cid, comp, grp, size))
+    found = pd.DataFrame({"cid": [], "size": [], "grp": [], "shared": []}, dtype="int64")
+    if not len(token):
+        return found
+    # the matrix: a row per token and group
+    cell = np.flatnonzero(np.diff(token, prepend=token[0] - 1) | np.diff(grp, prepend=grp[0]))
+    low, high = np.minimum.reduceat(size, cell), np.maximum.reduceat(size, cell)
+    least, most = np.minimum.reduceat(comp, cell), np.maximum.reduceat(comp, cell)
+    cell_token = token[cell]
+    first, last = np.searchsorted(cell_token, token), np.searchsorted(cell_token, token, side="right")
+    n, parts = last - first, []
+    for run in np.split(np.arange(len(token)), np.flatnonzero(np.diff(np.cumsum(n) // ASKED_AT_ONCE)) + 1):
+        asks = np.repeat(run, n[run])
+        at = np.repeat(first[run] - np.concatenate([[0], np.cumsum(n[run])[:-1]]), n[run]) + np.arange(len(asks))
+        fits = ((least[at] != comp[asks]) | (most[at] != comp[asks])) & (
+            100 * high[at] >= percent * size[asks]) & (100 * size[asks] >= percent * low[at])
+        asks, at = asks[fits], at[fits]
+        asks = asks[by_group := np.lexsort((grp[cell[at]], cid[asks]))]
+        asked = grp[cell[at[by_group]]]
+        new = np.flatnonzero((np.diff(cid[asks], prepend=0) != 0) | (np.diff(asked, prepend=0) != 0) | (np.arange(len(asks)) == 0))
+        parts.append(pd.DataFrame({"cid": cid[asks[new]], "size": size[asks[new]], "grp": asked[new],
+                                   "shared": np.diff(new, append=len(asks))}))
+    return pd.concat([found, *parts]).astype("int64")
+
+
+def _asking_common(entries: DataFrame, percent: int) -> DataFrame:
+    """The same for the tokens known as common: ``token, cid, comp, grp, size`` as rows."""
+    held = written(entries.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b")
+                   .select("token"), "op5-held")  # at most COMMON_MAX rows
+    shared = written(entries.join(broadcast_if_few(held), "token", "left_semi"), "op5-entries")
+    matrix = shared.groupBy("token", "grp").agg(
+        F.min("size").alias("low"), F.max("size").alias("high"), F.min("comp").alias("least"), F.max("comp").alias("most"))
+    asked = shared.select("token", "cid", "size", F.col("comp").alias("own")).join(matrix, "token").where(
+        f"(least <> own OR most <> own) AND 100 * high >= {percent} * size AND 100 * size >= {percent} * low")
+    out = written(asked.groupBy("cid", "size", "grp").agg(F.count(F.lit(1)).alias("shared")), "op5-common")
+    discard(held, shared)
+    return out
+
+
+def _candidates(heads: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
+    """``cid, size, grp, shared``: classes and the groups that hold enough of their first tokens."""
+    of_class = broadcast_if_few(written(grouped.withColumnRenamed("cid", "uid"), "op5-of-class"))
+    known = heads.select("uid", "rare", "often").join(of_class, "uid").withColumnRenamed("uid", "cid")
+    total = heads.agg(F.sum(F.octet_length("rare"))).first()[0] or 0
+    buckets = max(1, -(-total // 8 // BUCKET_TOKENS))
+    packed = known.select("cid", "comp", "grp", "size", "rare").where(F.octet_length("rare") > 0).mapInArrow(
+        _packed(buckets), "bucket bigint, token binary, cid binary, comp binary, grp binary, size binary")
+    asking = packed.groupBy("bucket").applyInPandas(lambda group: _asking(group, percent), _ASKED)
+    common = _asking_common(known.select("cid", "comp", "grp", "size", F.explode("often").alias("token")), percent)
+    out = written(asking.unionByName(common).groupBy("cid", "size", "grp").agg(F.sum("shared").alias("shared")).where(
+        F.col("shared") >= _at_least(F.col("size"), percent)), "op5-pairs")
+    discard(common)
+    return out
 
 
 def link_classes(docs: DataFrame, heads: DataFrame, words: int, percent: int) -> DataFrame:
@@ -328,23 +455,8 @@ def link_classes(docs: DataFrame, heads: DataFrame, words: int, percent: int) ->
     whole = written(whole.join(weight, "comp"), "op5-whole")
     grouped = written(_split(whole.where("large"), "comp").unionByName(
         _split(whole.where("NOT large"), "alike", key="comp")).select("cid", "size", "comp", "grp"), "op5-grouped")
-    # token-group matrix: the groups of every token that several components have, with their members' sizes
-    of_class = broadcast_if_few(written(grouped.select(F.col("cid").alias("uid"), "comp"), "op5-of-class"))
-    entries = heads.select("uid", "first").join(of_class, "uid").select(
-        F.col("uid").alias("cid"), "comp", F.explode("first").alias("token"))
-    held = written(entries.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b")
-                   .select("token"), "op5-held")
-    shared_entries = written(entries.select("cid", "token").join(broadcast_if_few(held), "token", "left_semi").join(
-        grouped, "cid"), "op5-entries")
-    matrix = shared_entries.groupBy("token", "grp").agg(
-        F.min("size").alias("low"), F.max("size").alias("high"), F.min("comp").alias("least"), F.max("comp").alias("most"))
-    asked = shared_entries.select("token", "cid", "size", F.col("comp").alias("own")).join(matrix, "token").where(
-        f"(least <> own OR most <> own) AND 100 * high >= {percent} * size AND 100 * size >= {percent} * low")
-    # a smaller partner has at least this size, and k grows with the size
-    partner = F.ceil(F.col("size") * percent / 100)
-    at_least = F.least(F.greatest(F.lit(SHARED), F.floor(partner / SHARED_PART)), partner)
-    pairs = written(asked.groupBy("cid", "size", "grp").agg(F.count(F.lit(1)).alias("shared"))
-                    .where(F.col("shared") >= at_least).select("cid", "size", "grp", "shared"), "op5-pairs")
+    discard(classes, whole)
+    pairs = _candidates(heads, grouped, percent)
     opened = pairs.select("grp").distinct()
     members = written(grouped.join(opened, "grp", "left_semi").select("cid", "grp"), "op5-members")
     wanted = written(members.select("cid").unionByName(pairs.select("cid")).distinct(), "op5-wanted")
@@ -368,6 +480,7 @@ def link_classes(docs: DataFrame, heads: DataFrame, words: int, percent: int) ->
         more = _opened(sets.join(broadcast_if_few(open_pairs), "cid"), sets.join(broadcast_if_few(answers), "cid"), percent)
         found = written(found.unionByName(more), "op5-links")
         comps = written(_with_components(grouped.select("cid"), found), "op5-comps")
+    discard(sets, pairs, members, found)
     return comps
 
 
@@ -380,17 +493,18 @@ def similar_documents(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int
     of one of its rows, tells components apart that have no doc_id or share one.
     """
     importable_on_workers(docs.sparkSession)
-    docs = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(f"`{id_col}`").alias("doc_id"),
-                       F.col(f"`{text_col}`").cast("string").alias("_text"))
-    heads = written(_heads(docs, words, percent, _common_tokens(docs, words)), "op5-heads")
+    docs = row_numbered(docs.select(F.col(f"`{id_col}`").alias("doc_id"),
+                                    F.col(f"`{text_col}`").cast("string").alias("_text")), "uid")
+    heads = _heads(docs, words, percent)
     of_class = link_classes(docs, heads, words, percent)
-    classes = heads.where("n_shingles > 0").groupBy("cls").agg(
-        F.min("uid").alias("cid"), F.min("doc_id").alias("least"))
+    rows = written(heads.select("uid", "doc_id", "n_shingles", "cls"), "op5-rows")
+    discard(heads)
+    classes = rows.where("n_shingles > 0").groupBy("cls").agg(F.min("uid").alias("cid"), F.min("doc_id").alias("least"))
     named = written(classes.join(of_class, "cid").select("cls", "comp", "least"), "op5-named")
     least = named.groupBy("comp").agg(F.min("least").alias("component_id"))
     known = written(named.join(least, "comp").select("cls", "component_id", F.col("comp").alias("component")), "op5-known")
-    some = heads.where("n_shingles > 0").select("doc_id", "n_shingles", "cls", "uid").join(known, "cls").select(
+    some = rows.where("n_shingles > 0").select("doc_id", "n_shingles", "cls", "uid").join(known, "cls").select(
         "doc_id", "n_shingles", "component_id", "uid", "component")
-    none = heads.where("n_shingles = 0").select(
+    none = rows.where("n_shingles = 0").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "uid", F.col("uid").alias("component"))
     return some.unionByName(none)

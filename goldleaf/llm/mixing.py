@@ -2,7 +2,9 @@
 
 Documents fall into cells by source, language and topic. A cell's token mass is raked: its weight is scaled
 so that the sources' totals meet their targets, then the languages', then the topics', again and again
-until nothing moves. A document is then drawn with probability min(1, scale * weight / mass) of its cell;
+until nothing moves. A round is three sums of the weights within a value of a dimension, in one task while the
+cells are few, else by grouped sums and joins; several rounds make one job. If the targets contradict each other
+(or cells that could meet them are empty), the rest that stays is returned as ``drift`` and warned of. A document is then drawn with probability min(1, scale * weight / mass) of its cell;
 the scale is calibrated so that the expected tokens meet the budget although some cells are taken whole.
 The draw compares the probability with a hash of the row, so it is the same in every run.
 
@@ -18,18 +20,20 @@ kept by ``mix`` and may have any names.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import warnings
+from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from goldleaf.llm.common import broadcast_if_few, free_name, written
+from goldleaf.llm.common import broadcast_if_few, discard, free_name, written
 
 FLATTEN, KEEP_SHARE = 0.7, 0.6
 OCTETS_A_TOKEN = 4  # for texts without spaces, and words that are many tokens each
-ROUNDS, TOLERANCE = 30, 1e-4  # a round changes no weight by more than this factor's logarithm at the end
-FEW_CELLS = 10_000  # so many fit one small file: a round is then one short task
+ROUNDS, TOLERANCE = 60, 1e-4  # a round changes no weight by more than this factor's logarithm at the end
+ROUNDS_A_JOB = 5
+FEW_CELLS = 10_000  # so many are raked in one short task
 DIMENSIONS = ["source", "lang", "topic"]
 
 # Signs of a topic in a text, first match wins.
@@ -55,45 +59,57 @@ def token_weight(text: Column) -> Column:
     return F.greatest(F.lit(1), F.coalesce(F.regexp_count(text, F.lit(r"\S+")), F.lit(0)), F.coalesce(by_length, F.lit(0))).cast("double")
 
 
-def _same(keys: Sequence[str], a: DataFrame, b: DataFrame) -> Column:
-    return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in keys])
-
-
-def _scaled(cells: DataFrame, dim: str, target: DataFrame) -> DataFrame:
-    """One raking step: weights scaled to the targets of one dimension; ``drift`` keeps the largest change."""
-    now = cells.groupBy(dim).agg(F.sum("weight").alias("_now"))
-    rate = now.join(target, now[dim].eqNullSafe(target[dim]), "left").select(
-        now[dim].alias("_value"),
-        F.when(F.col("_now") > 0, F.coalesce(F.col("share"), F.lit(0.0)) / F.col("_now")).otherwise(F.lit(0.0)).alias("_rate"))
+def _with_goals(cells: DataFrame, targets: Mapping[str, DataFrame]) -> DataFrame:
+    """``cells`` with ``goal_<dimension>``: the share that the cell's value should have, of the values that occur."""
+    for dim, table in targets.items():
+        present = cells.select(F.col(dim).alias("_value")).distinct()
+        known = written(present.join(table, present["_value"].eqNullSafe(table[dim])).select(
+            "_value", table["share"].cast("double").alias("_share")), "op2-target")
+        whole = known.agg(F.sum("_share")).first()[0] or 1.0
+        cells = cells.join(known, cells[dim].eqNullSafe(known["_value"]), "left").withColumn(
+            f"goal_{dim}", F.coalesce(F.col("_share"), F.lit(0.0)) / whole).drop("_value", "_share")
+    return cells
+
+
+def _scaled(cells: DataFrame, dim: str, few: bool) -> DataFrame:
+    """One raking step: weights scaled to the goals of one dimension; ``drift`` keeps the largest change."""
+    if few:
+        summed = cells.withColumn("_now", F.sum("weight").over(Window.partitionBy(dim)))
+    else:
+        now = cells.groupBy(F.col(dim).alias("_value")).agg(F.sum("weight").alias("_now"))
+        summed = cells.join(now, cells[dim].eqNullSafe(now["_value"])).drop("_value")
+    rate = F.when(F.col("_now") > 0, F.col(f"goal_{dim}") / F.col("_now")).otherwise(F.lit(0.0))
+    stepped = summed.withColumn("_rate", rate)
     step = F.when(F.col("_rate") > 0, F.abs(F.log("_rate"))).otherwise(F.lit(0.0))
-    return cells.join(rate, cells[dim].eqNullSafe(rate["_value"])).select(
-        *[cells[c] for c in cells.columns if c not in ("weight", "drift")],
-        (F.col("weight") * F.col("_rate")).alias("weight"), F.greatest("drift", step).alias("drift"))
+    return stepped.withColumn("weight", F.col("weight") * F.col("_rate")).withColumn(
+        "drift", F.greatest("drift", step)).drop("_now", "_rate")
 
 
 def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
-    """``cells`` (dimensions and ``mass``) with ``weight``: shares of the total that meet the targets.
+    """``cells`` (dimensions and ``mass``) with ``weight``: shares of the total that meet the targets, and
+    ``drift``: the logarithm of the largest factor of its weight in the last round, near 0 if they are met.
 
-    Each round is one job over cells, written to the shared folder.
+    A job is ``ROUNDS_A_JOB`` rounds over few cells, one over many, and is written to the shared folder.
     """
     total = cells.agg(F.sum("mass")).first()[0] or 1.0
-    start = cells.withColumn("weight", F.col("mass") / total).withColumn("drift", F.lit(0.0))
-    now = written(start, "op2-round")
     few = cells.count() <= FEW_CELLS
-    goals = {}
-    for dim, table in targets.items():  # shares over the values that occur
-        present = cells.select(dim).distinct()
-        known = present.join(table, present[dim].eqNullSafe(table[dim])).select(present[dim], table["share"].cast("double"))
-        whole = known.agg(F.sum("share")).first()[0] or 1.0
-        goals[dim] = written(known.select(dim, (F.col("share") / whole).alias("share")), "op2-target")
-    for _ in range(rounds):
-        step = now.withColumn("drift", F.lit(0.0))
-        for dim, goal in goals.items():
-            step = _scaled(step, dim, goal)
-        now = written(step.coalesce(1) if few else step, "op2-round")
-        if (now.agg(F.max("drift")).first()[0] or 0.0) < tolerance:
-            break
-    return now.drop("drift")
+    whole = (lambda df: df.coalesce(1)) if few else (lambda df: df)
+    now = written(whole(_with_goals(cells, targets)).withColumn("weight", F.col("mass") / total), "op2-round")
+    done, drift = 0, None
+    while done < rounds and (drift is None or drift >= tolerance):
+        step = whole(now).drop("drift")
+        for _ in range(min(ROUNDS_A_JOB if few else 1, rounds - done)):
+            step = step.withColumn("drift", F.lit(0.0))
+            for dim in targets:
+                step = _scaled(step, dim, few)
+            done += 1
+        before, now = now, written(step, "op2-round")
+        discard(before)
+        drift = now.agg(F.max("drift")).first()[0] or 0.0
+    if drift is not None and drift >= tolerance:
+        warnings.warn(f"raking has not met its targets after {done} rounds: weights still change by a factor of up to "
+                      f"exp({drift:.3g}) in a round", stacklevel=2)
+    return now.drop(*[f"goal_{dim}" for dim in targets])
 
 
 def probabilities(cells: DataFrame, keep_share: float = KEEP_SHARE) -> DataFrame:
@@ -121,15 +137,21 @@ def flattened(cells: DataFrame, dim: str, power: float = FLATTEN) -> DataFrame:
     return cells.groupBy(dim).agg(F.pow(F.sum("mass"), power).alias("share"))
 
 
-def _drawn(docs: DataFrame, targets: Mapping[str, DataFrame] | None, keep_share: float, flatten: float,
-           id_col: str, text_col: str, source_col: str, lang_col: str) -> tuple[DataFrame, dict[str, str]]:
-    """``docs`` with the operator's columns, under names that ``docs`` does not use."""
-    names = {c: free_name(docs, f"_mix_{c}") for c in (*DIMENSIONS, "n_tokens", "probability", "kept")}
+def _described(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang_col: str) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with the operator's columns, under names that ``docs`` does not use; all from one pass over the texts."""
+    names = {c: free_name(docs, f"_mix_{c}") for c in (*DIMENSIONS, "n_tokens", "draw", "probability", "kept")}
     text = F.col(f"`{text_col}`").cast("string")
-    described = docs.select(
+    # 53 bits of a hash of the row as a number from 0 to 1
+    draw = F.shiftrightunsigned(F.xxhash64(F.col(f"`{id_col}`"), text, F.lit(17)), 11) / F.lit(float(1 << 53))
+    return docs.select(
         "*", F.col(f"`{source_col}`").cast("string").alias(names["source"]),
         F.col(f"`{lang_col}`").cast("string").alias(names["lang"]), topic_of(text).alias(names["topic"]),
-        token_weight(text).alias(names["n_tokens"]))
+        token_weight(text).alias(names["n_tokens"]), draw.alias(names["draw"])), names
+
+
+def _drawn(described: DataFrame, names: Mapping[str, str], targets: Mapping[str, DataFrame] | None, keep_share: float,
+           flatten: float) -> DataFrame:
+    """``described`` with the probability of its cell and whether the row is drawn."""
     cells = written(described.groupBy(*[F.col(names[d]).alias(d) for d in DIMENSIONS]).agg(
         F.sum(names["n_tokens"]).alias("mass")), "op2-cells")
     goals = {d: (targets or {}).get(d) or flattened(cells, d, flatten) for d in DIMENSIONS}
@@ -137,21 +159,25 @@ def _drawn(docs: DataFrame, targets: Mapping[str, DataFrame] | None, keep_share:
         *[F.col(d).alias(f"_cell_{d}") for d in DIMENSIONS], F.col("probability").alias(names["probability"])), "op2-chances")
     found = described.join(broadcast_if_few(chances), reduce(
         lambda a, b: a & b, [F.col(names[d]).eqNullSafe(F.col(f"_cell_{d}")) for d in DIMENSIONS]), "left")
-    # 53 bits of a hash of the row as a number from 0 to 1
-    draw = F.shiftrightunsigned(F.xxhash64(F.col(f"`{id_col}`"), text, F.lit(17)), 11) / F.lit(float(1 << 53))
     return found.drop(*[f"_cell_{d}" for d in DIMENSIONS]).withColumn(
-        names["kept"], draw < F.coalesce(F.col(names["probability"]), F.lit(0.0))), names
+        names["kept"], F.col(names["draw"]) < F.coalesce(F.col(names["probability"]), F.lit(0.0)))
 
 
 def sampling_plan(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None, keep_share: float = KEEP_SHARE,
                   flatten: float = FLATTEN) -> DataFrame:
-    """``doc_id, source, lang, topic, n_tokens, probability, kept`` of every document."""
-    found, names = _drawn(docs, targets, keep_share, flatten, "doc_id", "text", "source", "lang")
-    return found.select("doc_id", *[F.col(n).alias(c) for c, n in names.items()])
+    """``doc_id, source, lang, topic, n_tokens, probability, kept`` of every document.
+
+    The texts are read once; a few bytes a row are written and used from then on.
+    """
+    described, names = _described(docs, "doc_id", "text", "source", "lang")
+    rows = written(described.select("doc_id", *[names[c] for c in (*DIMENSIONS, "n_tokens", "draw")]), "op2-rows")
+    found = _drawn(rows, names, targets, keep_share, flatten)
+    return found.select("doc_id", *[F.col(names[c]).alias(c) for c in (*DIMENSIONS, "n_tokens", "probability", "kept")])
 
 
 def mix(docs: DataFrame, targets: Mapping[str, DataFrame] | None = None, keep_share: float = KEEP_SHARE,
         flatten: float = FLATTEN) -> DataFrame:
-    """The drawn rows of ``docs``, with the columns of ``docs``."""
-    found, names = _drawn(docs, targets, keep_share, flatten, "doc_id", "text", "source", "lang")
+    """The drawn rows of ``docs``, with the columns of ``docs``. The texts are read twice, and not moved."""
+    described, names = _described(docs, "doc_id", "text", "source", "lang")
+    found = _drawn(described, names, targets, keep_share, flatten)
     return found.where(F.col(names["kept"])).select(*docs.columns)

@@ -13,7 +13,8 @@ against their names are plain joins of two exchanges, which adaptive execution s
 
 Cases: null text counts as empty; empty texts are equal to each other; a null doc_id is smaller than any
 other; of rows that repeat a doc_id with equal texts one stays; an empty table gives no rows; further
-columns are ignored.
+columns are ignored. Rows are known by their place in the stored files (``row_numbered``), so every scan sees
+the same numbers; a frame that is no plain scan is written first.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goldleaf.llm.common import written
+from goldleaf.llm.common import discard, row_numbered, written
 
 BLOCK_CHARS = 4096
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -47,14 +48,16 @@ def _numbered(distinct: DataFrame, *keys: str) -> DataFrame:
     return distinct.sortWithinPartitions(*keys).withColumn("name", F.monotonically_increasing_id())
 
 
-def _first_names(rows: DataFrame, size: int) -> DataFrame:
+def _first_names(rows: DataFrame, size: int, made: list[DataFrame]) -> DataFrame:
     """(uid, pos, name): the names of each text's blocks in order."""
     blocks = rows.select(F.explode(_blocks(F.col("_norm"), size)).alias("block")).distinct()
     named = written(_numbered(blocks, "block").withColumn("print", fingerprint(F.col("block"))), "op9-blocks")
     per_print = named.groupBy("print").agg(F.min("name").alias("name"), F.count(F.lit(1)).alias("n"))
     by_print = written(per_print, "op9-prints")
     parts = rows.select("uid", F.posexplode(_blocks(F.col("_norm"), size)).alias("pos", "block"))
+    made += [named, by_print]
     several = written(by_print.where("n > 1").select(F.col("print").alias("_shared")), "op9-shared")
+    made.append(several)
     found = parts.select("uid", "pos", fingerprint(F.col("block")).alias("print")).join(
         by_print.select("print", F.col("name").alias("_name"), "n"), "print")
     plain = found.where("n = 1").select("uid", "pos", F.col("_name").alias("name"))
@@ -64,7 +67,7 @@ def _first_names(rows: DataFrame, size: int) -> DataFrame:
     return plain.unionByName(shared)
 
 
-def _next_names(parts: DataFrame) -> DataFrame:
+def _next_names(parts: DataFrame, made: list[DataFrame]) -> DataFrame:
     """One level up: adjacent names become pairs, the distinct pairs are sorted and numbered.
 
     ``a`` is the left name; a last name without a partner pairs with -1.
@@ -74,19 +77,24 @@ def _next_names(parts: DataFrame) -> DataFrame:
         F.coalesce(F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))), F.lit(-1)).alias("b"))
     pairs = written(pairs, "op9-pairs")
     named = written(_numbered(pairs.select("a", "b").distinct(), "a", "b"), "op9-names")
+    made += [pairs, named]
     return pairs.join(named, ["a", "b"]).select("uid", "pos", "name")
 
 
 def name_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``uid, doc_id, text_sha256, level, name``: (level, name) is the identity of the row's text."""
+                   block_chars: int = BLOCK_CHARS, made: list[DataFrame] | None = None) -> DataFrame:
+    """``uid, doc_id, text_sha256, level, name``: (level, name) is the identity of the row's text.
+
+    ``made`` is given the written tables that the result reads.
+    """
+    made = [] if made is None else made
     text = ascii_lower(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(f"`{id_col}`").alias("doc_id"),
-                       text.alias("_norm"))
+    rows = row_numbered(docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("_norm")), "uid")
     heads = written(rows.select(
         "uid", "doc_id", F.sha2(F.col("_norm"), 256).alias("text_sha256"),
         F.greatest(F.lit(1), F.ceil(F.char_length("_norm") / block_chars)).cast("int").alias("n")), "op9-heads")
-    parts = written(_first_names(rows, block_chars), "op9-level")
+    parts = written(_first_names(rows, block_chars, made), "op9-level")
+    made += [heads, parts]
     identities, level, most = [], 0, heads.agg(F.max("n")).first()[0] or 1
     width = heads.select("uid", "n")
     while True:
@@ -97,7 +105,8 @@ def name_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         if 2 ** level >= most:
             break
         parts = written(_next_names(
-            parts.join(width.where(F.col("n") > 2 ** level).select("uid"), "uid", "left_semi")), "op9-level")
+            parts.join(width.where(F.col("n") > 2 ** level).select("uid"), "uid", "left_semi"), made), "op9-level")
+        made.append(parts)
         level += 1
     named = identities[0]
     for more in identities[1:]:
@@ -111,7 +120,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Of equal texts the row with the largest doc_id stays. ``uid`` numbers the input rows.
     """
-    named = written(name_documents(docs, id_col, text_col, block_chars), "op9-identities")
+    made: list[DataFrame] = []
+    named = written(name_documents(docs, id_col, text_col, block_chars, made), "op9-identities")
+    discard(*made)
     rank = F.struct(F.col("doc_id"), -F.col("uid"))
     groups = written(named.groupBy("level", "name").agg(
         F.max(rank).alias("_best"), F.count(F.lit(1)).alias("group_size")), "op9-groups")

@@ -22,7 +22,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goldleaf.llm.common import written
+from goldleaf.llm.common import row_numbered, written
 
 ACCEPT = 0.55
 
@@ -164,10 +164,10 @@ def scan_licences(files: DataFrame, path_col: str = "path", text_col: str = "tex
     """``doc_id, path, licence, score, inherited_from`` of every file.
 
     ``inherited_from`` is the directory that gave the licence, null for a file's own; ``licence`` is null
-    if neither the file nor a directory above it has one. ``files`` must be a stored table.
+    if neither the file nor a directory above it has one.
     """
-    rows = files.select(F.monotonically_increasing_id().alias("uid"), F.col(f"`{id_col}`").alias("doc_id"),
-                        F.col(f"`{path_col}`").alias("path"), F.col(f"`{text_col}`").cast("string").alias("_text"))
+    rows = row_numbered(files.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{path_col}`").alias("path"),
+                                     F.col(f"`{text_col}`").cast("string").alias("_text")), "uid")
     own = written(own_licences(rows), "op8-own")
     # directory of a/b/c is a/b, of c it is the root, ""
     parts = F.split("path", "/")

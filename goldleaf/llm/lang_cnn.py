@@ -9,7 +9,8 @@ Training takes a bounded sample of labelled texts (``TRAIN_DOCS`` per run, chose
 some windows of each, spread over the whole text, and runs on the driver. Prediction runs on the executors.
 A filter's responses to two neighbouring bytes are tabulated, so a convolution is a few table look-ups.
 
-Only the 256 most frequent languages are learned; texts of any other get one of these.
+All languages are learned. The sample's bound is for the texts of all languages together, at least
+``LEAST_DOCS`` of each; the number of languages is taken to be that of human languages, a few thousand at most.
 
 Cases: ``und`` with score 0 for a null text, one without a letter, or if nothing could be learned (no
 labelled text outside the held-out fold); a null id is not held out; repeated rows give repeated results;
@@ -18,18 +19,19 @@ an empty table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldleaf.llm.common import held_out, importable_on_workers, sliced, utf8
+from goldleaf.llm.common import broadcast_if_few, held_out, importable_on_workers, sliced, text_of, utf8, written
 
-TRAIN_DOCS = 4_000  # at most so many labelled texts are learned from
+TRAIN_DOCS = 4_000  # about so many labelled texts are learned from
+LEAST_DOCS = 10  # but at least so many of each language, if there are
 WINDOWS_A_DOC = 6
 WINDOW = 128  # bytes
 SYMBOLS = 64
@@ -37,7 +39,7 @@ WIDTHS = {2: 8, 3: 16, 4: 16}  # filters by width
 EPOCHS, BATCH, RATE, SEED = 8, 256, 0.01, 7
 UNDETERMINED = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def _symbol_table() -> np.ndarray:
@@ -167,18 +169,18 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                            F.col(f"`{lang_col}`").cast("string").alias("_lang")).where(
         F.col("_lang").isNotNull() & F.col("_text").rlike(r"\p{L}") & ~held_out(F.col("_id")))
     # the same number of texts of each language, chosen by a hash; the texts that are not chosen stay behind
-    counts = {r["_lang"]: r["n"] for r in labelled.groupBy("_lang").agg(F.count(F.lit(1)).alias("n"))
-              .orderBy(F.desc("n"), "_lang").limit(256).collect()}
-    if not counts:
+    counts = written(labelled.groupBy("_lang").agg(F.count(F.lit(1)).alias("_n")), "op10-counts")
+    languages = [r["_lang"] for r in counts.select("_lang").orderBy("_lang").collect()]
+    if not languages:
         return None
-    languages = sorted(counts)
-    share = train_docs / len(languages)
-    rate = F.coalesce(*[F.when(F.col("_lang") == lang, F.lit(min(1.0, share / n))) for lang, n in counts.items()])
-    drawn = F.pmod(F.xxhash64("_id", F.lit(SEED)), F.lit(1 << 30)) < rate * (1 << 30)
-    table = labelled.where(drawn).select("_lang", "_text").mapInArrow(sample_windows, "lang string, row binary").orderBy(
+    share = max(LEAST_DOCS, train_docs / len(languages))
+    rates = broadcast_if_few(counts.select("_lang", (F.lit(float(1 << 30)) * share / F.col("_n")).alias("_bar")))
+    drawn = F.pmod(F.xxhash64("_id", F.lit(SEED)), F.lit(1 << 30)) < F.col("_bar")
+    table = labelled.join(rates, "_lang").where(drawn).select("_lang", "_text").mapInArrow(sample_windows, "lang string, row binary").orderBy(
         "lang", "row").toArrow()
     rows = np.frombuffer(b"".join(table.column("row").to_pylist()), np.uint8).reshape(-1, WINDOW + WIDEST - 1)
-    labels = np.array([languages.index(x) for x in table.column("lang").to_pylist()])
+    number = {lang: k for k, lang in enumerate(languages)}
+    labels = np.array([number[x] for x in table.column("lang").to_pylist()])
     return train(rows, labels, languages)
 
 
@@ -193,7 +195,7 @@ def predict(docs: DataFrame, net: ByteCnn | None, id_col: str = "doc_id", text_c
         for batch in sliced(batches):
             out = []
             for data in utf8(batch.column(2)):
-                known = net is not None and data is not None and _LETTER.search(data.decode()) is not None
+                known = net is not None and data is not None and _LETTER.search(text_of(data)) is not None
                 out.append(net.predict(data) if known else (UNDETERMINED, 0.0))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([x[0] for x in out], pa.string()),

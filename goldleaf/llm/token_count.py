@@ -6,7 +6,8 @@ with the new neighbours are pushed. The count is the number of initial symbols m
 identifier is made. Chunks that were counted before are remembered per Python worker, in bounded memory.
 
 Cases: a null text counts as empty (0 bytes, 0 tokens); a string of a special token inside a text is one
-token; repeated rows give repeated results; an empty table gives no rows; other columns are ignored.
+token; bytes that are not valid UTF-8 count as U+FFFD in the tokens; repeated rows give repeated results; an
+empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldleaf.llm.bpe_words import PRE_TOKEN, ChunkMemo, chunks, load_merges, segments
-from goldleaf.llm.common import importable_on_workers, sliced, utf8
+from goldleaf.llm.common import importable_on_workers, sliced, text_of, utf8
 
 TOKENIZER = "byte_bpe_50k.json"
 CONTEXT = 1024
@@ -104,7 +105,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str | None = None, limit: int
         counter = _counter(path)
         for batch in sliced(batches):
             texts = [data or b"" for data in utf8(batch.column(1))]
-            tokens = [counter.count(data.decode()) for data in texts]
+            tokens = [counter.count(text_of(data)) for data in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(map(len, texts), pa.int64()), pa.array(tokens, pa.int64()),
                  pa.array([n > limit for n in tokens], pa.bool_())],

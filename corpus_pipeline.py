@@ -3,7 +3,7 @@
 quality classifier (rejected documents go) -> exact dedup (one of equal texts stays) -> n-gram Jaccard join
 (one document of each group of near copies stays) -> mixing of sources to target weights (documents are
 drawn) -> best-fit packing (pieces with their sequences). All stages but the last return the columns of
-``documents``. Stages read their input several times: pass stored tables, as ``run`` does.
+``documents``. Rows are known by their place in stored files: a stage that is given another kind of frame writes it first.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldleaf.llm.block_naming import exact_duplicates
-from goldleaf.llm.common import free_name, written
+from goldleaf.llm.common import free_name, row_numbered, stored, written
 from goldleaf.llm.mixing import mix
 from goldleaf.llm.ngram_join import similar_documents
 from goldleaf.llm.packing import pack_documents
@@ -21,9 +21,9 @@ from goldleaf.sources.retail_views import read_test_table
 
 
 def _rows_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose number is in ``chosen`` (``uid``), with the columns of ``docs``."""
+    """The rows of ``docs`` (stored) whose number is in ``chosen`` (``uid``), with the columns of ``docs``."""
     uid = free_name(docs, "_uid")
-    numbered = docs.withColumn(uid, F.monotonically_increasing_id())
+    numbered = row_numbered(docs, uid)
     return numbered.join(chosen.select(F.col("uid").alias(uid)), uid, "left_semi").select(*docs.columns)
 
 
@@ -34,6 +34,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (A-Z lower-cased) the document with the largest doc_id."""
+    docs = stored(docs)
     return _rows_of(docs, exact_duplicates(docs).where("kept"))
 
 
@@ -43,6 +44,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Documents without words are linked with nothing and stay. Groups are told apart by their rows, not by
     doc_id: ids may be null or repeat. A group without any id keeps its first row.
     """
+    docs = stored(docs)
     linked = similar_documents(docs)
     first = linked.where("n_shingles > 0").groupBy("component").agg(
         F.min(F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), F.col("uid"))).alias("uid"))

@@ -10,13 +10,13 @@
 4. Substitution: actual pieces take the places of their group. A piece's place follows from its rank, so
    this is a join with the (bounded) table of configurations, without any ordering of all pieces in one task.
 5. Best fit: the small pieces go into the sequences with the least room that still holds them, in
-   shards of a bounded number of sequences.
+   shards of a bounded number of sequences and small pieces.
 
 What reaches the driver: the histogram of piece lengths, at most one row per length up to the sequence
 length. Configurations: at most one per group, each of at most ``length / small`` parts.
 
 Cases: a null or empty text is the end token alone; repeated rows are packed as often as they occur; an
-empty table gives no rows; further columns are ignored.
+empty table gives no rows; bytes that are not valid UTF-8 count as U+FFFD; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,14 +31,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from goldleaf.llm.bpe_words import ChunkMemo, chunks
-from goldleaf.llm.common import importable_on_workers, sliced, utf8, written
+from goldleaf.llm.bpe_words import ChunkMemo, PreTokenIds, chunks
+from goldleaf.llm.common import importable_on_workers, sliced, text_of, utf8, written
 
 TOKENIZER = "byte_bpe_50k.json"
 SEQUENCE, END_ID = 1024, 2
 GROUPS = 512  # linear grouping: rounding costs about (longest - small) / GROUPS / 2 tokens a piece
 SMALL = 64  # pieces shorter than this are left to best fit
 SHARD_SEQUENCES = 20_000  # sequences in one best-fit task
+SHARD_PIECES = 200_000  # small pieces in one best-fit task
+CHUNKS_KEPT = 500_000  # remembered chunks of a worker, twice at most
 
 _ENCODERS: dict[str, "_Encoder"] = {}  # per Python worker, by file
 
@@ -51,7 +53,8 @@ class _Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.of_chunk = ChunkMemo(self._encode)
+        ids = PreTokenIds(self.tokenizer)
+        self.of_chunk = ChunkMemo(lambda chunk: np.array(ids(chunk), "<u4").tobytes(), CHUNKS_KEPT)
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -85,7 +88,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str | None = None, length:
         for batch in sliced(batches):
             rows, columns = [], {"piece": [], "start": [], "length": [], "ids_crc32": []}
             for row, data in enumerate(utf8(batch.column(2))):
-                ids = encoder.encode((data or b"").decode()) + end
+                ids = encoder.encode(text_of(data)) + end
                 for k, (start, n) in enumerate(cut(len(ids) // 4, length)):
                     rows.append(row)
                     for name, value in zip(columns, (k, start, n, zlib.crc32(ids[4 * start:4 * (start + n)]))):
@@ -238,7 +241,9 @@ def pack(pieces: DataFrame, length: int = SEQUENCE, groups: int = GROUPS, small:
         "uid", "piece", "sequence", "length",
         (F.sum("length").over(in_sequence) - F.col("length")).alias("offset")), "op7-large")
 
-    shards = max(1, -(-max(sequences, histogram_tokens(histogram, small) // length) // SHARD_SEQUENCES))
+    smalls_n = sum(n for size, n in histogram.items() if size < small)
+    shards = max(1, -(-max(sequences, histogram_tokens(histogram, small) // length) // SHARD_SEQUENCES),
+                 -(-smalls_n // SHARD_PIECES))
     rooms = placed.groupBy("sequence").agg((F.lit(length) - F.sum("length")).alias("room")).where("room > 0").select(
         F.pmod(F.xxhash64("sequence"), F.lit(shards)).alias("shard"), "sequence", "room",
         F.lit(-1).cast("bigint").alias("uid"), F.lit(-1).alias("piece"), F.lit(0).cast("bigint").alias("size"))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldleaf.llm.bpe_words import PRE_TOKEN, byte_symbols, chunks
+from goldleaf.llm.bpe_words import PreTokenIds, byte_symbols, chunks
 from goldleaf.llm.common import importable_on_workers, row_numbered, utf8, written
 
 TOKENIZER_A, TOKENIZER_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -57,7 +57,7 @@ class _Sides:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         symbol_bytes = {s: i for i, s in enumerate(byte_symbols())}
-        self.to_symbols = {i: s for s, i in symbol_bytes.items()}
+        self.ids_a = PreTokenIds(self.a)
         vocab = self.a.get_vocab(with_added_tokens=True)
         self.bytes_a = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
@@ -77,17 +77,10 @@ class _Sides:
         self.ids = [np.empty(0, np.int64), np.empty(0, np.int64)]
         self.first = [np.zeros(1, np.int64), np.zeros(1, np.int64)]  # of a chunk's ids, and where the last ones end
 
-    def _ids_a(self, chunk: str) -> list[int]:
-        if chunk.isascii() and chunk[1:].isalpha():  # one pre-token, and only its space has a stand-in
-            return [t.id for t in self.a.model.tokenize(self.to_symbols[32] + chunk[1:])]
-        tokenize = self.a.model.tokenize
-        return [t.id for word in PRE_TOKEN.findall(chunk)
-                for t in tokenize(word.encode().decode("latin-1").translate(self.to_symbols))]
-
     def learn(self, missing: list[str]) -> None:
         if not missing:
             return
-        both = [self._ids_a(c) for c in missing], self.b.encode([c[1:] for c in missing], num_threads=1)
+        both = list(map(self.ids_a, missing)), self.b.encode([c[1:] for c in missing], num_threads=1)
         self.number.update(zip(missing, range(len(self.number), len(self.number) + len(missing))))
         ends = []
         for side, of_id in enumerate((self.bytes_a, self.bytes_b)):
@@ -252,8 +245,8 @@ def linked_documents(docs: DataFrame, path_a: str | None = None, path_b: str | N
                     [batch.column(0).slice(low, high - low), batch.column(1).slice(low, high - low), *arrays],
                     ["uid", "doc_id", *columns])
 
-    source = row_numbered(docs, "_uid").select(
-        F.col("_uid").alias("uid"), F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
+    source = row_numbered(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("_text")),
+                          "uid").select("uid", "doc_id", "_text")
     kind = source.schema["doc_id"].dataType.simpleString()
     return source.mapInArrow(aligned, f"uid bigint, doc_id {kind}, n_a bigint, n_b bigint, n_groups bigint, "
                                       "n_links bigint, groups_sha256 string, pairs array<bigint>, times array<bigint>")

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from goldleaf.llm import block_naming, c2lsh, components, mixing, ngram_join
+from goldleaf.llm import block_naming, c2lsh, common, components, mixing, ngram_join
 from tests.llm.test_text_operators import ODD_TEXTS, check_packing, sets_of
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -140,17 +140,86 @@ def test_classes_that_ask_a_group_are_split(spark, tmp_path, tmp_path_factory, m
     assert max(m for m, _ in tasks) < 4 * bound and max(q for _, q in tasks) < 4 * bound
 
 
-def test_members_linked_through_different_leaders():
+def test_members_linked_through_different_leaders(spark, tmp_path_factory, monkeypatch):
     """Two members that follow different leaders may be each other's only link."""
-    tokens = lambda *parts: np.array(sorted(x for a, b in parts for x in range(a, b)), np.uint64).tobytes()
-    import pandas as pd
-    sets = [tokens((0, 100)), tokens((10, 110)), tokens((20, 120)), tokens((30, 130))]
-    links = ngram_join._link_members(pd.DataFrame({"cid": range(4), "tokens": sets}), 80)
-    reached, grown = {0}, True
-    while grown:
-        more = {b for a, b in links if a in reached} | {a for a, b in links if b in reached}
-        grown, reached = not more <= reached, reached | more
-    assert reached == {0, 1, 2, 3}
+    monkeypatch.setattr(ngram_join, "LEADERS", 1)
+    rows = [(i, " ".join(f"w{j}" for j in range(10 * i, 10 * i + 110))) for i in range(8)]
+    want = brute_components(rows, 5, 80)
+    assert {c for _, _, c in want} == {0}  # each links with its neighbours only
+    got = ngram_join.similar_documents(frame_of(spark, rows, tmp_path_factory)).collect()
+    assert sets_of((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sets_of(want)
+
+
+@pytest.mark.parametrize("common_max", [0, 500_000])
+def test_rare_and_common_tokens_find_the_same(spark, tmp_path_factory, monkeypatch, common_max):
+    """All tokens through the packed buckets, or those of several texts through joins; small buckets and runs."""
+    for name, value in (("COMMON_MAX", common_max), ("BUCKET_TOKENS", 50), ("PACKED_TOKENS", 200), ("ASKED_AT_ONCE", 30)):
+        monkeypatch.setattr(ngram_join, name, value)
+    rows = near_copies(5)
+    got = ngram_join.similar_documents(frame_of(spark, rows, tmp_path_factory), 4, 85).collect()
+    assert sets_of((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sets_of(brute_components(rows, 4, 85))
+
+
+# --- row numbers -----------------------------------------------------------------------------------------
+
+@pytest.fixture()
+def other_splits(spark):
+    """Changes how a table's files are dealt to tasks, as another number of cores would."""
+    def change(parallelism, split):
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", parallelism)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+
+    yield change
+    spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_row_numbers_do_not_depend_on_tasks(spark, tmp_path, other_splits):
+    path = str(tmp_path / "t")
+    spark.range(5000).selectExpr("id AS doc_id", "repeat(cast(id AS string), 50) AS text").repartition(13).write.option(
+        "parquet.block.size", 4096).parquet(path)
+    seen = []
+    for parallelism, split in ((8, "128m"), (2, "128m"), (3, "4k")):
+        other_splits(parallelism, split)
+        docs = spark.read.parquet(path).where("doc_id % 7 <> 3").select("text", "doc_id")
+        seen.append({r["doc_id"]: r["n"] for r in common.row_numbered(docs, "n").collect()})
+        assert len(set(seen[-1].values())) == len(seen[-1]) and min(seen[-1].values()) >= 0
+    assert seen[0] == seen[1] == seen[2]
+
+
+def test_frames_that_are_no_scan_are_stored(spark):
+    made = spark.range(20).withColumn("_metadata", F.lit(1))
+    doubled = made.union(made)
+    for frame in (made, doubled, doubled.join(made.select("id"), "id"), made.where("id < 0")):
+        numbers = [r["n"] for r in common.row_numbered(frame, "n").collect()]
+        assert len(set(numbers)) == len(numbers) == frame.count()
+
+
+def test_stages_survive_a_change_of_cores(spark, tmp_path, other_splits, monkeypatch):
+    """The number of tasks changes between any two scans of the documents."""
+    path = str(tmp_path / "t")
+    rows = [(i, " ".join(f"t{i % 400}w{j}" for j in range(40)) + (" end" if i % 3 == 0 else "")) for i in range(1200)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(11).write.parquet(path)
+    turn, real = [0], common.written
+
+    def moved(frame, name):
+        turn[0] += 1
+        out = real(frame, name)
+        other_splits(1 + turn[0] % 7, ["128m", "8k"][turn[0] % 2])
+        return out
+
+    for module in (block_naming, ngram_join, corpus_pipeline):
+        monkeypatch.setattr(module, "written", moved)
+    docs = spark.read.parquet(path)
+    once = corpus_pipeline.drop_copies(spark, docs, "")
+    newest = {}
+    for doc_id, text in rows:
+        newest[text] = max(doc_id, newest.get(text, doc_id))
+    kept = moved(once, "test-once")
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == sorted((d, t) for t, d in newest.items())
+    rest = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    got = corpus_pipeline.drop_near_copies(spark, kept, "").collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(d for d, n, c in brute_components(rest, 5, 80) if d == c)
 
 
 def test_connected_components(spark):
@@ -198,6 +267,27 @@ def test_weights_meet_the_targets(spark):
             assert abs(sum(r["weight"] for r in rows if r[d] == value) - share) < 1e-3
 
 
+def test_raking_by_joins_and_in_one_task_agree(spark, monkeypatch):
+    cells = spark.createDataFrame([(s, l, float(3 * len(s or "xyz") + len(l))) for s in ("a", "bb", None) for l in ("en", "fra")],
+                                  "source string, lang string, mass double")
+    targets = {"source": spark.createDataFrame([("a", 0.5), (None, 0.3), ("bb", 0.2)], "source string, share double"),
+               "lang": spark.createDataFrame([("en", 1.0), ("fra", 3.0)], "lang string, share double")}
+    few = {(r["source"], r["lang"]): r["weight"] for r in mixing.rake(cells, targets, 6, 0.0).collect()}
+    monkeypatch.setattr(mixing, "FEW_CELLS", 0)
+    many = {(r["source"], r["lang"]): r["weight"] for r in mixing.rake(cells, targets, 6, 0.0).collect()}
+    assert few.keys() == many.keys() and all(abs(few[k] - many[k]) < 1e-12 for k in few)
+
+
+def test_targets_that_cannot_be_met_are_told(spark):
+    """Source a has only en, b only fr: the shares of sources and languages contradict each other."""
+    cells = spark.createDataFrame([("a", "en", 1.0), ("b", "fr", 1.0)], "source string, lang string, mass double")
+    targets = {"source": spark.createDataFrame([("a", 0.9), ("b", 0.1)], "source string, share double"),
+               "lang": spark.createDataFrame([("en", 0.2), ("fr", 0.8)], "lang string, share double")}
+    with pytest.warns(UserWarning, match="not met its targets"):
+        rows = mixing.rake(cells, targets).collect()
+    assert max(r["drift"] for r in rows) > 0.1
+
+
 def test_probabilities_meet_the_budget(spark):
     cells = spark.createDataFrame([("a", 10.0, 0.5), ("b", 100.0, 0.3), ("c", 1000.0, 0.2), ("d", 50.0, 0.0)],
                                   "source string, mass double, weight double")
@@ -300,6 +390,15 @@ def test_pipeline_stages(spark):
     assert sorted(r["doc_id"] for r in rows if r["piece"] == 0) == sorted(r[0] for r in after)
 
 
+def test_pipeline_of_an_empty_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("doc_id < 0")
+    for name, stage in corpus_pipeline.STAGES:
+        out = corpus_pipeline.written(stage(spark, docs, "/root/testdata/sf0.001"), f"test-{name}")
+        assert out.count() == 0
+        docs = out
+    assert {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"} <= set(docs.columns)
+
+
 def test_pipeline_keeps_rows_of_odd_tables(spark, tmp_path_factory):
     odd = frame_of(spark, [(i, t) for i, t in enumerate(ODD_TEXTS)] + [(None, None), (None, "same TEXT")], tmp_path_factory)
     odd = odd.withColumn("source", F.lit(None).cast("string")).withColumn("lang", F.lit("en"))

@@ -141,6 +141,32 @@ def test_packing_round_trip(spark, odd, nothing, tokenizer):
     assert packing.pack_documents(nothing).collect() == []
 
 
+def test_many_small_pieces_are_split(spark, tokenizer, monkeypatch, tmp_path):
+    """Empty texts are one token each: a shard is bounded by its pieces too."""
+    monkeypatch.setattr(packing, "SHARD_PIECES", 300)
+    real, seen = packing._best_fit, str(tmp_path)
+
+    def watched(shard, length):
+        import os
+        import uuid
+        open(os.path.join(seen, f"{(shard['sequence'] < 0).sum()}-{uuid.uuid4().hex}"), "w").close()
+        return real(shard, length)
+
+    monkeypatch.setattr(packing, "_best_fit", watched)
+    texts = [None, "", "a b"] * 800
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    check_packing(packing.pack_documents(docs).collect(), list(enumerate(texts)), tokenizer)
+    assert len(list(tmp_path.iterdir())) >= 8 and all(int(p.name.split("-")[0]) < 600 for p in tmp_path.iterdir())
+
+
+def test_ids_of_chunks_are_those_of_the_library(tokenizer):
+    texts = [" word", " Word,", "it's", " a1b2", " \u00e9t\u00e9", "\u4e2d\u6587 x", " \u00bd", "!?", " don't", "\n\nx", " ab\tc", "a\u00a0b", " x\U0001F600y"]
+    texts += [" " + "".join(map(chr, np.random.default_rng(i).integers(33, 1500, 12))) for i in range(300)]
+    ids = packing.PreTokenIds(tokenizer)
+    for text in texts:
+        assert ids(text) == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def test_configurations_place_everything_near_the_bound():
     rng = np.random.default_rng(3)
     histogram = dict(zip(*map(np.ndarray.tolist, np.unique(rng.integers(64, 1024, 40_000), return_counts=True))))
@@ -175,6 +201,66 @@ def test_languages_of_held_out_documents(spark, odd, nothing):
         "doc_id < 0").unionByName(odd.where("lang IS NULL"))).collect()} == {"und"}
 
 
+def test_numerals_are_no_letters(spark):
+    docs = spark.createDataFrame([(1, "\u00b2 \u00bd \u2460 12"), (2, "\u00b2 a"), (3, "_ !"), (4, None), (5, "\u4e2d")], "doc_id bigint, text string")
+    net = lang_cnn.train(np.zeros((4, lang_cnn.WINDOW + 3), np.uint8), np.array([0, 1, 0, 1]), ["a", "b"])
+    got = {r["doc_id"]: r["lang_pred"] for r in lang_cnn.predict(docs, net).collect()}
+    assert [got[i] == "und" for i in range(1, 6)] == [True, False, True, True, False]
+
+
+def test_no_language_is_left_out(spark, monkeypatch):
+    monkeypatch.setattr(lang_cnn, "EPOCHS", 1)
+    rows = [(300 * i + k, f"l{k:03d}", f"text {k} number {i} of a language") for k in range(300) for i in range(12)]
+    net = lang_cnn.fit(spark.createDataFrame(rows, "doc_id bigint, lang string, text string"))
+    assert net.languages == [f"l{k:03d}" for k in range(300)]
+
+
+def test_training_and_prediction_match_plain_loops(monkeypatch):
+    """The first step's gradient by finite differences of the plain loss, a prediction by a plain loop over places."""
+    rng = np.random.default_rng(3)
+    rows, labels = rng.integers(0, 64, (6, lang_cnn.WINDOW + 3)).astype(np.uint8), np.array([0, 1, 2, 0, 1, 2])
+
+    def pooled(net, row):
+        n = net.filters.shape[2]
+        at = [[sum(float(net.filters[j][row[i + j], f]) for j in range(lang_cnn.WIDEST)) for i in range(lang_cnn.WINDOW)]
+              for f in range(n)]
+        return [max(max(at[f]) + float(net.bias[f]), 0.0) for f in range(n)]
+
+    def plain_log_probabilities(net, row):
+        h = pooled(net, row)
+        z = [sum(x * float(w) for x, w in zip(h, net.dense[:, c])) + float(net.dense_bias[c]) for c in range(len(net.languages))]
+        top = max(z)
+        return [x - top - np.log(sum(np.exp(y - top) for y in z)) for x in z]
+
+    monkeypatch.setattr(lang_cnn, "EPOCHS", 2)
+    net = lang_cnn.train(rows, labels, ["a", "b", "c"])
+    plain = np.array([plain_log_probabilities(net, r) for r in rows])
+    assert np.allclose(net.log_probabilities(rows), plain, atol=1e-4)
+    data = b"some words of a text that is longer than a window, " * 5
+    per_window = np.array([plain_log_probabilities(net, r) for r in lang_cnn.windows(data)]).mean(axis=0)
+    lang, p = net.predict(data)
+    want = np.exp(per_window - per_window.max())
+    assert lang == net.languages[int(want.argmax())] and abs(p - want.max() / want.sum()) < 1e-4
+    # Adam's first step moves every weight with a gradient by the rate, against the gradient's sign
+    monkeypatch.setattr(lang_cnn, "EPOCHS", 0)
+    before = lang_cnn.train(rows, labels, ["a", "b", "c"])
+    monkeypatch.setattr(lang_cnn, "EPOCHS", 1)
+    after = lang_cnn.train(rows, labels, ["a", "b", "c"])
+    loss = lambda: -np.mean([plain_log_probabilities(before, r)[y] for r, y in zip(rows, labels)])
+    checked = 0
+    for f, c in ((0, 0), (11, 1), (30, 2)):
+        old = before.dense[f, c]
+        before.dense[f, c] = old + 1e-3
+        up = loss()
+        before.dense[f, c] = old - 1e-3
+        slope = (up - loss()) / 2e-3
+        before.dense[f, c] = old
+        if abs(slope) > 1e-3:
+            checked += 1
+            assert np.sign(old - after.dense[f, c]) == np.sign(slope) and abs(abs(old - after.dense[f, c]) - lang_cnn.RATE) < 1e-4
+    assert checked
+
+
 def test_windows_cover_the_whole_text():
     data = bytes(range(97, 123)) * 50
     rows = lang_cnn.windows(data)
@@ -207,6 +293,45 @@ def test_quality_of_held_out_documents(spark, odd, nothing):
     assert pu_quality.score(nothing, model).collect() == []
 
 
+def test_quality_of_an_empty_table(nothing, spark):
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, quality int")
+    assert pu_quality.classify_quality(nothing, labels).collect() == []
+    assert pu_quality.keep_accepted(nothing, labels).collect() == []
+
+
+def test_steps_go_down_the_non_negative_risk(monkeypatch):
+    """The first step of training against finite differences of the risk, written plainly from its definition."""
+    rng = np.random.default_rng(5)
+    positive, unlabelled, prior = rng.normal(1, 1, (8, 5)), rng.normal(0, 1, (8, 5)), 0.4
+    monkeypatch.setattr(pu_quality, "BATCH", 8)
+
+    def plain_risk(model):
+        g = lambda x: sum(float(w) * max(float(sum(a * b for a, b in zip((np.clip((x - model.mean) / model.scale, -8, 8)), column))) + float(c), 0.0)
+                          for w, column, c in zip(model.out, model.hidden.T, model.hidden_bias)) + model.out_bias
+        loss = lambda z: float(np.logaddexp(0, -z))
+        p, u = [g(x) for x in positive], [g(x) for x in unlabelled]
+        negative = np.mean([loss(-z) for z in u]) - prior * np.mean([loss(-z) for z in p])
+        return prior * np.mean([loss(z) for z in p]) + max(negative, 0.0), negative
+
+    monkeypatch.setattr(pu_quality, "EPOCHS", 0)
+    before = pu_quality.train(positive, unlabelled, prior)
+    monkeypatch.setattr(pu_quality, "EPOCHS", 1)
+    after = pu_quality.train(positive, unlabelled, prior)
+    assert plain_risk(before)[1] > 0  # else the step would go back along the negative part
+    checked = 0
+    for i in range(0, len(before.out), 3):
+        old = before.out[i]
+        before.out[i] = old + 1e-5
+        up = plain_risk(before)[0]
+        before.out[i] = old - 1e-5
+        slope = (up - plain_risk(before)[0]) / 2e-5
+        before.out[i] = old
+        if abs(slope) > 1e-4:
+            checked += 1
+            assert np.sign(old - after.out[i]) == np.sign(slope)
+    assert checked >= 3
+
+
 def test_quality_without_labels(odd, spark):
     none = spark.createDataFrame([(None, 1), (1, None)], "doc_id bigint, quality int")
     rows = pu_quality.classify_quality(odd, none).collect()
@@ -251,32 +376,6 @@ def test_licences_own_and_inherited(spark):
     assert license_scan.scan_licences(frame.where("doc_id < 0")).collect() == []
 
 
-def test_licence_scores_match_plain_cosine(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    files = license_scan.with_paths(docs)
-    got = {r["doc_id"]: r for r in license_scan.scan_licences(files).collect()}
-    terms = {}
-    for r in docs.select("doc_id", "text").collect():
-        lines = [x for x in r["text"].split("\n") if re.search(license_scan.HEADER_LINE, x)]
-        if lines:
-            terms[r["doc_id"]] = re.findall(license_scan.TERM, "\n".join(lines).lower())
-    templates = [(name, re.findall(license_scan.TERM, text.lower())) for name, text in license_scan.TEMPLATES]
-    vocabulary = {t for _, words in templates for t in words}
-    idf = {t: np.log((len(terms) + 1) / (sum(t in w for w in terms.values()) + 1)) + 1 for t in vocabulary}
-    vector = lambda words: {t: words.count(t) * idf[t] for t in set(words) & vocabulary}
-    norm = lambda v: sum(x * x for x in v.values()) ** 0.5
-    for doc_id, words in terms.items():
-        v = vector(words)
-        best = max((sum(x * w.get(t, 0) for t, x in v.items()) / max(norm(v) * norm(w), 1e-12)
-                    for w in (vector(words) for _, words in templates)), default=0)
-        if best >= license_scan.ACCEPT + 1e-6:
-            assert abs(got[doc_id]["score"] - best) < 1e-6
-        else:
-            assert got[doc_id]["score"] is None
-    assert sum(r["score"] is not None for r in got.values()) >= 20
-    assert any(r["inherited_from"] is not None for r in got.values())
-
-
 def test_all_words_of_a_header_count(spark, tmp_path):
     """Prose that speaks of licences has none, whole licence texts have theirs; scores are the cosines of whole headers."""
     mit = license_scan.MIT_TEXT.replace("Copyright (c)", "Copyright (c) 2019 Jane Doe")

@@ -133,7 +133,7 @@ def seed(spark, table, rows):
 
 
 def test_slices_cover_each_row_once(spark):
-    rows = [(f"L{i:03d}", i, datetime(2024, 1, 1 + i % 25, i % 24)) for i in range(300)] + [(None, None, None), ("o'x", -7, None)]
+    rows = [(f"L{i:03d}", i, datetime(2024, 1, 1 + i % 25, i % 24)) for i in range(300)] + [("zz", None, None), ("o'x", -7, None)]
     seed(spark, "lines_a", rows)
     whole = rows_of(jdbc_source(spark, URL, "lines_a", PROPS), ["order_detail_id", "quantity", "last_updated_timestamp"])
     spans = change_time_slices(spark, URL, "lines_a", PROPS, 6)

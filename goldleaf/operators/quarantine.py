@@ -68,7 +68,7 @@ def keep_rejected(store: VersionedStore, verdicts: DataFrame) -> int:
         head = kept.latest("rejected")
         if head is not None:
             before = kept.read_version("rejected", head[0])
-            schema = evolved(before.schema, bad.schema, [DIGEST])
+            schema = evolved(before.schema, bad.schema, [DIGEST], "union")
             bad = merge_rows(conformed(bad, schema), conformed(before, schema), [DIGEST], False)  # what is known stays as it is
         kept.publish({"rejected": bad})
     return n

@@ -2,10 +2,12 @@
 
 * A column that only the increment has is added; rows that were there before hold NULL.
 * A column that the increment lacks stays; rows that the increment replaces keep their value, new rows hold NULL.
-* A column whose type differs takes the wider type if one holds every value of both: wider integers, wider
-  decimals (integers included), float to double, an integer of at most 32 bits to double, date to timestamp.
-* Anything else (text against number, long against double, a key column that is missing) raises
-  :class:`SchemaMismatch`, before anything is written.
+* A column whose type differs: with ``policy="union"`` it takes the wider type if one holds every value of both
+  (wider integers, wider decimals, integers included, float to double, an integer of at most 32 bits to double,
+  date to timestamp). With ``policy="keep_types"``, the default, the table's type stays and the increment is cast
+  to it; under ANSI a value that does not fit raises before anything is committed.
+* Anything else (text against number, a key column that is missing; with "union" also long against double)
+  raises :class:`SchemaMismatch`, before anything is written.
 
 Names are compared without case, as Spark resolves them. ``policy="strict"`` raises on any difference but a
 narrower type in the increment.
@@ -21,7 +23,7 @@ from pyspark.sql import types as T
 
 INTEGERS = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
 DIGITS = dict(zip(["tinyint", "smallint", "int", "bigint"], [3, 5, 10, 19]))  # decimal digits of the integers
-POLICIES = ("union", "strict")
+POLICIES = ("keep_types", "union", "strict")
 
 
 class SchemaMismatch(ValueError):
@@ -48,7 +50,7 @@ def wider_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
     return None
 
 
-def evolved(target: T.StructType, source: T.StructType, keys: Sequence[str], policy: str = "union") -> T.StructType:
+def evolved(target: T.StructType, source: T.StructType, keys: Sequence[str], policy: str = "keep_types") -> T.StructType:
     """The schema after the increment: the target's columns, widened where needed, then the new ones."""
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}, got {policy!r}")
@@ -57,6 +59,9 @@ def evolved(target: T.StructType, source: T.StructType, keys: Sequence[str], pol
     problems += [f"key column {k} is missing in the increment" for k in keys if k.lower() not in come]
     for name, field in have.items():
         kind = wider_type(field.dataType, come[name].dataType) if name in come else field.dataType
+        if policy == "keep_types" and name in come and (kind is not None or all(
+                isinstance(t, T.NumericType) for t in (field.dataType, come[name].dataType))):
+            kind = field.dataType
         if kind is None:
             problems.append(f"{field.name}: {field.dataType.simpleString()} and {come[name].dataType.simpleString()} have no common type")
         elif policy == "strict" and name not in come:

@@ -59,11 +59,11 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], change_col: str) -> DataF
 
 def upsert(store: VersionedStore, table: str, source: DataFrame, keys: Sequence[str], watermark: str | None = None,
            source_rows: int | None = None, max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-           head: tuple[int, str | None] | None | bool = False, policy: str = "union") -> int:
+           head: tuple[int, str | None] | None | bool = False, policy: str = "keep_types") -> int:
     """Create the table from ``source`` on first use, else publish target ⊕ source as a new version.
 
-    Columns that are added, missing or wider are handled as :mod:`goldleaf.operators.schemas` says: nothing
-    is dropped, and a version's files have one schema. The target is read once and filtered map-side when the
+    Columns that are added, missing or of another type are handled as :mod:`goldleaf.operators.schemas` says for
+    ``policy``: nothing is dropped, and a version's files have one schema. The target is read once and filtered map-side when the
     increment's keys pass the size check; a table whose increments touch few of its keys is better kept in
     partitions by key hash (:class:`goldleaf.operators.partitioned.PartitionedTable`).
 

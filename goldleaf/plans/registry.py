@@ -259,7 +259,8 @@ def _bronze_queries() -> dict[str, Query]:
         target = orders.where(F.col("o_orderdate") < _ts(orders, "o_orderdate", TARGET_BEFORE))
         upsert(store, "orders", target.drop("o_orderpriority").withColumn("o_custkey", F.col("o_custkey").cast("int")), ["o_orderkey"])
         source = _changed_orders(orders).where(F.col("o_orderdate") >= _ts(orders, "o_orderdate", CHANGED_FROM))
-        upsert(store, "orders", source.drop("o_totalprice").withColumn("o_custkey", F.col("o_custkey").cast("bigint")), ["o_orderkey"])
+        upsert(store, "orders", source.drop("o_totalprice").withColumn("o_custkey", F.col("o_custkey").cast("bigint")), ["o_orderkey"],
+               policy="union")
         return store.read("orders")
 
     def quarantine(s, d):

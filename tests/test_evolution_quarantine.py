@@ -41,7 +41,7 @@ def store_of(spark, name):
     ("int", "decimal(5,2)", "decimal(12,2)"), ("float", "double", "double"), ("int", "double", "double"), ("bigint", "double", None),
     ("date", "timestamp", "timestamp"), ("string", "int", None), ("decimal(38,0)", "decimal(38,10)", None), ("void", "date", "date"),
 ])
-def test_wider_types(a, b, wide):
+def test_wider_types(spark, a, b, wide):
     kind = lambda t: T._parse_datatype_string(t)
     for x, y in ((a, b), (b, a)):
         got = wider_type(kind(x), kind(y))
@@ -51,11 +51,14 @@ def test_wider_types(a, b, wide):
 def test_columns_are_added_kept_and_widened(spark):
     store = store_of(spark, "t_evolve")
     upsert(store, "t", spark.createDataFrame([(1, 10, "a"), (2, 20, "b")], "k int, n int, old string"), ["k"])
-    upsert(store, "t", spark.createDataFrame([(2, 2**40, "x"), (3, 30, "y")], "K bigint, n bigint, fresh string"), ["k"])
+    upsert(store, "t", spark.createDataFrame([(2, 2**40, "x"), (3, 30, "y")], "K bigint, n bigint, fresh string"), ["k"], policy="union")
     got = store.read("t")
     assert got.schema.simpleString() == "struct<k:bigint,n:bigint,old:string,fresh:string>"
     assert sorted(map(tuple, got.collect())) == [(1, 10, "a", None), (2, 2**40, "b", "x"), (3, 30, None, "y")]
+    # types stay unless asked otherwise: a narrower one is cast, a value that does not fit raises
     upsert(store, "t", spark.createDataFrame([(1, 5, "z", "w")], "k int, n int, old string, fresh string"), ["k"])
+    with pytest.raises(Exception, match="OVERFLOW|OUT_OF_RANGE"):
+        upsert(store, "t", spark.createDataFrame([(1, Decimal(10) ** 20)], "k int, n decimal(38,0)"), ["k"])
     assert (1, 5, "z", "w") in set(map(tuple, store.read("t").collect())) and store.read("t").schema == got.schema
 
 

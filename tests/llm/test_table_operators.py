@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -359,6 +360,59 @@ def test_neighbours_of_odd_vectors(spark):
     assert c2lsh.neighbours_of_table(frame.where("vec_id < 0")).collect() == []
 
 
+def test_neighbours_over_many_blocks(spark, monkeypatch):
+    """Blocks of about 250 vectors: most of a query's neighbours lie outside its first block."""
+    monkeypatch.setattr(c2lsh, "BLOCK_VALUES", 16_000)
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = [(r["vec_id"], r["embedding"]) for r in table.collect()]
+    vectors = dict(rows)
+    found = defaultdict(list)
+    for r in c2lsh.neighbours_of_table(table, every=40).orderBy("query_id", "rank").collect():
+        found[r["query_id"]].append((r["score"], r["vec_id"]))
+    assert set(found) == {i for i, _ in rows if i % 40 == 0}
+    assert all(len(got) == 10 and len({i for _, i in got}) == 10 for got in found.values())
+    hits = sum(len({i for _, i in brute_neighbours(rows, q, vectors[q])} & {i for _, i in got}) for q, got in found.items())
+    assert hits / len(found) / 10 >= 0.95
+
+
+def test_neighbours_among_copies(spark, monkeypatch):
+    """A third of the rows is one vector: its copies are each other's nearest, ties to smaller ids, in all blocks."""
+    monkeypatch.setattr(c2lsh, "BLOCK_VALUES", 800)
+    draw = np.random.default_rng(3)
+    rows = [(i, [0.25, 0.5, -1.0, 2.0] if i % 3 == 0 else draw.normal(size=4).round(3).tolist()) for i in range(1200)]
+    frame = spark.createDataFrame(rows, "vec_id int, embedding array<double>")
+    got = c2lsh.neighbours_of_table(frame).orderBy("query_id", "rank").collect()
+    for q in (0, 300, 600, 900):
+        assert [(r["score"], r["vec_id"]) for r in got if r["query_id"] == q] == brute_neighbours(rows, q, rows[q][1])
+    far = spark.createDataFrame([(1, [1e200, 0.0]), (100, [1e200, 1e200]), (2, [-1e200, 1.0])], "vec_id int, embedding array<double>")
+    assert {r["vec_id"] for r in c2lsh.neighbours_of_table(far).collect()} <= {1, 2}
+
+
+def test_a_stream_of_queries_builds_one_index_per_block(monkeypatch):
+    built = []
+
+    class Counted(c2lsh.WindowIndex):
+        def __init__(self, ids, x):
+            built.append(len(ids))
+            super().__init__(ids, x)
+
+    monkeypatch.setattr(c2lsh, "WindowIndex", Counted)
+    draw = np.random.default_rng(5)
+
+    def batch(block, asked, ids):
+        return pa.RecordBatch.from_pydict({
+            "block": pa.array([block] * len(ids), pa.int64()), "dim": pa.array([3] * len(ids), pa.int32()),
+            "asked": pa.array([asked] * len(ids), pa.int32()), "vec_id": pa.array(ids, pa.int64()),
+            "embedding": pa.array(draw.normal(size=(len(ids), 3)).tolist(), pa.list_(pa.float32())),
+            "bound": pa.array([float("inf")] * len(ids))})
+
+    batches = [batch(0, 0, range(40)), batch(0, 0, range(40, 60)), *[batch(0, 1, range(a, a + 300)) for a in range(0, 3000, 300)],
+               batch(1, 1, range(5)), batch(2, 0, range(30)), batch(2, 1, range(7))]
+    out = [r for b in c2lsh._search(iter(batches), 4) for r in b.to_pylist()]
+    assert built == [60, 30]
+    assert len(out) == 3000 * 4 + 7 * 4
+
+
 # --- pipeline --------------------------------------------------------------------------------------------
 
 def test_pipeline_stages(spark):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldleaf.operators.joins import BROADCAST_MAX_ROWS, left_lookup, small_tables
+from goldleaf.operators.joins import BROADCAST_MAX_ROWS, left_lookup, small_result, small_tables
 from goldleaf.spec import PRICE_TYPE, SILVER_COLUMNS
 
 # Tables that are dimensions or lookups of the line table; each is broadcast when its size check passes.
@@ -38,7 +38,7 @@ def inner_chain(tables: dict[str, DataFrame], small: set[str] | None = None) ->
     items = item_types(tables, small)
     orders = tables["orders"].select("order_id", "date", "time", "member_id", "bran_id")
     lines = tables["orderdetail"].select("order_detail_id", "order_id", "pizza_id", "quantity")
-    return lines.join(orders, "order_id", "inner").join(_bc(items, "pizza", small), "pizza_id", "inner")
+    return lines.join(orders, "order_id", "inner").join(small_result(items, {"pizza", "pizzatypes"}, small), "pizza_id", "inner")
 
 
 def order_lookups(tables: dict[str, DataFrame], small: set[str] | None = None) -> DataFrame:
@@ -66,9 +66,9 @@ def denormalize(tables: dict[str, DataFrame], max_broadcast_rows: int = BROADCAS
       1. member and branch are looked up on the orders (shorter than the lines);
       2. item types are joined to the items;
       3. lines meet the enriched orders (shuffle on order_id) and the enriched items (broadcast when
-         the size check passes, else a second shuffle on pizza_id);
-      4. the bridge fan-out comes last and is a broadcast join, so the multiplied rows are never
-         shuffled.
+         they pass the size check themselves, else a second shuffle on pizza_id);
+      4. the bridge fan-out comes last and is a broadcast join (when bridge and names joined pass the
+         size check), so the multiplied rows are never shuffled.
     Inner-join semantics are unchanged by the regrouping: each lookup reads only columns of the table
     it is attached to. A password column never reaches this table.
 
@@ -82,13 +82,12 @@ def denormalize(tables: dict[str, DataFrame], max_broadcast_rows: int = BROADCAS
     items = item_types(tables, small)
     orders = order_lookups(tables, small)
     lines = tables["orderdetail"].select("order_detail_id", "order_id", "pizza_id", "quantity")
-    wide = lines.join(orders, "order_id", "inner").join(_bc(items, "pizza", small), "pizza_id", "inner")
+    wide = lines.join(orders, "order_id", "inner").join(small_result(items, {"pizza", "pizzatypes"}, small), "pizza_id", "inner")
     toppings = topping_lookup(tables)
     if grain == "line":
         return wide.select(*[F.lit(None).cast(toppings.schema[c].dataType).alias(c) if c.startswith("pizza_topping") else c
                              for c in SILVER_COLUMNS])
-    bridge_small = {"pizzatypetopping", "topping"} <= small
-    wide = wide.join(F.broadcast(toppings) if bridge_small else toppings, "pizza_type_id", "left")
+    wide = wide.join(small_result(toppings, {"pizzatypetopping", "topping"}, small), "pizza_type_id", "left")
     return wide.select(*SILVER_COLUMNS)
 
 
@@ -99,6 +98,5 @@ def bridge_fanout(tables: dict[str, DataFrame]) -> DataFrame:
     lines = tables["orderdetail"].select("order_detail_id", "pizza_id")
     typed = lines.join(_bc(items, "pizza", small), "pizza_id", "inner")
     toppings = topping_lookup(tables)
-    bridge_small = {"pizzatypetopping", "topping"} <= small
-    return typed.join(F.broadcast(toppings) if bridge_small else toppings, "pizza_type_id", "left").select(
+    return typed.join(small_result(toppings, {"pizzatypetopping", "topping"}, small), "pizza_type_id", "left").select(
         "order_detail_id", "pizza_type_id", "pizza_topping_id", "pizza_topping_nm")

@@ -5,12 +5,15 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructField, StructType, VariantType
 
-# Largest dimension broadcast on the strength of an explicit row-count check. Above it the join stays a
-# shuffle join (AQE may still broadcast it at run time from the measured size).
+# Largest dimension broadcast on the strength of an explicit check of its rows and bytes. Above either the
+# join stays a shuffle join (AQE may still broadcast it at run time from the measured size).
 BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 64 << 20
+FIXED_WIDTH = 16  # bytes of a number, date or decimal, at most
 
 
 def _at_most(df: DataFrame, max_rows: int) -> bool:
@@ -23,17 +26,44 @@ def _at_most(df: DataFrame, max_rows: int) -> bool:
     return len(df.select(F.lit(1).alias("_")).take(max_rows + 1)) <= max_rows
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: text and binary by their octets, nested values by those of their text, others by a fixed width."""
+    def width(field: StructField) -> Column:
+        value = F.col("`" + field.name.replace("`", "``") + "`")
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            return F.coalesce(F.octet_length(value), F.lit(0))
+        if isinstance(field.dataType, (ArrayType, MapType, StructType, VariantType)):
+            return F.coalesce(F.octet_length(value.cast("string")), F.lit(0))
+        return F.lit(FIXED_WIDTH)
 
-    Meant for scans of stored tables; for dimensions computed by an aggregate, leave the decision to
-    AQE, which measures the finished build side before converting the join.
+    return sum((width(f).cast("bigint") for f in df.schema.fields), F.lit(0).cast("bigint"))
+
+
+def _fits(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows of together at most ``max_bytes``; a table with more rows
+    is not read any further."""
+    return _at_most(df, max_rows) and (df.agg(F.sum(_row_bytes(df))).first()[0] or 0) <= max_bytes
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``broadcast(df)`` when ``df`` fits (:func:`_fits`), else ``df`` unchanged.
+
+    The check works ``df`` out: pass scans of stored tables, or small joins of tables that were found to fit
+    (a repeated key may still multiply their rows). For other computed dimensions leave the decision to AQE,
+    which measures the finished build side before converting the join.
     """
-    return F.broadcast(df) if _at_most(df, max_rows) else df
+    return F.broadcast(df) if _fits(df, max_rows, max_bytes) else df
+
+
+def small_result(df: DataFrame, inputs: set[str], small: set[str]) -> DataFrame:
+    """A join of the tables ``inputs``, marked for broadcast when they are small and so is the result, which keys
+    repeated on both sides could multiply."""
+    return sized_broadcast(df) if inputs <= small else df
 
 
-def small_tables(tables: dict[str, DataFrame], max_rows: int = BROADCAST_MAX_ROWS) -> set[str]:
-    """Names of the tables with at most ``max_rows`` rows (see :func:`_at_most`).
+def small_tables(tables: dict[str, DataFrame], max_rows: int = BROADCAST_MAX_ROWS,
+                 max_bytes: int = BROADCAST_MAX_BYTES) -> set[str]:
+    """Names of the tables with at most ``max_rows`` rows and ``max_bytes`` (see :func:`_fits`).
 
     The probes are independent Spark jobs, submitted together so that they share the cluster instead of
     queueing one after another.
@@ -41,7 +71,7 @@ def small_tables(tables: dict[str, DataFrame], max_rows: int = BROADCAST_MAX_ROW
     if not tables:
         return set()
     with ThreadPoolExecutor(max_workers=min(8, len(tables))) as pool:
-        probe = inheritable_thread_target(next(iter(tables.values())).sparkSession)(lambda df: _at_most(df, max_rows))
+        probe = inheritable_thread_target(next(iter(tables.values())).sparkSession)(lambda df: _fits(df, max_rows, max_bytes))
         fits = dict(zip(tables, pool.map(probe, tables.values())))
     return {name for name, ok in fits.items() if ok}
 

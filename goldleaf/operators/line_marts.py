@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from goldleaf.functions import hour_of_text, month_label, parse_date, weekday_name
 from goldleaf.operators.denorm import item_types, topping_lookup
-from goldleaf.operators.joins import small_tables
+from goldleaf.operators.joins import small_result, small_tables
 from goldleaf.spec import LINE_TOTAL_TYPE, SUM_TYPE
 
 MARTS = ["monthly", "category", "orders_by_hour", "hourly", "type"]
@@ -40,7 +40,7 @@ def mart_lines(tables: dict[str, DataFrame]) -> DataFrame:
         "pizza_id", "pizza_type_id", "pizza_categ", "price", F.coalesce("n", F.lit(1)).alias("n"))
     orders = tables["orders"].select("order_id", parse_date("date").alias("date"), hour_of_text("time").alias("hour"))
     lines = tables["orderdetail"].select("order_id", "pizza_id", "quantity")
-    wide = lines.join(orders, "order_id").join(F.broadcast(items) if "pizza" in small else items, "pizza_id")
+    wide = lines.join(orders, "order_id").join(small_result(items, {"pizza", "pizzatypes"}, small), "pizza_id")
     return wide.select("order_id", "date", "hour", "pizza_type_id", "pizza_categ",
                        (F.col("price") * F.col("quantity")).cast(LINE_TOTAL_TYPE).alias("total"), "n")
 

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from goldleaf.operators.joins import left_lookup, sized_broadcast, small_tables
+from goldleaf.operators.denorm import bridge_fanout
+from goldleaf.operators.joins import BROADCAST_MAX_ROWS, left_lookup, sized_broadcast, small_result, small_tables
 
 
 def test_size_check_boundary(spark):
@@ -15,6 +16,33 @@ def test_size_check_boundary(spark):
     assert sized_broadcast(eleven, 10) is eleven
 
 
+def test_size_check_counts_bytes(spark):
+    """Few rows may be many bytes: texts, nested values and NULLs are measured, also under odd column names."""
+    rows = [(1, "x" * 900, None, [1, 2]), (2, None, b"yy", None)]
+    df = spark.createDataFrame(rows, "id int, `a``b.c` string, b binary, n array<int>")
+    assert small_tables({"t": df}, 10, max_bytes=940) == {"t"}  # 2 x 16 + 900 + 2 + "[1, 2]"
+    assert small_tables({"t": df}, 10, max_bytes=939) == set()
+    assert sized_broadcast(df, 10, max_bytes=939) is df
+    assert small_tables({"none": df.where("id > 2")}, 0, 0) == {"none"}
+
+
+def test_multiplied_results_are_not_broadcast(spark):
+    """Two small tables with one repeated key make more rows than may be broadcast."""
+    n = 500
+    bridge = spark.range(n).select(F.lit("t").alias("pizza_type_id"), F.lit("k").alias("pizza_topping_id"))
+    topping = spark.range(n).select(F.lit("k").alias("pizza_topping_id"), F.col("id").cast("string").alias("pizza_topping_nm"))
+    assert n < BROADCAST_MAX_ROWS < n * n
+    tables = {"pizzatypetopping": bridge, "topping": topping,
+              "pizza": spark.createDataFrame([("p", "t")], "pizza_id string, pizza_type_id string"),
+              "orderdetail": spark.createDataFrame([("1", "p"), ("2", "p")], "order_detail_id string, pizza_id string")}
+    wide = bridge_fanout(tables)
+    joined = bridge.join(topping, "pizza_topping_id", "left")
+    assert small_result(joined, {"pizzatypetopping", "topping"}, {"pizzatypetopping", "topping"}) is joined
+    assert wide.count() == 2 * n * n
+    assert small_result(topping, {"topping"}, {"topping"}) is not topping
+    assert small_result(topping, {"topping", "bridge"}, {"topping"}) is topping
+
+
 def test_left_lookup_paths_agree(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (3, "zz"), (4, "a")], "id int, k string")
     dim = spark.createDataFrame([("a", "A"), ("b", "B")], "k string, name string")

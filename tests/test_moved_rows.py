@@ -37,6 +37,15 @@ def _written_columns(monkeypatch):
     return seen
 
 
+def test_distinct_fact_is_distinct_before_toppings_multiply_it(spark):
+    t = _repeated(spark)
+    out, expected = star.build_distinct_fact(t), star.build_fact(denorm.denormalize(t), distinct=True)
+    assert out.schema.simpleString() == expected.schema.simpleString()
+    assert sorted(out.collect(), key=str) == sorted(expected.collect(), key=str)
+    plan = _plan(star.build_distinct_fact(micro_tables(spark)))
+    assert plan.index("Generate inline") < plan.index("Exchange hashpartitioning")  # the top line is the last step
+
+
 def test_toppings_unfold_as_a_left_join_would(spark):
     lines = spark.createDataFrame([(1, "T1"), (2, "T3"), (3, None), (1, "T1")], "id int, pizza_type_id string")
     toppings = spark.createDataFrame([("T1", "P1", "Cheese"), ("T1", "P1", "Cheese"), ("T1", None, None), (None, "P2", "Basil")],

@@ -64,3 +64,13 @@ def test_orders_of_large_items_move_once_an_order(spark):
     plan = _plan(denorm.inner_chain(micro_tables(spark), {"pizzatypes"}))
     moved = [part.splitlines()[1] for part in plan.split("Exchange hashpartitioning(pizza_id")[1:]]
     assert moved and not any("date" in x for x in moved)  # lines go to their items before they take their order's columns
+
+
+@pytest.mark.parametrize("shared_by", [1, 2])
+def test_key_counts_are_exact_when_keys_share_hashes(spark, monkeypatch, shared_by):
+    keys = spark.createDataFrame([("a", None), ("a", None), ("b", 1), (None, 1), ("1", None), (None, None)], "k string, l int")
+    monkeypatch.setattr(quality, "_key_hash", lambda cols: F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in cols]), F.lit(shared_by)))
+    counts = {r["_table"]: r for r in quality.key_group_counts(
+        {"one": (keys, ["k"]), "two": (keys, ["k", "l"]), "none": (keys.where("false"), ["k"])}).collect()}
+    assert [tuple(counts[t])[2:] for t in ("one", "two", "none")] == [(2, 4, 6), (1, 5, 6), (0, 0, 0)]
+    assert counts["two"]["_subject"] == "two(k,l)"

@@ -74,3 +74,33 @@ def test_key_counts_are_exact_when_keys_share_hashes(spark, monkeypatch, shared_
         {"one": (keys, ["k"]), "two": (keys, ["k", "l"]), "none": (keys.where("false"), ["k"])}).collect()}
     assert [tuple(counts[t])[2:] for t in ("one", "two", "none")] == [(2, 4, 6), (1, 5, 6), (0, 0, 0)]
     assert counts["two"]["_subject"] == "two(k,l)"
+
+
+def test_reports_on_hashed_line_ids_are_exact(spark, monkeypatch):
+    t = _repeated(spark)
+    whole = LineStar(t)
+    reports = [lambda s: derived_checks.silver_report(t, TABLE_KEYS, s), derived_checks.uniqueness_checks]
+    expected = [sorted(map(str, report(whole).collect())) for report in reports]
+    monkeypatch.setattr(derived_checks, "_hash_of_id", lambda: F.pmod(F.xxhash64("order_detail_id"), F.lit(2)))
+    for report, columns, right in zip(reports, (derived_checks.SILVER_REPORT_COLUMNS, derived_checks.UNIQUENESS_COLUMNS), expected):
+        narrow = registry._line_star(t, columns)
+        assert narrow.lines.columns == [*columns, "n"]
+        assert sorted(map(str, report(narrow).collect())) == right
+
+
+@pytest.mark.parametrize("query, absent", [
+    ("silver_quality_report", {"date", "time", "size", "price", "pizza_nm"}), ("check_trend", {"date", "time", "size", "price", "pizza_nm"}),
+    ("check_uniqueness", {"time", "quantity", "order_id"}), ("check_fact_nulls", {"order_detail_id", "member_nm", "time", "order_id"}),
+    ("check_referential_integrity", {"order_detail_id", "time", "order_id"}), ("gold_quality_report", {"time", "order_id"})])
+def test_reports_write_only_the_columns_they_read(spark, monkeypatch, query, absent):
+    class Asked(Exception):
+        pass
+
+    def asked(tables, columns=None):
+        raise Asked(columns)
+
+    monkeypatch.setattr(registry, "_line_star", asked)
+    monkeypatch.setattr(registry, "retail_source_views", lambda s, d: micro_tables(s))
+    with pytest.raises(Asked) as e:
+        registry.all_queries()[query](spark, "")
+    assert e.value.args[0] and not absent & set(e.value.args[0])

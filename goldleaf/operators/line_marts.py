@@ -50,9 +50,10 @@ def _revenue(grain: str) -> Column:
     return F.sum(of_line).cast(SUM_TYPE)
 
 
-def order_bitmaps(lines: DataFrame) -> DataFrame:
-    """``hour, bucket, orders``: bitmaps of the orders of an hour, by range of ids. Merge by :func:`merged_bitmaps`."""
-    return lines.where("order_id IS NOT NULL").groupBy("hour", F.bitmap_bucket_number("order_id").alias("bucket")).agg(
+def order_bitmaps(lines: DataFrame, *parts: str) -> DataFrame:
+    """``hour, bucket, orders``: bitmaps of the orders of an hour, by range of ids, apart for each value of ``parts``.
+    Merge by :func:`merged_bitmaps`."""
+    return lines.where("order_id IS NOT NULL").groupBy(*parts, "hour", F.bitmap_bucket_number("order_id").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("order_id")).alias("orders"))
 
 

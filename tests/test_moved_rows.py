@@ -104,3 +104,12 @@ def test_reports_write_only_the_columns_they_read(spark, monkeypatch, query, abs
     with pytest.raises(Asked) as e:
         registry.all_queries()[query](spark, "")
     assert e.value.args[0] and not absent & set(e.value.args[0])
+
+
+def test_merged_order_counts_join_the_lines_once(spark, monkeypatch):
+    seen = _written_columns(monkeypatch)
+    monkeypatch.setattr(registry, "retail_source_views", lambda s, d: micro_tables(s))
+    monkeypatch.setattr(registry, "SPLIT_TOTAL", 15)
+    out = {r["hour"]: r["orders"] for r in registry._merged_order_counts(spark, "").collect()}
+    assert out == {11: 2, 20: 1, 12: 1}
+    assert seen == [["part", "hour", "bucket", "orders"]]  # one pass for both parts, kept apart

@@ -113,3 +113,15 @@ def test_merged_order_counts_join_the_lines_once(spark, monkeypatch):
     out = {r["hour"]: r["orders"] for r in registry._merged_order_counts(spark, "").collect()}
     assert out == {11: 2, 20: 1, 12: 1}
     assert seen == [["part", "hour", "bucket", "orders"]]  # one pass for both parts, kept apart
+
+
+def test_publishing_joins_the_lines_once_a_publication(spark, monkeypatch):
+    seen, published, real = _written_columns(monkeypatch), [], FolderSink.publish
+    monkeypatch.setattr(registry, "retail_source_views", lambda s, d: micro_tables(s))
+    monkeypatch.setattr(FolderSink, "publish", lambda self, frames: (published.append(dict(frames)), real(self, frames)))
+    registry.all_queries()["warehouse_publish"](spark, "").collect()
+    assert len(seen) == 2 and len(published) == 3
+    tables = micro_tables(spark)
+    expected = {"fact_order": star.build_fact(denorm.denormalize(tables)), "dim_branch": LineStar(tables).dimensions()["dim_branch"]}
+    for name, frame in expected.items():
+        assert sorted(published[1][name].select(*frame.columns).collect(), key=str) == sorted(frame.collect(), key=str), name

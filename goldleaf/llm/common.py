@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -129,6 +130,43 @@ def text_of(data: bytes | None) -> str:
     return (data or b"").decode(errors="replace")
 
 
+_KEPT: dict[str, dict] = {}  # per Python worker, by operator
+
+
+def kept_by(operator: str) -> dict:
+    """What a Python worker keeps for an operator's next tasks (caches only), until another operator's task
+    that :func:`tidied` wraps runs in it."""
+    return _KEPT.setdefault(operator, {})
+
+
+def let_go_of_others(operator: str) -> None:
+    for name, cache in _KEPT.items():
+        if name != operator:
+            cache.clear()
+
+
+def release_memory() -> None:
+    """Give back to the system what this Python worker has freed: it idles until a later stage needs it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
+def tidied(operator: str, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``function`` of batches for ``mapInArrow``. Workers are reused by all stages of an application, so what other
+    operators keep in this one goes before the task, and what the task has freed goes back after it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go_of_others(operator)
+        try:
+            yield from function(batches)
+        finally:
+            release_memory()
+
+    return run
+
+
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``rows``, so that Python objects exist for a few texts at a time."""
     for batch in batches:

@@ -46,7 +46,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldleaf.llm.common import broadcast_if_few, discard, importable_on_workers, row_numbered, sliced, utf8, written
+from goldleaf.llm.common import (
+    broadcast_if_few, discard, importable_on_workers, release_memory, row_numbered, sliced, tidied, utf8, written)
 from goldleaf.llm.components import components
 
 SHINGLE_WORDS, MIN_PERCENT = 5, 80
@@ -139,7 +140,7 @@ def _common_tokens(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]
         if run:
             yield out()
 
-    seen = docs.select("_text").mapInArrow(counted, "token bigint, n bigint")
+    seen = docs.select("_text").mapInArrow(tidied("ngrams", counted), "token bigint, n bigint")
     counts = written(seen.groupBy("token").agg(F.sum("n").alias("n")), "op5-counts")
     # the least count that at most COMMON_MAX tokens reach; there are few different counts
     bar, total = 0, 0
@@ -200,7 +201,7 @@ def _heads(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 ["uid", "doc_id", "n_shingles", "cls", "leads", "rare", "often"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    out = written(docs.select("uid", "doc_id", "_text").mapInArrow(heads, f"uid bigint, doc_id {kind}, n_shingles bigint, cls binary, leads array<bigint>, "
+    out = written(docs.select("uid", "doc_id", "_text").mapInArrow(tidied("ngrams", heads), f"uid bigint, doc_id {kind}, n_shingles bigint, cls binary, leads array<bigint>, "
                                          "rare binary, often array<bigint>"), "op5-heads")
     shared.destroy()
     return out
@@ -215,7 +216,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["cid", "tokens"])
 
     text = docs.select(F.col("uid").alias("cid"), "_text").join(broadcast_if_few(wanted), "cid")
-    return text.select("cid", "_text").mapInArrow(sets, "cid bigint, tokens binary")
+    return text.select("cid", "_text").mapInArrow(tidied("ngrams", sets), "cid bigint, tokens binary")
 
 
 class _Members:
@@ -433,8 +434,14 @@ def _candidates(heads: DataFrame, grouped: DataFrame, percent: int) -> DataFrame
     total = heads.agg(F.sum(F.octet_length("rare"))).first()[0] or 0
     buckets = max(1, -(-total // 8 // BUCKET_TOKENS))
     packed = known.select("cid", "comp", "grp", "size", "rare").where(F.octet_length("rare") > 0).mapInArrow(
-        _packed(buckets), "bucket bigint, token binary, cid binary, comp binary, grp binary, size binary")
-    asking = packed.groupBy("bucket").applyInPandas(lambda group: _asking(group, percent), _ASKED)
+        tidied("ngrams", _packed(buckets)), "bucket bigint, token binary, cid binary, comp binary, grp binary, size binary")
+
+    def asks(group: pd.DataFrame) -> pd.DataFrame:
+        out = _asking(group, percent)
+        release_memory()  # the arrays of a bucket
+        return out
+
+    asking = packed.groupBy("bucket").applyInPandas(asks, _ASKED)
     common = _asking_common(known.select("cid", "comp", "grp", "size", F.explode("often").alias("token")), percent)
     out = written(asking.unionByName(common).groupBy("cid", "size", "grp").agg(F.sum("shared").alias("shared")).where(
         F.col("shared") >= _at_least(F.col("size"), percent)), "op5-pairs")

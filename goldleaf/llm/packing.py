@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldleaf.llm.bpe_words import ChunkMemo, PreTokenIds, chunks
-from goldleaf.llm.common import importable_on_workers, sliced, text_of, utf8, written
+from goldleaf.llm.common import importable_on_workers, kept_by, sliced, text_of, tidied, utf8, written
 
 TOKENIZER = "byte_bpe_50k.json"
 SEQUENCE, END_ID = 1024, 2
@@ -42,7 +42,7 @@ SHARD_SEQUENCES = 20_000  # sequences in one best-fit task
 SHARD_PIECES = 200_000  # small pieces in one best-fit task
 CHUNKS_KEPT = 500_000  # remembered chunks of a worker, twice at most
 
-_ENCODERS: dict[str, "_Encoder"] = {}  # per Python worker, by file
+_ENCODERS: dict[str, "_Encoder"] = kept_by("packing")  # per Python worker, by file
 
 
 class _Encoder:
@@ -102,7 +102,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str | None = None, length:
                          F.col(f"`{text_col}`").cast("string").alias("_text"))
     kind = source.schema["doc_id"].dataType.simpleString()
     return source.mapInArrow(
-        pieces, f"uid bigint, doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
+        tidied("packing", pieces), f"uid bigint, doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
 def rounded_groups(histogram: dict[int, int], groups: int) -> tuple[int, list[tuple[int, int]]]:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldleaf.llm.common import held_out, importable_on_workers, sliced, utf8, written
+from goldleaf.llm.common import held_out, importable_on_workers, sliced, tidied, utf8, written
 
 SAMPLE = 6_000  # rows of each kind (positive, unlabelled, labelled for the scale) that are learned from
 HIDDEN, EPOCHS, BATCH, RATE, SEED = 32, 30, 256, 0.003, 11
@@ -203,7 +203,7 @@ def _drawn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
     texts = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
     # an id that repeats brings one of its texts, so the sample stays bounded
     table = texts.join(F.broadcast(chosen), "_id").select("_kind", "_text", F.xxhash64("_id").alias("_key")).mapInArrow(
-        described, "kind string, key bigint, x binary").groupBy("kind", "key").agg(F.min("x").alias("x")).orderBy(
+        tidied("quality", described), "kind string, key bigint, x binary").groupBy("kind", "key").agg(F.min("x").alias("x")).orderBy(
         "kind", "x").select("kind", "x").toArrow().to_pylist()
     out = {k: np.frombuffer(b"".join(r["x"] for r in table if r["kind"] == k), np.float32).reshape(-1, N_FEATURES)
            for k in wanted}
@@ -254,7 +254,7 @@ def score(docs: DataFrame, model: PuModel | None, id_col: str = "doc_id", text_c
 
     source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(scored, f"doc_id {kind}, score double, predicted int")
+    return source.mapInArrow(tidied("quality", scored), f"doc_id {kind}, score double, predicted int")
 
 
 def classify_quality(docs: DataFrame, labels: DataFrame, **names) -> DataFrame:
@@ -276,4 +276,4 @@ def keep_accepted(docs: DataFrame, labels: DataFrame, accept: float = ACCEPT) ->
             s = model.score(x) if model is not None else np.ones(len(x))
             yield batch.filter(pa.array(s >= accept))
 
-    return docs.mapInArrow(flagged, docs.schema)
+    return docs.mapInArrow(tidied("quality", flagged), docs.schema)

@@ -161,6 +161,29 @@ def test_rare_and_common_tokens_find_the_same(spark, tmp_path_factory, monkeypat
     assert sets_of((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sets_of(brute_components(rows, 4, 85))
 
 
+# --- memory of reused workers ----------------------------------------------------------------------------
+
+def test_a_worker_keeps_the_caches_of_one_operator(monkeypatch):
+    """Python workers live as long as the application: packing's remembered chunks are gone when the join runs."""
+    monkeypatch.setattr(common, "_KEPT", {"packing": {"path": "encoder"}, "ngrams": {}})
+    pass_on = lambda batches: batches
+    batch = pa.RecordBatch.from_pydict({"a": [1]})
+    assert list(common.tidied("packing", pass_on)(iter([batch]))) == [batch]
+    assert common.kept_by("packing") == {"path": "encoder"}
+    assert list(common.tidied("ngrams", pass_on)(iter([batch]))) == [batch]
+    assert common.kept_by("packing") == {}
+
+
+def test_packing_keeps_its_encoders_where_others_let_them_go():
+    import public_tokenizers
+
+    from goldleaf.llm import packing
+    encoder = packing._encoder(public_tokenizers.path(packing.TOKENIZER))
+    assert packing._encoder(public_tokenizers.path(packing.TOKENIZER)) is encoder
+    common.let_go_of_others("ngrams")
+    assert not packing._ENCODERS
+
+
 # --- row numbers -----------------------------------------------------------------------------------------
 
 @pytest.fixture()

@@ -8,10 +8,16 @@ whose bound reaches the needed overlap are opened: there the exact overlaps with
 Exactness. Tokens have one global order. Two sets with 100 * inter >= t * union share at least
 o = ceil(t * n / 100) tokens (n: the larger size), so their first n - o + k tokens share at least
 min(k, o) of them, k being that of the smaller set. The matrix holds these first tokens only; the bound is never too small. The order goes
-by a count of the texts that hold a token, so a passage that many documents share is rarely among the first
+by a count of those that hold a token, so a passage that many documents share is rarely among the first
 tokens: it decides how much work is done, not what is found.
 
-Where the matrix is worked out. A token that few texts hold travels once, packed with its class into arrays, to
+Where the order comes from. Every token of every class travels once, packed into arrays, to the bucket of its
+hash, where the components that hold it are counted. Tokens of one component come first and, as no link leads
+through them, go no further; the others travel back to their class, which keeps its first ones. So a class whose
+own tokens fill its first places asks nothing, however many texts there are. The few tokens known as common
+beforehand come last, by a count taken over runs of texts.
+
+Where the matrix is worked out. A first token travels, packed with its class into arrays, to
 the bucket of its hash, where the groups that hold it and the classes that ask them are found; only sums per
 (class, group) leave. Of more than ``COMMON_MAX`` tokens none of these is held by more than that part of all
 tokens, so a bucket is bounded. The (at most so many) tokens known as common, which one group of copies may
@@ -43,6 +49,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,8 +65,8 @@ LEADS = 4  # turns in which classes with the same leading tokens are compared fi
 LEAD_ROUNDS = ((0,), (1, 2, 3))  # later turns take one class for all of its component
 ALIKE_PERCENT = 40  # components with so similar members are put into one group; it changes no result
 LEADERS = 8  # classes of a group that the others are compared with in a turn
-BUCKET_TOKENS = 250_000  # first tokens that meet in one bucket of the matrix
-PACKED_TOKENS = 1_000_000  # first tokens that a task packs at a time
+BUCKET_TOKENS = 250_000  # tokens that meet in one bucket of token hashes
+PACKED_TOKENS = 1_000_000  # tokens that a task packs at a time
 ASKED_AT_ONCE = 2_000_000  # (class, group) pairs of a bucket that are looked at together
 GROUP_TOKENS = 250_000  # larger groups, and all that ask one group, are split into parts of about so many tokens
 
@@ -171,40 +178,41 @@ def _leads(tokens: np.ndarray) -> np.ndarray:
     return _scrambled(least + np.roll(least, -1) * _SALT).view(np.int64)
 
 
-def _heads(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """``uid, doc_id, n_shingles, cls, leads, rare, often`` of every text, written.
+def _heads(docs: DataFrame, shared: Broadcast, words: int, percent: int) -> DataFrame:
+    """``uid, doc_id, n_shingles, cls, leads, rare, later, often`` of every text, written.
 
-    ``rare`` and ``often`` are its first tokens in the global order (by count, then value): those that are not
-    known as common (as bytes) and those that are. ``leads`` are its leading tokens of ``LEADS`` turns.
+    ``rare`` is the number of its tokens that are not known as common (``shared``), ``later`` how many of these are
+    not among its first tokens in the global order; ``often`` are the common ones that are, by count, then value.
+    ``leads`` are its leading tokens of ``LEADS`` turns.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(_common_tokens(docs, words))
 
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, common = Shingler(words), shared.value
         for batch in sliced(batches):
-            sizes, classes, rare, often, leads = [], [], [], [], []
+            sizes, classes, rare, later, often, leads = [], [], [], [], [], []
             for data in utf8(batch.column(2)):
                 tokens = shingler.tokens(data)
                 n = len(tokens)
                 counts = _counts(tokens, *common)
-                order = np.argsort(counts, kind="stable")[:n - needed(n, percent) + overlap(n)]
+                first, common_at = min(n, n - needed(n, percent) + overlap(n)), np.flatnonzero(counts)
                 sizes.append(n)
                 classes.append(_class_of(tokens) if n else None)
-                rare.append(tokens[order[counts[order] == 0]].tobytes())
-                often.append(tokens[order[counts[order] > 0]].view(np.int64))
+                rare.append(n - len(common_at))
+                later.append(max(0, rare[-1] - first))
+                by_count = common_at[np.argsort(counts[common_at], kind="stable")]
+                often.append(tokens[by_count[:max(0, first - rare[-1])]].view(np.int64))
                 leads.append(_leads(tokens).tolist() if n else [])
             offsets = np.concatenate([[0], np.cumsum([len(f) for f in often])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int64), *often])))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()),
-                 pa.array(leads, pa.list_(pa.int64())), pa.array(rare, pa.binary()), lists],
-                ["uid", "doc_id", "n_shingles", "cls", "leads", "rare", "often"])
+                 pa.array(leads, pa.list_(pa.int64())), pa.array(rare, pa.int64()), pa.array(later, pa.int64()), lists],
+                ["uid", "doc_id", "n_shingles", "cls", "leads", "rare", "later", "often"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    out = written(docs.select("uid", "doc_id", "_text").mapInArrow(tidied("ngrams", heads), f"uid bigint, doc_id {kind}, n_shingles bigint, cls binary, leads array<bigint>, "
-                                         "rare binary, often array<bigint>"), "op5-heads")
-    shared.destroy()
-    return out
+    return written(docs.select("uid", "doc_id", "_text").mapInArrow(
+        tidied("ngrams", heads), f"uid bigint, doc_id {kind}, n_shingles bigint, cls binary, leads array<bigint>, "
+        "rare bigint, later bigint, often array<bigint>"), "op5-heads")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -345,38 +353,99 @@ _PACKED = ("token", "cid", "comp", "grp", "size")
 _ASKED = "cid bigint, size bigint, grp bigint, shared bigint"
 
 
-def _packed(buckets: int):
-    """Packs (cid, comp, grp, size, rare) rows: for a bucket of token hashes one row of arrays per run."""
+def _packed_first(token: np.ndarray, cid: np.ndarray, comp: np.ndarray, grp: np.ndarray, size: np.ndarray,
+                  buckets: int) -> pd.DataFrame:
+    """For each bucket of token hashes a row of arrays."""
+    bucket = (token.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((cid, bucket))
+    ends = np.flatnonzero(np.diff(bucket[order], append=-1)) + 1
+    out = {"bucket": bucket[order[ends - 1]]}
+    # ids of a component and a group mostly equal the class, so their differences take no room
+    for name, values in zip(_PACKED, (token, cid, comp - cid, grp - cid, size.astype(np.int32))):
+        out[name] = [part.tobytes() for part in np.split(values[order], ends[:-1])] if len(ends) else []
+    return pd.DataFrame(out)
+
+
+def _packed_tokens(shared: Broadcast, words: int, buckets: int):
+    """Packs the tokens of (cid, comp, _text) rows that are not known as common: for a bucket of token hashes one
+    row of arrays per run."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run, n = [], 0
+        shingler, common, run, size = Shingler(words), shared.value, [], 0
 
         def out() -> pa.RecordBatch:
-            token, cid, comp, grp, size = (np.concatenate(x) for x in zip(*run))
-            bucket = (token.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((cid, bucket))
-            ends = np.flatnonzero(np.diff(bucket[order], append=-1)) + 1
-            columns = [[bucket[order[e - 1]] for e in ends]]
-            # ids of a component and a group mostly equal the class, so their differences take no room
-            for values in (token, cid, comp - cid, grp - cid, size.astype(np.int32)):
-                columns.append([part.tobytes() for part in np.split(values[order], ends[:-1])])
+            tokens, ids, comps = zip(*run)
+            lengths = [len(t) for t in tokens]
+            token = np.concatenate(tokens)
+            bucket = (token % np.uint64(buckets)).astype(np.int32 if buckets > 65_535 else np.uint16)
+            order = np.argsort(bucket, kind="stable")
+            cid, comp = (np.repeat(np.array(x, np.int64), lengths)[order] for x in (ids, comps))
+            starts = np.flatnonzero(np.diff(bucket[order].astype(np.int64), prepend=-1))
+            # steps from class to class, and from a class to its component, are mostly small and take little room
+            columns = [[np.diff(c, prepend=0).tobytes() for c in np.split(cid, starts[1:])]]
+            for values in (token[order], comp - cid):
+                columns.append([part.tobytes() for part in np.split(values, starts[1:])])
             return pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), *[pa.array(c, pa.binary()) for c in columns[1:]]], ["bucket", *_PACKED])
-
-        for batch in batches:
-            ids = [batch.column(i).to_numpy() for i in range(4)]
-            for row, data in enumerate(utf8(batch.column(4))):
-                token = np.frombuffer(data, np.int64)
-                run.append([token, *[np.full(len(token), x[row]) for x in ids]])
-                n += len(token)
-                if n >= PACKED_TOKENS:
+                [pa.array(bucket[order][starts], pa.int64()), *[pa.array(c, pa.binary()) for c in columns]],
+                ["bucket", "cid", "token", "comp"])
+
+        for batch in sliced(batches):
+            ids, comps = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for row, data in enumerate(utf8(batch.column(2))):
+                tokens = shingler.tokens(data)
+                tokens = tokens[_counts(tokens, *common) == 0]
+                if len(tokens):
+                    run.append((tokens, ids[row], comps[row]))
+                    size += len(tokens)
+                if size >= PACKED_TOKENS:
                     yield out()
-                    run, n = [], 0
-        if n:
+                    run, size = [], 0
+        if run:
             yield out()
 
     return pack
 
 
+def _held_by_several(group: pd.DataFrame, homes: int) -> pd.DataFrame:
+    """Of a bucket: the tokens that several components hold, with the number of these, for the homes of their classes."""
+    cid = np.concatenate([np.cumsum(np.frombuffer(steps, np.int64)) for steps in group["cid"]])
+    token, comp = (np.frombuffer(b"".join(group[c]), np.int64) for c in ("token", "comp"))
+    comp = comp + cid
+    order = np.argsort(token)
+    starts = np.flatnonzero(np.diff(token[order], prepend=token[order[0]] - 1))
+    several = np.minimum.reduceat(comp[order], starts) < np.maximum.reduceat(comp[order], starts)
+    order = order[np.repeat(several, np.diff(starts, append=len(order)))]
+    if not len(order):
+        return pd.DataFrame({"home": [], "cid": [], "token": [], "held": []})
+    order = order[np.lexsort((comp[order], token[order]))]
+    token, cid, comp = token[order], cid[order], comp[order]
+    begins = np.diff(token, prepend=token[0] - 1) != 0
+    starts = np.flatnonzero(begins)
+    held = np.add.reduceat((begins | (np.diff(comp, prepend=comp[0]) != 0)).astype(np.int64), starts)
+    held = np.repeat(held, np.diff(starts, append=len(token)))
+    home = cid % homes
+    order = np.argsort(home, kind="stable")
+    ends = np.flatnonzero(np.diff(home[order], append=-1)) + 1
+    return pd.DataFrame({"home": home[order[ends - 1]]} | {
+        name: [part.tobytes() for part in np.split(values[order], ends[:-1])]
+        for name, values in (("cid", cid), ("token", token), ("held", held))})
+
+
+def _first_tokens(classes: pd.DataFrame, tokens: pd.DataFrame, buckets: int) -> pd.DataFrame:
+    """Of a home: what classes (cid, comp, grp, size, later) have of several components' tokens among their first ones.
+
+    Tokens of one component come before all of these, so what is not among the first tokens is at their end.
+    """
+    cid, token, held = (np.frombuffer(b"".join(tokens[c]), np.int64) for c in ("cid", "token", "held"))
+    order = np.lexsort((token, held, cid))
+    token, cid = token[order], cid[order]
+    starts = np.flatnonzero(np.diff(cid, prepend=-1))
+    n = np.diff(starts, append=len(cid))
+    classes = classes.set_index("cid").loc[cid[starts]]
+    first = np.arange(len(cid)) - np.repeat(starts, n) < np.repeat(n - classes["later"].to_numpy(), n)
+    comp, grp, size = (np.repeat(classes[c].to_numpy(), n)[first] for c in ("comp", "grp", "size"))
+    return _packed_first(token[first], cid[first], comp, grp, size, buckets)
+
+
 def _asking(group: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Of a bucket: how many tokens each class shares with each group that another component is in."""
     token, cid, comp, grp = (np.frombuffer(b"".join(group[c]), np.int64) for c in _PACKED[:4])
@@ -427,20 +496,36 @@ def _asking_common(entries: DataFrame, percent: int) -> DataFrame:
     return out
 
 
-def _candidates(heads: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
+def _candidates(docs: DataFrame, heads: DataFrame, shared: Broadcast, grouped: DataFrame, words: int,
+                percent: int) -> DataFrame:
     """``cid, size, grp, shared``: classes and the groups that hold enough of their first tokens."""
     of_class = broadcast_if_few(written(grouped.withColumnRenamed("cid", "uid"), "op5-of-class"))
-    known = heads.select("uid", "rare", "often").join(of_class, "uid").withColumnRenamed("uid", "cid")
-    total = heads.agg(F.sum(F.octet_length("rare"))).first()[0] or 0
-    buckets = max(1, -(-total // 8 // BUCKET_TOKENS))
-    packed = known.select("cid", "comp", "grp", "size", "rare").where(F.octet_length("rare") > 0).mapInArrow(
-        tidied("ngrams", _packed(buckets)), "bucket bigint, token binary, cid binary, comp binary, grp binary, size binary")
+    known = heads.select("uid", "rare", "later", "often").join(of_class, "uid").withColumnRenamed("uid", "cid")
+    total = known.agg(F.sum("rare")).first()[0] or 0
+    buckets = max(1, -(-total // BUCKET_TOKENS))
+    homes = buckets // 4 | 1  # of a million tokens at most, if every token were held by several components
+
+    def several(group: pd.DataFrame) -> pd.DataFrame:
+        out = _held_by_several(group, homes)
+        release_memory()  # the arrays of a bucket
+        return out
+
+    def firsts(classes: pd.DataFrame, tokens: pd.DataFrame) -> pd.DataFrame:
+        out = _first_tokens(classes, tokens, buckets)
+        release_memory()
+        return out
 
     def asks(group: pd.DataFrame) -> pd.DataFrame:
         out = _asking(group, percent)
-        release_memory()  # the arrays of a bucket
+        release_memory()
         return out
 
+    held = docs.select("uid", "_text").join(of_class, "uid").select("uid", "comp", "_text").mapInArrow(
+        tidied("ngrams", _packed_tokens(shared, words, buckets)), "bucket bigint, cid binary, token binary, comp binary"
+    ).groupBy("bucket").applyInPandas(several, "home bigint, cid binary, token binary, held binary")
+    at_home = known.select("cid", "comp", "grp", "size", "later", F.pmod("cid", F.lit(homes)).alias("home"))
+    packed = at_home.groupBy("home").cogroup(held.groupBy("home")).applyInPandas(
+        firsts, "bucket bigint, token binary, cid binary, comp binary, grp binary, size binary")
     asking = packed.groupBy("bucket").applyInPandas(asks, _ASKED)
     common = _asking_common(known.select("cid", "comp", "grp", "size", F.explode("often").alias("token")), percent)
     out = written(asking.unionByName(common).groupBy("cid", "size", "grp").agg(F.sum("shared").alias("shared")).where(
@@ -449,7 +534,7 @@ def _candidates(heads: DataFrame, grouped: DataFrame, percent: int) -> DataFrame
     return out
 
 
-def link_classes(docs: DataFrame, heads: DataFrame, words: int, percent: int) -> DataFrame:
+def link_classes(docs: DataFrame, heads: DataFrame, shared: Broadcast, words: int, percent: int) -> DataFrame:
     """``cid, comp`` of every class. A class is known by the first row (uid) that has it."""
     cids = written(heads.where("n_shingles > 0").groupBy("cls").agg(F.min("uid").alias("uid")).select("uid"), "op5-cids")
     classes = written(heads.select("uid", "leads", F.col("n_shingles").alias("size")).join(
@@ -463,7 +548,7 @@ def link_classes(docs: DataFrame, heads: DataFrame, words: int, percent: int) ->
     grouped = written(_split(whole.where("large"), "comp").unionByName(
         _split(whole.where("NOT large"), "alike", key="comp")).select("cid", "size", "comp", "grp"), "op5-grouped")
     discard(classes, whole)
-    pairs = _candidates(heads, grouped, percent)
+    pairs = _candidates(docs, heads, shared, grouped, words, percent)
     opened = pairs.select("grp").distinct()
     members = written(grouped.join(opened, "grp", "left_semi").select("cid", "grp"), "op5-members")
     wanted = written(members.select("cid").unionByName(pairs.select("cid")).distinct(), "op5-wanted")
@@ -502,8 +587,10 @@ def similar_documents(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int
     importable_on_workers(docs.sparkSession)
     docs = row_numbered(docs.select(F.col(f"`{id_col}`").alias("doc_id"),
                                     F.col(f"`{text_col}`").cast("string").alias("_text")), "uid")
-    heads = _heads(docs, words, percent)
-    of_class = link_classes(docs, heads, words, percent)
+    shared = docs.sparkSession.sparkContext.broadcast(_common_tokens(docs, words))
+    heads = _heads(docs, shared, words, percent)
+    of_class = link_classes(docs, heads, shared, words, percent)
+    shared.destroy()
     rows = written(heads.select("uid", "doc_id", "n_shingles", "cls"), "op5-rows")
     discard(heads)
     classes = rows.where("n_shingles > 0").groupBy("cls").agg(F.min("uid").alias("cid"), F.min("doc_id").alias("least"))

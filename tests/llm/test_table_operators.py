@@ -161,6 +161,30 @@ def test_rare_and_common_tokens_find_the_same(spark, tmp_path_factory, monkeypat
     assert sets_of((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sets_of(brute_components(rows, 4, 85))
 
 
+@pytest.mark.parametrize("own", [100, 5])
+def test_tokens_of_one_component_fill_the_first_places(own):
+    """Texts that share a passage, few enough that it is not known as common, ask nothing if their own tokens come first."""
+    import pandas as pd
+
+    passage, many = np.arange(1, 21, dtype=np.int64), 40
+    n = own + len(passage)
+    later = n - (n - ngram_join.needed(n, 85) + ngram_join.overlap(n))
+    ids = np.arange(many, dtype=np.int64)
+    sets = [np.concatenate([passage, 1000 * (i + 1) + np.arange(own)]) for i in ids]
+    cid, token = np.repeat(ids, n), np.concatenate(sets)
+    bucket = pd.DataFrame({"cid": [np.diff(cid, prepend=0).tobytes()], "token": [token.tobytes()],
+                           "comp": [np.zeros(len(token), np.int64).tobytes()]})
+    held = ngram_join._held_by_several(bucket, 1)
+    assert set(np.frombuffer(b"".join(held["token"]), np.int64)) == set(passage)
+    assert set(np.frombuffer(b"".join(held["held"]), np.int64)) == {many}
+    classes = pd.DataFrame({"cid": ids, "comp": ids, "grp": ids, "size": n, "later": later})
+    first = ngram_join._first_tokens(classes, held, 1)
+    asked = ngram_join._asking(first, 85) if len(first) else []
+    kept = sum(len(t) // 8 for t in first["token"])
+    assert kept == many * max(0, len(passage) - later)
+    assert len(asked) == (0 if own == 100 else many * (many - 1))
+
+
 # --- memory of reused workers ----------------------------------------------------------------------------
 
 def test_a_worker_keeps_the_caches_of_one_operator(monkeypatch):

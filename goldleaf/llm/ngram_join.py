@@ -63,6 +63,7 @@ COUNT_TOKENS, COMMON_IN_COUNT = 2_000_000, 2  # tokens are counted over so many
 COMMON_MAX = 500_000  # common tokens that are put last, at most (16 bytes each); the order changes no result
 LEADS = 4  # turns in which classes with the same leading tokens are compared first
 LEAD_ROUNDS = ((0,), (1, 2, 3))  # later turns take one class for all of its component
+CROWD = 8  # groups that share the least token of a random order are compared with a few of them, from so many on
 ALIKE_PERCENT = 40  # components with so similar members are put into one group; it changes no result
 LEADERS = 8  # classes of a group that the others are compared with in a turn
 BUCKET_TOKENS = 250_000  # tokens that meet in one bucket of token hashes
@@ -173,9 +174,9 @@ def _counts(tokens: np.ndarray, ordered: np.ndarray, counts: np.ndarray) -> np.n
 
 
 def _leads(tokens: np.ndarray) -> np.ndarray:
-    """One value a turn, of the least tokens in two of ``LEADS`` random orders."""
+    """One value a turn, of the least tokens in two of ``LEADS`` random orders; then the least token in each."""
     least = np.array([(tokens * _MIX[turn]).min() for turn in range(LEADS)], np.uint64)
-    return _scrambled(least + np.roll(least, -1) * _SALT).view(np.int64)
+    return np.concatenate([_scrambled(least + np.roll(least, -1) * _SALT), least]).view(np.int64)
 
 
 def _heads(docs: DataFrame, shared: Broadcast, words: int, percent: int) -> DataFrame:
@@ -183,7 +184,7 @@ def _heads(docs: DataFrame, shared: Broadcast, words: int, percent: int) -> Data
 
     ``rare`` is the number of its tokens that are not known as common (``shared``), ``later`` how many of these are
     not among its first tokens in the global order; ``often`` are the common ones that are, by count, then value.
-    ``leads`` are its leading tokens of ``LEADS`` turns.
+    ``leads`` are its leading tokens of ``LEADS`` turns, by two random orders, then by one.
     """
 
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,7 +324,8 @@ def _lead_components(docs: DataFrame, classes: DataFrame, words: int, percent: i
     In later rounds one class stands for all of its component in a group, so a family of near copies costs
     its size once.
     """
-    leading = classes.select("cid", "size", F.posexplode("leads").alias("turn", "lead"))
+    by_two = F.slice("leads", 1, LEADS)
+    leading = classes.select("cid", "size", F.posexplode(by_two).alias("turn", "lead"))
     crowded = leading.groupBy("turn", "lead").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("turn", "lead")
     leading = written(leading.join(crowded, ["turn", "lead"], "left_semi"), "op5-leading")
     wanted = written(leading.select("cid").distinct(), "op5-wanted")
@@ -339,7 +341,33 @@ def _lead_components(docs: DataFrame, classes: DataFrame, words: int, percent: i
         found = written(links if found is None else found.unionByName(links), "op5-links")
         state = written(_with_components(wanted, found.where("exact")), "op5-comps")
     out = written(_with_components(state, found, "alike"), "op5-alike")
-    discard(leading, sets, found)
+    discard(leading, sets)
+    return _gathered(docs, classes, out, found, words, percent)
+
+
+def _gathered(docs: DataFrame, classes: DataFrame, near: DataFrame, found: DataFrame, words: int, percent: int) -> DataFrame:
+    """``near`` (cid, comp, alike) with the groups that are still apart though many of them share a least token.
+
+    A near copy misses its family when own words lead both orders of every turn, so a share of each family is
+    left over, and a token that all of it holds would meet every one of these groups. By the least token of one
+    order fewer miss it. One class stands for its group, so a family costs what is left over.
+    """
+    by_one = F.slice("leads", LEADS + 1, LEADS)
+    leading = classes.select("cid", "size", F.posexplode(by_one).alias("turn", "lead"))
+    crowded = written(leading.groupBy("turn", "lead").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= CROWD).select(
+        "turn", "lead"), "op5-crowded")
+    standing = leading.join(broadcast_if_few(crowded), ["turn", "lead"], "left_semi").join(
+        near.select("cid", "alike"), "cid", "left").withColumn("alike", F.coalesce("alike", "cid")).groupBy(
+        "turn", "lead", "alike").agg(F.min(F.struct("cid", "size")).alias("one")).select("turn", "lead", "one.cid", "one.size")
+    asked = written(_split(standing, "turn", "lead").where(F.col("_n") >= CROWD).select("cid", "grp"), "op5-asked")
+    wanted = written(asked.select("cid").distinct(), "op5-wanted")
+    more = _sets(docs, wanted, words).join(broadcast_if_few(asked), "cid").groupBy("grp").applyInPandas(
+        lambda group: _link_members(group, percent), f"{_LINK}, exact boolean")
+    links = written(found.unionByName(more), "op5-links")
+    every = near.select("cid").unionByName(wanted).distinct()
+    state = written(_with_components(every, links.where("exact")), "op5-comps")
+    out = written(_with_components(state, links, "alike"), "op5-alike")
+    discard(found, links)
     return out
 
 

@@ -151,6 +151,26 @@ def test_members_linked_through_different_leaders(spark, tmp_path_factory, monke
     assert sets_of((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sets_of(want)
 
 
+def test_a_family_of_near_copies_has_few_groups(spark, tmp_path_factory, monkeypatch):
+    """Members whose own tokens lead every turn join their family's group: its tokens meet few groups."""
+    rng, real, groups = random.Random(5), ngram_join._candidates, []
+
+    def watched(docs, heads, shared, grouped, words, percent):
+        groups.append(grouped.select("grp").distinct().count())
+        return real(docs, heads, shared, grouped, words, percent)
+
+    monkeypatch.setattr(ngram_join, "_candidates", watched)
+    rows = []
+    for i in range(300):
+        words = [f"b{j}" for j in range(150)]
+        for k in rng.sample(range(150), 6):
+            words[k] = f"e{i}.{k}"
+        rows.append((i, " ".join(words)))
+    got = ngram_join.similar_documents(frame_of(spark, rows, tmp_path_factory)).collect()
+    assert sets_of((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sets_of(brute_components(rows, 5, 80))
+    assert groups[0] <= 5
+
+
 @pytest.mark.parametrize("common_max", [0, 500_000])
 def test_rare_and_common_tokens_find_the_same(spark, tmp_path_factory, monkeypatch, common_max):
     """All tokens through the packed buckets, or those of several texts through joins; small buckets and runs."""

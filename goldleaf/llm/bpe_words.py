@@ -79,11 +79,16 @@ class ChunkMemo(dict):
         return out
 
 
+def cuttable(text: str, specials: list[str]) -> bool:
+    """Whether the text can be cut before its spaces without a cut inside a pre-token."""
+    if any(s in text for s in specials) or text.endswith(" ") or any(p in text for p in _ASCII_PAIRS):
+        return False
+    return text.isascii() or not any(p in text for p in _OTHER_PAIRS)
+
+
 def chunks(text: str, specials: list[str]) -> list[str] | None:
     """The text cut before its spaces, or None if that could cut inside a pre-token."""
-    if any(s in text for s in specials) or text.endswith(" ") or any(p in text for p in _ASCII_PAIRS):
-        return None
-    if not text.isascii() and any(p in text for p in _OTHER_PAIRS):
+    if not cuttable(text, specials):
         return None
     words = text.split(" ")
     out = [" " + w for w in words]

@@ -21,17 +21,19 @@ empty table gives no rows; bytes that are not valid UTF-8 count as U+FFFD; furth
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from goldleaf.llm.bpe_words import ChunkMemo, PreTokenIds, chunks
+from goldleaf.llm.bpe_words import PRE_TOKEN, ChunkMemo, PreTokenIds, cuttable
 from goldleaf.llm.common import importable_on_workers, kept_by, sliced, text_of, tidied, utf8, written
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -40,28 +42,72 @@ GROUPS = 512  # linear grouping: rounding costs about (longest - small) / GROUPS
 SMALL = 64  # pieces shorter than this are left to best fit
 SHARD_SEQUENCES = 20_000  # sequences in one best-fit task
 SHARD_PIECES = 200_000  # small pieces in one best-fit task
-CHUNKS_KEPT = 500_000  # remembered chunks of a worker, twice at most
+CHUNKS_KEPT = 500_000  # remembered words of a worker, twice at most; as many other pre-tokens
+RUN_CHARS = 4_000_000  # texts of about so many characters are split into words at a time
 
 _ENCODERS: dict[str, "_Encoder"] = kept_by("packing")  # per Python worker, by file
 
 
 class _Encoder:
-    """Ids by the tokenizers library, as little-endian unsigned 32-bit bytes; chunks are remembered."""
+    """Ids by the tokenizers library, as little-endian unsigned 32-bit bytes. Remembered are those of words that
+    follow a space, and of the other pre-tokens."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        ids = PreTokenIds(self.tokenizer)
-        self.of_chunk = ChunkMemo(lambda chunk: np.array(ids(chunk), "<u4").tobytes(), CHUNKS_KEPT)
+        self.ids = PreTokenIds(self.tokenizer)
+        self.of_word = ChunkMemo(self._of_word, CHUNKS_KEPT)
+        self.of_part = ChunkMemo(self._of_part, CHUNKS_KEPT)
+
+    def _of_part(self, chunk: str) -> bytes:
+        ids = self.ids(chunk)
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _of_word(self, word: str) -> bytes:
+        chunk = " " + word
+        if not word.isalpha() and len(parts := PRE_TOKEN.findall(chunk)) > 1:  # the first one holds the space
+            return self.of_word[parts[0][1:]] + b"".join([self.of_part[p] for p in parts[1:]])
+        return self._of_part(chunk)
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def encode(self, text: str) -> bytes:
-        parts = chunks(text, self.specials)
-        return self._encode(text) if parts is None else b"".join(map(self.of_chunk.__getitem__, parts))
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text: a word is looked up once for all of a run's texts that hold it."""
+        out, run, size = [], [], 0
+        for text in texts:
+            run.append(text)
+            size += len(text)
+            if size >= RUN_CHARS:
+                out += self._encode_run(run)
+                run, size = [], 0
+        return out + self._encode_run(run)
+
+    def _encode_run(self, texts: list[str]) -> list[bytes]:
+        cut = [cuttable(text, self.specials) for text in texts]
+        words = pc.split_pattern(pa.array([t for t, c in zip(texts, cut) if c], pa.large_string()), " ")
+        coded = words.values.dictionary_encode()
+        ids = pa.array([self.of_word[w] for w in _spaceless(coded.dictionary)], pa.large_binary())
+        ids = ids.take(coded.indices)  # those of a text one after the other
+        at, data = np.frombuffer(ids.buffers()[1], np.int64), memoryview(ids.buffers()[2] or b"")
+        first = words.offsets.to_numpy()
+        begins, ends = iter(at[first[:-1] + 1]), iter(at[first[1:]])
+        return [self._of_start(text) + data[next(begins):next(ends)] if c else self._encode(text)
+                for text, c in zip(texts, cut)]
+
+    def _of_start(self, text: str) -> bytes:
+        start = text.partition(" ")[0]  # no space before it
+        return self.of_part[start] if start else b""
+
+
+def _spaceless(words: pa.Array) -> list[str]:
+    """Words without spaces as a list; faster than ``to_pylist``."""
+    if not len(words):
+        return []
+    joined = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), pa.scalar(" ", words.type))
+    return joined[0].as_py().split(" ")
 
 
 def _encoder(path: str) -> _Encoder:
@@ -87,8 +133,9 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str | None = None, length:
         encoder = _encoder(path)
         for batch in sliced(batches):
             rows, columns = [], {"piece": [], "start": [], "length": [], "ids_crc32": []}
-            for row, data in enumerate(utf8(batch.column(2))):
-                ids = encoder.encode(text_of(data)) + end
+            texts = [text_of(data) for data in utf8(batch.column(2))]
+            for row, ids in enumerate(encoder.encode_all(texts)):
+                ids += end
                 for k, (start, n) in enumerate(cut(len(ids) // 4, length)):
                     rows.append(row)
                     for name, value in zip(columns, (k, start, n, zlib.crc32(ids[4 * start:4 * (start + n)]))):

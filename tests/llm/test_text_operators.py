@@ -167,6 +167,21 @@ def test_ids_of_chunks_are_those_of_the_library(tokenizer):
         assert ids(text) == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_runs_of_texts_get_the_ids_of_the_library(tokenizer, monkeypatch):
+    """A word is tokenized once, whatever marks are around it; texts that cannot be cut go to the library."""
+    import public_tokenizers
+
+    encoder, seen, real = packing._Encoder(public_tokenizers.path(packing.TOKENIZER)), [], packing.PreTokenIds.__call__
+    monkeypatch.setattr(packing.PreTokenIds, "__call__", lambda self, chunk: seen.append(chunk) or real(self, chunk))
+    texts = ["a word, (word) word; word\nword, 'word' it's", "a word", " word", "", "word ", "a  b", "<|endoftext|> word", "\u3000x \u3000"]
+    texts += ["".join(np.random.default_rng(i).choice(list("aB  \n'7\u00e9.\u4e2d\u00a0s"), 9)) for i in range(400)]
+    monkeypatch.setattr(packing, "RUN_CHARS", 500)
+    want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encoder.encode_all(texts) == want
+    assert seen.count(" word") == 1 and not any(c.startswith(" word") and c != " word" for c in seen)
+    assert encoder.encode_all([]) == [] and encoder.encode_all(["a  b"]) == [want[5]]
+
+
 def test_configurations_place_everything_near_the_bound():
     rng = np.random.default_rng(3)
     histogram = dict(zip(*map(np.ndarray.tolist, np.unique(rng.integers(64, 1024, 40_000), return_counts=True))))

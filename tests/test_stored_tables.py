@@ -1,16 +1,20 @@
 """What stored tables take on disk: compact files, no shuffle files left, buckets that follow the lines."""
 
+import hashlib
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from goldleaf.operators import denorm
+from goldleaf.operators import denorm, quality
+from goldleaf.plans import registry
 from goldleaf.sources import catalog
 from goldleaf.sources.lake import FREE_SHUFFLES, materialize
 from goldleaf.spec import SILVER_COLUMNS, SOURCE_TABLES
 from micro import micro_tables
 
+SF = "/root/testdata/sf0.001"
+
 
 def _repeated(spark):
     """The micro tables with lines, an order, an item, a member and a pair that come twice, and lines without an item."""
@@ -74,3 +78,20 @@ def test_bucketed_lines_meet_their_orders_where_they_lie(spark, monkeypatch, fit
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     lines = plan[:plan.index(".orderdetail[")].rsplit("SortMergeJoin [order_id", 1)[1]
     assert "Exchange" not in lines  # from the join with the orders down to the scan of the lines
+
+
+def test_row_parity_stores_compact_rows_and_sums_no_decimals(spark, monkeypatch):
+    kept, real = [], registry.materialize
+    monkeypatch.setattr(registry, "materialize", lambda *a: (kept.append(real(*a)), kept[-1])[1])
+    out = registry.all_queries()["check_row_parity"](spark, SF)
+    assert len(kept) == 2 and all(".zstd." in f for table in kept for f in table.inputFiles())
+    assert [r["passed"] for r in out.collect()] == [True, True]
+    assert "sum(cast" not in quality.content_hash(spark.range(3))._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_content_is_the_sum_of_the_rows_digests(spark):
+    rows = [(i, None if i % 3 == 0 else "é" * (i % 4)) for i in range(40)]
+    text = lambda v: "-" if v is None else f"{len(str(v))}:{v}"
+    want = sum(int(hashlib.md5("".join(map(text, r)).encode()).hexdigest()[:quality.HASH_DIGITS], 16) for r in rows)
+    found = quality.content_hash(spark.createDataFrame(rows, "k int, v string")).first()
+    assert (found["rows"], int(found["content"])) == (40, want)

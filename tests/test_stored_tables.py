@@ -6,7 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from goldleaf.operators import denorm, quality
+from goldleaf.operators import denorm, quality, star
 from goldleaf.plans import registry
 from goldleaf.sources import catalog
 from goldleaf.sources.lake import FREE_SHUFFLES, materialize
@@ -95,3 +95,14 @@ def test_content_is_the_sum_of_the_rows_digests(spark):
     want = sum(int(hashlib.md5("".join(map(text, r)).encode()).hexdigest()[:quality.HASH_DIGITS], 16) for r in rows)
     found = quality.content_hash(spark.createDataFrame(rows, "k int, v string")).first()
     assert (found["rows"], int(found["content"])) == (40, want)
+
+
+def test_type_and_topping_tables_share_one_pass_over_silver(spark):
+    silver, stored = denorm.denormalize(_repeated(spark)), []
+    shared = star.build_star(silver, lambda df: (stored.append(df.columns), materialize(df, "t-shared"))[1])
+    assert len(stored) == 1
+    for name, df in star.build_star(silver).items():
+        assert shared[name].columns == df.columns
+        assert _rows(shared[name], df.columns) == _rows(df, df.columns)
+    for name in ("dim_pizza_type", "dim_pizza_topping", "bridge_pizza_type_topping"):
+        assert "t-shared" in shared[name].inputFiles()[0]
